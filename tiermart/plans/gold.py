@@ -139,7 +139,7 @@ def agent_performance(agents: DataFrame, policies: DataFrame, claims: DataFrame,
 
 
 def customer_risk(customer_policies: DataFrame, policy_claims: DataFrame, as_of: str) -> DataFrame:
-    """Claims per policy -> customer-policies LEFT that -> per customer.
+    """G4 from the two silver join tables (as the layered run stores them).
 
     Two-stage aggregation: the policy-claims table is reduced to one row per
     policy (partial aggregation map-side), so the join to customer-policies
@@ -152,6 +152,37 @@ def customer_risk(customer_policies: DataFrame, policy_claims: DataFrame, as_of:
         F.count_if(F.col("has_claim")).alias("claim_count"),
         sum_money("claimed_amount").alias("total_claimed"),
     )
+    return _risk(customer_policies, per_policy, as_of)
+
+
+def customer_risk_from_clean(customers: DataFrame, policies: DataFrame, claims: DataFrame, as_of: str) -> DataFrame:
+    """G4 computed straight from the cleaned tables, without the fan-out table.
+
+    Per policy id, the policy-claims table holds ``m x k`` rows, where ``m``
+    is how often the id occurs among policies and ``k`` its number of
+    claims (``k = 0`` gives ``m`` claim-less rows). So its per-policy claim
+    count is ``m x count(claim_id)`` and its claimed total ``m x sum``. Both
+    factors are partial aggregates (one small row per id), so no claim row
+    and no hot policy ever crosses the shuffle whole; the result equals
+    ``customer_risk(customer_policies, policy_claims)``.
+    """
+    from tiermart.plans.silver import customer_policies as join_customer_policies
+
+    validate(claims, ["claim_id", "policy_id", "claimed_amount"])
+    per_claimed_policy = claims.groupBy("policy_id").agg(
+        F.count("claim_id").alias("_claims"), F.sum(money("claimed_amount")).alias("_claimed"))
+    multiplicity = policies.where(F.col("policy_id").isNotNull()).groupBy("policy_id").agg(
+        F.count(F.lit(1)).alias("_m"))
+    per_policy = per_claimed_policy.join(multiplicity, "policy_id", "inner").select(
+        "policy_id",
+        (F.col("_claims") * F.col("_m")).alias("claim_count"),
+        F.coalesce(F.col("_claimed") * F.col("_m"), F.lit(0).cast(MONEY)).alias("total_claimed"),
+    )
+    cp = join_customer_policies(customers, policies, as_of, sort=False)
+    return _risk(cp, per_policy, as_of)
+
+
+def _risk(customer_policies: DataFrame, per_policy: DataFrame, as_of: str) -> DataFrame:
     risk = fill_numeric(
         customer_policies.select("customer_id", "policy_id", "premium", "credit_score")
         .join(per_policy, "policy_id", "left")

@@ -400,6 +400,7 @@ ORACLE: dict[str, str] = {
     "gold_premium_revenue": GOLD_PREMIUM_REVENUE,
     "gold_agent_performance": GOLD_AGENT_PERFORMANCE,
     "gold_customer_risk": GOLD_CUSTOMER_RISK,
+    "gold_customer_risk_layered": GOLD_CUSTOMER_RISK,
     "daily_metrics": f"""
 SELECT CAST(ts AS DATE) AS date, {_n_unique('user_id')} AS unique_users, count(event_type) AS total_events
 FROM events GROUP BY CAST(ts AS DATE)""",

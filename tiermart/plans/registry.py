@@ -55,6 +55,14 @@ def gold_agent_performance(spark, sf_dir):
 
 
 def gold_customer_risk(spark, sf_dir):
+    """G4 in one plan from the cleaned tables (no fan-out table)."""
+    return gold.customer_risk_from_clean(silver_table(spark, sf_dir, "customers"),
+                                         silver_table(spark, sf_dir, "policies"),
+                                         silver_table(spark, sf_dir, "claims"), AS_OF)
+
+
+def gold_customer_risk_layered(spark, sf_dir):
+    """G4 from the two silver join tables, as the layered run reads them."""
     return gold.customer_risk(silver_customer_policies(spark, sf_dir, sort=False),
                               silver_policy_claims(spark, sf_dir, sort=False), AS_OF)
 
@@ -142,6 +150,7 @@ QUERIES: dict[str, Query] = {
     "gold_premium_revenue": gold_premium_revenue,
     "gold_agent_performance": gold_agent_performance,
     "gold_customer_risk": gold_customer_risk,
+    "gold_customer_risk_layered": gold_customer_risk_layered,
     "daily_metrics": daily_metrics,
     "clean_users": clean_users,
     "monthly_signups": monthly_signups,
