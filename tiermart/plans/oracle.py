@@ -443,3 +443,18 @@ ORACLE["profile_output"] = _with("silver_claims") + "\nUNION ALL\n".join(
     f"count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM silver_claims"
     for i, (c, t) in enumerate(_profile_cols)
 )
+
+ORACLE.update({
+    "read_latest_snapshot": ORACLE["clean_claims"],
+    "sample_copy": _with("silver_payments")
+    + "SELECT least(count(*), 50) AS sample_rows, least(count(*), 50) AS subset_rows FROM silver_payments",
+    "fallback_write": ORACLE["clean_payments"],
+    "ingest_csv": _with("bronze_claims") + "SELECT * FROM bronze_claims",
+    "ingest_json_flat": _with("bronze_customers") + """
+SELECT customer_id, first_name AS "name.first", last_name AS "name.last", email AS "contact.email",
+       phone AS "contact.phone", city AS "contact.address.city", state AS "contact.address.state",
+       zip_code AS "contact.address.zip", annual_income
+FROM bronze_customers""",
+    "incremental_clean": ORACLE["clean_claims"],
+    "run_layers_customer_risk": GOLD_CUSTOMER_RISK,
+})

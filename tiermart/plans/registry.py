@@ -164,3 +164,129 @@ QUERIES: dict[str, Query] = {
     "distinct_rows": distinct_rows,
     "drop_nulls_subset": drop_nulls_subset,
 }
+
+
+# ---------------------------------------------------------------- storage, sources, streaming, run
+# These queries write to the cluster's shared folder (``spark.checkpoint.dir``)
+# and read their result back from the written files.
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from tiermart.session import shared_dir
+
+    return shared_dir(spark, f"{name}/{uuid.uuid4().hex}")
+
+
+def read_latest_snapshot(spark, sf_dir):
+    """Two committed batches and a newer uncommitted one; the newest committed wins."""
+    from tiermart.sources import lake
+
+    table = f"{_scratch(spark, 'snapshots')}/silver/clean_claims"
+    bronze = proxies.claims(spark, sf_dir, AS_OF)
+    lake.write_batch(silver.clean("claims", bronze, "2023-12-31T00:00:00+00:00"), table, "20231231T000000Z")
+    lake.write_batch(silver.clean("claims", bronze, AS_OF), table, "20240101T000000Z")
+    # A newer batch whose write never committed (no marker): must stay invisible.
+    silver.clean("claims", bronze, "2024-01-02T00:00:00+00:00").write.parquet(f"{table}/batch=20240102T000000Z")
+    return lake.read_latest(spark, table)
+
+
+def sample_copy(spark, sf_dir):
+    """Sample side-copy of a committed batch; its size and that it is a subset."""
+    from tiermart.sources import lake
+
+    table = f"{_scratch(spark, 'samples')}/silver/clean_payments"
+    path = lake.write_batch(silver_table(spark, sf_dir, "payments"), table, "20240101T000000Z")
+    lake.write_sample(spark, path, 50)
+    sample = lake.read_latest(spark, lake.sample_table_dir(table))
+    full = spark.read.parquet(path)
+    subset = sample.join(full, on=sample.columns, how="left_semi")
+    return sample.agg(F.count(F.lit(1)).alias("sample_rows")).crossJoin(
+        subset.agg(F.count(F.lit(1)).alias("subset_rows")))
+
+
+def fallback_write(spark, sf_dir):
+    """Primary store unreachable -> write and read through the fallback root."""
+    from tiermart.sources import lake
+
+    root = _scratch(spark, "fallback")
+    config = lake.LakeConfig(root="unreachable://primary/lake", fallback_root=root, fallback_on_error=True,
+                             sample_enabled=False)
+    lake.save(silver_table(spark, sf_dir, "payments"), config, "silver", "clean_payments", "20240101T000000Z")
+    return lake.load(spark, config, "silver", "clean_payments")
+
+
+def ingest_csv(spark, sf_dir):
+    """S14 + S10: bronze claims landed as CSV, read back with the declared schema."""
+    from tiermart.sources import readers, schemas
+
+    path = f"{_scratch(spark, 'landing')}/claims_csv"
+    readers.write_csv(proxies.claims(spark, sf_dir, AS_OF).drop("fetched_at"), path)
+    return readers.ingest(readers.read_csv(spark, path, schemas.CLAIMS), "claims", AS_OF)
+
+
+def ingest_json_flat(spark, sf_dir):
+    """Nested JSON records (as an API would return them) flattened to parent.child columns."""
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
+    from tiermart.sources import readers
+
+    path = f"{_scratch(spark, 'landing')}/customers_json"
+    c = proxies.customers(spark, sf_dir, AS_OF)
+    c.select(
+        "customer_id",
+        F.struct(F.col("first_name").alias("first"), F.col("last_name").alias("last")).alias("name"),
+        F.struct(F.col("email"), F.col("phone"),
+                 F.struct(F.col("city"), F.col("state"), F.col("zip_code").alias("zip")).alias("address"))
+        .alias("contact"),
+        "annual_income",
+    ).write.json(path)
+    schema = StructType([
+        StructField("customer_id", LongType()),
+        StructField("name", StructType([StructField("first", StringType()), StructField("last", StringType())])),
+        StructField("contact", StructType([
+            StructField("email", StringType()), StructField("phone", StringType()),
+            StructField("address", StructType([StructField("city", StringType()), StructField("state", StringType()),
+                                               StructField("zip", StringType())]))])),
+        StructField("annual_income", DoubleType()),
+    ])
+    return readers.flatten(readers.read_json(spark, path, schema))
+
+
+def incremental_clean(spark, sf_dir):
+    """Bronze claims land in two batches; two availableNow runs clean each batch once."""
+    from tiermart.sources import lake
+    from tiermart.streaming.incremental import clean_new_batches
+
+    root = _scratch(spark, "incremental")
+    bronze_dir, silver_dir = f"{root}/bronze/claims", f"{root}/silver/clean_claims"
+    checkpoint = f"{root}/_checkpoints/clean_claims"
+    claims = proxies.claims(spark, sf_dir, AS_OF)
+    early = F.year("incident_date") <= 1996
+    lake.write_batch(claims.where(early), bronze_dir, "20240101T000000Z")
+    clean_new_batches(spark, "claims", bronze_dir, silver_dir, checkpoint, AS_OF)
+    lake.write_batch(claims.where(~early | F.col("incident_date").isNull()), bronze_dir, "20240102T000000Z")
+    clean_new_batches(spark, "claims", bronze_dir, silver_dir, checkpoint, AS_OF)
+    return lake.read_all(spark, silver_dir).drop("batch")
+
+
+def run_layers_customer_risk(spark, sf_dir):
+    """The whole bronze -> silver -> gold run into the lake; the customer-risk mart read back."""
+    from tiermart.plans.pipeline import run_layers
+    from tiermart.sources import lake
+
+    config = lake.LakeConfig(root=_scratch(spark, "run"), sample_enabled=True)
+    sources = {t: build(spark, sf_dir, AS_OF) for t, build in proxies.BUILDERS.items()}
+    run_layers(spark, config, sources, as_of=AS_OF, stamp="20240101T000000Z")
+    return lake.load(spark, config, "gold", "customer_risk")
+
+
+QUERIES.update({
+    "read_latest_snapshot": read_latest_snapshot,
+    "sample_copy": sample_copy,
+    "fallback_write": fallback_write,
+    "ingest_csv": ingest_csv,
+    "ingest_json_flat": ingest_json_flat,
+    "incremental_clean": incremental_clean,
+    "run_layers_customer_risk": run_layers_customer_risk,
+})
