@@ -1,0 +1,84 @@
+"""Scalar semantics: title case, strip, digits, rounding, ratios."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiermart.functions import (
+    digits_only,
+    div_half_up,
+    mean_half_up,
+    n_unique,
+    pct_half_up,
+    round_half_up,
+    strip,
+    sum0,
+    sum_money,
+    title_case,
+)
+
+
+def one(spark, expr, value, schema="v string"):
+    return spark.createDataFrame([(value,)], schema).select(expr(F.col("v")).alias("r")).first()["r"]
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("cr-v", "Cr-V"), ("C-CLASS", "C-Class"), ("multi-line", "Multi-Line"), ("self-employed", "Self-Employed"),
+    ("o'brien", "O'Brien"), ("4-not specified", "4-Not Specified"), ("1st avenue", "1st Avenue"),
+    ("a\tb", "A\tB"), ("élan vital", "Élan Vital"), ("", ""), ("f-150", "F-150"),
+])
+def test_title_case_breaks_at_non_alphanumerics(spark, raw, expected):
+    assert one(spark, title_case, raw) == expected
+
+
+def test_title_case_null(spark):
+    assert one(spark, title_case, None) is None
+
+
+def test_initcap_differs(spark):
+    # Why title_case exists: Spark's initcap splits at spaces only.
+    assert one(spark, F.initcap, "cr-v") == "Cr-v"
+
+
+def test_strip_unicode_whitespace(spark):
+    assert one(spark, strip, " \t x y 　\n") == "x y"
+    assert one(spark, F.trim, " x") == " x"  # plain trim keeps no-break space
+
+
+def test_digits_unicode(spark):
+    assert one(spark, digits_only, "+1 (555) １２３-x12") == "1555１２３12"
+
+
+@pytest.mark.parametrize("value,expected", [(1.005, 1.01), (2.675, 2.68), (-1.005, -1.01), (0.004, 0.0), (2.5, 2.5)])
+def test_round_half_up(spark, value, expected):
+    assert one(spark, lambda c: round_half_up(c, 2), value, "v double") == expected
+
+
+def test_div_half_up_exact_and_zero(spark):
+    df = spark.createDataFrame([(7, 2), (-7, 2), (0, 0), (3, 0), (-3, 0), (1, 3)], "a long, b long")
+    out = [r[0] for r in df.select(div_half_up("a", "b", 0)).collect()]
+    assert out[:2] == [4.0, -4.0]
+    assert math.isnan(out[2]) and out[3] == math.inf and out[4] == -math.inf
+    assert out[5] == 0.0
+    pct = df.select(pct_half_up("a", "b")).collect()
+    assert pct[5][0] == 33.33
+
+
+def test_aggregate_null_rules(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", None, None), ("b", 1.005, 2), ("b", 2.0, 2)],
+                               "k string, x double, u long")
+    rows = {r["k"]: r for r in df.groupBy("k").agg(
+        sum0("x").alias("s0"), sum_money("x").alias("sm"), mean_half_up("x", 2).alias("m"),
+        n_unique("u").alias("nu"), F.count_distinct("u").alias("cd")).collect()}
+    assert rows["a"]["s0"] == 0 and float(rows["a"]["sm"]) == 0.0  # sum over nothing is 0
+    assert rows["a"]["m"] is None  # mean over nothing is null
+    assert rows["a"]["nu"] == 2 and rows["a"]["cd"] == 1  # null counts as a value
+    assert rows["b"]["m"] == 1.5  # (1.005 + 2.0) / 2 = 1.5025 -> 1.5
+    assert rows["b"]["nu"] == 1
+
+
+def test_mean_half_up_tie_is_exact(spark):
+    # 1.00 and 1.01 average to exactly 1.005: HALF_UP gives 1.01 regardless of float error.
+    df = spark.createDataFrame([(1.0,), (1.01,)], "x double")
+    assert df.agg(mean_half_up("x", 2)).first()[0] == 1.01

@@ -1,0 +1,114 @@
+"""Joins (J1, J2, J7), marts (G1-G6) and their null/fan-out semantics."""
+
+import math
+
+from pyspark.sql import functions as F
+
+from tiermart.operators.frames import fill_numeric, sort_desc
+from tiermart.operators.joins import left_join_skew_safe, suffix_join
+from tiermart.plans import gold, registry, silver
+
+AS_OF = "2024-01-01T00:00:00+00:00"
+SF = "/root/testdata/sf0.001"
+
+
+def test_suffix_join_names(spark):
+    left = spark.createDataFrame([(1, "a", "L")], "k long, x string, status string")
+    right = spark.createDataFrame([(1, "b", "R")], "k long, y string, status string")
+    out = suffix_join(left, right, "k", "left")
+    assert out.columns == ["k", "x", "status", "y", "status_right"]
+    assert tuple(out.first()) == (1, "a", "L", "b", "R")
+
+
+def test_skew_safe_left_join_equals_left_join(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (1, "dup")], "k long, x string")
+    right = spark.createDataFrame([(1, 10), (1, 11), (3, 30), (None, 0)], "k long, v long")
+    plain = suffix_join(left, right, "k", "left")
+    safe = left_join_skew_safe(left, right, "k")
+    assert safe.columns == plain.columns
+    assert sorted(map(tuple, safe.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert safe.count() == 6  # left join never drops left rows
+
+
+def test_hot_key_left_join(spark):
+    # One key holds most of the right side: same rows as a plain left join.
+    left = spark.range(0, 50).withColumnRenamed("id", "k")
+    right = spark.range(0, 20000).select(F.when(F.col("id") % 3 != 0, 7).otherwise(F.col("id") % 50).alias("k"),
+                                          F.col("id").alias("v"))
+    safe = left_join_skew_safe(left, right, "k")
+    plain = suffix_join(left, right, "k", "left")
+    assert safe.count() == plain.count()
+    assert safe.exceptAll(plain).isEmpty()
+
+
+def test_fill_numeric_leaves_strings_and_bools(spark):
+    df = spark.createDataFrame([(None, None, None, None)], "a long, b double, s string, f boolean")
+    r = fill_numeric(df).first()
+    assert (r.a, r.b, r.s, r.f) == (0, 0.0, None, None)
+
+
+def test_sort_desc_nulls_first(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "x double")
+    assert [r.x for r in sort_desc(df, "x").collect()] == [None, 3.0, 1.0]
+
+
+def test_policy_claims_has_claim_and_rows(spark):
+    pol = registry.silver_table(spark, SF, "policies")
+    cl = registry.silver_table(spark, SF, "claims")
+    pc = silver.policy_claims(pol, cl, AS_OF)
+    assert "status_right" in pc.columns and "transformed_at_right" in pc.columns
+    assert pc.count() >= pol.count()
+    with_claim = pc.where("has_claim").count()
+    assert with_claim == cl.join(pol.select("policy_id"), "policy_id", "left_semi").count()
+
+
+def test_customer_risk_fused_equals_layered(spark):
+    fused = registry.gold_customer_risk(spark, SF)
+    layered = registry.gold_customer_risk_layered(spark, SF)
+    assert fused.columns == layered.columns
+    assert fused.exceptAll(layered).isEmpty() and layered.exceptAll(fused).isEmpty()
+
+
+def test_agent_without_policies_gets_nan(spark):
+    agents = spark.createDataFrame([(1, "a", "b", "r", None), (2, "c", "d", "r", 0.1)],
+                                   "agent_id long, first_name string, last_name string, region string,"
+                                   " commission_rate double")
+    policies = spark.createDataFrame([(10, 2, 100.0), (11, 2, 50.0)], "policy_id long, agent_id long, premium double")
+    claims = spark.createDataFrame([(1, 10, 5.0), (2, 10, 7.0)], "claim_id long, policy_id long, approved_amount double")
+    out = {r.agent_id: r for r in gold.agent_performance(agents, policies, claims, AS_OF).collect()}
+    a1, a2 = out[1], out[2]
+    assert a1.total_policies == 0 and math.isnan(a1.claim_rate_pct) and a1.commission_rate == 0.0
+    # fan-out: policy 10 has two claims, so it counts twice (premium too)
+    assert (a2.total_policies, a2.policies_with_claims, a2.total_premium) == (3, 2, 250.0)
+    assert a2.total_claims_amount == 12.0 and a2.commission_earned == 25.0
+    assert round(a2.claim_rate_pct, 2) == 66.67
+
+
+def test_premium_revenue_fanout_and_distinct(spark):
+    policies = spark.createDataFrame([(1, "Auto", 100.0), (2, "Auto", 50.0)],
+                                     "policy_id long, policy_type string, premium double")
+    payments = spark.createDataFrame([(1, 10.0, "Completed"), (1, 20.0, "Completed"), (2, 5.0, "completed"),
+                                      (2, 7.0, "Pending")], "policy_id long, amount double, status string")
+    r = gold.premium_revenue(policies, payments, AS_OF).first()
+    assert (r.total_policies, r.total_premium, r.avg_premium) == (1, 200.0, 100.0)
+    assert (r.total_collected, r.avg_collection, r.collection_rate_pct) == (30.0, 15.0, 15.0)
+
+
+def test_claims_summary_ratio(spark):
+    claims = spark.createDataFrame([("Fire", "Approved", 100.0, 80.0), ("Fire", "Approved", 50.0, 0.0)],
+                                   "claim_type string, status string, claimed_amount double, approved_amount double")
+    r = gold.claims_summary(claims, AS_OF).first()
+    assert (r.total_claims, r.total_claimed, r.avg_claimed, r.approval_rate_pct) == (2, 150.0, 75.0, 53.33)
+
+
+def test_monthly_signups_merges_years(spark):
+    users = spark.createDataFrame([(1, "a@x", "2020-01-05"), (2, "b@x", "2021-01-09"), (2, None, "2021-02-01")],
+                                  "user_id long, email string, created_at string")
+    out = gold.monthly_signups(silver.clean_users(users)).collect()
+    assert [(r.created_at, r.monthly_users, r.total_signups) for r in out] == [(1, 2, 2)]
+
+
+def test_group_sums_match_table_sum(spark):
+    claims = registry.silver_table(spark, SF, "claims")
+    summary = gold.claims_summary(claims, AS_OF)
+    assert summary.agg(F.sum("total_claims")).first()[0] == claims.count()
