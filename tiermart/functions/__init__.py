@@ -9,6 +9,7 @@ from tiermart.functions.numeric import (  # noqa: F401
     pct_half_up,
     round_half_up,
     sum0,
+    sum_exact,
     sum_money,
 )
 from tiermart.functions.text import digits_only, lower_strip, strip, title_case, upper_strip  # noqa: F401

@@ -50,6 +50,12 @@ def sum_money(c) -> Column:
     return F.coalesce(F.sum(money(c)), F.lit(0).cast(MONEY))
 
 
+def sum_exact(c) -> Column:
+    """Sum of an already-exact (decimal) expression, e.g. a weighted money
+    value; keeps the expression's own precision; 0 over an empty group."""
+    return F.coalesce(F.sum(_c(c)), F.lit(0))
+
+
 def div_half_up(num, den, digits: int) -> Column:
     """round(num / den, digits) HALF_UP, computed exactly; returns double.
 

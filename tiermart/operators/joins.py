@@ -48,3 +48,18 @@ def left_join_skew_safe(left: DataFrame, right: DataFrame, on: str, suffix: str
     padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in r.schema.fields if f.name != on]
     padded = unmatched.select(*[F.col(f"`{c}`") for c in left.columns], *padding)
     return matched.unionByName(padded)
+
+
+# A dimension is broadcast only after its size is proven: at most this many rows.
+BROADCAST_MAX_ROWS = 10_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint for a side proven to hold at most ``max_rows`` rows.
+
+    The proof reads at most ``max_rows + 1`` rows (a limit, not a scan).
+    Beyond the bound the side is returned unhinted, and the planner / adaptive
+    execution choose from measured sizes. Use for low-cardinality dimensions
+    whose join key would otherwise send the big side to a handful of tasks.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

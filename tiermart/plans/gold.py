@@ -30,6 +30,7 @@ from tiermart.functions.numeric import (
     n_unique,
     pct_half_up,
     sum0,
+    sum_exact,
     sum_money,
 )
 from tiermart.operators.frames import fill_numeric, stamp
@@ -80,7 +81,7 @@ def premium_revenue(policies: DataFrame, payments: DataFrame, as_of: str) -> Dat
     joined = policies.select("policy_id", "policy_type", "premium").join(per_policy, "policy_id", "inner")
     agg = joined.groupBy("policy_type").agg(
         n_unique("policy_id").alias("total_policies"),
-        F.round(sum_money(money("premium") * rows), 2).alias("_premium"),
+        F.round(sum_exact(money("premium") * rows), 2).alias("_premium"),
         F.sum(money("premium") * rows).alias("_premium_exact"),
         F.sum(F.when(F.col("premium").isNotNull(), rows)).alias("_premium_n"),
         F.round(F.sum("_collected"), 2).alias("_collected"),
@@ -119,7 +120,7 @@ def agent_performance(agents: DataFrame, policies: DataFrame, claims: DataFrame,
     metrics = joined.groupBy("agent_id").agg(
         sum0(fan).alias("total_policies"),
         sum0("_with_claim").alias("policies_with_claims"),
-        F.round(sum_money(money("premium") * fan), 2).alias("_premium"),
+        F.round(sum_exact(money("premium") * fan), 2).alias("_premium"),
         F.round(F.coalesce(F.sum("_approved"), F.lit(0).cast(MONEY)), 2).alias("_claims_amount"),
     )
     result = fill_numeric(agents.join(metrics, "agent_id", "left").select(*agents.columns, *metrics.columns[1:]))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiermart.operators.joins import broadcast_if_small
 from tiermart.sources import schemas
 
 AS_OF = "2024-01-01T00:00:00+00:00"
@@ -43,6 +44,15 @@ def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation x region: 25 keys, so a shuffle join on it would put the big side
+    into 25 tasks; it is broadcast once its size is proven."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
+    return broadcast_if_small(geo)
+
+
 def policies(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
@@ -120,10 +130,7 @@ def payments(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
-    # nation/region are tiny dimensions: the planner broadcasts them from file-size stats.
-    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    geo = _geo(spark, sf_dir)
     key = F.col("c_custkey")
     df = c.join(geo, c.c_nationkey == geo.n_nationkey, "left").select(
         key.alias("customer_id"),
@@ -150,9 +157,7 @@ def customers(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame
 
 def agents(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
-    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    geo = _geo(spark, sf_dir)
     key = F.col("s_suppkey")
     df = s.join(geo, s.s_nationkey == geo.n_nationkey, "left").select(
         key.alias("agent_id"),
