@@ -58,13 +58,18 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def sort_desc(df: DataFrame, *cols: str) -> DataFrame:
-    """Descending sort with nulls first (the reference's default)."""
-    return df.orderBy(*[F.col(c).desc_nulls_first() for c in cols])
+def sort_desc(df: DataFrame, *cols: str, then: tuple[str, ...] = ()) -> DataFrame:
+    """Descending sort with nulls first (the reference's default).
 
+    ``then`` adds ascending tiebreakers (e.g. a key): a range partitioner
+    cannot split rows with equal sort keys, so heavy ties would otherwise
+    land in one task.
+    """
+    return df.orderBy(*[F.col(c).desc_nulls_first() for c in cols], *[F.col(c).asc_nulls_first() for c in then])
 
-def sort_asc(df: DataFrame, *cols: str) -> DataFrame:
-    return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols])
+
+def sort_asc(df: DataFrame, *cols: str, then: tuple[str, ...] = ()) -> DataFrame:
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in (*cols, *then)])
 
 
 def stamp(df: DataFrame, name: str, as_of: str) -> DataFrame:

@@ -14,6 +14,10 @@ Scale notes (each mart is one lazy plan):
   semantics), but the join sees at most one right row per key.
 * Broadcast vs. shuffle join is left to adaptive execution, which decides
   from measured shuffle sizes (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+* Every final sort ends with the group key. Ties on the sort value (all
+  claim-free customers have a loss ratio of 0) would otherwise land in one
+  range partition, since a range partitioner cannot split equal keys; the
+  tiebreaker lets it spread them, and makes the order deterministic.
 """
 
 from __future__ import annotations
@@ -96,7 +100,7 @@ def premium_revenue(policies: DataFrame, payments: DataFrame, as_of: str) -> Dat
         _double(F.col("_collected")).alias("total_collected"),
         F.when(F.col("_amount_n") > 0, div_half_up("_collected_exact", "_amount_n", 2)).alias("avg_collection"),
         pct_half_up("_collected", "_premium").alias("collection_rate_pct"),
-    ).orderBy(F.col("total_premium").desc_nulls_first())
+    ).orderBy(F.col("total_premium").desc_nulls_first(), F.col("policy_type").asc_nulls_first())
     return stamp(out, "aggregated_at", as_of)
 
 
@@ -135,7 +139,7 @@ def agent_performance(agents: DataFrame, policies: DataFrame, claims: DataFrame,
         _double(F.col("_claims_amount")).alias("total_claims_amount"),
         _double(commission).alias("commission_earned"),
         pct_half_up("policies_with_claims", "total_policies").alias("claim_rate_pct"),
-    ).orderBy(F.col("total_premium").desc_nulls_first())
+    ).orderBy(F.col("total_premium").desc_nulls_first(), F.col("agent_id").asc_nulls_first())
     return stamp(out, "aggregated_at", as_of)
 
 
@@ -209,7 +213,7 @@ def _risk(customer_policies: DataFrame, per_policy: DataFrame, as_of: str) -> Da
     out = out.withColumn(
         "risk_category",
         F.when(F.col("loss_ratio_pct") > 50, "High").when(F.col("loss_ratio_pct") > 20, "Medium").otherwise("Low"),
-    ).orderBy(F.col("loss_ratio_pct").desc_nulls_first())
+    ).orderBy(F.col("loss_ratio_pct").desc_nulls_first(), F.col("customer_id").asc_nulls_first())
     return stamp(out, "aggregated_at", as_of)
 
 

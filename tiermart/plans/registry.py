@@ -123,7 +123,7 @@ def zero_ratio(spark, sf_dir):
 def sort_desc_nulls_first(spark, sf_dir):
     """O2: bronze claims by approved amount, descending, nulls first."""
     return frames.sort_desc(
-        proxies.claims(spark, sf_dir).select("claim_id", "approved_amount"), "approved_amount")
+        proxies.claims(spark, sf_dir).select("claim_id", "approved_amount"), "approved_amount", then=("claim_id",))
 
 
 def distinct_rows(spark, sf_dir):

@@ -98,7 +98,9 @@ def customer_policies(customers: DataFrame, policies: DataFrame, as_of: str, sor
     validate(policies, ["policy_id", "customer_id", "policy_type", "premium"])
     joined = suffix_join(customers, policies, "customer_id", "inner")
     if sort:
-        joined = joined.orderBy(F.col("customer_id").asc_nulls_first(), F.col("start_date").asc_nulls_first())
+        # policy_id breaks ties so one customer's rows can span range partitions.
+        joined = joined.orderBy(F.col("customer_id").asc_nulls_first(), F.col("start_date").asc_nulls_first(),
+                                F.col("policy_id").asc_nulls_first())
     return stamp(joined, "transformed_at", as_of)
 
 
@@ -112,7 +114,9 @@ def policy_claims(policies: DataFrame, claims: DataFrame, as_of: str, sort: bool
     validate(claims, ["claim_id", "policy_id", "claimed_amount"])
     joined = left_join_skew_safe(policies, claims, "policy_id")
     if sort:
-        joined = joined.orderBy(F.col("policy_id").asc_nulls_first(), F.col("incident_date").asc_nulls_first())
+        # claim_id breaks ties so one policy's claims can span range partitions.
+        joined = joined.orderBy(F.col("policy_id").asc_nulls_first(), F.col("incident_date").asc_nulls_first(),
+                                F.col("claim_id").asc_nulls_first())
     joined = joined.withColumn("has_claim", F.col("claim_id").isNotNull())
     return stamp(joined, "transformed_at", as_of)
 
