@@ -54,6 +54,9 @@ def left_join_skew_safe(left: DataFrame, right: DataFrame, on: str, suffix: str
 BROADCAST_MAX_ROWS = 10_000
 
 
+_PROVEN: dict[tuple, bool] = {}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint for a side proven to hold at most ``max_rows`` rows.
 
@@ -61,5 +64,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     Beyond the bound the side is returned unhinted, and the planner / adaptive
     execution choose from measured sizes. Use for low-cardinality dimensions
     whose join key would otherwise send the big side to a handful of tasks.
+    A proof is remembered per session for the same plan over the same files
+    (new files under the dimension mean a new proof).
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    key = (df.sparkSession, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _PROVEN:
+        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _PROVEN[key] else df

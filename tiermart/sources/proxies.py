@@ -32,16 +32,25 @@ REG_STATES = ["ca", "ny", "tx", "fl", "wa", "il", "pa", "oh"]
 N_AGENTS = 97
 
 
+_TABLES: dict[tuple[SparkSession, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given test table; the reader (file listing + footer schema) is built once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
-def _pick(values: list, idx: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), F.pmod(idx, F.lit(len(values))).cast("int") + 1)
+def _pick(values: list, idx: str) -> str:
+    items = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+    return f"element_at(array({items}), CAST(pmod({idx}, {len(values)}) AS INT) + 1)"
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,77 +62,70 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broadcast_if_small(geo)
 
 
+def _stamp(as_of: str) -> str:
+    return "'" + as_of.replace("'", "''") + "' AS fetched_at"
+
+
+# Each proxy is one projection written as SQL expressions (one plan call per
+# column instead of one per sub-expression).
+
 def policies(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    key = F.col("o_orderkey")
-    df = o.select(
-        key.alias("policy_id"),
-        F.concat(F.lit(" pol-"), key.cast("string"), F.lit(" ")).alias("policy_number"),
-        F.col("o_custkey").alias("customer_id"),
-        F.pmod(key, F.lit(N_AGENTS)).alias("agent_id"),
-        F.concat(F.lower("o_orderpriority"), F.lit("\t")).alias("policy_type"),
-        F.concat(F.lit(" "), F.col("o_orderstatus"), F.lit(" ")).alias("coverage_type"),
-        F.when(F.pmod(key, F.lit(13)) == 0, F.col("o_totalprice") + F.lit(0.004))
-        .otherwise(F.col("o_totalprice")).alias("premium"),
-        F.when(F.pmod(key, F.lit(50)) == 0, F.lit(0.0))
-        .otherwise(F.col("o_totalprice") * F.lit(10.0)).alias("coverage_amount"),
-        _pick(DEDUCTIBLES, key).alias("deductible"),
-        F.col("o_orderdate").alias("start_date"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 365 DAYS")).alias("end_date"),
-        F.when(F.col("o_orderstatus") == "F", "Expired").when(F.col("o_orderstatus") == "O", "Active")
-        .otherwise("Pending").alias("status"),
-        F.lit(as_of).alias("fetched_at"),
+    df = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS policy_id",
+        "concat(' pol-', CAST(o_orderkey AS STRING), ' ') AS policy_number",
+        "o_custkey AS customer_id",
+        f"pmod(o_orderkey, {N_AGENTS}) AS agent_id",
+        "concat(lower(o_orderpriority), '\\t') AS policy_type",
+        "concat(' ', o_orderstatus, ' ') AS coverage_type",
+        "CASE WHEN pmod(o_orderkey, 13) = 0 THEN o_totalprice + 0.004D ELSE o_totalprice END AS premium",
+        "CASE WHEN pmod(o_orderkey, 50) = 0 THEN 0.0D ELSE o_totalprice * 10.0D END AS coverage_amount",
+        f"{_pick(DEDUCTIBLES, 'o_orderkey')} AS deductible",
+        "o_orderdate AS start_date",
+        "o_orderdate + INTERVAL 365 DAYS AS end_date",
+        "CASE o_orderstatus WHEN 'F' THEN 'Expired' WHEN 'O' THEN 'Active' ELSE 'Pending' END AS status",
+        _stamp(as_of),
     )
     return _conform(df, schemas.POLICIES)
 
 
 def claims(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
-    claim_id = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    status = _pick(CLAIM_STATUSES, F.col("l_partkey"))
-    df = li.select(
-        claim_id.alias("claim_id"),
-        F.col("l_orderkey").alias("policy_id"),
-        F.concat(F.lit("clm-"), claim_id.cast("string")).alias("claim_number"),
-        F.concat(F.lit(" "), _pick(CLAIM_TYPES, F.col("l_linenumber"))).alias("claim_type"),
-        F.col("l_shipdate").alias("incident_date"),
-        (F.col("l_shipdate") + F.expr("INTERVAL 3 DAYS")).alias("reported_date"),
-        F.when(F.col("l_discount") == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice")).alias("claimed_amount"),
-        F.when(status.isin("Approved", "Settled"), F.col("l_extendedprice") * F.lit(0.8))
-        .when(status == "Denied", F.lit(0.0)).alias("approved_amount"),
-        status.alias("status"),
-        F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.lit(" of order "),
-                 F.col("l_orderkey").cast("string")).alias("description"),
-        F.lit(as_of).alias("fetched_at"),
+    li = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    df = li.selectExpr("*", f"{_pick(CLAIM_STATUSES, 'l_partkey')} AS st").selectExpr(
+        "l_orderkey * 8 + l_linenumber AS claim_id",
+        "l_orderkey AS policy_id",
+        "concat('clm-', CAST(l_orderkey * 8 + l_linenumber AS STRING)) AS claim_number",
+        f"concat(' ', {_pick(CLAIM_TYPES, 'l_linenumber')}) AS claim_type",
+        "l_shipdate AS incident_date",
+        "l_shipdate + INTERVAL 3 DAYS AS reported_date",
+        "CASE WHEN l_discount = 0 THEN 0.0D ELSE l_extendedprice END AS claimed_amount",
+        "CASE WHEN st IN ('Approved', 'Settled') THEN l_extendedprice * 0.8D WHEN st = 'Denied' THEN 0.0D END"
+        " AS approved_amount",
+        "st AS status",
+        "concat('line ', CAST(l_linenumber AS STRING), ' of order ', CAST(l_orderkey AS STRING)) AS description",
+        _stamp(as_of),
     )
     return _conform(df, schemas.CLAIMS)
 
 
 def payments(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") != "R")
-    payment_id = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    li = table(spark, sf_dir, "lineitem").where("l_returnflag != 'R'")
     # Exact net price in decimal, plus 3 thousandths so that cleaning's
     # round(2) has work to do but can never meet a tie.
-    net = F.round(
-        F.col("l_extendedprice").cast("decimal(12,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2
-    )
-    flag, line = F.col("l_returnflag"), F.col("l_linenumber")
-    df = li.select(
-        payment_id.alias("payment_id"),
-        F.col("l_orderkey").alias("policy_id"),
-        F.concat(F.lit(" pay-"), payment_id.cast("string")).alias("payment_number"),
-        F.col("l_shipdate").alias("payment_date"),
-        (net + F.lit(0.003).cast("decimal(4,3)")).cast("double").alias("amount"),
-        F.concat(_pick(PAYMENT_METHODS, F.col("l_suppkey")), F.lit(" ")).alias("payment_method"),
-        F.when((flag == "A") & (F.pmod(F.col("l_orderkey"), F.lit(23)) == 0), "completed")
-        .when(flag == "A", "Completed")
-        .when(F.pmod(line, F.lit(3)) == 0, "Failed")
-        .when(F.pmod(line, F.lit(3)) == 1, "Pending")
-        .otherwise("Refunded").alias("status"),
-        F.concat(F.lit("txn-"), F.col("l_orderkey").cast("string"), F.lit("-"), line.cast("string"))
-        .alias("transaction_id"),
-        F.concat(F.lit(" ref"), F.col("l_partkey").cast("string")).alias("reference_number"),
-        F.lit(as_of).alias("fetched_at"),
+    df = li.selectExpr(
+        "l_orderkey * 8 + l_linenumber AS payment_id",
+        "l_orderkey AS policy_id",
+        "concat(' pay-', CAST(l_orderkey * 8 + l_linenumber AS STRING)) AS payment_number",
+        "l_shipdate AS payment_date",
+        "CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2)"
+        " + CAST(0.003 AS DECIMAL(4,3)) AS DOUBLE) AS amount",
+        f"concat({_pick(PAYMENT_METHODS, 'l_suppkey')}, ' ') AS payment_method",
+        "CASE WHEN l_returnflag = 'A' AND pmod(l_orderkey, 23) = 0 THEN 'completed'"
+        " WHEN l_returnflag = 'A' THEN 'Completed'"
+        " WHEN pmod(l_linenumber, 3) = 0 THEN 'Failed'"
+        " WHEN pmod(l_linenumber, 3) = 1 THEN 'Pending' ELSE 'Refunded' END AS status",
+        "concat('txn-', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS transaction_id",
+        "concat(' ref', CAST(l_partkey AS STRING)) AS reference_number",
+        _stamp(as_of),
     )
     return _conform(df, schemas.PAYMENTS)
 
@@ -131,26 +133,24 @@ def payments(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     geo = _geo(spark, sf_dir)
-    key = F.col("c_custkey")
-    df = c.join(geo, c.c_nationkey == geo.n_nationkey, "left").select(
-        key.alias("customer_id"),
-        F.concat(F.lit("  "), F.lower("c_name")).alias("first_name"),
-        F.concat(F.lower("n_name"), F.lit("\t")).alias("last_name"),
-        F.date_add(F.lit("1950-01-01").cast("date"), F.pmod(key * 37, F.lit(18000)).cast("int")).alias("date_of_birth"),
-        F.when(F.pmod(key, F.lit(17)) == 0, F.concat(F.lit("customer"), key.cast("string"), F.lit(".example.com")))
-        .when(F.pmod(key, F.lit(19)) == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(" Customer"), key.cast("string"), F.lit("@Example.COM "))).alias("email"),
-        F.concat(F.lit("+1 (555) "), F.lpad(F.pmod(key, F.lit(10000)).cast("string"), 4, "0")).alias("phone"),
-        F.concat(key.cast("string"), F.lit(" Main St")).alias("address"),
-        F.lower("n_name").alias("city"),
-        F.concat(F.lit(" "), F.lower(F.substring("r_name", 1, 2))).alias("state"),
-        F.concat(F.lit(" "), F.lpad(F.pmod(key, F.lit(100000)).cast("string"), 5, "0"), F.lit(" ")).alias("zip_code"),
-        _pick(OCCUPATIONS, key).alias("occupation"),
-        (F.lit(30000.0) + F.col("c_acctbal") * F.lit(10.0)).alias("annual_income"),
-        (F.lit(280) + F.pmod(key * 7, F.lit(600))).alias("credit_score"),
-        (F.lit("2019-01-01 00:00:00").cast("timestamp_ntz")
-         + F.make_dt_interval(F.pmod(key, F.lit(1800)).cast("int"))).alias("join_date"),
-        F.lit(as_of).alias("fetched_at"),
+    df = c.join(geo, c.c_nationkey == geo.n_nationkey, "left").selectExpr(
+        "c_custkey AS customer_id",
+        "concat('  ', lower(c_name)) AS first_name",
+        "concat(lower(n_name), '\\t') AS last_name",
+        "date_add(DATE'1950-01-01', CAST(pmod(c_custkey * 37, 18000) AS INT)) AS date_of_birth",
+        "CASE WHEN pmod(c_custkey, 17) = 0 THEN concat('customer', CAST(c_custkey AS STRING), '.example.com')"
+        " WHEN pmod(c_custkey, 19) = 0 THEN CAST(NULL AS STRING)"
+        " ELSE concat(' Customer', CAST(c_custkey AS STRING), '@Example.COM ') END AS email",
+        "concat('+1 (555) ', lpad(CAST(pmod(c_custkey, 10000) AS STRING), 4, '0')) AS phone",
+        "concat(CAST(c_custkey AS STRING), ' Main St') AS address",
+        "lower(n_name) AS city",
+        "concat(' ', lower(substring(r_name, 1, 2))) AS state",
+        "concat(' ', lpad(CAST(pmod(c_custkey, 100000) AS STRING), 5, '0'), ' ') AS zip_code",
+        f"{_pick(OCCUPATIONS, 'c_custkey')} AS occupation",
+        "30000.0D + c_acctbal * 10.0D AS annual_income",
+        "280 + pmod(c_custkey * 7, 600) AS credit_score",
+        "TIMESTAMP_NTZ'2019-01-01 00:00:00' + make_dt_interval(CAST(pmod(c_custkey, 1800) AS INT)) AS join_date",
+        _stamp(as_of),
     )
     return _conform(df, schemas.CUSTOMERS)
 
@@ -158,43 +158,39 @@ def customers(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame
 def agents(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     geo = _geo(spark, sf_dir)
-    key = F.col("s_suppkey")
-    df = s.join(geo, s.s_nationkey == geo.n_nationkey, "left").select(
-        key.alias("agent_id"),
-        F.lower("s_name").alias("first_name"),
-        F.concat(F.lit(" "), F.lower("n_name")).alias("last_name"),
-        F.concat(F.lit(" Agent"), key.cast("string"), F.lit("@Agency.Example ")).alias("email"),
-        F.concat(F.lit("(555) 01-"), key.cast("string")).alias("phone"),
-        F.lower("r_name").alias("region"),
-        _pick(SPECIALTIES, key).alias("specialty"),
-        F.concat(F.lit("lic-"), F.lpad(key.cast("string"), 6, "0")).alias("license_number"),
-        F.when(F.pmod(key, F.lit(29)) == 0, F.lit(None).cast("double"))
-        .otherwise((F.lit(5) + F.pmod(key, F.lit(11))).cast("double") / F.lit(100.0)).alias("commission_rate"),
-        (F.lit("2010-01-01 00:00:00").cast("timestamp_ntz")
-         + F.make_dt_interval(F.pmod(key, F.lit(3000)).cast("int"))).alias("hire_date"),
-        _pick(AGENT_STATUSES, key).alias("status"),
-        F.lit(as_of).alias("fetched_at"),
+    df = s.join(geo, s.s_nationkey == geo.n_nationkey, "left").selectExpr(
+        "s_suppkey AS agent_id",
+        "lower(s_name) AS first_name",
+        "concat(' ', lower(n_name)) AS last_name",
+        "concat(' Agent', CAST(s_suppkey AS STRING), '@Agency.Example ') AS email",
+        "concat('(555) 01-', CAST(s_suppkey AS STRING)) AS phone",
+        "lower(r_name) AS region",
+        f"{_pick(SPECIALTIES, 's_suppkey')} AS specialty",
+        "concat('lic-', lpad(CAST(s_suppkey AS STRING), 6, '0')) AS license_number",
+        "CASE WHEN pmod(s_suppkey, 29) = 0 THEN CAST(NULL AS DOUBLE)"
+        " ELSE CAST(5 + pmod(s_suppkey, 11) AS DOUBLE) / 100.0D END AS commission_rate",
+        "TIMESTAMP_NTZ'2010-01-01 00:00:00' + make_dt_interval(CAST(pmod(s_suppkey, 3000) AS INT)) AS hire_date",
+        f"{_pick(AGENT_STATUSES, 's_suppkey')} AS status",
+        _stamp(as_of),
     )
     return _conform(df, schemas.AGENTS)
 
 
 def vehicles(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    key = F.col("p_partkey")
-    df = p.select(
-        key.alias("vehicle_id"),
-        key.alias("policy_id"),
-        F.substring(F.md5(key.cast("string")), 1, 17).alias("vin"),
-        F.lower("p_brand").alias("make"),
-        F.concat(F.col("p_name"), F.lit(" ")).alias("model"),
-        (F.lit(1980) + F.col("p_size")).alias("year"),
-        F.lower("p_type").alias("vehicle_type"),
-        F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)).alias("color"),
-        (F.col("p_size") * F.lit(3000)).alias("mileage"),
-        _pick(ENGINES, key).alias("engine_type"),
-        _pick(REG_STATES, key).alias("registration_state"),
-        F.date_add(F.lit("2025-01-01").cast("date"), F.col("p_size")).alias("registration_expiry"),
-        F.lit(as_of).alias("fetched_at"),
+    df = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS vehicle_id",
+        "p_partkey AS policy_id",
+        "substring(md5(CAST(p_partkey AS STRING)), 1, 17) AS vin",
+        "lower(p_brand) AS make",
+        "concat(p_name, ' ') AS model",
+        "1980 + p_size AS year",
+        "lower(p_type) AS vehicle_type",
+        "split_part(p_name, ' ', 1) AS color",
+        "p_size * 3000 AS mileage",
+        f"{_pick(ENGINES, 'p_partkey')} AS engine_type",
+        f"{_pick(REG_STATES, 'p_partkey')} AS registration_state",
+        "date_add(DATE'2025-01-01', p_size) AS registration_expiry",
+        _stamp(as_of),
     )
     return _conform(df, schemas.VEHICLES)
 
