@@ -82,3 +82,27 @@ def test_mean_half_up_tie_is_exact(spark):
     # 1.00 and 1.01 average to exactly 1.005: HALF_UP gives 1.01 regardless of float error.
     df = spark.createDataFrame([(1.0,), (1.01,)], "x double")
     assert df.agg(mean_half_up("x", 2)).first()[0] == 1.01
+
+
+def test_strftime_translation_and_strict_parse(spark):
+    from tiermart.operators.frames import java_pattern, to_date, to_datetime
+
+    assert java_pattern("%Y-%m-%d %H:%M:%S") == "yyyy-MM-dd HH:mm:ss"
+    assert java_pattern("%d/%m/%YT%H") == "dd/MM/yyyy'T'HH"
+    df = spark.createDataFrame([("2024-03-05 07:08:09",)], "s string")
+    ts = df.select(to_datetime("s", "%Y-%m-%d %H:%M:%S").alias("t")).first()["t"]
+    assert (ts.year, ts.month, ts.day, ts.second) == (2024, 3, 5, 9)
+    assert str(df.select(to_date(F.lit("2024-03-05"), "%Y-%m-%d")).first()[0]) == "2024-03-05"
+    bad = spark.createDataFrame([("05/03/2024",)], "s string")
+    with pytest.raises(Exception):
+        bad.select(to_datetime("s", "%Y-%m-%d %H:%M:%S")).collect()  # strict: no silent null
+
+
+def test_preview_and_profile(spark):
+    from tiermart.operators.quality import preview, profile
+
+    df = spark.createDataFrame([(1, None), (2, "x"), (3, None)], "a long, b string")
+    assert preview(df, 2).count() == 2
+    rows = {r.column: r for r in profile(df).collect()}
+    assert (rows["a"].type, rows["a"].rows, rows["a"].nulls) == ("bigint", 3, 0)
+    assert rows["b"].nulls == 2 and rows["b"].position == 1
