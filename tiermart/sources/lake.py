@@ -120,23 +120,17 @@ def _read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _fs(spark, path)
-    return bool(fs.exists(jpath))
-
-
 def committed_batches(spark: SparkSession, table_dir: str) -> list[str]:
-    """Stamps of the batches of a table that carry the commit marker, oldest first."""
+    """Stamps of the batches of a table that carry the commit marker, oldest first.
+
+    One glob on the driver (``batch=*/_COMMITTED``), not one call per batch.
+    """
     fs, jpath = _fs(spark, table_dir)
     if not fs.exists(jpath):
         return []
-    stamps = []
-    for status in fs.listStatus(jpath):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(BATCH_PREFIX):
-            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), MARKER)):
-                stamps.append(name[len(BATCH_PREFIX):])
-    return sorted(stamps)
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_dir.rstrip('/')}/{BATCH_PREFIX}*/{MARKER}")
+    found = fs.globStatus(pattern) or []
+    return sorted(st.getPath().getParent().getName()[len(BATCH_PREFIX):] for st in found)
 
 
 # ---------------------------------------------------------------- write (S3)
@@ -198,11 +192,23 @@ def sample_table_dir(table_dir: str) -> str:
 
 
 def write_sample(spark: SparkSession, batch_path: str, rows: int = 50) -> str | None:
-    """First ``rows`` rows of a committed batch, as one small file; failures only warn."""
+    """First ``rows`` rows of a committed batch, as one small file; failures only warn.
+
+    Reads only as many of the batch's files as needed (1, 4, 16, ... files,
+    counted from Parquet footers), so a sample of a huge batch does not
+    start one task per file.
+    """
     table_dir, batch = batch_path.rstrip("/").rsplit("/", 1)
     target = f"{sample_table_dir(table_dir)}/{batch}"
     try:
-        sample = spark.read.parquet(batch_path).limit(max(rows, 0)).coalesce(1)
+        files = sorted(spark.read.parquet(batch_path).inputFiles())
+        take = 1
+        while True:
+            head = spark.read.parquet(*files[:take]) if files else spark.read.parquet(batch_path)
+            if take >= len(files) or head.count() >= rows:
+                break
+            take *= 4
+        sample = head.limit(max(rows, 0)).coalesce(1)
         return write_batch(sample, sample_table_dir(table_dir), batch[len(BATCH_PREFIX):], allow_empty=True)
     except Exception as exc:  # a sample is a convenience copy, never fatal
         print(f"warning: sample copy to {target} failed: {exc}")
