@@ -21,8 +21,10 @@ UNICODE_WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# A word boundary sits right after any character that is not a letter or digit.
-_WORD_START = r"(?<=[^\p{L}\p{N}])"
+# A word boundary sits right after any character that is not alphanumeric in
+# the Unicode sense (Alphabetic property, which also covers letter-like marks,
+# or a Numeric category).
+_WORD_START = r"(?<=[^\p{IsAlphabetic}\p{N}])"
 
 
 def _c(c) -> Column:
