@@ -119,3 +119,22 @@ def test_run_layers_subset_and_order(spark, scratch):
     assert lake.load(spark, config, "gold", "customer_risk").count() > 0
     with pytest.raises(ValueError):
         run_layers(spark, config, layers=("platinum",))
+
+
+def test_config_from_env(monkeypatch):
+    monkeypatch.setenv("DUAL_WRITE_SAMPLE_SIZE", "7")
+    monkeypatch.setenv("DISABLE_LOCAL_SAMPLE", "true")
+    monkeypatch.setenv("ADLS_FALLBACK_TO_LOCAL", "true")
+    c = LakeConfig.from_env("/r", "/f")
+    assert (c.sample_rows, c.sample_enabled, c.fallback_on_error) == (7, False, True)
+    monkeypatch.setenv("DUAL_WRITE_SAMPLE_SIZE", "-3")
+    assert LakeConfig.from_env("/r").sample_rows == 50
+    monkeypatch.setenv("DUAL_WRITE_SAMPLE_SIZE", "abc")
+    assert LakeConfig.from_env("/r").sample_rows == 50
+
+
+def test_iso_stamp_format():
+    import re
+
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00", lake.iso_now())
+    assert re.fullmatch(r"\d{8}T\d{6}Z", lake.new_stamp())
