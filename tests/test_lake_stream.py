@@ -138,3 +138,17 @@ def test_iso_stamp_format():
 
     assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00", lake.iso_now())
     assert re.fullmatch(r"\d{8}T\d{6}Z", lake.new_stamp())
+
+
+def test_propagate_rebuilds_downstream_only_when_new(spark, scratch):
+    from tiermart.plans.pipeline import run_layers
+    from tiermart.sources import proxies
+    from tiermart.streaming.incremental import propagate
+
+    config = LakeConfig(root=scratch, sample_enabled=False)
+    sources = {t: b(spark, "/root/testdata/sf0.001") for t, b in proxies.BUILDERS.items()}
+    run_layers(spark, config, sources, layers=("bronze",), stamp="20240101T000000Z")
+    first = propagate(spark, config, "x", stamp="20240101T000001Z")
+    assert sorted(first["cleaned"]) == sorted(proxies.BUILDERS) and "gold" in first
+    assert propagate(spark, config, "x") == {"cleaned": {}}  # nothing new: nothing written
+    assert lake.load(spark, config, "gold", "customer_risk").count() > 0

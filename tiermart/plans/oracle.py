@@ -457,4 +457,5 @@ SELECT customer_id, first_name AS "name.first", last_name AS "name.last", email
 FROM bronze_customers""",
     "incremental_clean": ORACLE["clean_claims"],
     "run_layers_customer_risk": GOLD_CUSTOMER_RISK,
+    "incremental_propagate": GOLD_CUSTOMER_RISK,
 })

@@ -30,6 +30,13 @@ def run_silver(spark: SparkSession, config: LakeConfig, as_of: str, stamp: str)
     for t in TABLES:
         bronze = lake.load(spark, config, "bronze", t)
         out[f"clean_{t}"] = lake.save(silver.clean(t, bronze, as_of), config, "silver", f"clean_{t}", stamp)
+    out.update(run_silver_joins(spark, config, as_of, stamp))
+    return out
+
+
+def run_silver_joins(spark: SparkSession, config: LakeConfig, as_of: str, stamp: str) -> dict[str, str]:
+    """J1, J2 from the latest cleaned tables."""
+    out = {}
 
     def s(name):
         return lake.load(spark, config, "silver", name)

@@ -281,7 +281,21 @@ def run_layers_customer_risk(spark, sf_dir):
     return lake.load(spark, config, "gold", "customer_risk")
 
 
+def incremental_propagate(spark, sf_dir):
+    """R1 end to end: bronze lands, the stream cleans it, joins and marts rebuild; customer risk read back."""
+    from tiermart.plans.pipeline import run_bronze
+    from tiermart.sources import lake
+    from tiermart.streaming.incremental import propagate
+
+    config = lake.LakeConfig(root=_scratch(spark, "propagate"), sample_enabled=False)
+    sources = {t: build(spark, sf_dir, AS_OF) for t, build in proxies.BUILDERS.items()}
+    run_bronze(sources, config, AS_OF, "20240101T000000Z")
+    propagate(spark, config, AS_OF, stamp="20240101T000001Z")
+    return lake.load(spark, config, "gold", "customer_risk")
+
+
 QUERIES.update({
+    "incremental_propagate": incremental_propagate,
     "read_latest_snapshot": read_latest_snapshot,
     "sample_copy": sample_copy,
     "fallback_write": fallback_write,

@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tiermart.plans import silver
 from tiermart.sources import lake, schemas
+from tiermart.sources.lake import LakeConfig
 
 
 def _bronze_schema(table: str) -> StructType:
@@ -51,3 +52,30 @@ def clean_new_batches(spark: SparkSession, table: str, bronze_dir: str, silver_d
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return written
+
+
+def propagate(spark: SparkSession, config: LakeConfig, as_of: str, stamp: str | None = None) -> dict:
+    """Eager propagation: new bronze batches -> cleaned silver -> joined silver -> gold.
+
+    Each bronze table is cleaned incrementally (one silver batch per new
+    bronze batch, checkpoints under ``{root}/_checkpoints``). Only if some
+    table received a new batch are the joined silver tables and the marts
+    rebuilt from the latest batches; otherwise nothing is written.
+    """
+    from tiermart.plans.pipeline import TABLES, run_gold, run_silver_joins
+
+    new: dict[str, list[str]] = {}
+    for t in TABLES:
+        bronze_dir = lake.table_path(config.root, "bronze", t)
+        if not lake.committed_batches(spark, bronze_dir):
+            continue
+        written = clean_new_batches(spark, t, bronze_dir, lake.table_path(config.root, "silver", f"clean_{t}"),
+                                    f"{config.root.rstrip('/')}/_checkpoints/clean_{t}", as_of)
+        if written:
+            new[t] = written
+    result: dict = {"cleaned": new}
+    if new:
+        stamp = stamp or lake.new_stamp()
+        result["silver"] = run_silver_joins(spark, config, as_of, stamp)
+        result["gold"] = run_gold(spark, config, as_of, stamp)
+    return result
