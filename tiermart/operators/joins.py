@@ -20,15 +20,20 @@ def _renamed_right(left: DataFrame, right: DataFrame, on: str, suffix: str) -> D
     return right.withColumnsRenamed(overlap) if overlap else right
 
 
-def suffix_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner", suffix: str = SUFFIX) -> DataFrame:
-    """Join on one key with ``_right`` suffixes for colliding right columns."""
+def suffix_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner", suffix: str = SUFFIX,
+                strategy: str | None = None) -> DataFrame:
+    """Join on one key with ``_right`` suffixes for colliding right columns.
+
+    ``strategy`` is an optional join hint (e.g. ``"shuffle_merge"``).
+    """
     r = _renamed_right(left, right, on, suffix)
-    joined = left.join(r, on=on, how=how)
+    joined = (left.hint(strategy) if strategy else left).join(r, on=on, how=how)
     return joined.select(*[F.col(f"`{c}`") for c in left.columns],
                          *[F.col(f"`{c}`") for c in r.columns if c != on])
 
 
-def left_join_skew_safe(left: DataFrame, right: DataFrame, on: str, suffix: str = SUFFIX) -> DataFrame:
+def left_join_skew_safe(left: DataFrame, right: DataFrame, on: str, suffix: str = SUFFIX,
+                        strategy: str | None = None) -> DataFrame:
     """Left outer join that tolerates a hot key on the *right* (many) side.
 
     Adaptive execution can split a skewed partition of the streamed (left)
@@ -42,9 +47,9 @@ def left_join_skew_safe(left: DataFrame, right: DataFrame, on: str, suffix: str
     no task ever buffers a hot key's rows. Same rows as the plain left join.
     """
     r = _renamed_right(left, right, on, suffix)
-    matched = suffix_join(left, right, on, "inner", suffix)
+    matched = suffix_join(left, right, on, "inner", suffix, strategy)
     keys = r.select(on).where(F.col(on).isNotNull()).distinct()
-    unmatched = left.join(keys, on=on, how="left_anti")
+    unmatched = (left.hint(strategy) if strategy else left).join(keys, on=on, how="left_anti")
     padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in r.schema.fields if f.name != on]
     padded = unmatched.select(*[F.col(f"`{c}`") for c in left.columns], *padding)
     return matched.unionByName(padded)

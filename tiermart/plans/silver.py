@@ -16,6 +16,13 @@ from tiermart.operators.quality import validate
 
 DOUBLE, INT, DATE, DATETIME = "double", "int", "date", "timestamp_ntz"
 
+# A totally ordered join output needs a shuffle for the sort anyway. With a
+# sort-merge join the sort's range sampling reads the join's materialized
+# shuffle output; after a broadcast join it would recompute scans and
+# cleaning. Both sides grow with the data, so a broadcast is not wanted at
+# scale either.
+SORTED_JOIN = "shuffle_merge"
+
 CUSTOMERS = CleanSpec(
     name="customers",
     required=("customer_id", "first_name", "last_name", "email", "join_date"),
@@ -96,7 +103,7 @@ def customer_policies(customers: DataFrame, policies: DataFrame, as_of: str, sor
     """
     validate(customers, ["customer_id", "first_name", "last_name"])
     validate(policies, ["policy_id", "customer_id", "policy_type", "premium"])
-    joined = suffix_join(customers, policies, "customer_id", "inner")
+    joined = suffix_join(customers, policies, "customer_id", "inner", strategy=SORTED_JOIN if sort else None)
     if sort:
         # policy_id breaks ties so one customer's rows can span range partitions.
         joined = joined.orderBy(F.col("customer_id").asc_nulls_first(), F.col("start_date").asc_nulls_first(),
@@ -112,7 +119,7 @@ def policy_claims(policies: DataFrame, claims: DataFrame, as_of: str, sort: bool
     """
     validate(policies, ["policy_id", "customer_id", "policy_type"])
     validate(claims, ["claim_id", "policy_id", "claimed_amount"])
-    joined = left_join_skew_safe(policies, claims, "policy_id")
+    joined = left_join_skew_safe(policies, claims, "policy_id", strategy=SORTED_JOIN if sort else None)
     if sort:
         # claim_id breaks ties so one policy's claims can span range partitions.
         joined = joined.orderBy(F.col("policy_id").asc_nulls_first(), F.col("incident_date").asc_nulls_first(),
