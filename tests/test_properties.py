@@ -1,0 +1,62 @@
+"""Property checks against independent Python definitions (hypothesis-generated inputs)."""
+
+from fractions import Fraction
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tiermart.functions import div_half_up, mean_half_up, title_case
+
+SETTINGS = settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+ALPHABET = "abcXYZ019 -'._/\téÉñß"
+
+
+def title_reference(s: str) -> str:
+    """Per character: upper-case after a non-alphanumeric character (or at the start), else lower-case."""
+    out, upper_next = [], True
+    for ch in s:
+        out.append(ch.upper() if upper_next else ch.lower())
+        upper_next = not ch.isalnum()
+    return "".join(out)
+
+
+def half_up(q: Fraction, digits: int) -> float:
+    scaled = q * 10**digits
+    n = abs(scaled.numerator) * 2 + scaled.denominator
+    rounded = n // (2 * scaled.denominator)
+    return float((rounded if scaled >= 0 else -rounded)) / 10**digits
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=24), min_size=200, max_size=200))
+def test_title_case_matches_per_char_rule(spark, words):
+    df = spark.createDataFrame([(w,) for w in words], "s string")
+    got = [r[0] for r in df.select(title_case("s")).collect()]
+    assert got == [title_reference(w) for w in words]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(-10**6, 10**6).filter(lambda b: b != 0)),
+                min_size=300, max_size=300))
+def test_div_half_up_is_exact(spark, pairs):
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [tuple(r) for r in df.select(div_half_up("a", "b", 2), div_half_up("a", "b", 0)).collect()]
+    assert got == [(half_up(Fraction(a, b), 2), half_up(Fraction(a, b), 0)) for a, b in pairs]
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.integers(-10**9, 10**9), min_size=1, max_size=30), min_size=50, max_size=50))
+def test_mean_half_up_of_cents_is_exact(spark, groups):
+    rows = [(g, c / 100) for g, values in enumerate(groups) for c in values]
+    df = spark.createDataFrame(rows, "g int, x double")
+    got = {r.g: r.m for r in df.groupBy("g").agg(mean_half_up("x", 2).alias("m")).collect()}
+    assert got == {g: half_up(Fraction(sum(v), 100 * len(v)), 2) for g, v in enumerate(groups)}
+
+
+def test_sum_over_groups_equals_total(spark):
+    from tiermart.functions import sum_money
+
+    df = spark.range(0, 5000).select((F.col("id") % 7).alias("g"), (F.col("id") / 100).alias("x"))
+    by_group = df.groupBy("g").agg(sum_money("x").alias("s")).agg(F.sum("s")).first()[0]
+    assert by_group == df.agg(sum_money("x")).first()[0]
