@@ -31,6 +31,12 @@ from pyspark.sql import functions as F
 
 from tiermart.operators.quality import validate
 
+# Environment settings a user of the reference already sets
+# (sample size, sample switch, fallback switch), read by LakeConfig.from_env.
+ENV_SAMPLE_SIZE = "DUAL_WRITE_SAMPLE_SIZE"
+ENV_DISABLE_SAMPLE = "DISABLE_LOCAL_SAMPLE"
+ENV_FALLBACK = "ADLS_FALLBACK_TO_LOCAL"
+
 MARKER = "_COMMITTED"
 BATCH_PREFIX = "batch="
 STAMP_FORMAT = "%Y%m%dT%H%M%SZ"
@@ -58,7 +64,7 @@ class LakeConfig:
 
     @staticmethod
     def from_env(root: str, fallback_root: str | None = None) -> "LakeConfig":
-        raw = os.environ.get("DUAL_WRITE_SAMPLE_SIZE", "50")
+        raw = os.environ.get(ENV_SAMPLE_SIZE, "50")
         try:
             rows = int(raw)
         except ValueError:
@@ -66,9 +72,9 @@ class LakeConfig:
         return LakeConfig(
             root=root,
             fallback_root=fallback_root,
-            fallback_on_error=os.environ.get("ADLS_FALLBACK_TO_LOCAL", "false").lower() == "true",
+            fallback_on_error=os.environ.get(ENV_FALLBACK, "false").lower() == "true",
             sample_rows=rows if rows >= 0 else 50,
-            sample_enabled=os.environ.get("DISABLE_LOCAL_SAMPLE", "false").lower() != "true",
+            sample_enabled=os.environ.get(ENV_DISABLE_SAMPLE, "false").lower() != "true",
         )
 
 
