@@ -112,3 +112,26 @@ def test_group_sums_match_table_sum(spark):
     claims = registry.silver_table(spark, SF, "claims")
     summary = gold.claims_summary(claims, AS_OF)
     assert summary.agg(F.sum("total_claims")).first()[0] == claims.count()
+
+
+def _is_sorted(keys):
+    return all(a <= b for a, b in zip(keys, keys[1:]))
+
+
+def test_silver_join_tables_are_totally_ordered(spark):
+    pc = registry.silver_policy_claims(spark, SF).select("policy_id", "incident_date", "claim_id").collect()
+    # nulls first within a policy: a claim-less policy row has a null incident date
+    keys = [(r.policy_id, r.incident_date is not None, r.incident_date or 0, r.claim_id or 0) for r in pc]
+    keys = [(p, has, str(d), c) for p, has, d, c in keys]
+    assert _is_sorted(keys)
+    cp = registry.silver_customer_policies(spark, SF).select("customer_id", "start_date", "policy_id").collect()
+    assert _is_sorted([(r.customer_id, str(r.start_date), r.policy_id) for r in cp])
+
+
+def test_marts_sorted_descending(spark):
+    risk = registry.gold_customer_risk(spark, SF).select("loss_ratio_pct", "customer_id").collect()
+    assert _is_sorted([(-r.loss_ratio_pct, r.customer_id) for r in risk])
+    agents = registry.gold_agent_performance(spark, SF).select("total_premium", "agent_id").collect()
+    assert _is_sorted([(-r.total_premium, r.agent_id) for r in agents])
+    summary = registry.gold_claims_summary(spark, SF).select("claim_type", "status").collect()
+    assert _is_sorted([(r.claim_type, r.status) for r in summary])
