@@ -152,3 +152,26 @@ def test_propagate_rebuilds_downstream_only_when_new(spark, scratch):
     assert sorted(first["cleaned"]) == sorted(proxies.BUILDERS) and "gold" in first
     assert propagate(spark, config, "x") == {"cleaned": {}}  # nothing new: nothing written
     assert lake.load(spark, config, "gold", "customer_risk").count() > 0
+
+
+def test_incremental_survives_a_failed_micro_batch(spark, scratch, monkeypatch):
+    from tiermart.plans import silver
+    from tiermart.sources import proxies
+    from tiermart.streaming import incremental
+
+    claims = proxies.claims(spark, "/root/testdata/sf0.001")
+    bronze, silver_dir, ckpt = f"{scratch}/bronze/claims", f"{scratch}/silver/claims", f"{scratch}/ckpt"
+    lake.write_batch(claims, bronze, "20240101T000000Z")
+    real_write = lake.write_batch
+
+    def crash_after_write(df, path, stamp=None, allow_empty=False):
+        real_write(df, path, stamp, allow_empty)  # output written, then the driver "dies"
+        raise RuntimeError("simulated failure after the write")
+
+    monkeypatch.setattr(incremental.lake, "write_batch", crash_after_write)
+    with pytest.raises(Exception):
+        incremental.clean_new_batches(spark, "claims", bronze, silver_dir, ckpt, "x")
+    monkeypatch.setattr(incremental.lake, "write_batch", real_write)
+    # the micro-batch was not committed to the checkpoint: it is replayed and overwrites the same batch
+    assert incremental.clean_new_batches(spark, "claims", bronze, silver_dir, ckpt, "x") == ["20240101T000000Z"]
+    assert lake.read_all(spark, silver_dir).count() == silver.clean("claims", claims, "x").count()
