@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiermart.operators.frames import spread
 from tiermart.operators.joins import broadcast_if_small
 from tiermart.sources import schemas
 
@@ -36,11 +37,15 @@ _TABLES: dict[tuple[SparkSession, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given test table; the reader (file listing + footer schema) is built once per session."""
+    """A given test table; the reader (file listing + footer schema) is built once per session.
+
+    The test tables are single-row-group files, so ``spread`` restores scan
+    parallelism for the larger ones.
+    """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark, path)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
+        _TABLES[key] = spread(spark.read.parquet(path))
     return _TABLES[key]
 
 
