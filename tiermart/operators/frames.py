@@ -75,23 +75,3 @@ def sort_asc(df: DataFrame, *cols: str, then: tuple[str, ...] = ()) -> DataFrame
 def stamp(df: DataFrame, name: str, as_of: str) -> DataFrame:
     """Constant ISO-8601 stamp column; replaces in place if it exists."""
     return df.withColumn(name, F.lit(as_of))
-
-
-def spread(df: DataFrame, bytes_per_partition: int = 1 << 20) -> DataFrame:
-    """Restore scan parallelism for inputs that arrive in too few partitions.
-
-    A Parquet row group is read by one task, so a big single-row-group file
-    (like the test tables) would run everything before the first shuffle on
-    one core. When a scan yields fewer partitions than the cluster has cores
-    and holds more than ``bytes_per_partition`` per partition, it is
-    round-robined over ``min(cores, bytes / bytes_per_partition)`` tasks. On
-    partitioned inputs (thousands of files) this is a no-op.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= cores:
-        return df
-    stat = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # planner's size estimate
-    size = stat if isinstance(stat, int) else int(stat.toString())
-    want = min(cores, size // bytes_per_partition)
-    return df.repartition(want) if want > have else df
