@@ -41,7 +41,9 @@ def test_sample_never_picked_as_latest(spark, scratch):
     path = lake.save(spark.range(100), config, "silver", "t", "20240101T000000Z")
     assert lake.load(spark, config, "silver", "t").count() == 100
     assert lake.read_latest(spark, lake.sample_table_dir(path.rsplit("/", 1)[0])).count() == 5
-    assert lake.batch_metadata(spark, path)["rows"] == 100
+    meta = lake.batch_metadata(spark, path)
+    assert (meta["row_count"], meta["column_count"], meta["columns"]) == (100, 1, ["id"])
+    assert meta["column_types"] == {"id": "bigint"} and meta["file_path"] == path
 
 
 def test_fallback(spark, scratch):

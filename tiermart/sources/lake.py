@@ -153,14 +153,14 @@ def write_batch(df: DataFrame, table_dir: str, stamp: str | None = None, allow_e
     if rows == 0 and not allow_empty:
         raise ValueError("DataFrame is empty")
     spark = df.sparkSession
-    meta = {"rows": rows, "columns": df.columns,
-            "dtypes": {f.name: f.dataType.simpleString() for f in df.schema.fields}}
+    meta = {"row_count": rows, "column_count": len(df.columns), "columns": df.columns,
+            "column_types": {f.name: f.dataType.simpleString() for f in df.schema.fields}, "file_path": path}
     _write_text(spark, f"{path}/{MARKER}", json.dumps(meta))
     return path
 
 
 def batch_metadata(spark: SparkSession, batch_path: str) -> dict:
-    """Row count, columns and types recorded at commit (read from the marker)."""
+    """Output metadata recorded at commit: row_count, column_count, columns, column_types, file_path."""
     return json.loads(_read_text(spark, f"{batch_path}/{MARKER}"))
 
 
