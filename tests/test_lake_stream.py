@@ -49,7 +49,7 @@ def test_sample_never_picked_as_latest(spark, scratch):
 def test_fallback(spark, scratch):
     off = LakeConfig(root="unreachable://nowhere/lake", fallback_root=scratch, fallback_on_error=False,
                      sample_enabled=False)
-    with pytest.raises(Exception):
+    with pytest.raises(RuntimeError, match="fallback is off"):
         lake.save(spark.range(3), off, "gold", "g")
     on = LakeConfig(root="unreachable://nowhere/lake", fallback_root=scratch, fallback_on_error=True,
                     sample_enabled=False)

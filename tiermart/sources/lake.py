@@ -226,26 +226,36 @@ def save(df: DataFrame, config: LakeConfig, layer: str, table: str, stamp: str |
     """Write a batch to the primary root; optionally fall back, mirror and sample.
 
     * primary write fails: with ``fallback_on_error`` write to the fallback
-      root instead, otherwise re-raise;
+      root instead, otherwise raise RuntimeError;
     * primary write succeeds and a fallback root is set with
       ``fallback_on_error``: copy the committed batch there too (read back
-      from the files: the plan is not recomputed);
+      from the files: the plan is not recomputed; a failed copy only warns);
     * unless disabled, keep a small sample copy next to the table.
     """
     stamp = stamp or new_stamp()
     spark = df.sparkSession
     primary = table_path(config.root, layer, table)
+    fallback = table_path(config.fallback_root, layer, table) if config.fallback_root else None
     try:
         path = write_batch(df, primary, stamp)
     except ValueError:
-        raise
-    except Exception:
-        if not (config.fallback_on_error and config.fallback_root):
+        raise  # empty output or bad arguments: not a storage failure
+    except Exception as exc:
+        if not (config.fallback_on_error and fallback):
+            raise RuntimeError(f"write to {primary} failed and fallback is off: {exc}") from exc
+        print(f"warning: write to {primary} failed, writing to {fallback}: {exc}")
+        try:
+            path = write_batch(df, fallback, stamp)
+        except ValueError:
             raise
-        path = write_batch(df, table_path(config.fallback_root, layer, table), stamp)
+        except Exception as exc2:
+            raise RuntimeError(f"storage write failed for {layer}/{table}: {exc2}") from exc2
     else:
-        if config.fallback_on_error and config.fallback_root:
-            write_batch(spark.read.parquet(path), table_path(config.fallback_root, layer, table), stamp)
+        if config.fallback_on_error and fallback:
+            try:  # the mirror copy is a convenience: its failure is not fatal
+                write_batch(spark.read.parquet(path), fallback, stamp)
+            except Exception as exc:
+                print(f"warning: mirror copy to {fallback} failed: {exc}")
     if config.sample_enabled:
         write_sample(spark, path, config.sample_rows)
     return path
