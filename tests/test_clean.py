@@ -99,3 +99,23 @@ def test_missing_required_column(spark):
     df = spark.createDataFrame([(1,)], "claim_id long")
     with pytest.raises(ValueError, match="Missing required columns"):
         silver.clean("claims", df, AS_OF)
+
+
+def test_validated_orders_recipe(spark):
+    raw = spark.createDataFrame([(1, "10.5", "2024-01-31"), (2, "-1", "2024-02-01"), (3, "0", "2024-02-02")],
+                                "order_id long, amount string, date string")
+    out = silver.validated_orders(raw).collect()
+    assert [(r.order_id, r.amount, str(r.date)) for r in out] == [(1, 10.5, "2024-01-31")]
+    with pytest.raises(ValueError, match="Missing required columns"):
+        silver.validated_orders(raw.drop("date"))
+    bad = spark.createDataFrame([(1, "10.5", "31/01/2024")], "order_id long, amount string, date string")
+    with pytest.raises(Exception):
+        silver.validated_orders(bad).collect()
+
+
+def test_clean_users_parses_datetime(spark):
+    raw = spark.createDataFrame([(1, "A@X.COM", "2024-05-06"), (2, None, "2024-05-07")],
+                                "user_id long, email string, created_at string")
+    out = silver.clean_users(raw).collect()
+    assert len(out) == 1 and out[0].email == "a@x.com"
+    assert out[0].created_at == dt.datetime(2024, 5, 6)

@@ -34,12 +34,21 @@ _RULES: dict[str, Callable[[Column], Column]] = {
 
 @dataclass(frozen=True)
 class Cast:
-    """Strict cast (ANSI: a bad value raises) with optional HALF_UP rounding."""
+    """Strict cast (ANSI: a bad value raises) with optional HALF_UP rounding.
+
+    With ``fmt`` (a strftime pattern) text is parsed instead: ``date`` or
+    ``timestamp_ntz``; a value not matching the pattern raises.
+    """
 
     dtype: str
     digits: int | None = None
+    fmt: str | None = None
 
     def apply(self, c: Column) -> Column:
+        if self.fmt is not None:
+            from tiermart.operators.frames import to_date, to_datetime
+
+            return to_date(c, self.fmt) if self.dtype == "date" else to_datetime(c, self.fmt)
         out = c.cast(self.dtype)
         return out if self.digits is None else round_half_up(out, self.digits)
 

@@ -368,7 +368,7 @@ SELECT c_custkey AS user_id,
 FROM customer"""
 
 CLEAN_USERS = f"""
-SELECT user_id, lower(email) AS email, CAST(strptime(created_at, '%Y-%m-%d') AS DATE) AS created_at
+SELECT user_id, lower(email) AS email, strptime(created_at, '%Y-%m-%d') AS created_at
 FROM ({USERS}) WHERE email IS NOT NULL"""
 
 RAW_EVENTS = """
@@ -413,6 +413,9 @@ FROM ({CLEAN_USERS}) GROUP BY month(created_at)""",
 SELECT user_id, event_type, strptime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, lower(email) AS email
 FROM (SELECT DISTINCT * FROM ({RAW_EVENTS})
       WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND timestamp IS NOT NULL AND email IS NOT NULL)""",
+    "validated_orders": """
+SELECT o_orderkey AS order_id, o_totalprice AS amount, CAST(o_orderdate AS DATE) AS date
+FROM orders WHERE o_totalprice > 0""",
     "join_suffix": """
 SELECT o.o_custkey AS custkey, o.o_orderkey, o.o_orderstatus AS status, c.c_mktsegment AS status_right, c.c_name
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""",

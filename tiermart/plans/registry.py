@@ -83,6 +83,11 @@ def validated_events(spark, sf_dir):
     return silver.validated_events(proxies.raw_events(spark, sf_dir))
 
 
+def validated_orders(spark, sf_dir):
+    """P5 + X8: text orders -> required columns, typed amount, parsed date, amount > 0."""
+    return silver.validated_orders(proxies.raw_orders(spark, sf_dir))
+
+
 def profile_output(spark, sf_dir):
     """V2: column profile of the cleaned claims (one pass over the data)."""
     return profile(silver_table(spark, sf_dir, "claims"))
@@ -155,6 +160,7 @@ QUERIES: dict[str, Query] = {
     "clean_users": clean_users,
     "monthly_signups": monthly_signups,
     "validated_events": validated_events,
+    "validated_orders": validated_orders,
     "profile_output": profile_output,
     "join_suffix": join_suffix,
     "fill_numeric": fill_numeric,

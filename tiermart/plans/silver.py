@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermart.operators.clean import DIGITS, LOWER, STRIP, TITLE, UPPER, Cast, CleanSpec, apply_spec
-from tiermart.operators.frames import drop_nulls, distinct_rows, stamp, to_date, to_datetime
+from tiermart.operators.frames import distinct_rows, drop_nulls, stamp, to_datetime
 from tiermart.operators.joins import left_join_skew_safe, suffix_join
 from tiermart.operators.quality import validate
 
@@ -129,14 +129,28 @@ def policy_claims(policies: DataFrame, claims: DataFrame, as_of: str, sort: bool
 
 
 def clean_users(raw_users: DataFrame) -> DataFrame:
-    """G7b (documented): drop rows without e-mail, lower-case it, parse the day."""
+    """G7b (documented): drop rows without e-mail, lower-case it, parse the
+    day into a datetime (midnight)."""
     validate(raw_users, ["user_id", "email", "created_at"])
     return drop_nulls(raw_users, ["email"]).withColumns({
         "email": F.lower("email"),
-        "created_at": to_date("created_at", "%Y-%m-%d"),
+        "created_at": to_datetime("created_at", "%Y-%m-%d"),
     })
 
 
+# P5 (documented recipe): required columns -> typed casts -> business rule.
+VALIDATED_ORDERS = CleanSpec(
+    name="orders",
+    required=("order_id", "amount", "date"),
+    cast_groups=({"amount": Cast(DOUBLE), "date": Cast(DATE, fmt="%Y-%m-%d")},),
+    filters=(lambda: F.col("amount") > 0,),
+)
+
+
+def validated_orders(raw: DataFrame) -> DataFrame:
+    return apply_spec(raw, VALIDATED_ORDERS)
+
+
 def validated_events(raw_events: DataFrame) -> DataFrame:
     """G7a (documented): drop rows with any null, de-duplicate, parse, lower-case."""
     validate(raw_events, ["timestamp", "email"])

@@ -205,6 +205,15 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documented validation example input: everything arrives as text."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "CAST(o_totalprice AS STRING) AS amount",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS date",
+    )
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documented raw event feed: timestamp as text, optional e-mail."""
     e = table(spark, sf_dir, "events")
