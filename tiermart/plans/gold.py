@@ -236,3 +236,11 @@ def monthly_signups(users: DataFrame) -> DataFrame:
         .agg(n_unique("user_id").alias("monthly_users"), F.count("email").alias("total_signups"))
         .orderBy(F.col("created_at").asc_nulls_first())
     )
+
+
+def daily_totals(df: DataFrame, key: str = "date", value: str = "amount") -> DataFrame:
+    """Documented simple mart: per day, the total of a money column (exact sum,
+    0 over nulls only, same column name), sorted by day."""
+    validate(df, [key, value])
+    return (df.groupBy(key).agg(_double(sum_money(value)).alias(value))
+            .orderBy(F.col(key).asc_nulls_first()))

@@ -416,6 +416,9 @@ FROM (SELECT DISTINCT * FROM ({RAW_EVENTS})
     "validated_orders": """
 SELECT o_orderkey AS order_id, o_totalprice AS amount, CAST(o_orderdate AS DATE) AS date
 FROM orders WHERE o_totalprice > 0""",
+    "daily_amount": f"""
+SELECT CAST(o_orderdate AS DATE) AS date, CAST({dsum('o_totalprice')} AS DOUBLE) AS amount
+FROM orders WHERE o_totalprice > 0 GROUP BY CAST(o_orderdate AS DATE)""",
     "join_suffix": """
 SELECT o.o_custkey AS custkey, o.o_orderkey, o.o_orderstatus AS status, c.c_mktsegment AS status_right, c.c_name
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""",

@@ -88,6 +88,11 @@ def validated_orders(spark, sf_dir):
     return silver.validated_orders(proxies.raw_orders(spark, sf_dir))
 
 
+def daily_amount(spark, sf_dir):
+    """A1/A4: total validated order amount per day."""
+    return gold.daily_totals(validated_orders(spark, sf_dir))
+
+
 def profile_output(spark, sf_dir):
     """V2: column profile of the cleaned claims (one pass over the data)."""
     return profile(silver_table(spark, sf_dir, "claims"))
@@ -161,6 +166,7 @@ QUERIES: dict[str, Query] = {
     "monthly_signups": monthly_signups,
     "validated_events": validated_events,
     "validated_orders": validated_orders,
+    "daily_amount": daily_amount,
     "profile_output": profile_output,
     "join_suffix": join_suffix,
     "fill_numeric": fill_numeric,
