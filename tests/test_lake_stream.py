@@ -177,3 +177,24 @@ def test_incremental_survives_a_failed_micro_batch(spark, scratch, monkeypatch):
     # the micro-batch was not committed to the checkpoint: it is replayed and overwrites the same batch
     assert incremental.clean_new_batches(spark, "claims", bronze, silver_dir, ckpt, "x") == ["20240101T000000Z"]
     assert lake.read_all(spark, silver_dir).count() == silver.clean("claims", claims, "x").count()
+
+
+def test_landed_files_feed_the_bronze_run(spark, scratch):
+    from tiermart.plans.pipeline import run_layers
+    from tiermart.sources import proxies
+
+    sources = {}
+    for fmt, table in [("csv", "claims"), ("json", "agents"), ("parquet", "policies")]:
+        path = f"{scratch}/landing/{table}"
+        df = proxies.BUILDERS[table](spark, "/root/testdata/sf0.001").drop("fetched_at")
+        if fmt == "csv":
+            readers.write_csv(df, path)
+        else:
+            getattr(df.write, fmt)(path)
+        sources[table] = readers.landed(spark, table, path, fmt)
+        assert sources[table].exceptAll(df).isEmpty() and df.exceptAll(sources[table]).isEmpty()
+    out = run_layers(spark, LakeConfig(root=f"{scratch}/lake", sample_enabled=False), sources,
+                     layers=("bronze",), stamp="20240101T000000Z")
+    assert sorted(out["bronze"]) == ["agents", "claims", "policies"]
+    with pytest.raises(ValueError):
+        readers.landed(spark, "claims", "/x", "xlsx")

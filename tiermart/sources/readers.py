@@ -113,6 +113,18 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
                        else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def landed(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> DataFrame:
+    """Landed files of one bronze table, read with its declared schema (``fetched_at`` is added at ingest)."""
+    schema = StructType([f for f in schemas.BRONZE[table].fields if f.name != "fetched_at"])
+    if fmt == "csv":
+        return read_csv(spark, path, schema)
+    if fmt == "json":
+        return read_json(spark, path, schema)
+    if fmt == "parquet":
+        return spark.read.schema(schema).parquet(path)
+    raise ValueError(f"unsupported landing format {fmt!r} (csv, json, parquet)")
+
+
 def ingest(df: DataFrame, table: str, as_of: str) -> DataFrame:
     """Landed rows -> bronze table shape, stamped ``fetched_at``, checked."""
     out = conform(df, schemas.BRONZE[table]).withColumn("fetched_at", F.lit(as_of))
