@@ -106,3 +106,9 @@ def test_preview_and_profile(spark):
     rows = {r.column: r for r in profile(df).collect()}
     assert (rows["a"].type, rows["a"].rows, rows["a"].nulls) == ("bigint", 3, 0)
     assert rows["b"].nulls == 2 and rows["b"].position == 1
+
+
+def test_no_negative_zero(spark):
+    df = spark.createDataFrame([(-1, 1000)], "a long, b long")
+    v = df.select(div_half_up("a", "b", 2)).first()[0]
+    assert v == 0.0 and math.copysign(1.0, v) == 1.0

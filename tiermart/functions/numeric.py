@@ -64,7 +64,9 @@ def div_half_up(num, den, digits: int) -> Column:
     n = _c(num).cast(EXACT) * F.lit(10**digits)
     d = _c(den).cast(EXACT)
     q = F.call_function("div", F.abs(n) * F.lit(2) + F.abs(d), F.abs(d) * F.lit(2))
-    value = F.signum(n) * F.signum(d) * q.cast("double") / F.lit(float(10**digits))
+    # Sign applied in integers, so a negative value rounding to 0 is 0.0, never -0.0.
+    signed = F.signum(n).cast("long") * F.signum(d).cast("long") * q
+    value = signed.cast("double") / F.lit(float(10**digits))
     return (
         F.when(d == 0, F.when(n == 0, F.lit(float("nan"))).when(n > 0, F.lit(float("inf"))).otherwise(F.lit(float("-inf"))))
         .otherwise(value)
