@@ -20,21 +20,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder named by ``spark.checkpoint.dir`` and read it from there.
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder under the one that ``spark.checkpoint.dir`` names, which all executors share.
 
-    Cuts the lineage, so a lost executor never re-runs what came before. Only
-    where the setting is absent on a local master (tests) is a folder chosen here.
+    Only where the setting is absent on a local master (tests) is a folder chosen here.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder that all executors share")
-            root = tempfile.mkdtemp(prefix="corpus-ckpt-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc.getCheckpointDir():
+        root = sc.getCheckpointDir().rsplit("/", 1)[0]
+    if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="corpus-ckpt-")
         sc.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/{name}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it from there.
+
+    Cuts the lineage, so a lost executor never re-runs what came before.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(df.sparkSession, "checkpoints"))
     return df.checkpoint(eager=True)
 
 

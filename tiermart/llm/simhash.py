@@ -192,3 +192,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     ids = roots.groupBy("root").agg(F.min("least").alias("component"))
     by_fp = roots.select("fp", "root").join(ids, "root").select("fp", "component")
     return own.join(by_fp, "fp").select(key, "fp", "component")
+
+
+def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                         radius: int = RADIUS) -> DataFrame:
+    """Rows of ``docs`` but the later ones of each group.
+
+    The row whose key is the group's component stays; of rows that share that key
+    the one with the least text hash, and of wholly equal rows one. Rows without a
+    key have no group of their own to stand for and stay as they are.
+    """
+    found = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, shingle, radius)
+    kept = found.where(F.col(key) == F.col("component")).select(key).distinct()
+    chosen = docs.join(kept, key, "left_semi")
+    rest = [c for c in docs.columns if c != key]
+    once = chosen.groupBy(key).agg(F.min(F.struct(F.xxhash64(text).alias("__h"), *rest)).alias("__row"))
+    return once.select(*[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in docs.columns]).union(
+        docs.where(F.col(key).isNull()))
