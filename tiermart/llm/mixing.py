@@ -79,7 +79,7 @@ def mix(docs: DataFrame, keep: tuple[str, ...] | None = None, text: str = "text"
     changes nothing that can be seen. Keys hash ``identity`` and ``salt`` only, so
     reruns agree. Input columns named like an output are replaced. No rows give none.
     """
-    names = [c for c in (keep or docs.columns) if c not in ("size", "source_size", "target", "taken")]
+    names = [c for c in (keep or docs.columns) if c.lower() not in ("size", "source_size", "target", "taken")]
     sized = checkpointed(docs.select(
         *[F.col(f"`{c}`") for c in names],
         F.coalesce(F.col(f"`{source}`"), F.lit("")).alias(_SOURCE), F.col(f"`{source}`").isNull().alias(_NONE),

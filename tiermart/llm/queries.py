@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.llm import mixing, simhash, tokens
+from tiermart.llm import decontaminate, language, licenses, lines, mixing, simhash, sketches, tokens, toxicity, webpage
 from tiermart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,46 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Fitted on the rows of ``docs`` that ``labels`` covers; a document with several labels has the highest."""
+    labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"))
+    return toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity, nearest grade and verdict for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", "severity", "grade", "rejected")
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return webpage.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.col("n_chars").cast("long"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold an exact, edited or paraphrased copy of a benchmark item."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    learned = docs.where(~held_out & F.col("lang").isNotNull())
+    model = language.train(*language.labelled_sample(learned))
+    found = language.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without its later repeated runs of lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.remove_repeated_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"), keep=("doc_id",))
@@ -33,10 +73,48 @@ def op8_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABUL
     return tokens.count_tokens(table(spark, sf_dir, "documents"), first, inner)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and its edited text as hex hashes, and their likeness."""
+    found = sketches.edit_likeness(table(spark, sf_dir, "documents"))
+
+    def digits(name: str):
+        return F.array_join(F.transform(name, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
+
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        digits("sketch").alias("fingerprint"), digits("edited_sketch").alias("edited_fingerprint"),
+        sketches.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        sketches.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        sketches.containment(F.col("sketch"), F.col("edited_sketch")).alias("kept_in_edited"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License detections of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base, spans = F.col("base.label"), F.col("spans.label")
+    first = F.col("base.first")
+
+    def joined(labels):
+        return F.array_join(F.sort_array(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(first).cast("long").alias("first_word"), F.array_max(first).cast("long").alias("last_word"),
+        joined(base).alias("base_labels"), joined(F.concat(base, spans)).alias("labels"),
+        F.coalesce(F.array_max("spans.weight"), F.lit(0.0)).alias("score"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_main_text": op2_main_text,
+    "op3_decontamination": op3_decontamination,
+    "op4_language": op4_language,
+    "op5_line_dedup": op5_line_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_simhash": op7_simhash,
     "op8_token_counts": op8_token_counts,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE: dict[str, str] = {}
