@@ -1,0 +1,80 @@
+"""Language identification: folded scores against the plain network, held-out accuracy."""
+
+import random
+
+import numpy as np
+import pytest
+
+from tiermart.llm import language as G
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    r = random.Random(1)
+    letters = {"aa": "abcdefgh", "bb": "efghijkl", "cc": "ijklmnop"}
+    rows = []
+    for i in range(900):
+        lang = ("aa", "bb", "cc")[i % 3]
+        text = " ".join("".join(r.choice(letters[lang]) for _ in range(r.randint(1, 8))) for _ in range(r.randint(1, 60)))
+        rows.append((i, text.upper() if i % 7 == 0 else text, lang))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def model(spark, corpus):
+    df = spark.createDataFrame([(t, la) for i, t, la in corpus if i % 4], "text string, lang string")
+    return G.train(*G.labelled_sample(df))
+
+
+def test_held_out_accuracy(docs, corpus, model):
+    held = [x for x in corpus if x[0] % 4 == 0]
+    got = {r.doc_id: r for r in G.identify(docs(held), model).collect()}
+    assert sum(got[i].lang_pred == la for i, _, la in held) >= 0.97 * len(held)
+    accepted = [x for x in held if not got[x[0]].rejected]
+    assert sum(got[i].lang_pred == la for i, _, la in accepted) >= 0.985 * len(accepted) and len(accepted) > 0.5 * len(held)
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_folded_scores_equal_the_mean_embedding(docs, model):
+    text = "Abc defg, efg's 12 hij"
+    buckets = [b for w in ("abc", "defg", "efg", "s", "hij") for b in G.subwords(w)]
+    p = model.probabilities(model.scores[buckets].mean(axis=0))
+    got = G.identify(docs([(1, text)]), model).collect()[0]
+    assert got.score == pytest.approx(p.max()) and got.lang_pred == model.classes[p.argmax()]
+
+
+def test_edges(docs, model):
+    rows = [(1, None), (2, ""), (3, "12 34 ½ ² !"), (4, "abc"), (4, "abc"), (None, "mnop"), (5, "abc " * 100_000)]
+    got = sorted(G.identify(docs(rows, extra=True), model).collect(), key=str)
+    und = {r.doc_id for r in got if r.lang_pred == "und"}
+    assert und == {1, 2, 3} and all(r.score == 0 and r.rejected for r in got if r.lang_pred == "und")
+    assert len(got) == len(rows) and len({(r.lang_pred, r.score) for r in got if r.doc_id == 4}) == 1
+    assert G.identify(docs([]), model).count() == 0
+
+
+def test_memory_of_words_does_not_change_results(docs, corpus, model, monkeypatch):
+    want = sorted(G.identify(docs(corpus), model).collect())
+    monkeypatch.setattr(G, "MEMORY", 60)
+    many = [(i, " ".join(t.split()[:50]), la) for i, t, la in corpus]
+    assert sorted(G.identify(docs(many), model).select("doc_id").collect()) == sorted(r[:1] for r in want)
+    short = [x for x in corpus if len(x[1].split()) <= 50]
+    assert sorted(G.identify(docs(short), model).collect()) == [r for r in want if r.doc_id in {i for i, *_ in short}]
+
+
+def test_nothing_learned(spark, docs):
+    model = G.train(*G.labelled_sample(spark.createDataFrame([("x", None), (None, "en")], "text string, lang string")))
+    assert [(r.lang_pred, r.score) for r in G.identify(docs([(1, "some text")]), model).collect()] == [("und", 0.0)]
+    one = G.train([(np.array([1, 2]), np.array([1.0, 1.0]))], ["en"])
+    assert one.classes == ["en"]
+
+
+def test_query_learns_from_its_fold_only(spark):
+    import zlib
+
+    from tiermart.llm.queries import op4_language
+
+    rows = op4_language(spark, "/root/testdata/sf0.01").collect()
+    truth = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.98 * len(held)

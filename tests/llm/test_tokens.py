@@ -1,0 +1,52 @@
+"""Longest-match automaton against greedy matching by slices."""
+
+import random
+
+import pytest
+
+from tiermart.llm import tokens
+
+
+def brute(word, first, inner):
+    total, at, entries = 0, 0, first
+    while at < len(word):
+        end = next((e for e in range(len(word), at, -1) if word[at:e] in entries), None)
+        if end is None:
+            return 1
+        total, at, entries = total + 1, end, inner
+    return total
+
+
+def test_automaton_equals_greedy_matching():
+    r = random.Random(2)
+    for _ in range(1500):
+        def entries():
+            return {"".join(r.choice("ab") for _ in range(r.randint(1, 5))) for _ in range(r.randint(0, 7))}
+        first, inner = entries(), entries()
+        counter = tokens.PieceCounter(first, inner)
+        for _ in range(8):
+            word = "".join(r.choice("aabbc") if r.random() < 0.2 else r.choice("ab") for _ in range(r.randint(0, 12)))
+            assert counter.count(word) == brute(word, first, inner), (word, first, inner)
+
+
+@pytest.fixture(scope="module")
+def entries():
+    return tokens.sentencepiece_entries("/opt/tokenizers/piece_bpe_32k.model")
+
+
+def test_counts_over_a_real_vocabulary(docs, real, entries):
+    first, inner = map(set, entries)
+    rows = [(1, None), (2, ""), (3, " \t "), (4, "Hello tokenization 中文 \U0001f600"), (4, "Hello tokenization 中文 \U0001f600"),
+            (None, "a" * 100_000), (5, "word " * 20_000)]
+    df = docs(rows, extra=True)
+    for frame in (df, real("documents")):
+        texts = sorted(((r.doc_id, r.text) for r in frame.collect()), key=str)
+        got = sorted(tokens.count_tokens(frame, *entries).collect(), key=lambda r: str((r.doc_id, r.n_words)))
+        want = sorted([(k, len((t or "").split()), sum(brute(w, first, inner) for w in (t or "").split()) if len(t or "") < 50_000
+                        else None) for k, t in texts], key=lambda r: str((r[0], r[1])))
+        for g, w in zip(got, want, strict=True):
+            assert (g.doc_id, g.n_words) == w[:2] and (w[2] is None or g.n_tokens == w[2])
+
+
+def test_no_rows(docs, entries):
+    assert tokens.count_tokens(docs([]), *entries).count() == 0

@@ -1,0 +1,73 @@
+"""Main text: markup repair, blocks, and both passes of the rules."""
+
+import re
+from html import unescape
+
+import pytest
+
+from tiermart.llm import webpage as H
+
+GOOD = ("The house that we saw on the hill is one of the oldest in the town, and it was built by the people who "
+        "lived there before the war, when all of the land was theirs and not for sale to anyone. It is still there.")
+
+
+@pytest.mark.parametrize("page, want", [
+    (None, ""), ("", ""), ("plain words only", "plain words only"),
+    ("<article><h1>T &amp; U</h1><p>a&nbsp;\n b<br>c<p>d</article>", "T & U\na b c\nd"),
+    ("<article><p>x<script>if(a<b)'</p>'</script>y<style>p{}</style><!-- c --> z</p></article>", "xy z"),
+    ("<nav>n</nav><article><p>keep</p><aside>no</aside><div class='comments'><p>c</p></div></article><footer>f</footer>", "keep"),
+    ("<article><form><p>q</p></form><section id=cookie-notice>n</section><div class='post-sidebar'>s</div><p>in", "in"),
+    ("<article><p>cut <b>of", "cut of"), ("<article><p>half <a hre", "half"), ("<article><p>A &am", "A &am"),
+    ("<article><ul><li>one<li>two</ul><table><tr><td>c1<td>c2</table></article>", "one\ntwo\nc1\nc2"),
+    ("<article><p hidden>h</p><p style='display:none'>i</p><div role=navigation>m</div><p>v</p></article>", "v"),
+    ("<article><p><a href=x>all of this is only a link to some other place that is not this</a></p><p>t</p></article>", "t"),
+    ("<main><p>m</p></main><p>after</p>", "m"), ("<p>1 &lt; 2 &#8364; &#x20AC;</p>", "1 < 2 € €"),
+    ("<article class='comment'><p>no</p></article><article><p>yes</p></article>", "yes"),
+    ("<textarea><p>no</p></textarea><p>yes</p>", "yes"), ("<P>Upper<DIV CLASS=\"Ad\">x</DIV></P>", "Upper"),
+])
+def test_pages(page, want):
+    assert H.main_text(page) == want
+
+
+def test_density_rules_without_an_article():
+    links = "".join(f"<li><a href=/{i}>Link number {i}</a></li>" for i in range(12))
+    page = f"<body><div>{links}</div><h2>Title</h2><p>{GOOD}</p><p>Short one.</p><p>{GOOD}</p><p>© 2020 Some body</p><div>{links}</div>"
+    assert H.main_text(page) == f"Title\n{GOOD}\nShort one.\n{GOOD}"
+    junk = "lorem qwert yxcv asdf uiop hjkl bnm " * 8
+    assert H.main_text(f"<p>{GOOD}</p><div>{junk}</div><p>tiny</p><div>{junk}</div>") == GOOD
+
+
+def test_second_pass_takes_the_nearest_decided_label():
+    def label(*blocks):
+        found = [H.Block(t, len(t) if bad else 0, False) for t, bad in blocks]
+        H.classify(found)
+        return [b.label for b in found]
+    good, bad, short = (GOOD, False), (GOOD, True), ("few words", False)
+    assert label(bad, short, short, good) == ["bad", "bad", "good", "good"]
+    assert label(bad, short, good) == ["bad", "good", "good"]
+    assert label(bad, short, short, bad) == ["bad"] * 4
+    assert label(short, good, short) == ["good"] * 3
+    near = ("the time of this long near good sentence block abc def ghi jkl mno pqr", False)
+    assert label(bad, near, good) == ["bad", "good", "good"] and label(bad, near, bad) == ["bad"] * 3
+    assert label(short) == ["good"]
+
+
+def test_real_articles(real):
+    """The articles of the given pages, cut out by hand."""
+    got = {r.page_id: r for r in H.extract(real("pages")).collect()}
+    for page in real("pages").collect():
+        found = re.search(r"<article>(.*?)(</article>|\Z)", page.html, re.S)
+        parts = re.split(r"</?(?:p|h1)>", found.group(1)) if found else []
+        want = [" ".join(unescape(re.sub(r"<(?:/?b|br)>", lambda m: " " if m[0] == "<br>" else "", p)).split()) for p in parts]
+        if "<" not in "".join(want):
+            assert got[page.page_id].text == "\n".join(w for w in want if w)
+        assert got[page.page_id].n_chars == len(got[page.page_id].text) and got[page.page_id].url == page.url
+
+
+def test_table_edges(spark):
+    schema = "page_id long, url string, html string, text string"
+    rows = [(1, None, None, "old"), (None, "u", "<p>x</p>", None), (2, "u", "<article><p>" + "long " * 100_000, None),
+            (2, "u", "<article><p>" + "long " * 100_000, None), (3, "u", "<div>" * 5000 + "deep" + "</div>" * 5000, None)]
+    got = H.extract(spark.createDataFrame(rows, schema)).collect()
+    assert [(r.page_id, r.n_chars) for r in got] == [(1, 0), (None, 1), (2, 499_999), (2, 499_999), (3, 4)]
+    assert H.extract(spark.createDataFrame([], schema)).count() == 0

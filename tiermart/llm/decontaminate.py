@@ -225,17 +225,17 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
           least_score: float = LEAST_SCORE) -> DataFrame:
     """``docs`` without the rows that hold a copy of an item; the rest is as it was. Nothing is shuffled."""
-    kept = docs
+    kept, names = docs, docs.columns
+    at = names.index(text)
     for block in blocks(benchmark, docs, item, item_text, text):
         shared = docs.sparkSession.sparkContext.broadcast(vars(block))
-        at = docs.columns.index(text)
 
         def rows(batch: pa.RecordBatch, shared=shared) -> dict:
             block = Block(**shared.value)
             mask = [all(score < least_score for score, _ in contamination(t, block).values())
                     for t in batch.column(at).to_pylist()]
             left = batch.filter(pa.array(mask, pa.bool_()))
-            return dict(zip(docs.columns, left.columns))
+            return dict(zip(names, left.columns))
 
         kept = arrow_map(kept, rows, docs.schema)
     return kept

@@ -43,7 +43,8 @@ NAMES = (
     ("apache", "apache", r"apache( software)? licen[sc]e"),
     ("apache-2.0", "apache", r"apache 2( 0)?"),
     ("mit-0", "mit no", r"mit no attribution( licen[sc]e)?"),
-    ("mit", "mit", r"(mit|expat)( x11| expat)? licen[sc]e"),
+    ("mit", "mit", r"mit( x11| expat)? licen[sc]e"),
+    ("mit", "expat", r"expat licen[sc]e"),
     ("x11", "x11", r"x11 licen[sc]e"),
     ("bsd-4-clause", "bsd", r"(bsd 4 clause|4 clause bsd|original bsd)( original)?( licen[sc]e)?"),
     ("bsd-3-clause", "bsd", r"(bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)( new or revised)?( licen[sc]e)?"),
@@ -84,7 +85,7 @@ NAMES = (
     ("wtfpl", "wtfpl", r"wtfpl( version 2| v2)?"),
     ("wtfpl", "what the", r"do what the [^ ]+ you want to public licen[sc]e"),
     ("cc0-1.0", "cc0", r"cc0( 1 0)?( universal)?"),
-    ("cc-by-nc-nd", "noncommercial", r"creative commons attribution non ?commercial no ?deriv(ative)?s( works)?( [1-4] [05])?"),
+    ("cc-by-nc-nd", "commercial", r"creative commons attribution non ?commercial no ?deriv(ative)?s( works)?( [1-4] [05])?"),
     ("cc-by-nc-sa", "commercial", r"creative commons attribution non ?commercial share ?alike( [1-4] [05])?"),
     ("cc-by-nc", "commercial", r"creative commons attribution non ?commercial( [1-4] [05])?"),
     ("cc-by-nd", "creative commons", r"creative commons attribution no ?deriv(ative)?s( works)?( [1-4] [05])?"),
@@ -101,7 +102,8 @@ NAMES = (
     ("odbl-1.0", "odbl", r"odbl( 1 0)?"),
     ("odc-by-1.0", "odc", r"odc by( 1 0)?"),
     ("pddl-1.0", "public domain dedication", r"public domain dedication and licen[sc]e"),
-    ("python-2.0", "python", r"(python software foundation|psf|python) licen[sc]e( (version|v) ?2( 0)?| 2 0)?"),
+    ("python-2.0", "python", r"python( software foundation)? licen[sc]e( (version|v) ?2( 0)?| 2 0)?"),
+    ("python-2.0", "psf", r"psf licen[sc]e( (version|v) ?2( 0)?| 2 0)?"),
     ("php-3.01", "php", r"php licen[sc]e( (version|v) ?3( 01)?| 3 01)?"),
     ("ruby", "ruby", r"ruby licen[sc]e"),
     ("vim", "vim", r"vim licen[sc]e"),
@@ -123,7 +125,7 @@ NAMES = (
     ("curl", "curl", r"curl licen[sc]e"),
     ("tcl", "tcl", r"tcl tk licen[sc]e"),
     ("beerware", "beer", r"beer ?ware licen[sc]e"),
-    ("openrail", "openrail", r"(creativeml )?open ?rail( m)?( licen[sc]e)?"),
+    ("openrail", "rail", r"(creativeml )?open ?rail( m)?( licen[sc]e)?"),
     ("llama", "llama", r"llama [0-9]*( ?[0-9])? ?community licen[sc]e( agreement)?"),
     ("public-domain", "public domain", r"(in|into|to) the public domain"),
 )
@@ -150,7 +152,7 @@ NOTICES = (
     ("proprietary", "all rights", r"all rights reserved"),
     ("proprietary", "proprietary", r"proprietary and confidential"),
     ("proprietary", "unauthorized", r"unauthorized copying of this file"),
-    ("warranty", "warranty", r"without warrant(y|ies) of any kind( (either )?express(ed)? or implied)?"),
+    ("warranty", "warrant", r"without warrant(y|ies) of any kind( (either )?express(ed)? or implied)?"),
 )
 
 TIERS = {"tag": (1, 1.0), "grant": (2, 0.95), "notice": (2, 0.9), "name": (3, 0.7)}

@@ -93,7 +93,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", least
 
 def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS,
                   most_lines: int = MOST_LINES) -> DataFrame:
-    """(__doc, __chars, runs): per document the later repeated runs, disjoint and ascending [(first, last)]."""
+    """(__doc, __chars, __runs): per document the later repeated runs, disjoint and ascending [(first, last)]."""
     marks = fingerprints(docs, key, text, least_chars, most_lines)
     place = F.struct(F.col("__key").isNull().alias("none"), "__key", "__doc", "at", "before", "after")
     earliest = marks.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("p")).where("n > 1")
@@ -107,7 +107,7 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
     islands = runs.withColumn("new", (reach.isNull() | (F.col("a") > reach + 1)).cast("int")) \
                   .withColumn("island", F.sum("new").over(doc))
     merged = islands.groupBy("__doc", "__chars", "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    return merged.groupBy("__doc", "__chars").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs"))
+    return merged.groupBy("__doc", "__chars").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("__runs"))
 
 
 def remove_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS,
@@ -125,15 +125,15 @@ def remove_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "tex
     lines = F.split(F.col(f"`{text}`"), "\n", -1)
 
     def kept(i: Column) -> Column:
-        begin = F.when(i == 0, F.lit(0)).otherwise(F.get("runs", i - 1)["b"] + 1)
-        end = F.when(i == F.size("runs"), F.size("__lines")).otherwise(F.get("runs", i)["a"])
+        begin = F.when(i == 0, F.lit(0)).otherwise(F.get("__runs", i - 1)["b"] + 1)
+        end = F.when(i == F.size("__runs"), F.size("__lines")).otherwise(F.get("__runs", i)["a"])
         return F.slice("__lines", begin + 1, end - begin)
 
-    cut = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("runs")), kept)), "\n")
+    cut = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("__runs")), kept)), "\n")
     split = both.withColumn("__lines", lines)
     return split.select(
-        *[F.when(F.col("runs").isNull(), F.col(f"`{c}`")).otherwise(cut).alias(c) if c == text else F.col(f"`{c}`")
+        *[F.when(F.col("__runs").isNull(), F.col(f"`{c}`")).otherwise(cut).alias(c) if c == text else F.col(f"`{c}`")
           for c in names],
         F.when(F.col("__lines").isNull(), F.lit(0)).otherwise(F.size("__lines")).alias("n_lines"),
-        F.when(F.col("runs").isNull(), F.lit(0)).otherwise(F.aggregate(
-            "runs", F.lit(0), lambda acc, r: acc + r["b"] - r["a"] + 1)).alias("n_removed"))
+        F.when(F.col("__runs").isNull(), F.lit(0)).otherwise(F.aggregate(
+            "__runs", F.lit(0), lambda acc, r: acc + r["b"] - r["a"] + 1)).alias("n_removed"))

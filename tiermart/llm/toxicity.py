@@ -1,7 +1,6 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
-Features are the presence of words (runs of letters, lower-cased) and of words'
-first 4, 5 and 6 letters, so that a stem counts with endings never seen; all are hashed. One
+Features are the presence of words (runs of letters, lower-cased, hashed). One
 weight a feature is shared by all thresholds: P(grade > k) = s(w.x - t_k) with
 t_0 < t_1 < ...; the expected severity is the sum of these over k.
 
@@ -10,7 +9,7 @@ hash). Near copies of one text would make its chance words look telling, so
 rows that share their least five-word shingle hash weigh one together. Features
 enter if their association with a positive label is beyond chance
 (chi-square of at least ``LEAST_CHI2``). Where labels are 0 and 1 only, positive rows
-are graded by how many different telling features they hold.
+are graded by how many different telling words they hold.
 """
 
 from __future__ import annotations
@@ -27,35 +26,31 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField,
 
 from tiermart.llm.common import arrow_map
 
-LABELLED_ROWS = 10_000
+LABELLED_ROWS = 12_000
 LEAST_CHI2 = 30.0
 LEAST_FAMILIES = 4
-GRADE_AT = (1, 4, 8)  # telling features from which a positive row is of grade 1 (at least), 2, 3
+GRADE_AT = (1, 2, 4)  # telling words from which a positive row is of grade 1 (at least), 2, 3
 PENALTY = 1e-3
 STEPS = 300
 REJECT_FROM = 0.5
 MEMORY = 200_000
 SHINGLE = 5
-STEMS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_features(word: str) -> list[int]:
-    """Hashes of a word's features: itself, and its stems marked as such."""
-    names = [word, *("^" + word[:n] for n in STEMS if len(word) > n)]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in names]
+def word_hash(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
 
 
 def _example(text: str | None) -> tuple[np.ndarray, int]:
-    """Distinct feature hashes, and the least shingle hash as the family of near copies."""
-    words = [word_features(w) for w in _WORD.findall((text or "").lower())]
-    h = np.array([w[0] for w in words], dtype=np.uint64)
+    """Distinct word hashes, and the least shingle hash as the family of near copies."""
+    h = np.array([word_hash(w) for w in _WORD.findall((text or "").lower())], dtype=np.uint64)
     mixed = np.zeros(max(1, len(h) - SHINGLE + 1), dtype=np.uint64)
     for k in range(min(SHINGLE, len(h))):
         part = h[k:k + len(mixed)]
         mixed[:len(part)] = (mixed[:len(part)] + part) * np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(31)
-    return np.unique(np.array([x for w in words for x in w], dtype=np.int64)), int(mixed.min()) >> 1
+    return np.unique(h).astype(np.int64), int(mixed.min()) >> 1
 
 
 @dataclass
@@ -147,7 +142,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", rows: int
 
 
 def _severities(model: Model, known: dict, texts: list[str | None]) -> np.ndarray:
-    """Expected severity of each text; ``known`` remembers which weighted features a word has."""
+    """Expected severity of each text; ``known`` remembers the weights of words."""
     if not len(model.thresholds):
         return np.zeros(len(texts))
     score = np.zeros(len(texts))
@@ -155,14 +150,14 @@ def _severities(model: Model, known: dict, texts: list[str | None]) -> np.ndarra
     for i, t in enumerate(texts):
         if len(known) > MEMORY:
             known.clear()
-        present: set[int] = set()
+        present = []
         for w in set(_WORD.findall((t or "").lower())):
-            f = known.get(w)
-            if f is None:
-                f = known[w] = tuple(x for x in word_features(w) if x in weights)
-            if f:
-                present.update(f)
-        score[i] = sum(weights[x] for x in sorted(present))
+            x = known.get(w)
+            if x is None:
+                x = known[w] = weights.get(word_hash(w), 0.0)
+            if x:
+                present.append(x)
+        score[i] = sum(sorted(present))  # in one order, whatever order the words came in
     return model.severity(score)
 
 
