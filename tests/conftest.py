@@ -25,12 +25,10 @@ def spark():
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
+    # Read when the context starts; tests bring their own folder, a cluster names a shared one.
+    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tiermart-test-ckpt-"))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        ckpt = tempfile.mkdtemp(prefix="tiermart-test-ckpt-")
-        session.conf.set("spark.checkpoint.dir", ckpt)
-        session.sparkContext.setCheckpointDir(ckpt)
     yield session
 
 
