@@ -66,14 +66,13 @@ def spelled(regex, r):
 
 def test_gate_and_keywords_lose_no_match():
     rules, r = L.rules(), random.Random(1)
-    gate = re.compile(L._gate(rules), re.A)
     assert len(rules) >= 200
     for rule in rules:
-        for _ in range(30):
+        for _ in range(60):
             text = spelled(rule["regex"], r)
             assert re.search(rule["regex"], text), (rule, text)
             assert rule["keyword"] in text, (rule["label"], rule["keyword"], text)
-            assert gate.search(text)
+            assert any(g in text for g in L.GATES), text
 
 
 def test_scan_equals_brute_force(docs, real):

@@ -178,17 +178,24 @@ def rules() -> list[dict]:
     return ordered
 
 
+# A text without any of these holds no match of any rule.
+GATES = ("licen", "gpl", "apache", "bsd", "attribution", "mpl", "cddl", "eupl", "wtfpl", "cc0", "creative", "cc by", "odbl",
+         "odc", "public domain", "rail", "mulan", "cecill", "permission", "restriction", "redistribution", "neither the name",
+         "advertising materials", "express", "free software", "source code form", "unencumbered", "gnu", "opensource",
+         "rights reserved", "proprietary", "unauthorized", "warrant")
+
 RULE_TYPE = "array<struct<n int, label string, keyword string, tier int, weight double, regex string>>"
 SPAN_TYPE = "array<struct<first int, last int, tier int, n int, label string, weight double>>"
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # between words while upper case is still there
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _gate(catalogue: list[dict]) -> str:
-    """A regex that finds some keyword, ASCII case aside, in the words as they are."""
-    keywords = sorted({r["keyword"] for r in catalogue} | {phrase for phrase, _ in BASE})
-    least = [k for k in keywords if not any(o != k and o in k for o in keywords)]
-    return "(?i)" + "|".join(least)
+def gated(lowered: Column) -> Column:
+    """True where some rule can match: every match holds one of GATES."""
+    out = F.lit(False)
+    for g in GATES:
+        out = out | F.contains(lowered, F.lit(g))
+    return out
 
 
 def _rule_spans(words: Column, norm: Column, rule: Column) -> Column:
@@ -220,7 +227,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     known = F.from_json(F.lit(json.dumps(catalogue)), RULE_TYPE)
     words = F.coalesce(F.trim(F.regexp_replace(F.col(f"`{text}`"), _GAP, " ")), F.lit(""))
     read = docs.select(F.col(f"`{key}`"), words.alias("__plain"))
-    read = read.withColumn("__gate", F.col("__plain").rlike(_gate(catalogue)))
+    read = read.withColumn("__gate", gated(F.lower("__plain")))
     none = F.array().cast(SPAN_TYPE)
     read = read.select(
         F.col(f"`{key}`"),

@@ -114,8 +114,9 @@ def with_next(docs: DataFrame, key: str, columns: list[str], prepare: Callable[[
     rows = ranged(keyed).withColumn("__next", F.lit(0)).unionByName(sentinels)
     rows = rows.withColumn("__tie", tie)
     rows = prepare(rows) if prepare else rows
-    after = F.lead(F.struct(*[F.col(f"`{c}`") for c in columns])).over(
-        Window.partitionBy(*place).orderBy("__next", "__at", "__tie"))
+    order = Window.partitionBy(*place).orderBy("__next", "__at", "__tie")
+    # column by column: a struct would be built before the shuffle and move every column twice
+    after = F.struct(*[F.lead(F.col(f"`{c}`")).over(order).alias(c) for c in columns])
     return rows.withColumn(name, after).where("__next = 0").drop("__next", "__at", "__tie", *place)
 
 
