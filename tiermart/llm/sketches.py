@@ -21,6 +21,7 @@ from tiermart.llm.common import checkpointed
 SHINGLE = 5
 SCALE = 8  # one hash in SCALE is retained
 ROWS_PER_RANGE = 2000
+BROADCAST_ROWS = 200_000
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -67,6 +68,11 @@ def with_sketch(docs: DataFrame, text: str = "text", name: str = "sketch", shing
         sketch(F.col("__hashes"), scale), F.array().cast("array<long>"))).drop("__hashes")
 
 
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if its counted rows (a few numbers each) allow it."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def with_next(docs: DataFrame, key: str, columns: list[str], prepare: Callable[[DataFrame], DataFrame] | None = None,
               name: str = "next", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``docs`` and a struct of the next row's ``columns``, by ascending integer key; the last row's next is the first.
@@ -93,22 +99,25 @@ def with_next(docs: DataFrame, key: str, columns: list[str], prepare: Callable[[
 
     celled = F.when(F.col("__null"), cell(True)).otherwise(cell(False)).cast("long")
     narrow = keyed.select("__null", "__at")
-    full = narrow.withColumn("__cell", celled).groupBy("__null", "__cell").agg(
+    full = checkpointed(narrow.withColumn("__cell", celled).groupBy("__null", "__cell").agg(
         F.count(F.lit(1)).alias("n"), F.min("__at").cast("double").alias("lo"),
         F.max("__at").cast("double").alias("hi")).where(F.col("n") > 2 * rows_per_range).select(
-        "__null", "__cell", "lo", F.ceil(F.col("n") / rows_per_range).alias("cuts"), (F.col("hi") - F.col("lo")).alias("w"))
+        "__null", "__cell", "lo", F.ceil(F.col("n") / rows_per_range).alias("cuts"), (F.col("hi") - F.col("lo")).alias("w")))
+    fulls = full.count()
     cut = F.when(F.col("cuts").isNull() | (F.col("w") == 0), F.lit(0)).otherwise(F.least(
         F.floor((F.col("__at").cast("double") - F.col("lo")) * F.col("cuts") / F.col("w")), F.col("cuts") - 1))
     place = ["__null", "__cell", "__cut"]
 
     def ranged(df: DataFrame) -> DataFrame:
-        dealt = df.withColumn("__cell", celled).join(full, ["__null", "__cell"], "left")
+        if not fulls:
+            return df.withColumns({"__cell": celled, "__cut": F.lit(0).cast("long")})
+        dealt = df.withColumn("__cell", celled).join(bounded(full, fulls), ["__null", "__cell"], "left")
         return dealt.withColumn("__cut", cut.cast("long")).drop("lo", "cuts", "w")
 
     firsts = checkpointed(ranged(narrow).groupBy(*place).agg(F.min("__at").alias("__at")))  # one row for each range
     last = F.max(F.struct(*place)).over(Window.partitionBy())
     back = F.coalesce(F.lag(F.struct(*place)).over(Window.orderBy(*place)), last)
-    firsts = firsts.select("__null", "__at", back.alias("__to"))
+    firsts = bounded(firsts.select("__null", "__at", back.alias("__to")), firsts.count())
     sentinels = keyed.join(firsts, ["__null", "__at"]).select(
         *docs.columns, "__at", *[F.col(f"__to.{c}").alias(c) for c in place], F.lit(1).alias("__next"))
     rows = ranged(keyed).withColumn("__next", F.lit(0)).unionByName(sentinels)
