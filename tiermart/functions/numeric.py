@@ -12,7 +12,9 @@ Null/zero rules kept from the reference semantics:
 * a sum over no values is 0 (``sum0`` / ``sum_money``);
 * a mean over no values is null;
 * x / 0 is NaN when x == 0, otherwise +/-infinity (IEEE division);
-* ``n_unique`` counts null as one distinct value.
+* ``n_unique`` counts null as one distinct value;
+* NaN is a value, not a gap: DECIMAL has none, so an aggregate carries a flag
+  (``has_nan``) beside the exact sum and ends as NaN where it is set (``or_nan``).
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ def _c(c) -> Column:
 
 
 def money(c) -> Column:
+    """Exact form of a money column; NaN has none and becomes null (see ``has_nan``)."""
     return _c(c).cast(MONEY)
 
 
@@ -50,6 +53,26 @@ def sum_money(c) -> Column:
     return F.coalesce(F.sum(money(c)), F.lit(0).cast(MONEY))
 
 
+def has_nan(c) -> Column:
+    """Aggregate: does the group hold a NaN? (false over an empty group)"""
+    return F.coalesce(F.max(F.isnan(_c(c))), F.lit(False))
+
+
+def any_flag(c) -> Column:
+    """Aggregate of flags that were aggregated before; a missing flag is false."""
+    return F.coalesce(F.max(_c(c)), F.lit(False))
+
+
+def or_nan(flag, value) -> Column:
+    """``value`` as double, or NaN where ``flag`` is set."""
+    return F.when(F.coalesce(_c(flag), F.lit(False)), F.lit(float("nan"))).otherwise(_c(value).cast("double"))
+
+
+def total_or_nan(c, digits: int = 2) -> Column:
+    """Rounded exact sum of a money column as double: NaN if the group holds one, 0 if it is empty."""
+    return or_nan(has_nan(c), F.round(sum_money(c), digits))
+
+
 def sum_exact(c) -> Column:
     """Sum of an already-exact (decimal) expression, e.g. a weighted money
     value; keeps the expression's own precision; 0 over an empty group."""
@@ -79,10 +102,11 @@ def pct_half_up(part, whole, digits: int = 2) -> Column:
 
 
 def mean_half_up(c, digits: int) -> Column:
-    """round(mean(c), digits) exactly over non-null values; null when none."""
+    """round(mean(c), digits) exactly over non-null values; null when none, NaN when one is NaN."""
     col = _c(c)
     count = F.count(col)
-    return F.when(count == 0, F.lit(None).cast("double")).otherwise(div_half_up(F.sum(money(col)), count, digits))
+    return F.when(count == 0, F.lit(None).cast("double")).otherwise(
+        or_nan(has_nan(col), div_half_up(F.sum(money(col)), count, digits)))
 
 
 def n_unique(c) -> Column:

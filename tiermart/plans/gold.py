@@ -28,10 +28,13 @@ from pyspark.sql import functions as F
 from tiermart.functions.numeric import (
     EXACT,
     MONEY,
+    any_flag,
     div_half_up,
+    has_nan,
     mean_half_up,
     money,
     n_unique,
+    or_nan,
     pct_half_up,
     sum0,
     sum_exact,
@@ -41,10 +44,6 @@ from tiermart.operators.frames import fill_numeric, stamp
 from tiermart.operators.quality import validate
 
 
-def _double(c):
-    return c.cast("double")
-
-
 def claims_summary(claims: DataFrame, as_of: str) -> DataFrame:
     """G1: per (claim_type, status): counts, totals, means, approval rate."""
     validate(claims, ["claim_type", "status", "claimed_amount", "approved_amount"])
@@ -52,15 +51,18 @@ def claims_summary(claims: DataFrame, as_of: str) -> DataFrame:
         F.count(F.lit(1)).alias("total_claims"),
         F.round(sum_money("claimed_amount"), 2).alias("_claimed"),
         F.round(sum_money("approved_amount"), 2).alias("_approved"),
+        has_nan("claimed_amount").alias("_claimed_nan"),
+        has_nan("approved_amount").alias("_approved_nan"),
         mean_half_up("claimed_amount", 2).alias("avg_claimed"),
         mean_half_up("approved_amount", 2).alias("avg_approved"),
     )
     out = agg.select(
         "claim_type", "status", "total_claims",
-        _double(F.col("_claimed")).alias("total_claimed"),
-        _double(F.col("_approved")).alias("total_approved"),
+        or_nan("_claimed_nan", "_claimed").alias("total_claimed"),
+        or_nan("_approved_nan", "_approved").alias("total_approved"),
         "avg_claimed", "avg_approved",
-        pct_half_up("_approved", "_claimed").alias("approval_rate_pct"),
+        or_nan(F.col("_claimed_nan") | F.col("_approved_nan"), pct_half_up("_approved", "_claimed"))
+        .alias("approval_rate_pct"),
     ).orderBy(F.col("claim_type").asc_nulls_first(), F.col("status").asc_nulls_first())
     return stamp(out, "aggregated_at", as_of)
 
@@ -79,7 +81,8 @@ def premium_revenue(policies: DataFrame, payments: DataFrame, as_of: str) -> Dat
         .groupBy("policy_id")
         .agg(F.count(F.lit(1)).alias("_rows"),
              F.count("amount").alias("_amounts"),
-             sum_money("amount").alias("_collected"))
+             sum_money("amount").alias("_collected"),
+             has_nan("amount").alias("_collected_nan"))
     )
     rows = F.col("_rows")
     joined = policies.select("policy_id", "policy_type", "premium").join(per_policy, "policy_id", "inner")
@@ -91,15 +94,20 @@ def premium_revenue(policies: DataFrame, payments: DataFrame, as_of: str) -> Dat
         F.round(F.sum("_collected"), 2).alias("_collected"),
         F.sum("_collected").alias("_collected_exact"),
         F.sum("_amounts").alias("_amount_n"),
+        has_nan("premium").alias("_premium_nan"),
+        any_flag("_collected_nan").alias("_collected_nan"),
     )
     out = agg.select(
         "policy_type",
         F.col("total_policies").cast("long").alias("total_policies"),
-        _double(F.col("_premium")).alias("total_premium"),
-        F.when(F.col("_premium_n") > 0, div_half_up("_premium_exact", "_premium_n", 2)).alias("avg_premium"),
-        _double(F.col("_collected")).alias("total_collected"),
-        F.when(F.col("_amount_n") > 0, div_half_up("_collected_exact", "_amount_n", 2)).alias("avg_collection"),
-        pct_half_up("_collected", "_premium").alias("collection_rate_pct"),
+        or_nan("_premium_nan", "_premium").alias("total_premium"),
+        F.when(F.col("_premium_n") > 0, or_nan("_premium_nan", div_half_up("_premium_exact", "_premium_n", 2)))
+        .alias("avg_premium"),
+        or_nan("_collected_nan", "_collected").alias("total_collected"),
+        F.when(F.col("_amount_n") > 0, or_nan("_collected_nan", div_half_up("_collected_exact", "_amount_n", 2)))
+        .alias("avg_collection"),
+        or_nan(F.col("_premium_nan") | F.col("_collected_nan"), pct_half_up("_collected", "_premium"))
+        .alias("collection_rate_pct"),
     ).orderBy(F.col("total_premium").desc_nulls_first(), F.col("policy_type").asc_nulls_first())
     return stamp(out, "aggregated_at", as_of)
 
@@ -118,6 +126,7 @@ def agent_performance(agents: DataFrame, policies: DataFrame, claims: DataFrame,
         F.count(F.lit(1)).alias("_rows"),
         F.count("claim_id").alias("_with_claim"),
         F.sum(money("approved_amount")).alias("_approved"),
+        has_nan("approved_amount").alias("_approved_nan"),
     )
     fan = F.greatest(F.coalesce(F.col("_rows"), F.lit(0)), F.lit(1))
     joined = policies.select("policy_id", "agent_id", "premium").join(per_policy, "policy_id", "left")
@@ -126,6 +135,8 @@ def agent_performance(agents: DataFrame, policies: DataFrame, claims: DataFrame,
         sum0("_with_claim").alias("policies_with_claims"),
         F.round(sum_exact(money("premium") * fan), 2).alias("_premium"),
         F.round(F.coalesce(F.sum("_approved"), F.lit(0).cast(MONEY)), 2).alias("_claims_amount"),
+        has_nan("premium").alias("_premium_nan"),
+        any_flag("_approved_nan").alias("_claims_nan"),
     )
     result = fill_numeric(agents.join(metrics, "agent_id", "left").select(*agents.columns, *metrics.columns[1:]))
     commission = F.round(
@@ -135,9 +146,10 @@ def agent_performance(agents: DataFrame, policies: DataFrame, claims: DataFrame,
         *agents.columns,
         F.col("total_policies").cast("long").alias("total_policies"),
         F.col("policies_with_claims").cast("long").alias("policies_with_claims"),
-        _double(F.col("_premium")).alias("total_premium"),
-        _double(F.col("_claims_amount")).alias("total_claims_amount"),
-        _double(commission).alias("commission_earned"),
+        or_nan("_premium_nan", "_premium").alias("total_premium"),
+        or_nan("_claims_nan", "_claims_amount").alias("total_claims_amount"),
+        or_nan(F.coalesce(F.col("_premium_nan"), F.lit(False)) | F.isnan("commission_rate"), commission)
+        .alias("commission_earned"),
         pct_half_up("policies_with_claims", "total_policies").alias("claim_rate_pct"),
     ).orderBy(F.col("total_premium").desc_nulls_first(), F.col("agent_id").asc_nulls_first())
     return stamp(out, "aggregated_at", as_of)
@@ -156,6 +168,7 @@ def customer_risk(customer_policies: DataFrame, policy_claims: DataFrame, as_of:
     per_policy = policy_claims.groupBy("policy_id").agg(
         F.count_if(F.col("has_claim")).alias("claim_count"),
         sum_money("claimed_amount").alias("total_claimed"),
+        has_nan("claimed_amount").alias("_claimed_nan"),
     )
     return _risk(customer_policies, per_policy, as_of)
 
@@ -175,13 +188,15 @@ def customer_risk_from_clean(customers: DataFrame, policies: DataFrame, claims:
 
     validate(claims, ["claim_id", "policy_id", "claimed_amount"])
     per_claimed_policy = claims.groupBy("policy_id").agg(
-        F.count("claim_id").alias("_claims"), F.sum(money("claimed_amount")).alias("_claimed"))
+        F.count("claim_id").alias("_claims"), F.sum(money("claimed_amount")).alias("_claimed"),
+        has_nan("claimed_amount").alias("_claimed_nan"))
     multiplicity = policies.where(F.col("policy_id").isNotNull()).groupBy("policy_id").agg(
         F.count(F.lit(1)).alias("_m"))
     per_policy = per_claimed_policy.join(multiplicity, "policy_id", "inner").select(
         "policy_id",
         (F.col("_claims") * F.col("_m")).alias("claim_count"),
         F.coalesce(F.col("_claimed") * F.col("_m"), F.lit(0).cast(MONEY)).alias("total_claimed"),
+        "_claimed_nan",
     )
     cp = join_customer_policies(customers, policies, as_of, sort=False)
     return _risk(cp, per_policy, as_of)
@@ -198,15 +213,17 @@ def _risk(customer_policies: DataFrame, per_policy: DataFrame, as_of: str) -> Da
         mean_half_up("credit_score", 0).alias("avg_credit_score"),
         sum0("claim_count").alias("total_claims"),
         F.round(F.sum(F.col("total_claimed").cast(EXACT)), 2).alias("_claimed"),
+        has_nan("premium").alias("_premium_nan"),
+        any_flag("_claimed_nan").alias("_claimed_nan"),
     )
-    loss = pct_half_up("_claimed", "_premium")
+    loss = or_nan(F.col("_premium_nan") | F.col("_claimed_nan"), pct_half_up("_claimed", "_premium"))
     out = agg.select(
         "customer_id",
         F.col("total_policies").cast("long").alias("total_policies"),
-        _double(F.col("_premium")).alias("total_premium"),
+        or_nan("_premium_nan", "_premium").alias("total_premium"),
         "avg_credit_score",
         F.col("total_claims").cast("long").alias("total_claims"),
-        _double(F.col("_claimed")).alias("total_claimed_amount"),
+        or_nan("_claimed_nan", "_claimed").alias("total_claimed_amount"),
         pct_half_up("total_claims", "total_policies").alias("claim_frequency_pct"),
         loss.alias("loss_ratio_pct"),
     )
@@ -240,7 +257,7 @@ def monthly_signups(users: DataFrame) -> DataFrame:
 
 def daily_totals(df: DataFrame, key: str = "date", value: str = "amount") -> DataFrame:
     """Documented simple mart: per day, the total of a money column (exact sum,
-    0 over nulls only, same column name), sorted by day."""
+    0 over nulls only, NaN if one is, same column name), sorted by day."""
     validate(df, [key, value])
-    return (df.groupBy(key).agg(_double(sum_money(value)).alias(value))
+    return (df.groupBy(key).agg(or_nan(has_nan(value), sum_money(value)).alias(value))
             .orderBy(F.col(key).asc_nulls_first()))
