@@ -12,7 +12,7 @@ def test_latest_committed_wins(spark, scratch):
     df = spark.range(10)
     lake.write_batch(df, t, "20240101T000000Z")
     lake.write_batch(df.where("id < 3"), t, "20240102T000000Z")
-    df.write.parquet(f"{t}/batch=20240103T000000Z")  # never committed
+    df.write.parquet(f"{t}/batch=20240103T000000Z/data-1")  # never committed
     with pytest.raises(ValueError, match="empty"):
         lake.write_batch(df.where("id < 0"), t, "20240104T000000Z")
     assert lake.committed_batches(spark, t) == ["20240101T000000Z", "20240102T000000Z"]
@@ -40,7 +40,7 @@ def test_sample_never_picked_as_latest(spark, scratch):
     config = LakeConfig(root=scratch, sample_rows=5)
     path = lake.save(spark.range(100), config, "silver", "t", "20240101T000000Z")
     assert lake.load(spark, config, "silver", "t").count() == 100
-    assert lake.read_latest(spark, lake.sample_table_dir(path.rsplit("/", 1)[0])).count() == 5
+    assert lake.read_latest(spark, lake.sample_table_dir(lake.table_of(path))).count() == 5
     meta = lake.batch_metadata(spark, path)
     assert (meta["row_count"], meta["column_count"], meta["columns"]) == (100, 1, ["id"])
     assert meta["column_types"] == {"id": "bigint"} and meta["file_path"] == path
@@ -192,9 +192,122 @@ def test_landed_files_feed_the_bronze_run(spark, scratch):
         else:
             getattr(df.write, fmt)(path)
         sources[table] = readers.landed(spark, table, path, fmt)
-        assert sources[table].exceptAll(df).isEmpty() and df.exceptAll(sources[table]).isEmpty()
+        got = sources[table].select(df.columns)
+        assert got.exceptAll(df).isEmpty() and df.exceptAll(got).isEmpty()
     out = run_layers(spark, LakeConfig(root=f"{scratch}/lake", sample_enabled=False), sources,
                      layers=("bronze",), stamp="20240101T000000Z")
     assert sorted(out["bronze"]) == ["agents", "claims", "policies"]
     with pytest.raises(ValueError):
         readers.landed(spark, "claims", "/x", "xlsx")
+
+
+def test_failing_and_empty_reruns_leave_the_old_batch(spark, scratch):
+    t, stamp = f"{scratch}/silver/t", "20240101T000000Z"
+    first = lake.write_batch(spark.range(10), t, stamp)
+    bad = spark.range(10).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    for df in (bad, spark.range(0)):
+        with pytest.raises(Exception):
+            lake.write_batch(df, t, stamp)
+        assert lake.latest(spark, t) == first and lake.read_latest(spark, t).count() == 10
+    second = lake.write_batch(spark.range(4), t, stamp)
+    assert lake.latest(spark, t) == second and lake.read_attempt(spark, first).count() == 10
+    assert lake.prune(spark, t) >= 1 and lake.read_latest(spark, t).count() == 4
+
+
+def test_latest_lists_only_what_it_must(spark, scratch, monkeypatch):
+    t = f"{scratch}/silver/t"
+    for day in range(1, 6):
+        lake.write_batch(spark.range(day), t, f"2024010{day}T000000Z")
+    seen = []
+    real = lake._names
+    monkeypatch.setattr(lake, "_names", lambda s, p: seen.append(p) or real(s, p))
+    assert lake.latest(spark, t).startswith(f"{t}/batch=20240105T000000Z/") and len(seen) == 2
+
+
+def test_empty_inputs_are_refused_by_their_marker(spark, scratch):
+    config = LakeConfig(root=scratch, sample_enabled=False)
+    lake.write_batch(spark.range(0), lake.table_path(scratch, "bronze", "claims"), allow_empty=True)
+    with pytest.raises(ValueError, match="empty"):
+        lake.load(spark, config, "bronze", "claims")
+    assert lake.load(spark, config, "bronze", "claims", allow_empty=True).count() == 0
+
+
+def test_scratch_folder_must_be_named():
+    from tiermart.session import shared_dir
+
+    class Unset:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Unset(), "x")
+
+
+def bronze_setup(spark, scratch):
+    from tiermart.sources import proxies
+
+    return (proxies.claims(spark, "/root/testdata/sf0.001"), f"{scratch}/bronze/claims", f"{scratch}/silver/clean_claims",
+            f"{scratch}/ckpt")
+
+
+def test_stream_sees_committed_batches_only(spark, scratch):
+    from tiermart.streaming.incremental import clean_new_batches
+
+    claims, bronze, silver_dir, ckpt = bronze_setup(spark, scratch)
+    claims.write.parquet(f"{bronze}/batch=20240101T000000Z/data-0")
+    lake.write_batch(claims, bronze, "20240102T000000Z")
+    assert clean_new_batches(spark, "claims", bronze, silver_dir, ckpt, "x") == ["20240102T000000Z"]
+    # its commit comes late: the stream takes it up then
+    lake.write_batch(claims, bronze, "20240101T000000Z")
+    assert clean_new_batches(spark, "claims", bronze, silver_dir, ckpt, "x") == ["20240101T000000Z"]
+    assert lake.committed_batches(spark, silver_dir) == ["20240101T000000Z", "20240102T000000Z"]
+    # a re-run of a batch is a commit of its own
+    lake.write_batch(claims.limit(50), bronze, "20240102T000000Z")
+    assert clean_new_batches(spark, "claims", bronze, silver_dir, ckpt, "x") == ["20240102T000000Z"]
+    assert lake.read_latest(spark, silver_dir).count() <= 50
+
+
+@pytest.mark.parametrize("spoil", [
+    lambda df: df.withColumn("claimed_amount", F.lit(0.0)),  # nothing is left
+    lambda df: df.withColumn("claimed_amount", F.lit("twelve")),  # does not cast
+    lambda df: df.drop("claim_number"),  # a cleaned column is missing
+])
+def test_bad_batch_is_recorded_and_passed(spark, scratch, spoil):
+    from tiermart.streaming.incremental import clean_new_batches
+
+    claims, bronze, silver_dir, ckpt = bronze_setup(spark, scratch)
+    lake.write_batch(claims, bronze, "20240101T000000Z")
+    lake.write_batch(spoil(claims), bronze, "20240102T000000Z")
+    lake.write_batch(claims, bronze, "20240103T000000Z")
+    assert clean_new_batches(spark, "claims", bronze, silver_dir, ckpt, "x") == ["20240101T000000Z", "20240103T000000Z"]
+    assert clean_new_batches(spark, "claims", bronze, silver_dir, ckpt, "x") == []
+    rejected = lake.rejected_batches(spark, silver_dir)
+    assert list(rejected) == ["20240102T000000Z"] and rejected["20240102T000000Z"]["reason"]
+    lake.write_batch(claims, bronze, "20240102T000000Z")  # put right
+    assert clean_new_batches(spark, "claims", bronze, silver_dir, ckpt, "x") == ["20240102T000000Z"]
+    assert not lake.rejected_batches(spark, silver_dir)
+
+
+def test_propagation_that_failed_is_made_good(spark, scratch, monkeypatch):
+    from tiermart.plans import pipeline
+    from tiermart.sources import proxies
+    from tiermart.streaming.incremental import propagate
+
+    config = LakeConfig(root=scratch, sample_enabled=False)
+    sources = {t: b(spark, "/root/testdata/sf0.001") for t, b in proxies.BUILDERS.items()}
+    pipeline.run_bronze(sources, config, "x", "20240101T000000Z")
+    real = pipeline.run_steps
+
+    def down(*args):
+        raise RuntimeError("storage is down")
+    monkeypatch.setattr(pipeline, "run_steps", down)
+    with pytest.raises(RuntimeError):
+        propagate(spark, config, "x", "20240101T000001Z")
+    monkeypatch.setattr(pipeline, "run_steps", real)
+    again = propagate(spark, config, "x", "20240101T000002Z")
+    assert again["cleaned"] == {} and len(again["silver"]) == 2 and len(again["gold"]) == 4
+    assert propagate(spark, config, "x") == {"cleaned": {}}
+    # new payments touch the one mart that reads them
+    lake.save(sources["payments"], config, "bronze", "payments", "20240102T000000Z")
+    third = propagate(spark, config, "x", "20240102T000001Z")
+    assert list(third["gold"]) == ["premium_revenue"] and "silver" not in third

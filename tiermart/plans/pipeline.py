@@ -2,13 +2,18 @@
 
 Each step reads the latest committed batch of its inputs, builds one lazy
 plan, and writes one batch (same stamp for the whole run, so a run's
-tables line up). Layer edges are written tables in the lake: they cut the
+tables line up). Steps that do not need each other run side by side from a
+few threads. Layer edges are written tables in the lake: they cut the
 lineage, so a lost executor recomputes from the last written layer, never
-from the raw sources.
+from the raw sources. A batch records which attempts it was made from.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tiermart.plans import gold, silver
@@ -18,50 +23,73 @@ from tiermart.sources.readers import ingest
 
 LAYERS = ("bronze", "silver", "gold")
 TABLES = ("customers", "policies", "claims", "vehicles", "agents", "payments")
+AT_ONCE = 4
 
 
-def run_bronze(sources: dict[str, DataFrame], config: LakeConfig, as_of: str, stamp: str) -> dict[str, str]:
-    """Land each source as a bronze batch."""
-    return {t: lake.save(ingest(df, t, as_of), config, "bronze", t, stamp) for t, df in sources.items()}
+@dataclass(frozen=True)
+class Step:
+    """A table made from silver tables: ``build(*inputs, as_of)``."""
 
+    layer: str
+    name: str
+    inputs: tuple[str, ...]
+    build: Callable[..., DataFrame]
+
+    def current(self, spark: SparkSession, config: LakeConfig) -> dict[str, str]:
+        """Attempts that the inputs' latest batches are."""
+        return {n: lake.load_path(spark, config, "silver", n) for n in self.inputs}
+
+    def run(self, spark: SparkSession, config: LakeConfig, as_of: str, stamp: str) -> str:
+        """Empty inputs raise (by their markers), an empty output raises and commits nothing."""
+        paths = self.current(spark, config)
+        df = self.build(*[lake.read_input(spark, p) for p in paths.values()], as_of)
+        return lake.save(df, config, self.layer, self.name, stamp, inputs=paths)
+
+
+JOINS = (
+    Step("silver", "customer_policies", ("clean_customers", "clean_policies"), silver.customer_policies),
+    Step("silver", "policy_claims", ("clean_policies", "clean_claims"), silver.policy_claims),
+)
+MARTS = (
+    Step("gold", "claims_summary", ("clean_claims",), gold.claims_summary),
+    Step("gold", "premium_revenue", ("clean_policies", "clean_payments"), gold.premium_revenue),
+    Step("gold", "agent_performance", ("clean_agents", "clean_policies", "clean_claims"), gold.agent_performance),
+    Step("gold", "customer_risk", ("customer_policies", "policy_claims"), gold.customer_risk),
+)
 
-def run_silver(spark: SparkSession, config: LakeConfig, as_of: str, stamp: str) -> dict[str, str]:
-    out = {}
-    for t in TABLES:
-        bronze = lake.load(spark, config, "bronze", t)
-        out[f"clean_{t}"] = lake.save(silver.clean(t, bronze, as_of), config, "silver", f"clean_{t}", stamp)
-    out.update(run_silver_joins(spark, config, as_of, stamp))
-    return out
 
+def side_by_side(tasks: dict[str, Callable[[], str]]) -> dict[str, str]:
+    """Run independent steps from a few threads; the first failure is raised when all have ended."""
+    with ThreadPoolExecutor(max_workers=AT_ONCE) as pool:
+        running = {name: pool.submit(task) for name, task in tasks.items()}
+    return {name: job.result() for name, job in running.items()}
 
-def run_silver_joins(spark: SparkSession, config: LakeConfig, as_of: str, stamp: str) -> dict[str, str]:
-    """J1, J2 from the latest cleaned tables."""
-    out = {}
 
-    def s(name):
-        return lake.load(spark, config, "silver", name)
+def run_steps(spark: SparkSession, config: LakeConfig, steps: Iterable[Step], as_of: str, stamp: str) -> dict[str, str]:
+    return side_by_side({s.name: lambda s=s: s.run(spark, config, as_of, stamp) for s in steps})
 
-    out["customer_policies"] = lake.save(
-        silver.customer_policies(s("clean_customers"), s("clean_policies"), as_of), config, "silver",
-        "customer_policies", stamp)
-    out["policy_claims"] = lake.save(
-        silver.policy_claims(s("clean_policies"), s("clean_claims"), as_of), config, "silver",
-        "policy_claims", stamp)
+
+def run_bronze(sources: dict[str, DataFrame], config: LakeConfig, as_of: str, stamp: str) -> dict[str, str]:
+    """Land each source as a bronze batch."""
+    return side_by_side({t: lambda t=t, df=df: lake.save(ingest(df, t, as_of), config, "bronze", t, stamp)
+                         for t, df in sources.items()})
+
+
+def clean_table(spark: SparkSession, config: LakeConfig, table: str, as_of: str, stamp: str) -> str:
+    """C1-C6 from the latest bronze batch."""
+    path = lake.load_path(spark, config, "bronze", table)
+    return lake.save(silver.clean(table, lake.read_input(spark, path), as_of), config, "silver", f"clean_{table}", stamp,
+                     inputs={table: path})
+
+
+def run_silver(spark: SparkSession, config: LakeConfig, as_of: str, stamp: str) -> dict[str, str]:
+    out = side_by_side({f"clean_{t}": lambda t=t: clean_table(spark, config, t, as_of, stamp) for t in TABLES})
+    out.update(run_steps(spark, config, JOINS, as_of, stamp))
     return out
 
 
 def run_gold(spark: SparkSession, config: LakeConfig, as_of: str, stamp: str) -> dict[str, str]:
-    def s(name):
-        return lake.load(spark, config, "silver", name)
-
-    marts = {
-        "claims_summary": lambda: gold.claims_summary(s("clean_claims"), as_of),
-        "premium_revenue": lambda: gold.premium_revenue(s("clean_policies"), s("clean_payments"), as_of),
-        "agent_performance": lambda: gold.agent_performance(s("clean_agents"), s("clean_policies"),
-                                                            s("clean_claims"), as_of),
-        "customer_risk": lambda: gold.customer_risk(s("customer_policies"), s("policy_claims"), as_of),
-    }
-    return {name: lake.save(build(), config, "gold", name, stamp) for name, build in marts.items()}
+    return run_steps(spark, config, MARTS, as_of, stamp)
 
 
 def run_layers(spark: SparkSession, config: LakeConfig, sources: dict[str, DataFrame] | None = None,

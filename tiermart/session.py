@@ -3,7 +3,7 @@
 The library never creates a cluster session on its own: callers pass one.
 ``configure`` only sets what the engine needs for its semantics (UTC,
 ANSI, AQE) and leaves cluster-owned settings (checkpoint dir, shuffle
-partitions on a real cluster) alone unless they are unset.
+partitions on a real cluster) alone.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tiermart") -> SparkSession:
-    """A local session for tests and benchmarks (UI off, no servers)."""
+    """A local session for tests and benchmarks (UI off, no servers), with a scratch folder of its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -38,6 +38,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tierm
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        # One machine: a fresh local folder is shared by all that take part.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tiermart-local-"))
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
@@ -47,14 +49,11 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tierm
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the cluster's shared checkpoint location.
+    """A folder under the shared one that the cluster names in ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we pick a fresh local folder and record it.
+    There is no default: a folder local to the driver would be missed by the executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tiermart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder there that the driver and all executors share")
     return f"{root.rstrip('/')}/tiermart/{name}"

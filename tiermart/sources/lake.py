@@ -1,22 +1,25 @@
-"""Snapshot storage: one dataset directory per table, one sub-directory per batch.
+"""Snapshot storage: one directory per table, one sub-directory per batch, one folder per attempt.
 
 Layout::
 
-    {root}/{layer}/{table}/batch={YYYYMMDDTHHMMSSZ}/part-*.parquet
-                                                   /_SUCCESS     (Spark's job commit)
-                                                   /_COMMITTED   (ours, after validation)
-
-* ``write_batch`` writes a whole batch in one Spark job, counts its rows with
-  an ``Observation`` that rides on that same job (no second pass), refuses an
-  empty result, and only then drops the ``_COMMITTED`` marker. A batch that
-  failed or was empty therefore never becomes visible.
-* ``read_latest`` lists the table directory (driver-side file listing only),
-  keeps batches holding the marker and reads the greatest stamp; the fixed
-  width stamp makes "greatest name" equal "newest". The ``batch`` column is
-  kept (``basePath``), so the read shows up as a partition filter.
-* Re-running a batch with the same stamp overwrites it (idempotent retry).
-* The sample side-copy is taken from the committed batch files, not by
-  re-running the plan, so it costs a read of the first file(s) only.
+    {root}/{layer}/{table}/batch={YYYYMMDDTHHMMSSZ}/data-{attempt}/part-*.parquet
+                                                   /COMMITTED-{attempt}.json
+
+* ``write_batch`` writes an attempt into a folder of its own in one Spark job,
+  counts its rows with an ``Observation`` that rides on that job (no second
+  pass), refuses an empty result, and last of all writes the attempt's marker.
+  A re-run of a batch touches nothing that is there: until its marker appears
+  (one small file, created whole), readers see the attempt before it, and a
+  re-run that fails or is empty leaves that one in place. Attempt names sort by
+  time; the newest committed one is the batch.
+* ``read_latest`` lists the table directory once and goes down from the newest
+  stamp until a batch holds a marker; the fixed-width stamp makes "greatest
+  name" equal "newest".
+* A marker records the output's shape and the attempts that it was made from
+  (``inputs``), so what is out of date can be told from storage alone.
+* The sample side-copy is taken from the committed files, not by re-running
+  the plan, so it costs a read of the first file(s) only.
+* ``prune`` removes attempts that a newer one of the same batch has replaced.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from __future__ import annotations
 import json
 import logging
 import os
+import time
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -40,7 +45,7 @@ ENV_SAMPLE_SIZE = "DUAL_WRITE_SAMPLE_SIZE"
 ENV_DISABLE_SAMPLE = "DISABLE_LOCAL_SAMPLE"
 ENV_FALLBACK = "ADLS_FALLBACK_TO_LOCAL"
 
-MARKER = "_COMMITTED"
+MARKER, REJECTED, DATA = "COMMITTED-", "REJECTED-", "data-"
 BATCH_PREFIX = "batch="
 STAMP_FORMAT = "%Y%m%dT%H%M%SZ"
 BACKENDS = ("local", "adls")
@@ -81,6 +86,11 @@ class LakeConfig:
         )
 
 
+def _brief(exc: Exception) -> str:
+    """First line of an error; Spark's go on with a stack trace."""
+    return str(exc).strip().split("\n", 1)[0]
+
+
 # ---------------------------------------------------------------- paths
 def resolve_path(layer: str, name: str, backend: str = "local", base: str = "data",
                  account: str | None = None, container: str | None = None) -> str:
@@ -129,70 +139,151 @@ def _read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def _new_attempt() -> str:
+    """Names sort by the time an attempt began; the random part tells apart those of one instant."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory; none if it does not exist."""
+    fs, jpath = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
+def _stamps(spark: SparkSession, table_dir: str) -> list[str]:
+    """Stamps of all batch directories, committed or not, newest first: one listing."""
+    return sorted((n[len(BATCH_PREFIX):] for n in _names(spark, table_dir) if n.startswith(BATCH_PREFIX)), reverse=True)
+
+
+def _batch_dir(table_dir: str, stamp: str) -> str:
+    return f"{table_dir.rstrip('/')}/{BATCH_PREFIX}{stamp}"
+
+
+def _attempt(spark: SparkSession, table_dir: str, stamp: str) -> str | None:
+    """Data folder of a batch's newest committed attempt."""
+    batch = _batch_dir(table_dir, stamp)
+    done = [n[len(MARKER):-len(".json")] for n in _names(spark, batch) if n.startswith(MARKER)]
+    return f"{batch}/{DATA}{max(done)}" if done else None
+
+
 def committed_batches(spark: SparkSession, table_dir: str) -> list[str]:
-    """Stamps of the batches of a table that carry the commit marker, oldest first.
+    """Stamps of the batches that hold a commit marker, oldest first (a listing for each batch)."""
+    return [s for s in reversed(_stamps(spark, table_dir)) if _attempt(spark, table_dir, s)]
+
+
+def latest(spark: SparkSession, table_dir: str) -> str | None:
+    """Data folder of the newest committed batch; looks at no more batches than it must."""
+    return next(filter(None, (_attempt(spark, table_dir, s) for s in _stamps(spark, table_dir))), None)
 
-    One glob on the driver (``batch=*/_COMMITTED``), not one call per batch.
-    """
-    fs, jpath = _fs(spark, table_dir)
-    if not fs.exists(jpath):
-        return []
-    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_dir.rstrip('/')}/{BATCH_PREFIX}*/{MARKER}")
-    found = fs.globStatus(pattern) or []
-    return sorted(st.getPath().getParent().getName()[len(BATCH_PREFIX):] for st in found)
+
+def stamp_of(data_path: str) -> str:
+    return data_path.rstrip("/").rsplit("/", 2)[1][len(BATCH_PREFIX):]
+
+
+def table_of(data_path: str) -> str:
+    return data_path.rstrip("/").rsplit("/", 2)[0]
 
 
 # ---------------------------------------------------------------- write (S3)
-def write_batch(df: DataFrame, table_dir: str, stamp: str | None = None, allow_empty: bool = False) -> str:
-    """Write ``df`` as one batch of ``table_dir`` and commit it; returns the batch path."""
+def write_batch(df: DataFrame, table_dir: str, stamp: str | None = None, allow_empty: bool = False,
+                inputs: dict[str, str] | None = None) -> str:
+    """Write ``df`` as an attempt at one batch of ``table_dir`` and commit it; returns the path of its files."""
     if df is None:
         raise ValueError("DataFrame is None")
     validate(df)
-    stamp = stamp or new_stamp()
-    path = f"{table_dir.rstrip('/')}/{BATCH_PREFIX}{stamp}"
-    obs = Observation(f"rows_{abs(hash(path))}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    attempt = _new_attempt()
+    batch = _batch_dir(table_dir, stamp or new_stamp())
+    path = f"{batch}/{DATA}{attempt}"
+    obs = Observation(f"rows_{attempt}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     rows = int(obs.get["rows"])
     if rows == 0 and not allow_empty:
         raise ValueError("DataFrame is empty")
-    spark = df.sparkSession
     meta = {"row_count": rows, "column_count": len(df.columns), "columns": df.columns,
-            "column_types": {f.name: f.dataType.simpleString() for f in df.schema.fields}, "file_path": path}
-    _write_text(spark, f"{path}/{MARKER}", json.dumps(meta))
+            "column_types": {f.name: f.dataType.simpleString() for f in df.schema.fields}, "file_path": path,
+            "inputs": inputs or {}}
+    _write_text(df.sparkSession, f"{batch}/{MARKER}{attempt}.json", json.dumps(meta))
     log.info("committed %s: %d rows x %d columns", path, rows, len(df.columns))  # V4 shape log, no extra job
     return path
 
 
-def batch_metadata(spark: SparkSession, batch_path: str) -> dict:
-    """Output metadata recorded at commit: row_count, column_count, columns, column_types, file_path."""
-    return json.loads(_read_text(spark, f"{batch_path}/{MARKER}"))
+def reject_batch(spark: SparkSession, table_dir: str, stamp: str, reason: str, inputs: dict[str, str]) -> None:
+    """Record that a batch could not be made from ``inputs``, and why. It stays without data."""
+    _write_text(spark, f"{_batch_dir(table_dir, stamp)}/{REJECTED}{_new_attempt()}.json",
+                json.dumps({"reason": reason, "inputs": inputs}))
+    log.warning("rejected %s batch %s: %s", table_dir, stamp, reason)
+
+
+def rejected_batches(spark: SparkSession, table_dir: str) -> dict[str, dict]:
+    """Stamp -> newest rejection (reason, inputs) of the batches that have one and no commit after it."""
+    out = {}
+    for stamp in _stamps(spark, table_dir):
+        names = _names(spark, _batch_dir(table_dir, stamp))
+        no = max((n[len(REJECTED):] for n in names if n.startswith(REJECTED)), default=None)
+        yes = max((n[len(MARKER):] for n in names if n.startswith(MARKER)), default="")
+        if no and no > yes:
+            out[stamp] = json.loads(_read_text(spark, f"{_batch_dir(table_dir, stamp)}/{REJECTED}{no}"))
+    return out
+
+
+def batch_metadata(spark: SparkSession, data_path: str) -> dict:
+    """What the marker records: row_count, column_count, columns, column_types, file_path, inputs."""
+    batch, name = data_path.rstrip("/").rsplit("/", 1)
+    return json.loads(_read_text(spark, f"{batch}/{MARKER}{name[len(DATA):]}.json"))
+
+
+def prune(spark: SparkSession, table_dir: str) -> int:
+    """Delete files of attempts older than their batch's committed one; returns how many folders went.
+
+    For use when no reader can still be on an older attempt. Markers stay.
+    """
+    gone = 0
+    for stamp in _stamps(spark, table_dir):
+        batch, kept = _batch_dir(table_dir, stamp), _attempt(spark, table_dir, stamp)
+        for name in _names(spark, batch):
+            if kept and name.startswith(DATA) and f"{batch}/{name}" < kept:
+                fs, jpath = _fs(spark, f"{batch}/{name}")
+                gone += bool(fs.delete(jpath, True))
+    return gone
 
 
 # ---------------------------------------------------------------- read
-def read_latest(spark: SparkSession, table_dir: str, schema=None, with_batch: bool = False) -> DataFrame:
-    """The newest committed batch of a table (optionally with its ``batch`` column)."""
+def read_attempt(spark: SparkSession, data_path: str, schema=None) -> DataFrame:
+    """One attempt's files."""
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(data_path)
+
+
+def latest_or_raise(spark: SparkSession, table_dir: str) -> str:
     if not isinstance(table_dir, str) or not table_dir.strip():
         raise ValueError("table path must be a non-empty string")
     try:
-        stamps = committed_batches(spark, table_dir)
+        path = latest(spark, table_dir)
     except Exception as exc:  # listing failed: storage unreachable
         raise RuntimeError(f"cannot list {table_dir}: {exc}") from exc
-    if not stamps:
+    if path is None:
         raise FileNotFoundError(f"no committed batch under {table_dir}")
-    reader = spark.read.option("basePath", table_dir)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(f"{table_dir.rstrip('/')}/{BATCH_PREFIX}{stamps[-1]}")
-    return df if with_batch else df.drop("batch")
+    return path
+
+
+def read_latest(spark: SparkSession, table_dir: str, schema=None, with_batch: bool = False,
+                allow_empty: bool = True) -> DataFrame:
+    """The newest committed batch of a table (optionally with its ``batch`` column).
+
+    With ``allow_empty=False`` a batch without rows raises; the count is the marker's, no job runs.
+    """
+    path = latest_or_raise(spark, table_dir)
+    if not allow_empty and batch_metadata(spark, path)["row_count"] == 0:
+        raise ValueError("DataFrame is empty")
+    df = read_attempt(spark, path, schema)
+    return df.withColumn("batch", F.lit(stamp_of(path))) if with_batch else df
 
 
 def read_all(spark: SparkSession, table_dir: str) -> DataFrame:
-    """Every committed batch of a table (e.g. for the incremental silver)."""
-    stamps = committed_batches(spark, table_dir)
-    if not stamps:
+    """Every committed batch of a table, with its ``batch`` column."""
+    paths = [_attempt(spark, table_dir, s) for s in committed_batches(spark, table_dir)]
+    if not paths:
         raise FileNotFoundError(f"no committed batch under {table_dir}")
-    return spark.read.option("basePath", table_dir).parquet(
-        *[f"{table_dir.rstrip('/')}/{BATCH_PREFIX}{s}" for s in stamps])
+    return spark.read.option("basePath", table_dir).option("mergeSchema", True).parquet(*paths)
 
 
 # ---------------------------------------------------------------- sample copy
@@ -201,32 +292,24 @@ def sample_table_dir(table_dir: str) -> str:
     return f"{head}/sample_{tail}"
 
 
-def write_sample(spark: SparkSession, batch_path: str, rows: int = 50) -> str | None:
+def write_sample(spark: SparkSession, data_path: str, rows: int = 50) -> str | None:
     """First ``rows`` rows of a committed batch, as one small file; failures only warn.
 
-    Reads only as many of the batch's files as needed (1, 4, 16, ... files,
-    counted from Parquet footers), so a sample of a huge batch does not
-    start one task per file.
+    A limit reads partitions in turn until it has enough, so a sample of a huge
+    batch starts few tasks.
     """
-    table_dir, batch = batch_path.rstrip("/").rsplit("/", 1)
-    target = f"{sample_table_dir(table_dir)}/{batch}"
+    target = sample_table_dir(table_of(data_path))
     try:
-        files = sorted(spark.read.parquet(batch_path).inputFiles())
-        take = 1
-        while True:
-            head = spark.read.parquet(*files[:take]) if files else spark.read.parquet(batch_path)
-            if take >= len(files) or head.count() >= rows:
-                break
-            take *= 4
-        sample = head.limit(max(rows, 0)).coalesce(1)
-        return write_batch(sample, sample_table_dir(table_dir), batch[len(BATCH_PREFIX):], allow_empty=True)
+        sample = spark.createDataFrame(read_attempt(spark, data_path).limit(max(rows, 0)).toArrow()).coalesce(1)
+        return write_batch(sample, target, stamp_of(data_path), allow_empty=True)
     except Exception as exc:  # a sample is a convenience copy, never fatal
-        print(f"warning: sample copy to {target} failed: {exc}")
+        log.warning("sample copy to %s failed: %s", target, _brief(exc))
         return None
 
 
 # ---------------------------------------------------------------- write/read with fallback
-def save(df: DataFrame, config: LakeConfig, layer: str, table: str, stamp: str | None = None) -> str:
+def save(df: DataFrame, config: LakeConfig, layer: str, table: str, stamp: str | None = None,
+         inputs: dict[str, str] | None = None) -> str:
     """Write a batch to the primary root; optionally fall back, mirror and sample.
 
     * primary write fails: with ``fallback_on_error`` write to the fallback
@@ -241,15 +324,15 @@ def save(df: DataFrame, config: LakeConfig, layer: str, table: str, stamp: str |
     primary = table_path(config.root, layer, table)
     fallback = table_path(config.fallback_root, layer, table) if config.fallback_root else None
     try:
-        path = write_batch(df, primary, stamp)
+        path = write_batch(df, primary, stamp, inputs=inputs)
     except ValueError:
         raise  # empty output or bad arguments: not a storage failure
     except Exception as exc:
         if not (config.fallback_on_error and fallback):
             raise RuntimeError(f"write to {primary} failed and fallback is off: {exc}") from exc
-        print(f"warning: write to {primary} failed, writing to {fallback}: {exc}")
+        log.warning("write to %s failed, writing to %s: %s", primary, fallback, _brief(exc))
         try:
-            path = write_batch(df, fallback, stamp)
+            path = write_batch(df, fallback, stamp, inputs=inputs)
         except ValueError:
             raise
         except Exception as exc2:
@@ -257,23 +340,34 @@ def save(df: DataFrame, config: LakeConfig, layer: str, table: str, stamp: str |
     else:
         if config.fallback_on_error and fallback:
             try:  # the mirror copy is a convenience: its failure is not fatal
-                write_batch(spark.read.parquet(path), fallback, stamp)
+                write_batch(read_attempt(spark, path), fallback, stamp, inputs=inputs)
             except Exception as exc:
-                print(f"warning: mirror copy to {fallback} failed: {exc}")
+                log.warning("mirror copy to %s failed: %s", fallback, _brief(exc))
     if config.sample_enabled:
         write_sample(spark, path, config.sample_rows)
     return path
 
 
-def load(spark: SparkSession, config: LakeConfig, layer: str, table: str, schema=None) -> DataFrame:
-    """Latest batch from the primary root; on any failure, from the fallback root."""
+def load(spark: SparkSession, config: LakeConfig, layer: str, table: str, schema=None,
+         allow_empty: bool = False) -> DataFrame:
+    """Latest batch from the primary root; if that cannot be read, from the fallback root.
+
+    An empty batch raises ValueError (its marker tells), unless it is allowed.
+    """
+    return read_input(spark, load_path(spark, config, layer, table), schema, allow_empty)
+
+
+def load_path(spark: SparkSession, config: LakeConfig, layer: str, table: str) -> str:
+    """Data folder of the batch that ``load`` reads."""
     try:
-        return read_latest(spark, table_path(config.root, layer, table), schema)
+        return latest_or_raise(spark, table_path(config.root, layer, table))
     except Exception:
         if not config.fallback_root:
             raise
-        return read_latest(spark, table_path(config.fallback_root, layer, table), schema)
+        return latest_or_raise(spark, table_path(config.fallback_root, layer, table))
 
 
-def landing_dir(config: LakeConfig, layer: str, table: str) -> str:
-    return table_path(config.root, layer, table)
+def read_input(spark: SparkSession, data_path: str, schema=None, allow_empty: bool = False) -> DataFrame:
+    if not allow_empty and batch_metadata(spark, data_path)["row_count"] == 0:
+        raise ValueError("DataFrame is empty")
+    return read_attempt(spark, data_path, schema)

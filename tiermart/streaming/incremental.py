@@ -1,48 +1,57 @@
-"""New bronze batch -> cleaned silver batch, effectively once.
-
-A file stream over the bronze table directory (declared schema including the
-``batch`` partition column) with ``availableNow``: each run processes what
-has landed since the checkpoint and stops. For every bronze batch touched by
-a micro-batch, ``foreachBatch`` re-reads that *whole* bronze batch and writes
-silver batch ``clean(bronze batch)`` under the same stamp, overwriting.
-
-Why re-read the whole batch: a batch whose files become visible over two
-micro-batches (a listing during the write's commit) would otherwise be
-written twice, the second time with only its late files. Overwriting with the
-full batch makes every replay idempotent and complete, so at-least-once
-``foreachBatch`` delivery yields exactly-once results, and "latest silver" is
-always ``clean(latest bronze)``.
+"""New bronze batch -> cleaned silver batch -> joins and marts, losing nothing.
+
+``clean_new_batches`` is a file stream over a bronze table's *commit markers*
+with ``availableNow``: each run takes up the commits since the checkpoint and
+stops. Data without a marker is never seen, whenever its files appeared. For
+each commit the *whole* bronze batch is read and ``clean(bronze batch)``
+is written as a new attempt at the silver batch of the same stamp, so a replay
+after a crash is idempotent and "latest silver" is ``clean(latest bronze)``.
+
+A batch that cannot be cleaned (nothing is left of it, a column is missing, a
+value does not cast) is recorded as rejected, with the reason, and the stream
+goes on; storage failures end the run and are replayed by the next one.
+
+``propagate`` then decides from stored state which joins and marts are out of
+date: every batch's marker names the attempts that it was made from. A run that
+failed half way is thus made good by the next, whatever the stream has left to do.
 """
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException, ArithmeticException, DateTimeException, NumberFormatException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tiermart.plans import silver
-from tiermart.sources import lake, schemas
+from tiermart.sources import lake
 from tiermart.sources.lake import LakeConfig
 
-
-def _bronze_schema(table: str) -> StructType:
-    return StructType(schemas.BRONZE[table].fields + [StructField("batch", StringType(), True)])
+# What a batch's own content can cause, and a replay would meet again.
+BAD_BATCH = (ValueError, AnalysisException, ArithmeticException, DateTimeException, NumberFormatException)
 
 
 def clean_new_batches(spark: SparkSession, table: str, bronze_dir: str, silver_dir: str, checkpoint: str,
                       as_of: str) -> list[str]:
-    """Process every bronze batch landed since the last run; returns the stamps written."""
+    """Clean every bronze batch committed since the last run; returns the stamps written."""
     written: list[str] = []
 
     def process(micro: DataFrame, epoch_id: int) -> None:
-        # Only the partition column is read here: the set of touched batches is tiny.
-        stamps = sorted(r[0] for r in micro.select("batch").distinct().collect() if r[0] is not None)
-        for stamp in stamps:
-            whole = spark.read.schema(schemas.BRONZE[table]).parquet(f"{bronze_dir}/{lake.BATCH_PREFIX}{stamp}")
-            lake.write_batch(silver.clean(table, whole, as_of), silver_dir, stamp)
-            written.append(stamp)
+        # One row for each new commit. Of several commits of a batch in one go the last one counts.
+        markers = sorted(json.loads(r[0])["file_path"] for r in micro.select("value").collect())
+        for path in {lake.stamp_of(p): p for p in markers}.values():
+            stamp = lake.stamp_of(path)
+            try:
+                lake.write_batch(silver.clean(table, lake.read_attempt(spark, path), as_of), silver_dir, stamp,
+                                 inputs={table: path})
+            except BAD_BATCH as exc:
+                lake.reject_batch(spark, silver_dir, stamp, f"{type(exc).__name__}: {exc}"[:2000], {table: path})
+            else:
+                written.append(stamp)
 
     query = (
-        spark.readStream.schema(_bronze_schema(table)).option("basePath", bronze_dir).parquet(bronze_dir)
+        spark.readStream.schema("value string").option("wholetext", True)
+        .option("pathGlobFilter", f"{lake.MARKER}*.json").text(f"{bronze_dir.rstrip('/')}/{lake.BATCH_PREFIX}*")
         .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -54,28 +63,45 @@ def clean_new_batches(spark: SparkSession, table: str, bronze_dir: str, silver_d
     return written
 
 
+def outdated(spark: SparkSession, config: LakeConfig, step) -> bool:
+    """Is the step's latest batch made from other attempts than its inputs' latest ones? (None yet: yes.)
+
+    A step with an input that has no batch cannot be made and is not outdated.
+    """
+    try:
+        current = step.current(spark, config)
+    except FileNotFoundError:
+        return False
+    made = lake.latest(spark, lake.table_path(config.root, step.layer, step.name))
+    return made is None or lake.batch_metadata(spark, made)["inputs"] != current
+
+
 def propagate(spark: SparkSession, config: LakeConfig, as_of: str, stamp: str | None = None) -> dict:
     """Eager propagation: new bronze batches -> cleaned silver -> joined silver -> gold.
 
-    Each bronze table is cleaned incrementally (one silver batch per new
-    bronze batch, checkpoints under ``{root}/_checkpoints``). Only if some
-    table received a new batch are the joined silver tables and the marts
-    rebuilt from the latest batches; otherwise nothing is written.
+    Returns the stamps cleaned, the batches rejected, and the joins and marts rebuilt
+    (only those whose inputs have moved on; keys are left out where there is nothing).
     """
-    from tiermart.plans.pipeline import TABLES, run_gold, run_silver_joins
+    from tiermart.plans.pipeline import JOINS, MARTS, TABLES, run_steps
 
-    new: dict[str, list[str]] = {}
+    result: dict = {"cleaned": {}}
+    rejected = {}
     for t in TABLES:
-        bronze_dir = lake.table_path(config.root, "bronze", t)
-        if not lake.committed_batches(spark, bronze_dir):
+        bronze_dir, silver_dir = (lake.table_path(config.root, layer, name)
+                                  for layer, name in (("bronze", t), ("silver", f"clean_{t}")))
+        if lake.latest(spark, bronze_dir) is None:
             continue
-        written = clean_new_batches(spark, t, bronze_dir, lake.table_path(config.root, "silver", f"clean_{t}"),
+        written = clean_new_batches(spark, t, bronze_dir, silver_dir,
                                     f"{config.root.rstrip('/')}/_checkpoints/clean_{t}", as_of)
         if written:
-            new[t] = written
-    result: dict = {"cleaned": new}
-    if new:
-        stamp = stamp or lake.new_stamp()
-        result["silver"] = run_silver_joins(spark, config, as_of, stamp)
-        result["gold"] = run_gold(spark, config, as_of, stamp)
+            result["cleaned"][t] = written
+        if bad := lake.rejected_batches(spark, silver_dir):
+            rejected[t] = {s: r["reason"] for s, r in bad.items()}
+    if rejected:
+        result["rejected"] = rejected
+    stamp = stamp or lake.new_stamp()
+    for name, steps in (("silver", JOINS), ("gold", MARTS)):
+        due = [s for s in steps if outdated(spark, config, s)]
+        if due:
+            result[name] = run_steps(spark, config, due, as_of, stamp)
     return result
