@@ -36,9 +36,12 @@ def strip(c) -> Column:
 
 
 def title_case(c) -> Column:
+    """Plain ASCII words separated by spaces go through ``initcap``, which agrees there; anything else
+    through the exact rule. The higher-order function keeps the projection outside whole-stage
+    codegen either way, but runs only on the values that need it."""
     words = F.split(F.lower(_c(c)), _WORD_START)
     capitalised = F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substr(w, F.lit(2))))
-    return F.array_join(capitalised, "")
+    return F.when(_c(c).rlike("^[A-Za-z0-9 ]*$"), F.initcap(_c(c))).otherwise(F.array_join(capitalised, ""))
 
 
 def digits_only(c) -> Column:

@@ -4,8 +4,9 @@ A ``CleanSpec`` lists, per column, one string rule and then one or more
 cast groups. Each group is one ``withColumns`` call, so a group sees only
 the output of the previous group (never its own siblings), and filters
 run after all casts and roundings: a premium of 0.004 first rounds to 0.00
-and is then dropped. Everything is a narrow, codegen-able projection; the
-plan is scan -> project -> filter with no shuffle.
+and is then dropped. Everything is a narrow projection; the plan is
+scan -> project -> filter with no shuffle. A title-case column keeps its
+projection outside whole-stage codegen (see ``functions.text``).
 """
 
 from __future__ import annotations
@@ -64,12 +65,13 @@ class CleanSpec:
 
 
 def apply_spec(df: DataFrame, spec: CleanSpec) -> DataFrame:
+    """Every column that a rule names must be there; columns that no rule names go through as they are."""
     validate(df, spec.required)
-    present = set(df.columns)
+    validate(df, [*spec.strings, *(c for group in spec.cast_groups for c in group)])
     if spec.strings:
-        df = df.withColumns({c: _RULES[r](F.col(c)) for c, r in spec.strings.items() if c in present})
+        df = df.withColumns({c: _RULES[r](F.col(c)) for c, r in spec.strings.items()})
     for group in spec.cast_groups:
-        df = df.withColumns({c: cast.apply(F.col(c)) for c, cast in group.items() if c in present})
+        df = df.withColumns({c: cast.apply(F.col(c)) for c, cast in group.items()})
     for predicate in spec.filters:
         df = df.where(predicate())
     for group in spec.post:

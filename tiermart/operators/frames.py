@@ -8,24 +8,39 @@ from pyspark.sql.types import NumericType
 
 # Strftime directives and their Java DateTimeFormatter equivalents.
 STRFTIME_TO_JAVA = {
-    "%Y": "yyyy", "%y": "yy", "%m": "MM", "%d": "dd", "%H": "HH", "%I": "hh", "%M": "mm",
-    "%S": "ss", "%f": "SSSSSS", "%p": "a", "%b": "MMM", "%B": "MMMM", "%a": "EEE", "%A": "EEEE",
-    "%j": "DDD", "%z": "Z", "%Z": "z", "%%": "%",
+    "Y": "yyyy", "y": "yy", "m": "MM", "d": "dd", "H": "HH", "I": "hh", "M": "mm",
+    "S": "ss", "f": "SSSSSS", "3f": "SSS", "6f": "SSSSSS", ".f": "[.SSSSSS]", ".3f": ".SSS", ".6f": ".SSSSSS", "p": "a",
+    "b": "MMM", "h": "MMM", "B": "MMMM", "a": "EEE", "A": "EEEE", "j": "DDD", "z": "Z", "Z": "z",
+    "F": "yyyy-MM-dd", "T": "HH:mm:ss", "R": "HH:mm", "D": "MM/dd/yy", "%": "%",
 }
 
 
 def java_pattern(fmt: str) -> str:
-    """Translate a strftime pattern to a Spark datetime pattern."""
-    out, i = [], 0
+    """Translate a strftime pattern to a Spark datetime pattern; text is quoted, an unknown directive raises."""
+    out, text, i = [], "", 0
+
+    def flush() -> None:
+        nonlocal text
+        if text:
+            plain = all(not ch.isalpha() and ch not in "'[]{}#" for ch in text)
+            out.append(text if plain else "'" + text.replace("'", "''") + "'")
+            text = ""
+
     while i < len(fmt):
-        token = fmt[i:i + 2]
-        if token in STRFTIME_TO_JAVA:
-            out.append(STRFTIME_TO_JAVA[token])
-            i += 2
+        if fmt[i] != "%":
+            text += fmt[i]
+            i += 1
             continue
-        ch = fmt[i]
-        out.append(f"'{ch}'" if ch.isalpha() else ch)
-        i += 1
+        name = next((fmt[i + 1:i + 1 + n] for n in (3, 2, 1) if fmt[i + 1:i + 1 + n] in STRFTIME_TO_JAVA), None)
+        if name is None:
+            raise ValueError(f"unsupported datetime directive {fmt[i:i + 2]!r} in {fmt!r}")
+        if name == "%":
+            text += "%"
+        else:
+            flush()
+            out.append(STRFTIME_TO_JAVA[name])
+        i += 1 + len(name)
+    flush()
     return "".join(out)
 
 

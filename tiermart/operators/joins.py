@@ -41,38 +41,21 @@ def left_join_skew_safe(left: DataFrame, right: DataFrame, on: str, suffix: str
     ``left LEFT JOIN right`` as
 
         (left INNER JOIN right)  UNION ALL  (left ANTI JOIN distinct right keys, null-padded)
+        UNION ALL (left rows without a key, null-padded)
 
     The inner join lets AQE split a hot key on either side; the anti join
     sees at most one row per key on the right (pre-aggregated map-side), so
     no task ever buffers a hot key's rows. Same rows as the plain left join.
+
+    Rows without a key are taken out first: both joins then read the very same
+    filtered left side, and its scan and shuffle are done once and reused.
     """
     r = _renamed_right(left, right, on, suffix)
-    matched = suffix_join(left, right, on, "inner", suffix, strategy)
+    keyed = left.where(F.col(on).isNotNull())
+    matched = suffix_join(keyed, right, on, "inner", suffix, strategy)
     keys = r.select(on).where(F.col(on).isNotNull()).distinct()
-    unmatched = (left.hint(strategy) if strategy else left).join(keys, on=on, how="left_anti")
+    unmatched = (keyed.hint(strategy) if strategy else keyed).join(keys, on=on, how="left_anti")
+    unmatched = unmatched.select(*[F.col(f"`{c}`") for c in left.columns]).union(left.where(F.col(on).isNull()))
     padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in r.schema.fields if f.name != on]
     padded = unmatched.select(*[F.col(f"`{c}`") for c in left.columns], *padding)
     return matched.unionByName(padded)
-
-
-# A dimension is broadcast only after its size is proven: at most this many rows.
-BROADCAST_MAX_ROWS = 10_000
-
-
-_PROVEN: dict[tuple, bool] = {}
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for a side proven to hold at most ``max_rows`` rows.
-
-    The proof reads at most ``max_rows + 1`` rows (a limit, not a scan).
-    Beyond the bound the side is returned unhinted, and the planner / adaptive
-    execution choose from measured sizes. Use for low-cardinality dimensions
-    whose join key would otherwise send the big side to a handful of tasks.
-    A proof is remembered per session for the same plan over the same files
-    (new files under the dimension mean a new proof).
-    """
-    key = (df.sparkSession, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    if key not in _PROVEN:
-        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _PROVEN[key] else df

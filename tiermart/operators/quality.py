@@ -1,9 +1,10 @@
 """Structural checks and output profiles.
 
 ``validate`` is a driver-side schema check (no Spark job). Emptiness is
-checked only where it is cheap: on inputs via ``isEmpty`` (stops at the
-first row) or on outputs through an ``Observation`` that rides on the write
-job (see ``tiermart.sources.lake``), never by a second full pass.
+checked where it costs nothing: a step's inputs by the row count in their
+commit marker, its output through the ``Observation`` that rides on the
+write job (both in ``tiermart.sources.lake``). ``check_empty`` is for a
+DataFrame that is no stored table; it stops at the first row.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 def validate(df: DataFrame | None, required: list[str] | tuple[str, ...] | None = None,
              check_empty: bool = False) -> None:
+    # The three error texts, which callers of the steps may match.
     if df is None:
         raise ValueError("DataFrame is None")
     if required:

@@ -23,6 +23,7 @@ DOUBLE, INT, DATE, DATETIME = "double", "int", "date", "timestamp_ntz"
 # scale either.
 SORTED_JOIN = "shuffle_merge"
 
+# Fixed values in the six specs below: required columns, column types and bounds of the tables' contract.
 CUSTOMERS = CleanSpec(
     name="customers",
     required=("customer_id", "first_name", "last_name", "email", "join_date"),

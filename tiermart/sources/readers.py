@@ -1,40 +1,45 @@
 """Landed-file readers and bronze ingestion.
 
-Reads always use a declared schema: no inference pass over the data, and a
-changed upstream type fails at read time instead of changing results.
+Bronze keeps data as it is: every column of a landed file is read. Declared columns get their
+declared type, others the file's own (text in CSV), and a changed upstream type fails at read
+time instead of changing results. What columns there are is always the file's word (CSV header,
+JSON records, Parquet footer), so a missing required column is noticed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tiermart.operators.quality import validate
+from tiermart.plans.silver import SPECS
 from tiermart.sources import schemas
 
-# Required columns checked on every bronze table before it is written.
-REQUIRED = {
-    "customers": ("customer_id", "first_name", "last_name", "email", "join_date"),
-    "policies": ("policy_id", "customer_id", "policy_type", "premium", "status"),
-    "claims": ("claim_id", "policy_id", "claim_type", "claimed_amount", "status"),
-    "vehicles": ("vehicle_id", "policy_id", "vin", "make", "model", "year"),
-    "agents": ("agent_id", "first_name", "last_name", "email", "region"),
-    "payments": ("payment_id", "policy_id", "amount", "payment_date", "status"),
-}
-
-
 # Raw (bronze) text keeps its padding: cleaning is silver's job.
 CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    "quote": '"',
+    "escape": '"',
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
-    """CSV with a declared schema; a malformed value fails the read (FAILFAST)."""
-    return (spark.read.schema(schema).options(**CSV_OPTIONS).option("header", header)
+def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True,
+             multi_line: bool = False) -> DataFrame:
+    """CSV, columns matched by header; a malformed value, or a file with another header, fails the read.
+
+    Standard quoting: a quote inside quotes is doubled. With ``multi_line`` quoted values may
+    hold line breaks; such files cannot be split, so a file is then one task. Without a header
+    the columns are ``schema``'s, in order.
+    """
+    options = {**CSV_OPTIONS, "header": header, "multiLine": multi_line}
+    if header:  # the first line only, no pass over the data
+        declared = {f.name: f for f in schema.fields}
+        names = spark.read.options(**options).csv(path).columns
+        schema = StructType([declared.get(n, StructField(n, StringType())) for n in names])
+    return (spark.read.schema(schema).options(**options).option("enforceSchema", not header)
             .option("mode", "FAILFAST").csv(path))
 
 
@@ -43,37 +48,38 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.options(**CSV_OPTIONS).option("header", header).csv(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """JSON lines with a declared (possibly nested) schema."""
+def read_json(spark: SparkSession, path: str, schema: StructType, undeclared: bool = True) -> DataFrame:
+    """JSON lines. Fields not declared are kept with the type their values show, for which the
+    records are read once more; ``undeclared=False`` reads the declared ones only, present or not."""
+    if undeclared:
+        declared = {f.name: f for f in schema.fields}
+        found = spark.read.json(path).schema
+        schema = StructType([declared.get(f.name, f) for f in found.fields])
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def _flat_columns(schema: StructType, prefix: str, sep: str) -> list[Column]:
+def _flat_columns(schema: StructType, path: tuple[str, ...], sep: str) -> list[Column]:
     cols: list[Column] = []
     for field in schema.fields:
-        name = f"{prefix}{sep}{field.name}" if prefix else field.name
+        here = (*path, field.name)
         if isinstance(field.dataType, StructType):
-            cols.extend(_flat_columns(field.dataType, name, sep))
+            cols.extend(_flat_columns(field.dataType, here, sep))
         else:
-            path = ".".join(f"`{part}`" for part in name.split(sep)) if sep == "." else None
-            col = F.col(path) if path else _nested(name.split(sep))
-            cols.append(col.alias(name))
+            cols.append(_nested(here).alias(sep.join(here)))
     return cols
 
 
-def _nested(parts: list[str]) -> Column:
-    col = F.col(f"`{parts[0]}`")
-    for part in parts[1:]:
-        col = col.getField(part)
-    return col
+def _nested(path: tuple[str, ...]) -> Column:
+    """A nested field by its path; names may hold any character."""
+    return F.col(".".join("`" + part.replace("`", "``") + "`" for part in path))
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """Nested structs -> flat columns named ``parent<sep>child`` (arrays stay as they are).
 
-    A projection only: no shuffle, and nested-field pruning reaches the scan.
+    A projection only: no shuffle, and nested-field pruning reaches the scan. Names may contain ``sep``.
     """
-    return df.select(*_flat_columns(df.schema, "", sep))
+    return df.select(*_flat_columns(df.schema, (), sep))
 
 
 def jdbc_options(url: str, query: str, partition_column: str | None = None, lower_bound: int | None = None,
@@ -107,26 +113,25 @@ def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select and strictly cast to a declared schema (missing columns fail)."""
-    validate(df, [f.name for f in schema.fields if f.name != "fetched_at"])
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in df.columns
-                       else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Strictly cast the declared columns that ``df`` has; other columns stay as they are."""
+    declared = {f.name: f.dataType for f in schema.fields}
+    return df.select(*[F.col(f"`{c}`").cast(declared[c]).alias(c) if c in declared else F.col(f"`{c}`")
+                       for c in df.columns])
 
 
-def landed(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Landed files of one bronze table, read with its declared schema (``fetched_at`` is added at ingest)."""
+def landed(spark: SparkSession, table: str, path: str, fmt: str = "parquet", multi_line: bool = False) -> DataFrame:
+    """Landed files of one bronze table (``fetched_at`` is added at ingest)."""
     schema = StructType([f for f in schemas.BRONZE[table].fields if f.name != "fetched_at"])
     if fmt == "csv":
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, multi_line=multi_line)
     if fmt == "json":
         return read_json(spark, path, schema)
     if fmt == "parquet":
-        return spark.read.schema(schema).parquet(path)
+        return conform(spark.read.parquet(path), schema)
     raise ValueError(f"unsupported landing format {fmt!r} (csv, json, parquet)")
 
 
 def ingest(df: DataFrame, table: str, as_of: str) -> DataFrame:
-    """Landed rows -> bronze table shape, stamped ``fetched_at``, checked."""
-    out = conform(df, schemas.BRONZE[table]).withColumn("fetched_at", F.lit(as_of))
-    validate(out, REQUIRED[table])
-    return out
+    """Landed rows, whole, with declared types, stamped ``fetched_at``; required columns must be there."""
+    validate(df, SPECS[table].required)
+    return conform(df, schemas.BRONZE[table]).withColumn("fetched_at", F.lit(as_of))
