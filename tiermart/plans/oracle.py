@@ -11,32 +11,16 @@ rounding, means and ratios by integer arithmetic (HUGEINT).
 
 from __future__ import annotations
 
-from tiermart.functions.text import UNICODE_WHITESPACE
-from tiermart.sources.proxies import (
-    AGENT_STATUSES,
-    AS_OF,
-    CLAIM_STATUSES,
-    CLAIM_TYPES,
-    DEDUCTIBLES,
-    ENGINES,
-    N_AGENTS,
-    OCCUPATIONS,
-    PAYMENT_METHODS,
-    REG_STATES,
-    SPECIALTIES,
-)
+AS_OF = "2024-01-01T00:00:00+00:00"
+N_AGENTS = 97
+# Unicode White_Space, stated here on its own: single code points and ranges, by number.
+UNICODE_WHITESPACE = "".join(chr(c) for low, high in (
+    (9, 13), (32, 32), (133, 133), (160, 160), (5760, 5760), (8192, 8202), (8232, 8233), (8239, 8239), (8287, 8287),
+    (12288, 12288)) for c in range(low, high + 1))
 
 STAMP = f"'{AS_OF}'"
 
 
-def _list(values) -> str:
-    return "[" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + "]"
-
-
-def pick(values, idx: str) -> str:
-    return f"{_list(values)}[(({idx}) % {len(values)}) + 1]"
-
-
 def ws_trim(x: str) -> str:
     return f"trim({x}, '{UNICODE_WHITESPACE}')"
 
@@ -81,45 +65,45 @@ BRONZE = {
     "bronze_policies": f"""
 SELECT o_orderkey AS policy_id,
        ' pol-' || CAST(o_orderkey AS VARCHAR) || ' ' AS policy_number,
-       o_custkey AS customer_id,
-       o_orderkey % {N_AGENTS} AS agent_id,
+       CASE WHEN o_orderkey % 89 <> 0 THEN o_custkey END AS customer_id,
+       CASE WHEN o_orderkey % 83 <> 0 THEN o_orderkey % {N_AGENTS} END AS agent_id,
        lower(o_orderpriority) || chr(9) AS policy_type,
        ' ' || o_orderstatus || ' ' AS coverage_type,
        CASE WHEN o_orderkey % 13 = 0 THEN o_totalprice + CAST(0.004 AS DOUBLE) ELSE o_totalprice END AS premium,
        CASE WHEN o_orderkey % 50 = 0 THEN CAST(0 AS DOUBLE) ELSE o_totalprice * CAST(10 AS DOUBLE) END AS coverage_amount,
-       CAST({pick(DEDUCTIBLES, 'o_orderkey')} AS BIGINT) AS deductible,
+       CAST(100 * (1 + o_orderkey % 6) AS BIGINT) AS deductible,
        o_orderdate AS start_date,
        o_orderdate + INTERVAL 365 DAY AS end_date,
-       CASE o_orderstatus WHEN 'F' THEN 'Expired' WHEN 'O' THEN 'Active' ELSE 'Pending' END AS status,
+       o_orderstatus AS status,
        {STAMP} AS fetched_at
 FROM orders""",
     "bronze_claims": f"""
 SELECT l_orderkey * 8 + l_linenumber AS claim_id,
-       l_orderkey AS policy_id,
+       CASE WHEN (l_orderkey * 8 + l_linenumber) % 101 <> 0 THEN l_orderkey END AS policy_id,
        'clm-' || CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS claim_number,
-       ' ' || {pick(CLAIM_TYPES, 'l_linenumber')} AS claim_type,
+       ' ' || lower(l_linestatus) || CASE l_linenumber % 3 WHEN 0 THEN '-line ' WHEN 1 THEN '''line ' ELSE ' line ' END
+           || CAST(l_linenumber AS VARCHAR) AS claim_type,
        l_shipdate AS incident_date,
        l_shipdate + INTERVAL 3 DAY AS reported_date,
        CASE WHEN l_discount = 0 THEN CAST(0 AS DOUBLE) ELSE l_extendedprice END AS claimed_amount,
-       CASE WHEN st IN ('Approved', 'Settled') THEN l_extendedprice * CAST(0.8 AS DOUBLE)
-            WHEN st = 'Denied' THEN CAST(0 AS DOUBLE) END AS approved_amount,
-       st AS status,
+       CASE WHEN l_linestatus = 'O' THEN NULL WHEN l_partkey % 5 = 0 THEN CAST(0 AS DOUBLE)
+            ELSE l_extendedprice * CAST(0.75 AS DOUBLE) END AS approved_amount,
+       l_linestatus || CAST(l_partkey % 5 AS VARCHAR) AS status,
        'line ' || CAST(l_linenumber AS VARCHAR) || ' of order ' || CAST(l_orderkey AS VARCHAR) AS description,
        {STAMP} AS fetched_at
-FROM (SELECT *, {pick(CLAIM_STATUSES, 'l_partkey')} AS st FROM lineitem WHERE l_returnflag = 'R')""",
+FROM lineitem WHERE l_returnflag = 'R'""",
     "bronze_payments": f"""
 SELECT l_orderkey * 8 + l_linenumber AS payment_id,
-       l_orderkey AS policy_id,
+       CASE WHEN (l_orderkey * 8 + l_linenumber) % 103 <> 0 THEN l_orderkey END AS policy_id,
        ' pay-' || CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS payment_number,
        l_shipdate AS payment_date,
-       CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2)
-            + CAST(0.003 AS DECIMAL(4,3)) AS DOUBLE) AS amount,
-       {pick(PAYMENT_METHODS, 'l_suppkey')} || ' ' AS payment_method,
+       CASE WHEN l_partkey % 97 = 0 THEN CAST(0 AS DOUBLE) ELSE
+            CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2)
+            + CAST(0.003 AS DECIMAL(4,3)) AS DOUBLE) END AS amount,
+       'way-' || lower(l_linestatus) || CAST(l_suppkey % 4 AS VARCHAR) || ' ' AS payment_method,
        CASE WHEN l_returnflag = 'A' AND l_orderkey % 23 = 0 THEN 'completed'
             WHEN l_returnflag = 'A' THEN 'Completed'
-            WHEN l_linenumber % 3 = 0 THEN 'Failed'
-            WHEN l_linenumber % 3 = 1 THEN 'Pending'
-            ELSE 'Refunded' END AS status,
+            ELSE 'Step ' || CAST(l_linenumber % 3 AS VARCHAR) END AS status,
        'txn-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id,
        ' ref' || CAST(l_partkey AS VARCHAR) AS reference_number,
        {STAMP} AS fetched_at
@@ -137,25 +121,25 @@ SELECT c_custkey AS customer_id,
        lower(n_name) AS city,
        ' ' || lower(substr(r_name, 1, 2)) AS state,
        ' ' || lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') || ' ' AS zip_code,
-       {pick(OCCUPATIONS, 'c_custkey')} AS occupation,
+       lower(c_mktsegment) || CASE c_custkey % 3 WHEN 0 THEN '-hand ' WHEN 1 THEN ' o''hara' ELSE ' ' END AS occupation,
        CAST(30000 AS DOUBLE) + c_acctbal * CAST(10 AS DOUBLE) AS annual_income,
        CAST(280 + (c_custkey * 7) % 600 AS BIGINT) AS credit_score,
        TIMESTAMP '2019-01-01 00:00:00' + CAST(c_custkey % 1800 AS INTEGER) * INTERVAL 1 DAY AS join_date,
        {STAMP} AS fetched_at
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     "bronze_agents": f"""
-SELECT s_suppkey AS agent_id,
+SELECT CASE WHEN s_suppkey % 31 <> 0 THEN s_suppkey END AS agent_id,
        lower(s_name) AS first_name,
        ' ' || lower(n_name) AS last_name,
        ' Agent' || CAST(s_suppkey AS VARCHAR) || '@Agency.Example ' AS email,
        '(555) 01-' || CAST(s_suppkey AS VARCHAR) AS phone,
        lower(r_name) AS region,
-       {pick(SPECIALTIES, 's_suppkey')} AS specialty,
+       lower(r_name) || '-' || CAST(s_suppkey % 5 AS VARCHAR) AS specialty,
        'lic-' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS license_number,
        CASE WHEN s_suppkey % 29 = 0 THEN NULL
             ELSE CAST(5 + s_suppkey % 11 AS DOUBLE) / CAST(100 AS DOUBLE) END AS commission_rate,
        TIMESTAMP '2010-01-01 00:00:00' + CAST(s_suppkey % 3000 AS INTEGER) * INTERVAL 1 DAY AS hire_date,
-       {pick(AGENT_STATUSES, 's_suppkey')} AS status,
+       'Grade ' || CAST(s_suppkey % 3 AS VARCHAR) AS status,
        {STAMP} AS fetched_at
 FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     "bronze_vehicles": f"""
@@ -168,8 +152,8 @@ SELECT p_partkey AS vehicle_id,
        lower(p_type) AS vehicle_type,
        split_part(p_name, ' ', 1) AS color,
        CAST(p_size * 3000 AS BIGINT) AS mileage,
-       {pick(ENGINES, 'p_partkey')} AS engine_type,
-       {pick(REG_STATES, 'p_partkey')} AS registration_state,
+       lower(p_type) || '-' || CAST(p_partkey % 4 AS VARCHAR) AS engine_type,
+       ' ' || lower(substr(p_type, 1, 2)) AS registration_state,
        DATE '2025-01-01' + p_size AS registration_expiry,
        {STAMP} AS fetched_at
 FROM part""",
@@ -402,8 +386,8 @@ ORACLE: dict[str, str] = {
     "gold_customer_risk": GOLD_CUSTOMER_RISK,
     "gold_customer_risk_layered": GOLD_CUSTOMER_RISK,
     "daily_metrics": f"""
-SELECT CAST(ts AS DATE) AS date, {_n_unique('user_id')} AS unique_users, count(event_type) AS total_events
-FROM events GROUP BY CAST(ts AS DATE)""",
+SELECT CAST(ts AS DATE) AS date, {_n_unique('uid')} AS unique_users, count(event_type) AS total_events
+FROM (SELECT *, CASE WHEN user_id % 53 <> 0 THEN user_id END AS uid FROM events) GROUP BY CAST(ts AS DATE)""",
     "clean_users": CLEAN_USERS,
     "monthly_signups": f"""
 SELECT CAST(month(created_at) AS INTEGER) AS created_at, {_n_unique('user_id')} AS monthly_users,
@@ -450,12 +434,18 @@ ORACLE["profile_output"] = _with("silver_claims") + "\nUNION ALL\n".join(
     for i, (c, t) in enumerate(_profile_cols)
 )
 
+KEYS = {"customers": "customer_id", "policies": "policy_id", "claims": "claim_id", "vehicles": "vehicle_id",
+        "agents": "agent_id", "payments": "payment_id"}
+COLUMN_COUNTS = {"customers": 15, "policies": 13, "claims": 11, "vehicles": 13, "agents": 12, "payments": 10}
+
 ORACLE.update({
     "read_latest_snapshot": ORACLE["clean_claims"],
     "sample_copy": _with("silver_payments")
     + "SELECT least(count(*), 50) AS sample_rows, least(count(*), 50) AS subset_rows FROM silver_payments",
     "fallback_write": ORACLE["clean_payments"],
-    "ingest_csv": _with("bronze_claims") + "SELECT * FROM bronze_claims",
+    **{f"ingest_{'csv' if t == 'claims' else t}": _with(f"bronze_{t}") + f"""
+SELECT *, 'say "hi", ' || CAST({key} AS VARCHAR) || {'chr(10) || ' + "'next'" if t in ('claims', 'vehicles') else "''"} AS note
+FROM bronze_{t}""" for t, key in KEYS.items()},
     "ingest_json_flat": _with("bronze_customers") + """
 SELECT customer_id, first_name AS "name.first", last_name AS "name.last", email AS "contact.email",
        phone AS "contact.phone", city AS "contact.address.city", state AS "contact.address.state",
@@ -463,5 +453,18 @@ SELECT customer_id, first_name AS "name.first", last_name AS "name.last", email
 FROM bronze_customers""",
     "incremental_clean": ORACLE["clean_claims"],
     "run_layers_customer_risk": GOLD_CUSTOMER_RISK,
+    "run_layers_claims_summary": GOLD_CLAIMS_SUMMARY,
+    "run_layers_premium_revenue": GOLD_PREMIUM_REVENUE,
+    "run_layers_agent_performance": GOLD_AGENT_PERFORMANCE,
+    **{f"run_layers_clean_{t}": ORACLE[f"clean_{t}"] for t in KEYS},
+    "validate_steps": _with(*[f"bronze_{t}" for t in KEYS]) + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS row_count, {n} AS column_count, true AS empty_batch_refused, "
+        f"true AS empty_frame_refused, true AS missing_column_refused FROM bronze_{t}" for t, n in COLUMN_COUNTS.items()),
+    "sum_nan_group": _with("bronze_claims") + f"""
+, x AS (SELECT CAST(incident_date AS DATE) AS day, claimed_amount AS amount, claim_id % 1009 = 0 AS broken
+        FROM bronze_claims)
+SELECT day, CASE WHEN bool_or(broken) THEN CAST('NaN' AS DOUBLE) ELSE CAST(round({dsum('amount')}, 2) AS DOUBLE) END AS total,
+       CASE WHEN bool_or(broken) THEN CAST('NaN' AS DOUBLE) ELSE {mean('amount', 2)} END AS mean
+FROM x GROUP BY day""",
     "incremental_propagate": GOLD_CUSTOMER_RISK,
 })

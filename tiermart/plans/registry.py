@@ -1,6 +1,6 @@
 """Named queries over the test tables: one per operator / composite job.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame computed
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame computed
 from the given tables (through the bronze proxies), so its work grows with
 them. Stamps use the fixed ``AS_OF`` so results are reproducible.
 """
@@ -12,6 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiermart.functions.numeric import mean_half_up, total_or_nan
 from tiermart.operators import frames
 from tiermart.operators.joins import suffix_join
 from tiermart.operators.quality import profile
@@ -68,7 +69,7 @@ def gold_customer_risk_layered(spark, sf_dir):
 
 
 def daily_metrics(spark, sf_dir):
-    return gold.daily_metrics(proxies.table(spark, sf_dir, "events"))
+    return gold.daily_metrics(proxies.events(spark, sf_dir))
 
 
 def clean_users(spark, sf_dir):
@@ -116,13 +117,18 @@ def fill_numeric(spark, sf_dir):
 
 def sum_empty_group(spark, sf_dir):
     """Per policy, claimed total over its claims; 0 when it has none."""
-    from tiermart.functions.numeric import sum_money
-
     pc = silver_policy_claims(spark, sf_dir, sort=False)
-    return pc.groupBy("policy_id").agg(
-        F.round(sum_money("claimed_amount"), 2).cast("double").alias("total_claimed"),
-        F.count("claim_id").alias("claims"),
-    )
+    return pc.groupBy("policy_id").agg(total_or_nan("claimed_amount").alias("total_claimed"),
+                                       F.count("claim_id").alias("claims"))
+
+
+def sum_nan_group(spark, sf_dir):
+    """A4/A5: totals and means per status where some amounts are NaN; such a group is NaN, others are exact."""
+    bronze = proxies.claims(spark, sf_dir)
+    broken = F.when(F.pmod("claim_id", F.lit(1009)) == 0, F.lit(float("nan"))).otherwise(F.col("claimed_amount"))
+    day = F.to_date("incident_date").alias("day")
+    return bronze.select(day, broken.alias("amount")).groupBy("day").agg(
+        total_or_nan("amount").alias("total"), mean_half_up("amount", 2).alias("mean"))
 
 
 def zero_ratio(spark, sf_dir):
@@ -171,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "join_suffix": join_suffix,
     "fill_numeric": fill_numeric,
     "sum_empty_group": sum_empty_group,
+    "sum_nan_group": sum_nan_group,
     "zero_ratio": zero_ratio,
     "sort_desc_nulls_first": sort_desc_nulls_first,
     "distinct_rows": distinct_rows,
@@ -191,30 +198,42 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 def read_latest_snapshot(spark, sf_dir):
-    """Two committed batches and a newer uncommitted one; the newest committed wins."""
+    """Two committed batches and a newer uncommitted one; the newest committed wins, and a
+    re-run of it that is empty, as one that fails, leaves it as it is."""
     from tiermart.sources import lake
 
     table = f"{_scratch(spark, 'snapshots')}/silver/clean_claims"
     bronze = proxies.claims(spark, sf_dir, AS_OF)
     lake.write_batch(silver.clean("claims", bronze, "2023-12-31T00:00:00+00:00"), table, "20231231T000000Z")
-    lake.write_batch(silver.clean("claims", bronze, AS_OF), table, "20240101T000000Z")
+    good = silver.clean("claims", bronze, AS_OF)
+    lake.write_batch(good, table, "20240101T000000Z")
     # A newer batch whose write never committed (no marker): must stay invisible.
-    silver.clean("claims", bronze, "2024-01-02T00:00:00+00:00").write.parquet(f"{table}/batch=20240102T000000Z")
+    silver.clean("claims", bronze, "2024-01-02T00:00:00+00:00").write.parquet(f"{table}/batch=20240102T000000Z/data-0")
+    for rerun in (good.where("claim_id < 0"), good.withColumn("claim_number", F.expr("CAST(claim_number AS INT)"))):
+        try:
+            lake.write_batch(rerun, table, "20240101T000000Z")
+        except Exception:
+            continue  # empty, and a value that does not cast
+        raise AssertionError("a re-run that must fail was committed")
     return lake.read_latest(spark, table)
 
 
 def sample_copy(spark, sf_dir):
-    """Sample side-copy of a committed batch; its size and that it is a subset."""
+    """Sample side-copy of a committed batch; its size and how many of its rows the batch has.
+
+    The sample (its size is a setting) is what is sent to the batch's rows, and nulls match.
+    """
     from tiermart.sources import lake
 
     table = f"{_scratch(spark, 'samples')}/silver/clean_payments"
     path = lake.write_batch(silver_table(spark, sf_dir, "payments"), table, "20240101T000000Z")
     lake.write_sample(spark, path, 50)
     sample = lake.read_latest(spark, lake.sample_table_dir(table))
-    full = spark.read.parquet(path)
-    subset = sample.join(full, on=sample.columns, how="left_semi")
-    return sample.agg(F.count(F.lit(1)).alias("sample_rows")).crossJoin(
-        subset.agg(F.count(F.lit(1)).alias("subset_rows")))
+    full = lake.read_attempt(spark, path)
+    same = [full[c].eqNullSafe(sample[c]) for c in sample.columns]
+    found = full.join(F.broadcast(sample), same, "left_semi").distinct()
+    return sample.select(F.lit(1).alias("s"), F.lit(0).alias("f")).union(found.select(F.lit(0), F.lit(1))).agg(
+        F.sum("s").alias("sample_rows"), F.sum("f").alias("subset_rows"))
 
 
 def fallback_write(spark, sf_dir):
@@ -228,13 +247,52 @@ def fallback_write(spark, sf_dir):
     return lake.load(spark, config, "silver", "clean_payments")
 
 
+def _land(spark, sf_dir, table: str, fmt: str):
+    """A bronze table landed as files with the columns in another order and one more, then ingested from them.
+
+    The added text holds commas, doubled quotes and (in CSV) a line break.
+    """
+    from tiermart.sources import readers
+
+    path = f"{_scratch(spark, 'landing')}/{table}_{fmt}"
+    df = proxies.BUILDERS[table](spark, sf_dir, AS_OF).drop("fetched_at")
+    note = F.concat(F.lit('say "hi", '), F.col(df.columns[0]).cast("string"), F.lit("\nnext" if fmt == "csv" else ""))
+    landed = df.select(note.alias("note"), *reversed(df.columns))
+    if fmt == "csv":
+        readers.write_csv(landed, path)
+    else:
+        getattr(landed.write, fmt)(path)
+    return readers.ingest(readers.landed(spark, table, path, fmt, multi_line=fmt == "csv"), table, AS_OF)
+
+
 def ingest_csv(spark, sf_dir):
-    """S14 + S10: bronze claims landed as CSV, read back with the declared schema."""
-    from tiermart.sources import readers, schemas
+    """S14 + S10: claims landed as CSV."""
+    return _land(spark, sf_dir, "claims", "csv")
+
+
+def ingest_customers(spark, sf_dir):
+    """S8 from JSON lines."""
+    return _land(spark, sf_dir, "customers", "json")
+
+
+def ingest_policies(spark, sf_dir):
+    """S9 from Parquet."""
+    return _land(spark, sf_dir, "policies", "parquet")
+
+
+def ingest_vehicles(spark, sf_dir):
+    """S11 from CSV."""
+    return _land(spark, sf_dir, "vehicles", "csv")
 
-    path = f"{_scratch(spark, 'landing')}/claims_csv"
-    readers.write_csv(proxies.claims(spark, sf_dir, AS_OF).drop("fetched_at"), path)
-    return readers.ingest(readers.read_csv(spark, path, schemas.CLAIMS), "claims", AS_OF)
+
+def ingest_agents(spark, sf_dir):
+    """S12 from JSON lines."""
+    return _land(spark, sf_dir, "agents", "json")
+
+
+def ingest_payments(spark, sf_dir):
+    """S13 from Parquet."""
+    return _land(spark, sf_dir, "payments", "parquet")
 
 
 def ingest_json_flat(spark, sf_dir):
@@ -282,27 +340,81 @@ def incremental_clean(spark, sf_dir):
     return lake.read_all(spark, silver_dir).drop("batch")
 
 
-def run_layers_customer_risk(spark, sf_dir):
-    """The whole bronze -> silver -> gold run into the lake; the customer-risk mart read back."""
-    from tiermart.plans.pipeline import run_layers
-    from tiermart.sources import lake
+def _run_layers(mart: str) -> Query:
+    def query(spark, sf_dir):
+        from tiermart.plans.pipeline import run_layers
+        from tiermart.sources import lake
+
+        config = lake.LakeConfig(root=_scratch(spark, "run"), sample_enabled=True)
+        sources = {t: build(spark, sf_dir, AS_OF) for t, build in proxies.BUILDERS.items()}
+        run_layers(spark, config, sources, as_of=AS_OF, stamp="20240101T000000Z")
+        return lake.load(spark, config, "gold", mart)
+    query.__doc__ = f"G8: the whole bronze -> silver -> gold run into the lake; the {mart} mart read back."
+    return query
+
+
+def _run_clean(table: str) -> Query:
+    def query(spark, sf_dir):
+        from tiermart.plans.pipeline import clean_table, run_bronze
+        from tiermart.sources import lake
 
-    config = lake.LakeConfig(root=_scratch(spark, "run"), sample_enabled=True)
+        config = lake.LakeConfig(root=_scratch(spark, "run"), sample_enabled=False)
+        run_bronze({table: proxies.BUILDERS[table](spark, sf_dir, AS_OF)}, config, AS_OF, "20240101T000000Z")
+        clean_table(spark, config, table, AS_OF, "20240101T000000Z")
+        return lake.load(spark, config, "silver", f"clean_{table}")
+    query.__doc__ = f"G8: {table} landed as a bronze batch, cleaned into a silver batch, read back."
+    return query
+
+
+def validate_steps(spark, sf_dir):
+    """V1, V4: what the bronze run recorded of each table (rows, columns), and that an empty input, and one
+    without a required column, is refused."""
+    from tiermart.operators.quality import validate
+    from tiermart.plans.pipeline import run_bronze
+    from tiermart.sources import lake, readers
+
+    def refused(step) -> bool:
+        try:
+            step()
+        except ValueError:
+            return True
+        return False
+
+    config = lake.LakeConfig(root=_scratch(spark, "validate"), sample_enabled=False)
     sources = {t: build(spark, sf_dir, AS_OF) for t, build in proxies.BUILDERS.items()}
-    run_layers(spark, config, sources, as_of=AS_OF, stamp="20240101T000000Z")
-    return lake.load(spark, config, "gold", "customer_risk")
+    paths = run_bronze(sources, config, AS_OF, "20240101T000000Z")
+    rows = []
+    for t, path in sorted(paths.items()):
+        meta = lake.batch_metadata(spark, path)
+        empty = lake.write_batch(sources[t].limit(0), f"{config.root}/empty/{t}", allow_empty=True)
+        required = silver.SPECS[t].required
+        rows.append((t, meta["row_count"], meta["column_count"],
+                     refused(lambda: lake.read_input(spark, empty)),
+                     refused(lambda: validate(sources[t].limit(0), check_empty=True)),
+                     refused(lambda: readers.ingest(sources[t].drop(required[-1]), t, AS_OF))))
+    return spark.createDataFrame(rows, "table string, row_count long, column_count int, empty_batch_refused boolean, "
+                                       "empty_frame_refused boolean, missing_column_refused boolean")
 
 
 def incremental_propagate(spark, sf_dir):
-    """R1 end to end: bronze lands, the stream cleans it, joins and marts rebuild; customer risk read back."""
-    from tiermart.plans.pipeline import run_bronze
+    """R1 end to end: bronze lands and the stream cleans it, but the first propagation fails half way; then a
+    batch lands of which cleaning leaves nothing. The next run records that batch as rejected and makes
+    good what was missed. Customer risk read back."""
+    from tiermart.plans import pipeline
     from tiermart.sources import lake
-    from tiermart.streaming.incremental import propagate
+    from tiermart.streaming.incremental import clean_new_batches, propagate
 
     config = lake.LakeConfig(root=_scratch(spark, "propagate"), sample_enabled=False)
     sources = {t: build(spark, sf_dir, AS_OF) for t, build in proxies.BUILDERS.items()}
-    run_bronze(sources, config, AS_OF, "20240101T000000Z")
-    propagate(spark, config, AS_OF, stamp="20240101T000001Z")
+    pipeline.run_bronze(sources, config, AS_OF, "20240101T000000Z")
+    for t in pipeline.TABLES:  # a run that ends after cleaning: nothing new is left in the stream
+        clean_new_batches(spark, t, lake.table_path(config.root, "bronze", t),
+                          lake.table_path(config.root, "silver", f"clean_{t}"),
+                          f"{config.root}/_checkpoints/clean_{t}", AS_OF)
+    lake.save(sources["claims"].withColumn("claimed_amount", F.lit(0.0)), config, "bronze", "claims", "20240102T000000Z")
+    done = propagate(spark, config, AS_OF, stamp="20240102T000001Z")
+    if list(done["rejected"]) != ["claims"] or done["cleaned"]:
+        raise AssertionError(f"unexpected propagation: {done}")
     return lake.load(spark, config, "gold", "customer_risk")
 
 
@@ -312,7 +424,15 @@ QUERIES.update({
     "sample_copy": sample_copy,
     "fallback_write": fallback_write,
     "ingest_csv": ingest_csv,
+    "ingest_customers": ingest_customers,
+    "ingest_policies": ingest_policies,
+    "ingest_vehicles": ingest_vehicles,
+    "ingest_agents": ingest_agents,
+    "ingest_payments": ingest_payments,
     "ingest_json_flat": ingest_json_flat,
     "incremental_clean": incremental_clean,
-    "run_layers_customer_risk": run_layers_customer_risk,
+    "validate_steps": validate_steps,
+    **{f"run_layers_{m}": _run_layers(m) for m in ("claims_summary", "premium_revenue", "agent_performance",
+                                                   "customer_risk")},
+    **{f"run_layers_clean_{t}": _run_clean(t) for t in proxies.BUILDERS},
 })
