@@ -74,6 +74,15 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def hash_sample(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """At most ``rows`` rows, those of least key hash: a counted share first, then exactly so many."""
+    n = df.count()
+    h = F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit("sample"))
+    if n > rows:
+        df = df.where(F.pmod(h, F.lit(1 << 40)) < int(min(1.0, 1.2 * rows / n) * (1 << 40)))
+    return df.orderBy(F.pmod(h, F.lit(1 << 40)), *[F.col(f"`{k}`") for k in keys]).limit(rows)
+
+
 def strict_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, in that order: extra or clashing columns of the input go no further."""
     return df.select(*[F.col(f"`{n}`") for n in names])

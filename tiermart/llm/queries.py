@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermart.llm import decontaminate, language, licenses, lines, mixing, simhash, sketches, tokens, toxicity, webpage
-from tiermart.llm.common import table
+from tiermart.llm.common import hash_sample, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +16,14 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
-    """Fitted on the rows of ``docs`` that ``labels`` covers; a document with several labels has the highest."""
-    labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(
+    """Fitted on rows of ``docs`` that ``labels`` covers; a document with several labels has the highest.
+
+    The labelled ids are sampled before they meet any text; so bounded, they go to the documents.
+    """
+    labels = table(spark, sf_dir, "labels").where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
-    return toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    sample = hash_sample(labels, ["doc_id"], toxicity.LABELLED_ROWS)
+    return toxicity.fit(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,7 @@ Features are the presence of words (runs of letters, lower-cased, hashed). One
 weight a feature is shared by all thresholds: P(grade > k) = s(w.x - t_k) with
 t_0 < t_1 < ...; the expected severity is the sum of these over k.
 
-The model is fitted on a bounded sample of labelled rows (``LABELLED_ROWS``, by
-hash). Near copies of one text would make its chance words look telling, so
+The model is fitted on a bounded sample of labelled rows (``LABELLED_ROWS``). Near copies of one text would make its chance words look telling, so
 rows that share their least five-word shingle hash weigh one together. Features
 enter if their association with a positive label is beyond chance
 (chi-square of at least ``LEAST_CHI2``). Where labels are 0 and 1 only, positive rows
@@ -101,16 +100,20 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, weight: np.ndarray,
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", rows: int = LABELLED_ROWS) -> Model:
-    """Fit on at most ``rows`` rows; a label over 1 is taken as a grade, 0 and 1 as no and yes."""
-    chosen = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").cast("int").alias("label")).where(
-        "text is not null and label is not null").orderBy(F.xxhash64("text", F.lit("sample")), "label").limit(rows)
+    """Fit on at most ``rows`` rows, by text hash; a label over 1 is taken as a grade, 0 and 1 as no and yes.
+
+    Only hashed features leave the executors.
+    """
+    chosen = labelled.select(F.col(f"`{label}`").cast("int").alias("label"), F.col(f"`{text}`").alias("text")).where(
+        "text is not null and label is not null")
 
     def examples(batch: pa.RecordBatch) -> dict:
-        made = [_example(t) for t in batch.column(0).to_pylist()]
-        return {"label": batch.column(1), "family": [f for _, f in made],
+        made = [_example(t) for t in batch.column(1).to_pylist()]
+        return {"label": batch.column(0), "family": [f for _, f in made],
                 "features": [h - (1 << 31) for h, _ in made]}
 
-    got = arrow_map(chosen, examples, "label int, family long, features array<int>").toArrow()
+    got = arrow_map(chosen, examples, "label int, family long, features array<int>").orderBy(
+        F.xxhash64("family", "features", "label"), "label").limit(rows).toArrow()
     labels = np.array(got.column("label").to_pylist(), dtype=np.int64)
     listed = got.column("features").combine_chunks()
     held = np.split(listed.flatten().to_numpy() + np.int64(1 << 31), listed.offsets.to_numpy()[1:-1])
