@@ -37,12 +37,22 @@ def test_held_out_accuracy(docs, corpus, model):
 
 def test_folded_scores_equal_the_mean_embedding(docs, model):
     text = "Abc defg, efg's 12 hij"
-    buckets = [b for w in ("abc", "defg", "efg", "s", "hij") for b in G.subwords(w)]
+    buckets = [b for w in ("abc", "defg", "efg", "s", "hij") for b in G.subwords([w])[0]]
     p = model.probabilities(model.scores[buckets].mean(axis=0))
     got = G.identify(docs([(1, text)]), model).collect()[0]
     assert got.score == pytest.approx(p.max()) and got.lang_pred == model.classes[p.argmax()]
 
 
+def test_subwords_of_many_words_are_those_of_each():
+    words = ["a", "ab", "abc", "straße", "\U0001f600x", "a", "q" * 1000, "日本語"]
+    ids, owner = G.subwords(words)
+    for i, w in enumerate(words):
+        n = len(w) + 2
+        alone = G.subwords([w])[0]
+        assert sorted(ids[owner == i]) == sorted(alone) and len(alone) == 1 + sum(max(0, n - k + 1) for k in (2, 3, 4))
+    assert len(set(G.subwords(["abcdefgh"])[0])) > 15
+
+
 def test_edges(docs, model):
     rows = [(1, None), (2, ""), (3, "12 34 ½ ² !"), (4, "abc"), (4, "abc"), (None, "mnop"), (5, "abc " * 100_000)]
     got = sorted(G.identify(docs(rows, extra=True), model).collect(), key=str)
@@ -54,7 +64,8 @@ def test_edges(docs, model):
 
 def test_memory_of_words_does_not_change_results(docs, corpus, model, monkeypatch):
     want = sorted(G.identify(docs(corpus), model).collect())
-    monkeypatch.setattr(G, "MEMORY", 60)
+    monkeypatch.setattr(G, "MEMORY", 10)
+    monkeypatch.setattr(G, "PART", 50)
     many = [(i, " ".join(t.split()[:50]), la) for i, t, la in corpus]
     assert sorted(G.identify(docs(many), model).select("doc_id").collect()) == sorted(r[:1] for r in want)
     short = [x for x in corpus if len(x[1].split()) <= 50]

@@ -1,7 +1,7 @@
 """Language identification with averaged hashed subword embeddings.
 
 A text is its words (runs of letters, lower-cased); a word is its character
-2- to 4-grams with word marks, and itself, hashed into buckets. The mean of the
+2- to 4-grams with word marks, and itself, hashed into buckets (for many words at once, in numpy). The mean of the
 buckets' embeddings goes through a linear softmax. Embeddings and softmax are
 trained by stochastic gradient descent in numpy on a bounded sample of labelled
 rows (``PER_LANGUAGE`` rows a language, by hash of the row). A quarter of
@@ -10,7 +10,7 @@ temperature, and the least confidence is found at which the share of wrong answe
 among those accepted is at most ``TARGET_ERROR``.
 
 As the softmax is linear in the mean, a trained model is one vector of class
-scores for each bucket, and a word's sum of them is computed once per worker.
+scores for each bucket, and a token's sum of them is remembered by the worker.
 """
 
 from __future__ import annotations
@@ -32,24 +32,57 @@ PER_LANGUAGE = 400
 EPOCHS = 6
 RATE = 0.5
 TARGET_ERROR = 0.001
-# Distinct words a Python worker remembers before it starts anew.
+# Distinct tokens (between white space) a Python worker remembers before it starts anew.
 MEMORY = 150_000
+# Tokens of a text that are looked up at once.
+PART = 20_000
 UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def subwords(word: str, buckets: int = BUCKETS) -> list[int]:
-    """Bucket of every 2- to 4-gram of the marked word, and of the word itself."""
-    marked = f"<{word}>"
-    grams = [marked[i:i + n] for n in (2, 3, 4) for i in range(len(marked) - n + 1)]
-    grams.append(marked)
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % buckets for g in grams]
+def subwords(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, number of its word): every 2- to 4-gram of each marked word, and each word itself."""
+    marked = "".join(f"<{w}>" for w in words)
+    code = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    owner = np.repeat(np.arange(len(words)), size)
+    with np.errstate(over="ignore"):
+        # polynomial in the position from the word's end: one term a character, summed by word
+        rank = (np.cumsum(size)[owner] - 1 - np.arange(len(code))).astype(np.uint64)
+        whole = np.zeros(len(words), dtype=np.uint64)
+        if len(words):
+            whole = np.add.reduceat((code + np.uint64(7)) * _power(rank), np.cumsum(size) - size)
+        ids, owners = [_mixed(whole, 1, buckets)], [np.arange(len(words))]
+        gram = code
+        for n in (2, 3, 4):
+            gram = gram[:-1] * np.uint64(0x100000001B3) + code[n - 1:]
+            fits = owner[:len(gram)] == owner[n - 1:]
+            ids.append(_mixed(gram[fits], n, buckets))
+            owners.append(owner[:len(gram)][fits])
+    return np.concatenate(ids), np.concatenate(owners)
+
+
+def _power(rank: np.ndarray) -> np.ndarray:
+    """Powers of an odd number, modulo 2^64, by rank."""
+    table = np.ones(int(rank.max()) + 1, dtype=np.uint64)
+    np.multiply.accumulate(np.full(len(table) - 1, 0x9E3779B97F4A7C15, dtype=np.uint64), out=table[1:])
+    return table[rank]
+
+
+def _mixed(value: np.ndarray, kind: int, buckets: int) -> np.ndarray:
+    value = (value + np.uint64(kind)) * np.uint64(0xBF58476D1CE4E5B9)
+    value ^= value >> np.uint64(29)
+    return ((value * np.uint64(0x94D049BB133111EB)) >> np.uint64(32)).astype(np.int64) % buckets
+
+
+def tokens_of(text: str | None) -> list[str]:
+    """Lower-cased pieces between white space, in which the words are; none if the text is null or has no letter."""
+    return text.lower().split() if text and any(c.isalpha() for c in text) else []
 
 
 def words_of(text: str | None) -> list[str]:
     """Lower-cased runs of letters; none if the text is null or has no letter."""
-    words = _WORD.findall(text.lower()) if text else []
-    return words if any(c.isalpha() for w in words for c in w) else []
+    return [w for t in tokens_of(text) for w in _WORD.findall(t)]
 
 
 @dataclass
@@ -133,8 +166,8 @@ def labelled_sample(labelled: DataFrame, text: str = "text", label: str = "lang"
     def bags(batch: pa.RecordBatch) -> dict:
         ids, counts = [], []
         for t in batch.column(0).to_pylist():
-            at, n = np.unique(np.array([b for w in words_of(t) for b in subwords(w)], dtype=np.int32),
-                              return_counts=True)
+            words = words_of(t)
+            at, n = np.unique(subwords(words)[0] if words else np.zeros(0, np.int64), return_counts=True)
             ids.append(at.tolist())
             counts.append(n.tolist())
         return {"label": batch.column(1), "ids": ids, "counts": counts}
@@ -160,30 +193,37 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     def rows(batch: pa.RecordBatch) -> dict:
         model, memory = Model(**shared.value[0]), shared.value[1]
         if "at" not in memory:
-            memory["at"], memory["sums"] = {}, np.zeros((MEMORY + 1, len(model.classes) + 1))
+            memory["at"], memory["sums"] = {}, np.zeros((MEMORY + PART, len(model.classes) + 1))
         at, sums = memory["at"], memory["sums"]
+
+        def learn(new: list[str]) -> None:
+            words = [_WORD.findall(t) for t in new]
+            ids, owner = subwords([w for ws in words for w in ws], len(model.scores))
+            owner = np.repeat(np.arange(len(new)), [len(ws) for ws in words])[owner]
+            lo = len(at)
+            for c in range(len(model.classes)):
+                sums[lo:lo + len(new), c] = np.bincount(owner, weights=model.scores[ids, c], minlength=len(new))
+            sums[lo:lo + len(new), -1] = np.bincount(owner, minlength=len(new))
+            at.update(zip(new, range(lo, lo + len(new))))
+
         pred, score, rejected = [], [], []
         for t in batch.column(1).to_pylist():
-            words = words_of(t)
-            if not words or not model.classes:
+            tokens = tokens_of(t)
+            if not tokens or not model.classes:
                 pred.append(UNDETERMINED)
                 score.append(0.0)
                 rejected.append(True)
                 continue
             total = np.zeros(len(model.classes) + 1)
-            for lo in range(0, len(words), 50_000):
-                part = words[lo:lo + 50_000]
-                if len(at) + len(part) > MEMORY:
+            for lo in range(0, len(tokens), PART):
+                part = tokens[lo:lo + PART]
+                new = [w for w in dict.fromkeys(part) if w not in at]
+                if len(at) + len(new) > len(sums):
                     at.clear()
-                index = []
-                for w in part:
-                    i = at.get(w)
-                    if i is None:
-                        i = at[w] = len(at)
-                        b = subwords(w, len(model.scores))
-                        sums[i, :-1], sums[i, -1] = model.scores[b].sum(axis=0), len(b)
-                    index.append(i)
-                total += sums[index].sum(axis=0)
+                    new = list(dict.fromkeys(part))
+                if new:
+                    learn(new)
+                total += sums[[at[w] for w in part]].sum(axis=0)
             p = model.probabilities(total[:-1] / total[-1])
             best = int(p.argmax())
             pred.append(model.classes[best])

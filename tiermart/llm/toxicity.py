@@ -25,7 +25,7 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField,
 
 from tiermart.llm.common import arrow_map
 
-LABELLED_ROWS = 12_000
+LABELLED_ROWS = 8000
 LEAST_CHI2 = 30.0
 LEAST_FAMILIES = 4
 GRADE_AT = (1, 2, 4)  # telling words from which a positive row is of grade 1 (at least), 2, 3
@@ -145,7 +145,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", rows: int
 
 
 def _severities(model: Model, known: dict, texts: list[str | None]) -> np.ndarray:
-    """Expected severity of each text; ``known`` remembers the weights of words."""
+    """Expected severity of each text; ``known`` remembers which weighted words a token holds."""
     if not len(model.thresholds):
         return np.zeros(len(texts))
     score = np.zeros(len(texts))
@@ -153,14 +153,15 @@ def _severities(model: Model, known: dict, texts: list[str | None]) -> np.ndarra
     for i, t in enumerate(texts):
         if len(known) > MEMORY:
             known.clear()
-        present = []
-        for w in set(_WORD.findall((t or "").lower())):
-            x = known.get(w)
-            if x is None:
-                x = known[w] = weights.get(word_hash(w), 0.0)
-            if x:
-                present.append(x)
-        score[i] = sum(sorted(present))  # in one order, whatever order the words came in
+        present: dict[str, float] = {}
+        for token in set((t or "").lower().split()):
+            held = known.get(token)
+            if held is None:
+                held = known[token] = tuple((w, weights[h]) for w in _WORD.findall(token)
+                                            if (h := word_hash(w)) in weights)
+            if held:
+                present.update(held)
+        score[i] = sum(sorted(present.values()))  # in one order, whatever order the words came in
     return model.severity(score)
 
 
