@@ -7,7 +7,7 @@ trained by stochastic gradient descent in numpy on a bounded sample of labelled
 rows (``PER_LANGUAGE`` rows a language, by hash of the row). A quarter of
 the sample takes no part in that: on it the softmax is calibrated by one
 temperature, and the least confidence is found at which the share of wrong answers
-among those accepted is at most ``TARGET_ERROR``.
+among those accepted is at most ``TARGET_ERROR``; what is less sure is rejected.
 
 As the softmax is linear in the mean, a trained model is one vector of class
 scores for each bucket, and a token's sum of them is remembered by the worker.
@@ -134,9 +134,13 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], buckets:
     means = np.array([shares[i] @ model.scores[bags[i][0]] for i in hold])
     truth = target[hold]
 
+    sure = (len(hold) + 1) / (len(hold) + 2)  # so many texts cannot vouch for more
+
     def loss(t: float) -> float:
         model.temperature = t
-        return float(-np.log(model.probabilities(means)[np.arange(len(hold)), truth] + 1e-12).mean())
+        p = np.log(model.probabilities(means) + 1e-12)
+        true = p[np.arange(len(hold)), truth]
+        return float(-(sure * true + (1 - sure) * (p.sum(axis=1) - true) / max(1, len(classes) - 1)).mean())
 
     model.temperature = min(np.geomspace(0.01, 20, 77), key=loss)
     p = model.probabilities(means)
@@ -144,8 +148,6 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], buckets:
     wrong = np.cumsum(p.argmax(axis=1)[order] != truth[order]) / np.arange(1, len(order) + 1)
     good = np.flatnonzero(wrong <= TARGET_ERROR)
     model.least = float(p.max(axis=1)[order][good[-1]]) if len(good) else 1.0
-    if len(good) and good[-1] == len(order) - 1:
-        model.least = 0.0  # nothing has to be rejected
     return model
 
 
