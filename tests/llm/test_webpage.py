@@ -23,6 +23,7 @@ GOOD = ("The house that we saw on the hill is one of the oldest in the town, and
     ("<article><p><a href=x>all of this is only a link to some other place that is not this</a></p><p>t</p></article>", "t"),
     ("<main><p>m</p></main><p>after</p>", "m"), ("<p>1 &lt; 2 &#8364; &#x20AC;</p>", "1 < 2 € €"),
     ("<article class='comment'><p>no</p></article><article><p>yes</p></article>", "yes"),
+    ("<article><div id='cookieBanner'>n</div><div class='commentSection'>c</div><p class='headline lead'>y</p></article>", "y"),
     ("<textarea><p>no</p></textarea><p>yes</p>", "yes"), ("<P>Upper<DIV CLASS=\"Ad\">x</DIV></P>", "Upper"),
 ])
 def test_pages(page, want):

@@ -29,7 +29,7 @@ LABELLED_ROWS = 8000
 LEAST_CHI2 = 30.0
 LEAST_FAMILIES = 4
 GRADE_AT = (1, 2, 4)  # telling words from which a positive row is of grade 1 (at least), 2, 3
-PENALTY = 1e-3
+PENALTY = 5e-4
 STEPS = 300
 REJECT_FROM = 0.5
 MEMORY = 200_000

@@ -71,6 +71,9 @@ STOP_WORDS = frozenset(
     "al algo como con de del desde donde el ella ellos en era es esta este esto fue ha hay la las le les lo los mi muy "
     "no nos o para pero por que se ser si sin sobre su sus también un una uno y ya yo".split())
 
+# A class or id word that begins so names no article either.
+DROPPED_PREFIXES = ("comment", "sidebar", "cookie", "advert", "newsletter", "sponsor", "navbar", "breadcrumb", "adsby")
+
 LINK_SHARE = 0.4
 SHORT = 60
 LONG = 180
@@ -82,7 +85,7 @@ _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
-_NAME = re.compile(r"[a-z]+")
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")  # also the parts of camelCase
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -101,13 +104,17 @@ def _dropped(tag: str, attributes: str) -> bool:
     if not attributes or tag in ("html", "body"):
         return False
     for name, *values in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), unescape("".join(values)).lower()
-        if name == "role" and value.strip() in DROPPED_ROLES:
-            return True
-        words = DROPPED_ARTICLES if tag in ARTICLE_TAGS else DROPPED_WORDS
-        if name in ("class", "id") and not words.isdisjoint(_NAME.findall(value)):
+        name, value = name.lower(), unescape("".join(values))
+        if name == "role" and value.strip().lower() in DROPPED_ROLES:
             return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+        if name in ("class", "id"):
+            words = [w.lower() for w in _NAME.findall(value)]
+            if tag in ARTICLE_TAGS:
+                if not DROPPED_ARTICLES.isdisjoint(words):
+                    return True
+            elif not DROPPED_WORDS.isdisjoint(words) or any(w.startswith(DROPPED_PREFIXES) for w in words):
+                return True
+        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
             return True
     return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes, re.I))
 
