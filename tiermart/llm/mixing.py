@@ -80,13 +80,17 @@ def mix(docs: DataFrame, keep: tuple[str, ...] | None = None, text: str = "text"
     reruns agree. Input columns named like an output are replaced. No rows give none.
     """
     names = [c for c in (keep or docs.columns) if c.lower() not in ("size", "source_size", "target", "taken")]
-    sized = checkpointed(docs.select(
+    own = [_SOURCE, _NONE, _SIZE, _KEY]
+    sized = docs.select(
         *[F.col(f"`{c}`") for c in names],
         F.coalesce(F.col(f"`{source}`"), F.lit("")).alias(_SOURCE), F.col(f"`{source}`").isNull().alias(_NONE),
         word_count(F.col(f"`{text}`")).alias(_SIZE),
-        F.xxhash64(F.lit(salt), *[F.col(f"`{c}`") for c in identity]).alias(_KEY)))
+        F.xxhash64(F.lit(salt), *[F.col(f"`{c}`") for c in identity]).alias(_KEY))
+    # Kept for the steps below without the texts: sizes and keys of a row are the same when they are computed again.
+    narrow = checkpointed(sized.select(*own) if text in names else sized)
+    sized = sized if text in names else narrow
 
-    totals = sized.groupBy(_SOURCE, _NONE).agg(F.sum(_SIZE).alias("source_size"), F.count(F.lit(1)).alias("__rows"))
+    totals = narrow.groupBy(_SOURCE, _NONE).agg(F.sum(_SIZE).alias("source_size"), F.count(F.lit(1)).alias("__rows"))
     plan = checkpointed(source_targets(
         totals.withColumn("source", F.when(~F.col(_NONE), F.col(_SOURCE))), weights, most).select(
         _SOURCE, _NONE, "source_size", "target", F.ceil(F.col("__rows") / rows_per_range).alias("__ranges")))
@@ -94,16 +98,19 @@ def mix(docs: DataFrame, keep: tuple[str, ...] | None = None, text: str = "text"
 
     # uniform in [0, 1): the key's range within its source
     unit = F.shiftrightunsigned(F.col(_KEY), 11) / F.lit(float(1 << 53))
-    placed = sized.join(F.broadcast(plan) if few else plan, [_SOURCE, _NONE]).withColumn(
-        "__range", F.floor(unit * F.col("__ranges")))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        planned = rows.join(F.broadcast(plan) if few else plan, [_SOURCE, _NONE])
+        return planned.withColumn("__range", F.floor(unit * F.col("__ranges")))
+
     piece = [_SOURCE, _NONE, "__range"]
     earlier = (Window.unboundedPreceding, -1)
-    ranges = placed.groupBy(*piece).agg(F.sum(_SIZE).alias("__words"))
+    ranges = placed(narrow.select(*own)).groupBy(*piece).agg(F.sum(_SIZE).alias("__words"))
     before = ranges.select(*piece, F.coalesce(F.sum("__words").over(
         Window.partitionBy(_SOURCE, _NONE).orderBy("__range").rowsBetween(*earlier)), F.lit(0)).alias("__before"))
     inside = Window.partitionBy(*piece).orderBy(
         F.shiftrightunsigned(F.col(_KEY), 11), _KEY, _SIZE).rowsBetween(*earlier)
-    summed = placed.withColumn("__inside", F.coalesce(F.sum(_SIZE).over(inside), F.lit(0))).join(before, piece)
+    summed = placed(sized).withColumn("__inside", F.coalesce(F.sum(_SIZE).over(inside), F.lit(0))).join(before, piece)
 
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     left = F.floor(F.col("target")) - passes * F.col("source_size")
