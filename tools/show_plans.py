@@ -1,8 +1,7 @@
 """Write PLANS.md: executed (adaptive) physical plans of the headline queries.
 
 Run with automatic broadcast off (``--scale``) to see the shuffle plans a
-large input would get: every join is then a sort-merge join unless a size
-proof hints a broadcast. Keeps the operator tree and the lines that matter
+large input would get: every join is then a sort-merge join. Keeps the operator tree and the lines that matter
 for scale: exchanges, pushed filters, read schemas, join types.
 """
 
@@ -46,7 +45,7 @@ def main() -> None:
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     out = ["# Physical plans (adaptive, executed) with automatic broadcast off",
-           "", f"Input `{sf_dir}`, `tools/show_plans.py`. A broadcast below is a proven-size hint.", ""]
+           "", f"Input `{sf_dir}`, `tools/show_plans.py`. Nothing hints a broadcast.", ""]
     for name in HEADLINE:
         df = registry.QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
