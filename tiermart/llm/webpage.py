@@ -54,22 +54,18 @@ ARTICLE_TAGS = frozenset({"article", "main"})
 DROPPED_ARTICLES = frozenset("ad advert advertisement comment comments promo promoted related replies reply sponsored "
                              "teaser".split())
 
-# Most frequent function words (fixed values).
-STOP_WORDS = frozenset(
-    # English
-    "a about after all also an and any are as at be because been but by can could did do for from had has have he her "
-    "his how if in into is it its like more no not of on one only or other our out over she so some such than that the "
-    "their them then there these they this to up was we were what when which who will with would you your "
-    # German
-    "aber als am an auch auf aus bei bis das dass dem den der des die doch du durch ein eine einem einen einer er es "
-    "für hat ich ihr im in ist ja kann man mein mit nach nicht noch nur ob oder sein sich sie sind so um und uns "
-    "unter vom von vor war was wie wir zu zum zur über "
-    # French
-    "au aux avec ce ces cette dans de des du elle en est et eux il ils je la le les leur lui mais mes ne nous on ou "
-    "par pas plus pour qu que qui sa se ses son sont sur ton un une vous "
-    # Spanish
-    "al algo como con de del desde donde el ella ellos en era es esta este esto fue ha hay la las le les lo los mi muy "
-    "no nos o para pero por que se ser si sin sobre su sus también un una uno y ya yo".split())
+# Most frequent function words by language; a caller may pass others.
+FUNCTION_WORDS = {
+    "en": "a about all also an and are as at be but by can for from had has have he her his if in is it its not of on one or "
+          "our she that the their them there they this to was we were which who will with would you",
+    "de": "als am an auch auf aus bei das dass dem den der des die durch ein eine einem einen einer er es für hat im in ist "
+          "mit nach nicht noch oder sein sich sie sind und vom von vor war wie zu zum zur über",
+    "fr": "au aux avec ce ces cette dans de des du elle en est et il ils la le les leur mais ne on ou par pas plus pour que "
+          "qui sa se ses son sont sur un une vous",
+    "es": "al como con de del desde el en era es esta este fue ha la las le les lo los más no o para pero por que se ser sin "
+          "sobre su sus también un una y ya",
+}
+STOP_WORDS = frozenset(w for words in FUNCTION_WORDS.values() for w in words.split())
 
 # A class or id word that begins so names no article either.
 DROPPED_PREFIXES = ("comment", "sidebar", "cookie", "advert", "newsletter", "sponsor", "navbar", "breadcrumb", "adsby")
@@ -206,11 +202,11 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-def classify(found: list[Block]) -> list[Block]:
+def classify(found: list[Block], stop_words: frozenset[str] = STOP_WORDS) -> list[Block]:
     """Both passes; sets every block's label to good or bad and returns the good ones."""
     for b in found:
         words = _WORDS.findall(b.text.lower())
-        stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+        stops = sum(w in stop_words for w in words) / len(words) if words else 0.0
         if b.linked / len(b.text) > LINK_SHARE or "©" in b.text and len(b.text) < LONG:
             b.label = BAD
         elif b.in_article:
@@ -241,17 +237,18 @@ def classify(found: list[Block]) -> list[Block]:
     return [b for b in found if b.label == GOOD]
 
 
-def main_text(html: str | None) -> str:
+def main_text(html: str | None, stop_words: frozenset[str] = STOP_WORDS) -> str:
     """Text of the good blocks, one a line; empty if there is none."""
     if not html:
         return ""
     found = blocks(html)
     if any(b.in_article for b in found):
         found = [b for b in found if b.in_article]
-    return "\n".join(b.text for b in classify(found))
+    return "\n".join(b.text for b in classify(found, stop_words))
 
 
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
+            stop_words: frozenset[str] = STOP_WORDS) -> DataFrame:
     """(key, url, text, n_chars) for every page.
 
     A null or empty page, and one without a good block, has an empty text. Truncated
@@ -259,7 +256,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     """
 
     def rows(batch: pa.RecordBatch) -> dict:
-        text = [main_text(h) for h in batch.column(2).to_pylist()]
+        text = [main_text(h, stop_words) for h in batch.column(2).to_pylist()]
         return {key: batch.column(0), url: batch.column(1), "text": text, "n_chars": [len(t) for t in text]}
 
     kinds = {c: pages.schema[c].dataType.simpleString() for c in (key, url)}
