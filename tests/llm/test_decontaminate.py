@@ -113,3 +113,22 @@ def test_edges(spark, docs):
     assert D.find(docs([]), benchmark).count() == 0 and D.clean(docs([]), benchmark).count() == 0
     none = benchmark.limit(0)
     assert D.find(docs(rows), none).count() == 0 and D.clean(docs(rows), none).count() == len(rows)
+
+
+@pytest.mark.parametrize("copies, exact", [(1, 0), (2, 0), (2, 1), (1000, 0), (1000, 1)])
+def test_a_repeated_edited_copy_is_found(spark, docs, copies, exact):
+    """One word in five replaced: most 4-word seeds are broken, and those left occur in every copy."""
+    r = random.Random(9)
+    words = vocabulary(r, 400)
+    item = [f"item{k}" for k in range(40)]
+    edited = [f"other{k}" if k % 5 == 4 else w for k, w in enumerate(item)]
+
+    def around(passage):
+        return " ".join(r.choices(words, k=20) + passage + r.choices(words, k=20))
+    rows = [(d, around(edited)) for d in range(copies)] + [(5000 + d, around(item)) for d in range(exact)]
+    rows += [(9000 + d, around(item[:4])) for d in range(50)]  # a seed that is common, but no copy
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {x.doc_id: x.score for x in D.find(docs(rows), benchmark).collect()}
+    assert set(found) == set(range(copies)) | {5000 + d for d in range(exact)}
+    assert all(found[d] >= 0.7 for d in range(copies))
+    assert {x.doc_id for x in D.clean(docs(rows), benchmark).collect()} == {9000 + d for d in range(50)}

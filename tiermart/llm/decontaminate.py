@@ -1,18 +1,18 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Texts are words (runs of letters, digits and underscore, lower-cased). Seeds are the
-benchmark items' ``SEED``-word n-grams. One pass over the corpus counts how often each
-occurs in it; an item keeps the n-grams that are rare for it, not more than
-``COMMON`` times as frequent as the median of its own (so always at least half
-of them, also if the item itself is in a third of all documents). A second pass
-joins documents to items where a kept seed occurs, and aligns each place's
-surroundings with the item: match 2, mismatch -1, gap -1, local. The score
+benchmark items' ``SEED``-word n-grams, common ones too: how often a seed occurs says
+nothing of whether it stands in a copy, as an edited copy may itself be repeated any
+number of times. One pass over the corpus joins documents to items where a seed occurs.
+A place is aligned with the item only if its surroundings hold so many of the item's words
+that the score can be reached at all, which spares the alignments that common
+seeds alone would cost and loses nothing: match 2, mismatch -1, gap -1, local. The score
 is the best alignment's share of the item's best possible one; a copy with one
 word in five replaced has 0.7, an exact copy 1.
 
 The items go to the executors in blocks of about ``BLOCK_WORDS`` words, which bounds
 what is broadcast at once whatever the benchmark's size; the corpus is never
-shuffled, only counts (one row for a batch and seed that it holds) and hits.
+shuffled.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from tiermart.llm.common import arrow_map
 
 SEED = 4
-COMMON = 8
 BLOCK_WORDS = 200_000
 LEAST_SCORE = 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -51,6 +50,7 @@ class Block:
     mixed: np.ndarray
     keys: np.ndarray
     places: list[list[tuple[int, int]]]
+    bags: list[tuple[np.ndarray, np.ndarray]]  # an item's distinct words in ascending order, and how often it has each
 
 
 def _keys(numbers: np.ndarray, mixed: np.ndarray) -> np.ndarray:
@@ -63,8 +63,8 @@ def _keys(numbers: np.ndarray, mixed: np.ndarray) -> np.ndarray:
     return key
 
 
-def make_block(items: list[tuple[int, str]], counts: np.ndarray | None = None) -> Block:
-    """Index of the items' n-grams; with corpus ``counts`` (by key order of the full index), of the kept ones only."""
+def make_block(items: list[tuple[int, str]]) -> Block:
+    """Index of the items' n-grams."""
     vocabulary: dict[str, int] = {}
     words = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(t)], dtype=np.int64)
              for _, t in items]
@@ -74,16 +74,8 @@ def make_block(items: list[tuple[int, str]], counts: np.ndarray | None = None) -
         for p, key in enumerate(_keys(w, mixed).tolist() if len(w) >= SEED else []):
             at.setdefault(key, []).append((i, p))
     keys = sorted(at)
-    if counts is not None:
-        number = {k: n for n, k in enumerate(keys)}
-        own: list[list[int]] = [[] for _ in items]
-        for k in keys:
-            for i, _ in at[k]:
-                own[i].append(int(counts[number[k]]))
-        bound = [COMMON * float(np.median(c)) if c else 0.0 for c in own]
-        at = {k: [(i, p) for i, p in at[k] if counts[number[k]] <= max(bound[i], 1)] for k in keys}
-        keys = [k for k in keys if at[k]]
-    return Block([i for i, _ in items], words, vocabulary, mixed, np.array(keys, dtype=np.uint64), [at[k] for k in keys])
+    return Block([i for i, _ in items], words, vocabulary, mixed, np.array(keys, dtype=np.uint64), [at[k] for k in keys],
+                 [np.unique(w, return_counts=True) for w in words])
 
 
 def seeds_in(numbers: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -124,8 +116,18 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
     return best / (MATCH * len(item)), end
 
 
-def contamination(text: str | None, block: Block) -> dict[int, tuple[float, int]]:
-    """Best (score, end word) by item number, over all places of the text where a kept seed of the item occurs."""
+def shared_words(bag: tuple[np.ndarray, np.ndarray], text: np.ndarray) -> int:
+    """How many of an item's words a text holds in any order; no alignment matches more."""
+    words, counts = bag
+    n = np.minimum(np.searchsorted(words, text), len(words) - 1)
+    return int(np.minimum(np.bincount(n[words[n] == text], minlength=len(words)), counts).sum())
+
+
+def contamination(text: str | None, block: Block, least_score: float = 0.0) -> dict[int, tuple[float, int]]:
+    """Best (score, end word) by item number, over all places of the text where a seed of the item occurs.
+
+    Places that cannot have ``least_score`` are left out.
+    """
     get = block.vocabulary.get
     numbers = np.array([get(w, 0) for w in words_of(text)], dtype=np.int64)
     at, seeds = seeds_in(numbers, block)
@@ -143,16 +145,19 @@ def contamination(text: str | None, block: Block) -> dict[int, tuple[float, int]
             # one place: item starts that lie no further apart than the item is long
             if hi == len(begins) or begins[hi] - begins[hi - 1] > len(item):
                 a = max(0, begins[lo] - slack)
-                score, end = align(item, numbers[a:begins[hi - 1] + len(item) + slack])
+                place = numbers[a:begins[hi - 1] + len(item) + slack]
+                lo = hi
+                if shared_words(block.bags[i], place) / len(item) < least_score:
+                    continue
+                score, end = align(item, place)
                 if score > found.get(i, (0.0, 0))[0]:
                     found[i] = (score, a + end)
-                lo = hi
     return found
 
 
 def blocks(benchmark: DataFrame, docs: DataFrame, item: str = "item_id", item_text: str = "text", text: str = "text",
            block_words: int = BLOCK_WORDS) -> Iterator[Block]:
-    """The benchmark's items in blocks, each with the seeds kept after counting them over all of ``docs``."""
+    """The benchmark's items in blocks."""
     items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("text")).where(
         "item is not null and text is not null").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -161,29 +166,7 @@ def blocks(benchmark: DataFrame, docs: DataFrame, item: str = "item_id", item_te
         part = sorted((r["item"], r["text"]) for r in
                       items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).collect())
         if part:
-            full = make_block(part)
-            yield make_block(part, seed_counts(docs, full, text))
-
-
-def seed_counts(docs: DataFrame, block: Block, text: str = "text") -> np.ndarray:
-    """Occurrences in ``docs`` of each of the block's n-grams."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(block))
-
-    def rows(batch: pa.RecordBatch) -> dict:
-        block = Block(**shared.value)
-        get = block.vocabulary.get
-        total = np.zeros(len(block.keys), dtype=np.int64)
-        for t in batch.column(0).to_pylist():
-            _, seeds = seeds_in(np.array([get(w, 0) for w in words_of(t)], dtype=np.int64), block)
-            np.add.at(total, seeds, 1)
-        seen = np.flatnonzero(total)
-        return {"seed": seen, "n": total[seen]}
-
-    counts = np.zeros(len(block.keys), dtype=np.int64)
-    for r in arrow_map(docs.select(F.col(f"`{text}`")), rows, "seed long, n long").groupBy("seed").agg(
-            F.sum("n").alias("n")).collect():  # one row for each of the block's n-grams at most
-        counts[r["seed"]] = r["n"]
-    return counts
+            yield make_block(part)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -205,7 +188,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
             out: dict = {key: [], item: [], "score": [], "end_word": []}
             for d, t in zip(ids, batch.column(1).to_pylist()):
                 best: dict = {}
-                for i, (score, end) in contamination(t, block).items():
+                for i, (score, end) in contamination(t, block, least_score).items():
                     if score >= least_score and score > best.get(block.items[i], (0.0, 0))[0]:
                         best[block.items[i]] = (score, end)
                 for i, (score, end) in sorted(best.items()):
@@ -232,7 +215,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
         def rows(batch: pa.RecordBatch, shared=shared) -> dict:
             block = Block(**shared.value)
-            mask = [all(score < least_score for score, _ in contamination(t, block).values())
+            mask = [all(score < least_score for score, _ in contamination(t, block, least_score).values())
                     for t in batch.column(at).to_pylist()]
             left = batch.filter(pa.array(mask, pa.bool_()))
             return dict(zip(names, left.columns))
