@@ -93,3 +93,16 @@ def test_query(spark):
     for r in op10_licenses(spark, "/root/testdata/sf0.001").collect():
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
         assert (r.n_base == 0) == (r.first_word is None) == (r.base_labels == "")
+
+
+def test_a_url_swallows_no_later_license(docs):
+    bsd, cc = "http://www.opensource.org/licenses/bsd-license.php", "https://creativecommons.org/licenses/by-sa"
+    rows = [(1, f"See {bsd} and also code licensed under the Apache License, Version 2.0"),
+            (2, f"{bsd} some words, then the GNU General Public License version 3 and so on to the end"),
+            (3, f"{cc}/ and the Mozilla Public License 2.0"), (4, f"{cc}, GPL 2.0"), (5, f"see {cc}/2.1/jp or MIT License"),
+            (6, "opensource.org/licenses/BSD-3-Clause"), (7, "creativecommons.org/licenses/by-nc-nd/4.0/deed.en")]
+    got = {r.doc_id: [s.label for s in r.spans] for r in L.scan(docs(rows)).collect()}
+    assert got == {1: ["bsd", "apache-2.0"], 2: ["bsd", "gpl-3.0"], 3: ["cc", "mpl-2.0"], 4: ["cc", "gpl-2.0"],
+                   5: ["cc", "mit"], 6: ["bsd"], 7: ["cc"]}
+    ends = {r.doc_id: r.spans[0].last for r in L.scan(docs(rows)).collect()}
+    assert ends[6] == 5 and ends[7] == 7 and ends[5] == 8

@@ -143,12 +143,12 @@ NOTICES = (
     ("apache-2.0", "apache", r"licensed under the apache license version 2 0 the license( you may not use this file)?"),
     ("mpl-2.0", "source code form", r"this source code form is subject to the terms of the mozilla public licen[sc]e( v 2 0| version 2 0)?"),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    ("cc", "creativecommons", r"creativecommons org licenses [a-z ]*[1-4] [05]"),
+    ("cc", "creativecommons", r"creativecommons org licenses(( (by|nc|nd|sa|sampling|devnations)){1,4}( [1-4] [015])?| [1-4] [05])"),
     ("cc0-1.0", "creativecommons", r"creativecommons org publicdomain zero 1 0"),
     ("apache-2.0", "apache", r"(www )?apache org licenses license 2 0( txt| html)?"),
     ("gpl", "gnu", r"(www )?gnu org licenses( gpl[0-9 ]*| lgpl[0-9 ]*| agpl[0-9 ]*)?( txt| html)?"),
     ("mit", "opensource", r"opensource org licenses mit( license)?( php| html)?"),
-    ("bsd", "opensource", r"opensource org licenses bsd[a-z0-9 ]*"),
+    ("bsd", "opensource", r"opensource org licenses bsd( [234] clause)?( licen[sc]e)?( php| html)?"),
     ("proprietary", "all rights", r"all rights reserved"),
     ("proprietary", "proprietary", r"proprietary and confidential"),
     ("proprietary", "unauthorized", r"unauthorized copying of this file"),
