@@ -72,3 +72,24 @@ def test_table_edges(spark):
     got = H.extract(spark.createDataFrame(rows, schema)).collect()
     assert [(r.page_id, r.n_chars) for r in got] == [(1, 0), (None, 1), (2, 499_999), (2, 499_999), (3, 4)]
     assert H.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+FOREIGN = {
+    "it": "La casa che abbiamo visto sulla collina è una delle più antiche della città, e fu costruita dalla gente che viveva "
+          "lì prima della guerra, quando tutta la terra era loro e non si vendeva a nessuno. Si trova ancora là oggi.",
+    "pl": "Dom, który widzieliśmy na wzgórzu, jest jednym z najstarszych w mieście i został zbudowany przez ludzi, którzy "
+          "mieszkali tam przed wojną, kiedy cała ziemia należała do nich i nie była na sprzedaż dla nikogo. Stoi do dziś.",
+    "ru": "Дом, который мы видели на холме, один из самых старых в городе, и он был построен людьми, которые жили там до "
+          "войны, когда вся земля была их и не продавалась никому. Он всё ещё стоит там, и в нём никто не живёт.",
+    "fi": "Talo, jonka näimme kukkulalla, kuuluu kaupungin vanhimpiin, ja sen rakensivat ihmiset, jotka asuivat siellä ennen "
+          "sotaa, kun kaikki maa kuului heille eikä sitä myyty kenellekään. Se seisoo yhä paikallaan, vaikka on tyhjä.",
+    "zh": "我们在山上看到的那座房子是镇上最古老的房子之一，由战前住在那里的人们建造，当时所有的土地都属于他们，不卖给任何人。" * 4,
+}
+
+
+@pytest.mark.parametrize("lang", FOREIGN)
+def test_pages_of_other_languages_without_an_article(lang):
+    links = "".join(f"<li><a href=/{i}>Link number {i}</a></li>" for i in range(12))
+    text = FOREIGN[lang]
+    page = f"<body><ul>{links}</ul><h2>T</h2><p>{text}</p><p>x y z.</p><p>{text}</p><p>© 2020 N</p><ul>{links}</ul>"
+    assert H.main_text(page) == f"T\n{text}\nx y z.\n{text}"

@@ -7,7 +7,8 @@ exactly what is its article, blocks outside of it are none either.
 
 First pass, each block by itself: share of letters inside links, length, share
 of stop words. Many links or a copyright mark make it bad; long with stop words
-good; the rest is ambiguous: short, or nearly good. Second pass: a nearly good block is good
+good; the rest is ambiguous: short, or nearly good. Stop words are known for some languages only: on a
+page where no block is rich in them, length and links alone decide. Second pass: a nearly good block is good
 unless all its nearest decided neighbours are bad. A short one then takes the label of the nearest
 decided block, the good one on a tie; if a page has none decided, it is good. Inside a marked
 article a block is bad only by its links.
@@ -64,6 +65,18 @@ FUNCTION_WORDS = {
           "qui sa se ses son sont sur un une vous",
     "es": "al como con de del desde el en era es esta este fue ha la las le les lo los más no o para pero por que se ser sin "
           "sobre su sus también un una y ya",
+    "it": "al alla anche che con da dal dei del della delle di e gli ha il in la le lo ma nel nella non per più si sono su un "
+          "una è",
+    "pt": "ao aos as até com como da das de do dos e ela ele em entre essa esta foi mais mas na nas no nos não o os para pela "
+          "pelo por que se sem ser seu sua são também um uma à é",
+    "nl": "aan als bij dan dat de deze die dit door een en er haar heeft het hij hun ik in is maar met naar niet nog of om ook "
+          "op over te tot uit van voor was wat werd worden zijn",
+    "pl": "ale był była były co dla do i ich jak jako jego jej jest już na nie o od oraz po pod przez przy się są tak tego ten "
+          "to tym w z za ze że",
+    "sv": "att av de den det efter eller en ett från för ha han har hon i inte kan men med när och om på sig som till var vi "
+          "är över",
+    "ru": "а бы был была были в во все для до его ее еще же за и из или их к как когда которые который мы на не но о он она они "
+          "от по при с со так также только то у что чтобы это",
 }
 STOP_WORDS = frozenset(w for words in FUNCTION_WORDS.values() for w in words.split())
 
@@ -202,18 +215,28 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
+def _stop_share(text: str, stop_words: frozenset[str]) -> float:
+    words = _WORDS.findall(text.lower())
+    return sum(w in stop_words for w in words) / len(words) if words else 0.0
+
+
+def _linked(b: Block) -> bool:
+    return b.linked / len(b.text) > LINK_SHARE
+
+
 def classify(found: list[Block], stop_words: frozenset[str] = STOP_WORDS) -> list[Block]:
     """Both passes; sets every block's label to good or bad and returns the good ones."""
-    for b in found:
-        words = _WORDS.findall(b.text.lower())
-        stops = sum(w in stop_words for w in words) / len(words) if words else 0.0
-        if b.linked / len(b.text) > LINK_SHARE or "©" in b.text and len(b.text) < LONG:
+    shares = [_stop_share(b.text, stop_words) for b in found]
+    # Else the page is in a language that the stop words do not cover, and they say nothing of its blocks.
+    known = any(share >= STOP_HIGH for b, share in zip(found, shares) if len(b.text) >= SHORT and not _linked(b))
+    for b, stops in zip(found, shares):
+        if _linked(b) or "©" in b.text and len(b.text) < LONG:
             b.label = BAD
         elif b.in_article:
             b.label = GOOD if len(b.text) >= SHORT or b.heading else SHORT_BLOCK
         elif len(b.text) < SHORT:
             b.label = SHORT_BLOCK
-        elif stops >= STOP_HIGH:
+        elif stops >= STOP_HIGH or not known:
             b.label = GOOD if len(b.text) >= LONG else NEAR_GOOD
         elif stops >= STOP_LOW:
             b.label = NEAR_GOOD
