@@ -93,3 +93,14 @@ def test_pages_of_other_languages_without_an_article(lang):
     text = FOREIGN[lang]
     page = f"<body><ul>{links}</ul><h2>T</h2><p>{text}</p><p>x y z.</p><p>{text}</p><p>© 2020 N</p><ul>{links}</ul>"
     assert H.main_text(page) == f"T\n{text}\nx y z.\n{text}"
+
+
+def test_an_article_mark_is_no_switch():
+    links = "".join(f"<li><a href=/{i}>Link number {i}</a></li>" for i in range(12))
+    cards = "".join(f"<article><h3>Card {i}</h3><p><a href=/{i}>Read more of it here</a></p></article>" for i in range(4))
+    body = f"<div><p>{GOOD}</p><p>Short one.</p><p>{GOOD}</p></div>"
+    assert H.main_text(f"<ul>{links}</ul>{body}<ul>{links}</ul>{cards}") == f"{GOOD}\nShort one.\n{GOOD}"
+    link, junk = "<div><a href=/x>Go to the shop and look at it</a></div>", "lorem qwert yxcv asdf uiop hjkl bnm " * 8
+    advert = f"{link}<div>Buy</div><div>{junk}</div>{link}"  # no class gives it away
+    page = f"<main><h1>T</h1><p>{GOOD}</p><p>s</p>{advert}<p>{GOOD}</p><p>{junk.strip()}</p></main>"
+    assert H.main_text(f"{page}<div>{GOOD}</div>") == f"T\n{GOOD}\ns\n{GOOD}\n{junk.strip()}"

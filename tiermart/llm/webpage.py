@@ -2,16 +2,18 @@
 
 A page is cut into blocks at block-level tags. What stands inside elements that never
 hold an article's text (scripts, menus, footers, forms and the like, by tag, role, or
-a class or id word such as ``sidebar``) is no candidate. Where the page marks
-exactly what is its article, blocks outside of it are none either.
+a class or id word such as ``sidebar``) is no candidate. Where the page marks what is its
+article, only marked blocks are returned, unless these hold less good text than the others:
+then the mark (of teaser cards, say) is no guide, and all blocks are judged without it.
 
 First pass, each block by itself: share of letters inside links, length, share
 of stop words. Many links or a copyright mark make it bad; long with stop words
 good; the rest is ambiguous: short, or nearly good. Stop words are known for some languages only: on a
 page where no block is rich in them, length and links alone decide. Second pass: a nearly good block is good
 unless all its nearest decided neighbours are bad. A short one then takes the label of the nearest
-decided block, the good one on a tie; if a page has none decided, it is good. Inside a marked
-article a block is bad only by its links.
+decided block, the good one on a tie; if a page has none decided, it is good. The mark is in an ambiguous block's
+favour: inside a marked article it is bad only between two bad ones, lack of stop words makes a block
+ambiguous and not bad (lists, code, names), and a heading is good.
 """
 
 from __future__ import annotations
@@ -232,13 +234,13 @@ def classify(found: list[Block], stop_words: frozenset[str] = STOP_WORDS) -> lis
     for b, stops in zip(found, shares):
         if _linked(b) or "©" in b.text and len(b.text) < LONG:
             b.label = BAD
-        elif b.in_article:
-            b.label = GOOD if len(b.text) >= SHORT or b.heading else SHORT_BLOCK
+        elif b.in_article and b.heading:
+            b.label = GOOD
         elif len(b.text) < SHORT:
             b.label = SHORT_BLOCK
         elif stops >= STOP_HIGH or not known:
             b.label = GOOD if len(b.text) >= LONG else NEAR_GOOD
-        elif stops >= STOP_LOW:
+        elif stops >= STOP_LOW or b.in_article:
             b.label = NEAR_GOOD
         else:
             b.label = BAD
@@ -253,7 +255,7 @@ def classify(found: list[Block], stop_words: frozenset[str] = STOP_WORDS) -> lis
                 continue
             near = [j for j in (decided[k - 1] if k else None, decided[k] if k < len(decided) else None) if j is not None]
             if ambiguous == NEAR_GOOD or b.in_article:
-                b.label = BAD if near and all(labels[j] == BAD for j in near) and not b.in_article else GOOD
+                b.label = BAD if len(near) > b.in_article and all(labels[j] == BAD for j in near) else GOOD
             else:
                 least = min((abs(i - j) for j in near), default=0)
                 b.label = GOOD if not near or any(labels[j] == GOOD for j in near if abs(i - j) == least) else BAD
@@ -265,9 +267,17 @@ def main_text(html: str | None, stop_words: frozenset[str] = STOP_WORDS) -> str:
     if not html:
         return ""
     found = blocks(html)
+    good = classify(found, stop_words)
     if any(b.in_article for b in found):
-        found = [b for b in found if b.in_article]
-    return "\n".join(b.text for b in classify(found, stop_words))
+        marked = sum(len(b.text) for b in good if b.in_article)
+        others = sum(len(b.text) for b in good if not b.in_article and len(b.text) >= SHORT)
+        if marked >= others:
+            good = [b for b in good if b.in_article]
+        else:
+            for b in found:
+                b.in_article = False
+            good = classify(found, stop_words)
+    return "\n".join(b.text for b in good)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
