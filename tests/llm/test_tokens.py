@@ -50,3 +50,49 @@ def test_counts_over_a_real_vocabulary(docs, real, entries):
 
 def test_no_rows(docs, entries):
     assert tokens.count_tokens(docs([]), *entries).count() == 0
+
+
+def brute_with_bytes(word, first, inner):
+    total = at = 0
+    entries = first
+    while at < len(word):
+        end = next((e for e in range(len(word), at, -1) if word[at:e] in entries), None)
+        if end is None and entries is first:
+            total, entries = total + 1, inner  # the bare word mark
+        elif end is None:
+            total, at = total + len(word[at].encode()), at + 1
+        else:
+            total, at, entries = total + 1, end, inner
+    return total
+
+
+def test_byte_fallback_equals_greedy_matching():
+    r = random.Random(3)
+    for _ in range(1500):
+        def entries():
+            return {"".join(r.choice("aé") for _ in range(r.randint(1, 5))) for _ in range(r.randint(0, 7))}
+        first, inner = entries(), entries() | {"鑫a"}
+        counter = tokens.PieceCounter(first, inner, True)
+        for _ in range(8):
+            word = "".join(r.choice("aé鑫\u121b\U0001f600") if r.random() < 0.3 else r.choice("aé") for _ in range(r.randint(0, 12)))
+            assert counter.count(word) == brute_with_bytes(word, first, inner), (word, first, inner)
+
+
+def test_one_rare_character_does_not_make_a_word_one_token(docs, real, entries):
+    first, inner = map(set, entries)
+    assert tokens.has_byte_pieces("/opt/tokenizers/piece_bpe_32k.model")
+    rows = [(1, "中文中文" * 500 + "鑫" + "中文中文" * 500), (2, "鑫"), (3, "\u121b\u121b"), (4, "a" * 500 + "鑫" + "a" * 500), (5, "")]
+    for frame in (docs(rows), real("documents")):
+        texts = {r.doc_id: r.text for r in frame.collect()}
+        for g in tokens.count_tokens(frame, *entries, byte_fallback=True).collect():
+            words = [w.decode() for w in (texts[g.doc_id] or "").encode().split()]
+            assert g.n_tokens == sum(brute_with_bytes(w, first, inner) for w in words), g.doc_id
+    got = {g.doc_id: g.n_tokens for g in tokens.count_tokens(docs(rows), *entries, byte_fallback=True).collect()}
+    assert got[1] > 2000 and got[2] == 4 and got[3] == 7 and got[4] > 100 and got[5] == 0
+
+
+def test_the_query_spells_unknown_characters_by_bytes(spark, tmp_path):
+    from tiermart.llm.queries import op8_token_counts
+
+    spark.createDataFrame([(1, "鑫鑫")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [r.n_tokens for r in op8_token_counts(spark, str(tmp_path)).collect()] == [7]

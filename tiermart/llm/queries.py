@@ -74,7 +74,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """Words and greedy word pieces of every document."""
     first, inner = tokens.sentencepiece_entries(vocabulary)
-    return tokens.count_tokens(table(spark, sf_dir, "documents"), first, inner)
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), first, inner,
+                               byte_fallback=tokens.has_byte_pieces(vocabulary))
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
