@@ -132,3 +132,18 @@ def test_a_repeated_edited_copy_is_found(spark, docs, copies, exact):
     assert set(found) == set(range(copies)) | {5000 + d for d in range(exact)}
     assert all(found[d] >= 0.7 for d in range(copies))
     assert {x.doc_id for x in D.clean(docs(rows), benchmark).collect()} == {9000 + d for d in range(50)}
+
+
+def test_part_of_a_long_item_and_every_fourth_word_replaced(spark, docs):
+    r = random.Random(4)
+    words = vocabulary(r, 400)
+    item = [f"item{k}" for k in range(60)]
+
+    def around(passage):
+        return " ".join(r.choices(words, k=20) + passage + r.choices(words, k=20))
+    fourth = [f"other{k}" if k % 4 == 3 else w for k, w in enumerate(item)]
+    rows = [(1, around(item[:33])), (2, around(fourth)), (3, around(item[20:45])), (4, around(item[20:44])), (5, around(item[:3]))]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {x.doc_id: x.score for x in D.find(docs(rows), benchmark).collect()}
+    assert got == pytest.approx({1: 33 / 60, 2: (2 * 45 - 14) / 120, 3: 25 / 60})
+    assert {x.doc_id for x in D.clean(docs(rows), benchmark).collect()} == {4, 5}
