@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.llm import decontaminate, language, licenses, lines, mixing, simhash, sketches, tokens, toxicity, webpage
+from tiermart.llm import (decontaminate, language, licenses, lines, mixing, periodic, simhash, sketches, tokens, toxicity,
+                          webpage)
 from tiermart.llm.common import hash_sample, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +111,36 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max("spans.weight"), F.lit(0.0)).alias("score"))
 
 
+def repeated_tail(key: int | None, words: list[bytes]) -> list[bytes]:
+    """op11's texts: in one of ten documents, by the id's CRC-32, the words from some place on repeat the first few of them."""
+    h = zlib.crc32(str(key).encode()) if key is not None else 1
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    period = words[a:a + 1 + (n - a) // (3 + g % 8)]
+    return words[:a] + (period * (1 + (n - a) // len(period)))[:n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, the longest one, and digests of all runs and of the text without their repeats."""
+    found = periodic.find_runs(table(spark, sf_dir, "documents"), rewrite=repeated_tail)
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"),
+        F.lit("\n"))))
+    # The least of (-length, start, period); no run: null.
+    top = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("start"),
+                                                             r["period"].alias("period"))))
+    found = found.withColumn("top", top)
+    length = -F.col("top.n")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.start").alias("start"), length.alias("length"),
+        F.col("top.period").alias("period"),
+        F.floor(F.lit(1000) * length / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_main_text": op2_main_text,
@@ -120,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_fingerprints": op9_fingerprints,
     "op10_licenses": op10_licenses,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {}
