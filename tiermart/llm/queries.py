@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.llm import (decontaminate, language, licenses, lines, mixing, periodic, simhash, sketches, tokens, toxicity,
-                          webpage)
+from tiermart.llm import (conversations, decontaminate, language, licenses, lines, mixing, periodic, simhash, sketches,
+                          tokens, toxicity, webpage)
 from tiermart.llm.common import hash_sample, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +141,24 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def shared_openings(found: DataFrame, group: int = 5, most: int = 8) -> DataFrame:
+    """op13's conversations: each begins with as many turns (0 to ``most``, by its id's CRC-32) of its group's first one."""
+    first = found.where(F.col("conv_id") % group == 0).select(
+        F.col("conv_id").alias("first_id"), F.slice("parts", 1, most).alias("opening"))
+    turns = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % (most + 1)).cast("int")
+    joined = found.withColumn("first_id", F.col("conv_id") - F.col("conv_id") % group).withColumn("turns", turns).join(
+        first, "first_id", "left")
+    opening = F.coalesce("opening", F.slice("parts", 1, 0))
+    return joined.select("conv_id", F.concat(
+        F.slice(opening, F.lit(1), F.col("turns")),
+        F.slice("parts", F.col("turns") + 1, F.greatest(F.size("parts") - F.col("turns"), F.lit(0)))).alias("parts"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return conversations.trie(shared_openings(conversations.sequences(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_main_text": op2_main_text,
@@ -153,6 +171,7 @@ QUERIES: dict[str, Query] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_licenses": op10_licenses,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {}
