@@ -74,6 +74,14 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def strings(column: pa.Array) -> list[str | None]:
+    """The values of a string column. Spark strings may hold invalid UTF-8: such bytes are read as U+FFFD."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        return [None if b is None else b.decode("utf-8", "replace") for b in utf8(column)]
+
+
 def hash_sample(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
     """At most ``rows`` rows, those of least key hash: a counted share first, then exactly so many."""
     n = df.count()

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermart.llm.common import arrow_map
+from tiermart.llm.common import arrow_map, strings
 
 SEED = 3
 BLOCK_WORDS = 200_000
@@ -191,7 +191,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
         def rows(batch: pa.RecordBatch, shared=shared) -> dict:
             block, ids = Block(**shared.value), batch.column(0).to_pylist()
             out: dict = {key: [], item: [], "score": [], "end_word": []}
-            for d, t in zip(ids, batch.column(1).to_pylist()):
+            for d, t in zip(ids, strings(batch.column(1))):
                 best: dict = {}
                 for i, (score, end) in contamination(t, block, least_score, least_words).items():
                     if score > best.get(block.items[i], (0.0, 0))[0]:
@@ -220,7 +220,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
         def rows(batch: pa.RecordBatch, shared=shared) -> dict:
             block = Block(**shared.value)
-            mask = [not contamination(t, block, least_score, least_words) for t in batch.column(at).to_pylist()]
+            mask = [not contamination(t, block, least_score, least_words) for t in strings(batch.column(at))]
             left = batch.filter(pa.array(mask, pa.bool_()))
             return dict(zip(names, left.columns))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermart.llm.common import arrow_map
+from tiermart.llm.common import arrow_map, strings
 
 BUCKETS = 1 << 15
 DIMENSION = 16
@@ -167,7 +167,7 @@ def labelled_sample(labelled: DataFrame, text: str = "text", label: str = "lang"
 
     def bags(batch: pa.RecordBatch) -> dict:
         ids, counts = [], []
-        for t in batch.column(0).to_pylist():
+        for t in strings(batch.column(0)):
             words = words_of(t)
             at, n = np.unique(subwords(words)[0] if words else np.zeros(0, np.int64), return_counts=True)
             ids.append(at.tolist())
@@ -209,7 +209,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
             at.update(zip(new, range(lo, lo + len(new))))
 
         pred, score, rejected = [], [], []
-        for t in batch.column(1).to_pylist():
+        for t in strings(batch.column(1)):
             tokens = tokens_of(t)
             if not tokens or not model.classes:
                 pred.append(UNDETERMINED)

@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.llm import (conversations, decontaminate, language, licenses, lines, mixing, periodic, simhash, sketches,
-                          tokens, toxicity, webpage)
-from tiermart.llm.common import hash_sample, table
+from tiermart.llm import (conversations, decontaminate, language, licenses, lines, mixing, periodic, quality, simhash,
+                          sketches, tokens, toxicity, webpage)
+from tiermart.llm.common import checkpointed, hash_sample, table
 from tiermart.llm.oracle import ORACLE  # noqa: F401  read by the entry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +142,22 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is labelled good, learned from the labelled ones that are not held out.
+
+    A document with several labels has the highest. Texts are read once; their statistics are kept for fit and score.
+    """
+    def held_out():
+        return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+    rows = checkpointed(quality.described(table(spark, sf_dir, "documents")))
+    labels = table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
+    labels = labels.groupBy("doc_id").agg(F.max("quality").alias("label"))
+    found = quality.score(rows, quality.fit(rows.join(labels, "doc_id")))
+    return found.select("doc_id", held_out().alias("held_out"), "score",
+                        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def shared_openings(found: DataFrame, group: int = 5, most: int = 8) -> DataFrame:
     """op13's conversations: each begins with as many turns (0 to ``most``, by its id's CRC-32) of its group's first one."""
     first = found.where(F.col("conv_id") % group == 0).select(
@@ -172,5 +188,6 @@ QUERIES: dict[str, Query] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_licenses": op10_licenses,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_quality": op12_quality,
     "op13_prefix_trie": op13_prefix_trie,
 }
\ No newline at end of file

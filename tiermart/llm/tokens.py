@@ -132,7 +132,7 @@ def count_tokens(docs: DataFrame, first: list[str], inner: list[str], key: str =
     """(key, n_words, n_tokens) for every row.
 
     The vocabulary is broadcast; its size is the tokenizer's, whatever the
-    corpus. Null and empty texts have no words and no tokens. Words are split at
+    corpus. Null and empty texts have no words and no tokens. Invalid UTF-8 counts as U+FFFD. Words are split at
     ASCII white space; without ``byte_fallback``, an unknown word counts as one token.
     """
     # A worker process keeps a broadcast value between tasks, and with it what is built on it here.
@@ -152,7 +152,7 @@ def count_tokens(docs: DataFrame, first: list[str], inner: list[str], key: str =
             for w in parts:
                 c = known.get(w)
                 if c is None:
-                    c = known[w] = counter.count(w.decode())
+                    c = known[w] = counter.count(w.decode("utf-8", "replace"))
                 n += c
             words.append(len(parts))
             tokens.append(n)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from tiermart.llm.common import arrow_map
+from tiermart.llm.common import arrow_map, strings
 
 LABELLED_ROWS = 8000
 LEAST_CHI2 = 30.0
@@ -108,7 +108,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", rows: int
         "text is not null and label is not null")
 
     def examples(batch: pa.RecordBatch) -> dict:
-        made = [_example(t) for t in batch.column(1).to_pylist()]
+        made = [_example(t) for t in strings(batch.column(1))]
         return {"label": batch.column(0), "family": [f for _, f in made],
                 "features": [h - (1 << 31) for h, _ in made]}
 
@@ -179,7 +179,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", reject_from: float
 
     def rows(batch: pa.RecordBatch) -> dict:
         model, known = Model(**shared.value[0]), shared.value[1]
-        s = _severities(model, known, batch.column(at).to_pylist())
+        s = _severities(model, known, strings(batch.column(at)))
         return dict(zip(names, batch.columns)) | {
             "severity": pa.array(s), "grade": pa.array(np.rint(s).astype(np.int32)),
             "rejected": (s >= reject_from).tolist()}

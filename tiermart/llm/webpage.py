@@ -25,7 +25,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tiermart.llm.common import arrow_map
+from tiermart.llm.common import arrow_map, strings
 
 # HTML element names.
 BLOCK_TAGS = frozenset(
@@ -289,7 +289,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     """
 
     def rows(batch: pa.RecordBatch) -> dict:
-        text = [main_text(h, stop_words) for h in batch.column(2).to_pylist()]
+        text = [main_text(h, stop_words) for h in strings(batch.column(2))]
         return {key: batch.column(0), url: batch.column(1), "text": text, "n_chars": [len(t) for t in text]}
 
     kinds = {c: pages.schema[c].dataType.simpleString() for c in (key, url)}
