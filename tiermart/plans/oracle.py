@@ -451,6 +451,15 @@ SELECT customer_id, first_name AS "name.first", last_name AS "name.last", email
        phone AS "contact.phone", city AS "contact.address.city", state AS "contact.address.state",
        zip_code AS "contact.address.zip", annual_income
 FROM bronze_customers""",
+    "ingest_mixed_files": _with("bronze_policies") + """
+SELECT f.format, CASE WHEN policy_id % 3 = 2 THEN 'see "' || policy_number || '", page 1' END AS note,
+       * EXCLUDE (format, deductible), CASE WHEN policy_id % 3 <> 1 THEN deductible END AS deductible
+FROM bronze_policies CROSS JOIN (VALUES ('csv'), ('json'), ('parquet')) f(format)""",
+    "ingest_json_sparse": _with("silver_claims") + """
+SELECT * REPLACE (CAST(0 AS DOUBLE) AS approved_amount, CAST(NULL AS VARCHAR) AS description),
+       CASE WHEN claim_id % 7 = 0 THEN 'clm-' || CAST(claim_id AS VARCHAR) END AS audit_by,
+       CASE WHEN claim_id % 7 = 0 THEN claim_id END AS audit_entry_nr
+FROM silver_claims""",
     "incremental_clean": ORACLE["clean_claims"],
     "run_layers_customer_risk": GOLD_CUSTOMER_RISK,
     "run_layers_claims_summary": GOLD_CLAIMS_SUMMARY,

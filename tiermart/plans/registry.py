@@ -295,6 +295,57 @@ def ingest_payments(spark, sf_dir):
     return _land(spark, sf_dir, "payments", "parquet")
 
 
+def ingest_mixed_files(spark, sf_dir):
+    """Policies landed as files that do not agree on their columns, in each format: a third as declared, a
+    third in another order and without the deductible, a third with a note. All columns of all files are read; a
+    landing of which one part has no premium is refused."""
+    from tiermart.sources import readers
+
+    df = proxies.policies(spark, sf_dir, AS_OF).drop("fetched_at")
+    third = F.pmod("policy_id", F.lit(3))
+    note = F.concat(F.lit('see "'), F.col("policy_number"), F.lit('", page 1'))
+    parts = []
+    for fmt in ("csv", "json", "parquet"):
+        root = f"{_scratch(spark, 'landing')}/policies_{fmt}"
+
+        def land(rows, name):
+            writer = rows.write.mode("append")
+            if fmt == "csv":
+                writer.options(**readers.CSV_OPTIONS).option("header", True).csv(f"{root}/{name}")
+            else:
+                getattr(writer, fmt)(f"{root}/{name}")
+
+        land(df.where(third == 0), "good")
+        land(df.where(third == 1).select(*reversed(df.columns)).drop("deductible"), "good")
+        land(df.where(third == 2).select(note.alias("note"), *df.columns), "good")
+        parts.append(readers.ingest(readers.landed(spark, "policies", f"{root}/good", fmt), "policies", AS_OF)
+                     .select(F.lit(fmt).alias("format"), "note", *df.columns, "fetched_at"))
+        land(df.where(third == 0), "bad")
+        land(df.where(third == 1).drop("premium"), "bad")
+        try:
+            readers.landed(spark, "policies", f"{root}/bad", fmt)
+        except ValueError as refused:
+            if "['premium'] in " not in str(refused):
+                raise
+        else:
+            raise AssertionError(f"a {fmt} file without a required column was read")
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def ingest_json_sparse(spark, sf_dir):
+    """Claims as records that leave nulls out; no record has an approved amount or a description, some have an
+    undeclared object. Declared columns are there as typed nulls, so cleaning takes the batch."""
+    from tiermart.sources import readers
+
+    path = f"{_scratch(spark, 'landing')}/claims_sparse"
+    claims = proxies.claims(spark, sf_dir, AS_OF).drop("fetched_at", "description")
+    audit = F.when(F.pmod("claim_id", F.lit(7)) == 0, F.struct(F.col("claim_number").alias("by"), F.struct(
+        F.col("claim_id").alias("nr")).alias("entry")))
+    claims.withColumn("approved_amount", F.lit(None).cast("double")).withColumn("audit", audit).write.json(path)
+    landed = readers.ingest(readers.flatten(readers.landed(spark, "claims", path, "json"), "_"), "claims", AS_OF)
+    return silver.clean("claims", landed, AS_OF)
+
+
 def ingest_json_flat(spark, sf_dir):
     """Nested JSON records (as an API would return them) flattened to parent.child columns."""
     from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -430,6 +481,8 @@ QUERIES.update({
     "ingest_agents": ingest_agents,
     "ingest_payments": ingest_payments,
     "ingest_json_flat": ingest_json_flat,
+    "ingest_json_sparse": ingest_json_sparse,
+    "ingest_mixed_files": ingest_mixed_files,
     "incremental_clean": incremental_clean,
     "validate_steps": validate_steps,
     **{f"run_layers_{m}": _run_layers(m) for m in ("claims_summary", "premium_revenue", "agent_performance",

@@ -2,19 +2,22 @@
 
 Bronze keeps data as it is: every column of a landed file is read. Declared columns get their
 declared type, others the file's own (text in CSV), and a changed upstream type fails at read
-time instead of changing results. What columns there are is always the file's word (CSV header,
-JSON records, Parquet footer), so a missing required column is noticed.
+time instead of changing results. What columns there are is the word of every file (CSV headers,
+JSON records, Parquet footers; ``tiermart.sources.census``): files of one landing may differ in order and number
+of columns, a column that one of them has is kept, and a file without a required one is named in an error.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from tiermart.operators.quality import validate
 from tiermart.plans.silver import SPECS
-from tiermart.sources import schemas
+from tiermart.sources import census, schemas
 
 # Raw (bronze) text keeps its padding: cleaning is silver's job.
 CSV_OPTIONS = {
@@ -48,16 +51,52 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.options(**CSV_OPTIONS).option("header", header).csv(path)
 
 
+def read_csv_files(spark: SparkSession, path: str, schema: StructType, required: tuple[str, ...] = (),
+                   multi_line: bool = False) -> DataFrame:
+    """CSV files whose headers may differ: each header's files are read by it, and brought together by name.
+
+    A column that a file does not have is null in its rows; a required one that it does not have raises.
+    """
+    groups = census.csv_headers(spark, path)
+    if not groups:
+        return spark.createDataFrame([], schema)
+    options = {**CSV_OPTIONS, "header": True, "multiLine": multi_line}
+    # Spark's own reading of each header: names that are blank or stand twice are made distinct.
+    names = {first: spark.read.options(**options).csv(files[0]).columns for first, files in groups.items()}
+    lacking = [(file, c) for first, files in groups.items() for c in required if c not in names[first] for file in files]
+    if lacking:
+        census.require(spark.createDataFrame(lacking, "file string, column string"))
+    declared = {f.name: f for f in schema.fields}
+    parts = [spark.read.schema(StructType([declared.get(n, StructField(n, StringType())) for n in names[first]]))
+             .options(**options).option("enforceSchema", False).option("mode", "FAILFAST").csv(files)
+             for first, files in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType, undeclared: bool = True) -> DataFrame:
-    """JSON lines. Fields not declared are kept with the type their values show, for which the
-    records are read once more; ``undeclared=False`` reads the declared ones only, present or not."""
+    """JSON lines: the declared columns and, for which the records are read once more, those found beside them.
+
+    A declared column has its declared type, also where no record holds it or all hold null; in JSON
+    a key that is left out is a null. Undeclared ones have the type that their values show, inside declared
+    structs too. ``undeclared=False`` reads the declared ones only.
+    """
     if undeclared:
-        declared = {f.name: f for f in schema.fields}
-        found = spark.read.json(path).schema
-        schema = StructType([declared.get(f.name, f) for f in found.fields])
+        schema = with_found(schema, spark.read.json(path).schema)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def with_found(declared: DataType, found: DataType) -> DataType:
+    """A declared type with the fields that were found beside its own, structs and arrays of them all the way down."""
+    if isinstance(declared, StructType) and isinstance(found, StructType):
+        there = {f.name: f for f in found.fields}
+        own = [StructField(f.name, with_found(f.dataType, there[f.name].dataType), f.nullable) if f.name in there else f
+               for f in declared.fields]
+        return StructType(own + [f for f in found.fields if f.name not in set(declared.names)])
+    if isinstance(declared, ArrayType) and isinstance(found, ArrayType):
+        return ArrayType(with_found(declared.elementType, found.elementType), declared.containsNull)
+    return declared
+
+
 def _flat_columns(schema: StructType, path: tuple[str, ...], sep: str) -> list[Column]:
     cols: list[Column] = []
     for field in schema.fields:
@@ -120,14 +159,22 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def landed(spark: SparkSession, table: str, path: str, fmt: str = "parquet", multi_line: bool = False) -> DataFrame:
-    """Landed files of one bronze table (``fetched_at`` is added at ingest)."""
+    """Landed files of one bronze table (``fetched_at`` is added at ingest): all columns of all files.
+
+    Raises, with the files' names, if one lacks a required column: a CSV header or Parquet footer without it, or JSON
+    records of which none has the key. A null value is no lack.
+    """
     schema = StructType([f for f in schemas.BRONZE[table].fields if f.name != "fetched_at"])
+    required = SPECS[table].required
     if fmt == "csv":
-        return read_csv(spark, path, schema, multi_line=multi_line)
+        return read_csv_files(spark, path, schema, required, multi_line)
     if fmt == "json":
+        census.require(census.json_missing(spark, path, list(required)))
         return read_json(spark, path, schema)
     if fmt == "parquet":
-        return conform(spark.read.parquet(path), schema)
+        found = census.parquet_schema(spark, path)
+        census.require(census.parquet_missing(spark, path, list(required), found))
+        return conform(spark.read.schema(found).parquet(path), schema)
     raise ValueError(f"unsupported landing format {fmt!r} (csv, json, parquet)")
 
 
