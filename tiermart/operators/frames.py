@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -87,6 +87,25 @@ def sort_asc(df: DataFrame, *cols: str, then: tuple[str, ...] = ()) -> DataFrame
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in (*cols, *then)])
 
 
+def order_faults(stored: DataFrame, keys: list[str]) -> DataFrame:
+    """One row about a stored table that is meant to be in ascending order of ``keys``, nulls first: (inversions, overlaps, rows).
+
+    ``stored`` is read from Parquet files as they are. Inversions are rows less than the row before them in their file;
+    overlaps are files whose least key is less than the greatest of the file before it, by name (a writer numbers
+    its files in order). Both 0: the whole table is sorted. A file is what one task looks at; then there is a row for each file.
+    """
+    key = F.struct(*[F.col(f"`{k}`") for k in keys])
+    rows = stored.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), key.alias("key"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    files = rows.withColumn("inverted", F.coalesce(F.col("key") < before, F.lit(False))).groupBy("file").agg(
+        F.count_if("inverted").alias("inversions"), F.count(F.lit(1)).alias("rows"), F.min("key").alias("least"),
+        F.max("key").alias("most"))
+    overlaps = F.coalesce(F.col("least") < F.lag("most").over(Window.orderBy("file")), F.lit(False))
+    return files.withColumn("overlaps", overlaps).agg(
+        F.coalesce(F.sum("inversions"), F.lit(0)).alias("inversions"), F.count_if("overlaps").alias("overlaps"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+
+
 def stamp(df: DataFrame, name: str, as_of: str) -> DataFrame:
     """Constant ISO-8601 stamp column; replaces in place if it exists."""
     return df.withColumn(name, F.lit(as_of))

@@ -434,6 +434,28 @@ ORACLE["profile_output"] = _with("silver_claims") + "\nUNION ALL\n".join(
     for i, (c, t) in enumerate(_profile_cols)
 )
 
+_ranged = {"claim_id", "policy_id", "incident_date", "reported_date", "claimed_amount", "approved_amount"}
+ORACLE["stored_statistics"] = _with("silver_claims") + "\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS column, '{t}' AS type, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+    + (f"CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS most" if c in _ranged
+       else "CAST(NULL AS VARCHAR) AS least, CAST(NULL AS VARCHAR) AS most") + " FROM silver_claims"
+    for i, (c, t) in enumerate(_profile_cols)
+)
+ORACLE["sorted_output_check"] = _with("silver_customer_policies", "silver_policy_claims") + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, 0 AS inversions, 0 AS overlaps, count(*) AS rows FROM silver_{t}"
+    for t in ("customer_policies", "policy_claims"))
+
+# Steps that do not read customers are made by the first run; the others wait for the third.
+_marts = {"claims_summary": GOLD_CLAIMS_SUMMARY, "premium_revenue": GOLD_PREMIUM_REVENUE,
+          "agent_performance": GOLD_AGENT_PERFORMANCE, "customer_risk": GOLD_CUSTOMER_RISK,
+          "policy_claims": _with("silver_policy_claims") + "SELECT * FROM silver_policy_claims",
+          "customer_policies": _with("silver_customer_policies") + "SELECT * FROM silver_customer_policies"}
+_late = {"customer_policies": "rejected", "customer_risk": "blocked"}
+ORACLE["propagate_partial"] = "\nUNION ALL\n".join(
+    f"SELECT {run} AS run, '{step}' AS step, '{_late[step]}' AS status, 0 AS table_rows" if step in _late and run < 3 else
+    f"SELECT {run} AS run, '{step}' AS step, '{'made' if run == (3 if step in _late else 1) else 'current'}' AS status, "
+    f"count(*) AS table_rows FROM ({sql})" for run in (1, 2, 3) for step, sql in _marts.items())
+
 KEYS = {"customers": "customer_id", "policies": "policy_id", "claims": "claim_id", "vehicles": "vehicle_id",
         "agents": "agent_id", "payments": "payment_id"}
 COLUMN_COUNTS = {"customers": 15, "policies": 13, "claims": 11, "vehicles": 13, "agents": 12, "payments": 10}

@@ -207,7 +207,7 @@ def read_latest_snapshot(spark, sf_dir):
     lake.write_batch(silver.clean("claims", bronze, "2023-12-31T00:00:00+00:00"), table, "20231231T000000Z")
     good = silver.clean("claims", bronze, AS_OF)
     lake.write_batch(good, table, "20240101T000000Z")
-    # A newer batch whose write never committed (no marker): must stay invisible.
+    # A newer batch whose write never committed (no log entry): must stay invisible.
     silver.clean("claims", bronze, "2024-01-02T00:00:00+00:00").write.parquet(f"{table}/batch=20240102T000000Z/data-0")
     for rerun in (good.where("claim_id < 0"), good.withColumn("claim_number", F.expr("CAST(claim_number AS INT)"))):
         try:
@@ -469,7 +469,58 @@ def incremental_propagate(spark, sf_dir):
     return lake.load(spark, config, "gold", "customer_risk")
 
 
+def propagate_partial(spark, sf_dir):
+    """Customers land that match no policy, so one join is empty and the mart on it is blocked; the three marts
+    that do not read it are made. A second run finds nothing to do; when good customers land, a third makes
+    the rest. Per run and step: how it ended, and the rows of its table."""
+    from tiermart.plans import pipeline
+    from tiermart.sources import lake
+    from tiermart.streaming.incremental import propagate
+
+    config = lake.LakeConfig(root=_scratch(spark, "partial"), sample_enabled=False)
+    sources = {t: build(spark, sf_dir, AS_OF) for t, build in proxies.BUILDERS.items()}
+    strangers = sources["customers"].withColumn("customer_id", -1 - F.col("customer_id"))
+    pipeline.run_bronze({**sources, "customers": strangers}, config, AS_OF, "20240101T000000Z")
+    rows = []
+    for run in (1, 2, 3):
+        if run == 3:
+            lake.save(sources["customers"], config, "bronze", "customers", "20240102T000000Z")
+        done = propagate(spark, config, AS_OF, f"2024010{run}T000001Z")
+        for step in (*pipeline.JOINS, *pipeline.MARTS):
+            broken = done.get("not_made", {}).get(step.name)
+            status = broken["status"] if broken else "made" if step.name in done.get(step.layer, {}) else "current"
+            path = lake.latest(spark, lake.table_path(config.root, step.layer, step.name))
+            rows.append((run, step.name, status, lake.batch_metadata(spark, path)["row_count"] if path else 0))
+    return spark.createDataFrame(rows, "run int, step string, status string, table_rows long")
+
+
+def stored_statistics(spark, sf_dir):
+    """V2, V4: profile of a stored batch with least and greatest values, from what rode on its write; no pass over it."""
+    from tiermart.operators.quality import stored_profile
+    from tiermart.sources import lake
+
+    path = lake.write_batch(silver_table(spark, sf_dir, "claims"), f"{_scratch(spark, 'stats')}/silver/clean_claims")
+    return stored_profile(spark, lake.batch_metadata(spark, path))
+
+
+def sorted_output_check(spark, sf_dir):
+    """O1: the joined silver tables as written: rows out of order inside a file, files whose keys overlap the next
+    one's, rows."""
+    from tiermart.operators.frames import order_faults
+    from tiermart.sources import lake
+
+    root, parts = _scratch(spark, "sorted"), []
+    for name, build, keys in (("customer_policies", silver_customer_policies, ["customer_id", "start_date", "policy_id"]),
+                              ("policy_claims", silver_policy_claims, ["policy_id", "incident_date", "claim_id"])):
+        path = lake.write_batch(build(spark, sf_dir), f"{root}/silver/{name}")
+        parts.append(order_faults(lake.read_attempt(spark, path), keys).select(F.lit(name).alias("table_name"), "*"))
+    return parts[0].union(parts[1])
+
+
 QUERIES.update({
+    "propagate_partial": propagate_partial,
+    "sorted_output_check": sorted_output_check,
+    "stored_statistics": stored_statistics,
     "incremental_propagate": incremental_propagate,
     "read_latest_snapshot": read_latest_snapshot,
     "sample_copy": sample_copy,

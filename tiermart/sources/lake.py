@@ -1,25 +1,27 @@
-"""Snapshot storage: one directory per table, one sub-directory per batch, one folder per attempt.
+"""Snapshot storage: one directory per table, one sub-directory per batch, one folder per attempt, one flat commit log.
 
 Layout::
 
     {root}/{layer}/{table}/batch={YYYYMMDDTHHMMSSZ}/data-{attempt}/part-*.parquet
-                                                   /COMMITTED-{attempt}.json
+    {root}/{layer}/{table}/commits/{YYYYMMDDTHHMMSSZ}.{attempt}.commit.json
+                                  /{YYYYMMDDTHHMMSSZ}.{attempt}.reject.json
 
 * ``write_batch`` writes an attempt into a folder of its own in one Spark job,
-  counts its rows with an ``Observation`` that rides on that job (no second
-  pass), refuses an empty result, and last of all writes the attempt's marker.
-  A re-run of a batch touches nothing that is there: until its marker appears
+  counts its rows and takes its column statistics with an ``Observation`` that rides on that job (no second
+  pass), refuses an empty result, and last of all writes the attempt's log entry.
+  A re-run of a batch touches nothing that is there: until its entry appears
   (one small file, created whole), readers see the attempt before it, and a
   re-run that fails or is empty leaves that one in place. Attempt names sort by
   time; the newest committed one is the batch.
-* ``read_latest`` lists the table directory once and goes down from the newest
-  stamp until a batch holds a marker; the fixed-width stamp makes "greatest
-  name" equal "newest".
-* A marker records the output's shape and the attempts that it was made from
+* The log is one folder whose names say it all: which batches there are, which attempt is a batch's, what was rejected.
+  Every question about a table's history is one listing of it, however many batches there are; data folders are
+  listed only to be read. Names sort by batch, then by attempt, so "greatest name" equals "newest". The stream
+  reads the same folder.
+* An entry's content records the output's shape and statistics and the attempts that it was made from
   (``inputs``), so what is out of date can be told from storage alone.
 * The sample side-copy is taken from the committed files, not by re-running
   the plan, so it costs a read of the first file(s) only.
-* ``prune`` removes attempts that a newer one of the same batch has replaced.
+* ``prune`` removes attempts that a newer one of the same batch has replaced, with their log entries.
 """
 
 from __future__ import annotations
@@ -31,11 +33,12 @@ import time
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.operators.quality import validate
+from tiermart.operators.quality import recorded, statistics, validate
 
 log = logging.getLogger(__name__)
 
@@ -45,7 +48,7 @@ ENV_SAMPLE_SIZE = "DUAL_WRITE_SAMPLE_SIZE"
 ENV_DISABLE_SAMPLE = "DISABLE_LOCAL_SAMPLE"
 ENV_FALLBACK = "ADLS_FALLBACK_TO_LOCAL"
 
-MARKER, REJECTED, DATA = "COMMITTED-", "REJECTED-", "data-"
+LOG, COMMIT, REJECT, DATA = "commits", "commit", "reject", "data-"
 BATCH_PREFIX = "batch="
 STAMP_FORMAT = "%Y%m%dT%H%M%SZ"
 BACKENDS = ("local", "adls")
@@ -150,30 +153,52 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(jpath)] if fs.exists(jpath) else []
 
 
-def _stamps(spark: SparkSession, table_dir: str) -> list[str]:
-    """Stamps of all batch directories, committed or not, newest first: one listing."""
-    return sorted((n[len(BATCH_PREFIX):] for n in _names(spark, table_dir) if n.startswith(BATCH_PREFIX)), reverse=True)
+class Entry(NamedTuple):
+    """A line of a table's log, as its file's name has it; they sort by batch, then by attempt."""
+
+    stamp: str
+    attempt: str
+    kind: str
+
+    def file(self, table_dir: str) -> str:
+        return f"{log_dir(table_dir)}/{self.stamp}.{self.attempt}.{self.kind}.json"
+
+    def data(self, table_dir: str) -> str:
+        return f"{_batch_dir(table_dir, self.stamp)}/{DATA}{self.attempt}"
+
+
+def log_dir(table_dir: str) -> str:
+    return f"{table_dir.rstrip('/')}/{LOG}"
+
+
+def _log(spark: SparkSession, table_dir: str) -> list[Entry]:
+    """The whole log of a table, oldest batch first: one listing."""
+    parts = (n.split(".") for n in _names(spark, log_dir(table_dir)))
+    return sorted(Entry(*p[:3]) for p in parts if len(p) == 4 and p[2] in (COMMIT, REJECT))
 
 
 def _batch_dir(table_dir: str, stamp: str) -> str:
     return f"{table_dir.rstrip('/')}/{BATCH_PREFIX}{stamp}"
 
 
-def _attempt(spark: SparkSession, table_dir: str, stamp: str) -> str | None:
-    """Data folder of a batch's newest committed attempt."""
-    batch = _batch_dir(table_dir, stamp)
-    done = [n[len(MARKER):-len(".json")] for n in _names(spark, batch) if n.startswith(MARKER)]
-    return f"{batch}/{DATA}{max(done)}" if done else None
+def _committed(spark: SparkSession, table_dir: str) -> dict[str, Entry]:
+    """Stamp -> newest committed attempt, oldest batch first."""
+    return {e.stamp: e for e in _log(spark, table_dir) if e.kind == COMMIT}
 
 
 def committed_batches(spark: SparkSession, table_dir: str) -> list[str]:
-    """Stamps of the batches that hold a commit marker, oldest first (a listing for each batch)."""
-    return [s for s in reversed(_stamps(spark, table_dir)) if _attempt(spark, table_dir, s)]
+    """Stamps of the committed batches, oldest first."""
+    return list(_committed(spark, table_dir))
 
 
 def latest(spark: SparkSession, table_dir: str) -> str | None:
-    """Data folder of the newest committed batch; looks at no more batches than it must."""
-    return next(filter(None, (_attempt(spark, table_dir, s) for s in _stamps(spark, table_dir))), None)
+    """Data folder of the newest committed batch. One whose files are gone is passed over with a warning."""
+    for entry in reversed(_committed(spark, table_dir).values()):
+        path = entry.data(table_dir)
+        if _names(spark, path):
+            return path
+        log.warning("committed batch without files: %s", path)
+    return None
 
 
 def stamp_of(data_path: str) -> str:
@@ -191,59 +216,66 @@ def write_batch(df: DataFrame, table_dir: str, stamp: str | None = None, allow_e
     if df is None:
         raise ValueError("DataFrame is None")
     validate(df)
-    attempt = _new_attempt()
-    batch = _batch_dir(table_dir, stamp or new_stamp())
-    path = f"{batch}/{DATA}{attempt}"
-    obs = Observation(f"rows_{attempt}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    rows = int(obs.get["rows"])
+    entry = Entry(stamp or new_stamp(), _new_attempt(), COMMIT)
+    path = entry.data(table_dir)
+    obs = Observation(f"rows_{entry.attempt}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *statistics(df)).write.parquet(path)
+    seen = obs.get
+    rows = int(seen["rows"])
     if rows == 0 and not allow_empty:
         raise ValueError("DataFrame is empty")
     meta = {"row_count": rows, "column_count": len(df.columns), "columns": df.columns,
             "column_types": {f.name: f.dataType.simpleString() for f in df.schema.fields}, "file_path": path,
-            "inputs": inputs or {}}
-    _write_text(df.sparkSession, f"{batch}/{MARKER}{attempt}.json", json.dumps(meta))
+            "inputs": inputs or {}, "statistics": recorded(df, seen)}
+    _write_text(df.sparkSession, entry.file(table_dir), json.dumps(meta))
     log.info("committed %s: %d rows x %d columns", path, rows, len(df.columns))  # V4 shape log, no extra job
     return path
 
 
 def reject_batch(spark: SparkSession, table_dir: str, stamp: str, reason: str, inputs: dict[str, str]) -> None:
     """Record that a batch could not be made from ``inputs``, and why. It stays without data."""
-    _write_text(spark, f"{_batch_dir(table_dir, stamp)}/{REJECTED}{_new_attempt()}.json",
-                json.dumps({"reason": reason, "inputs": inputs}))
+    _write_text(spark, Entry(stamp, _new_attempt(), REJECT).file(table_dir), json.dumps({"reason": reason, "inputs": inputs}))
     log.warning("rejected %s batch %s: %s", table_dir, stamp, reason)
 
 
+def _entry_text(spark: SparkSession, table_dir: str, entry: Entry) -> dict:
+    return json.loads(_read_text(spark, entry.file(table_dir)))
+
+
 def rejected_batches(spark: SparkSession, table_dir: str) -> dict[str, dict]:
     """Stamp -> newest rejection (reason, inputs) of the batches that have one and no commit after it."""
-    out = {}
-    for stamp in _stamps(spark, table_dir):
-        names = _names(spark, _batch_dir(table_dir, stamp))
-        no = max((n[len(REJECTED):] for n in names if n.startswith(REJECTED)), default=None)
-        yes = max((n[len(MARKER):] for n in names if n.startswith(MARKER)), default="")
-        if no and no > yes:
-            out[stamp] = json.loads(_read_text(spark, f"{_batch_dir(table_dir, stamp)}/{REJECTED}{no}"))
-    return out
+    last = {e.stamp: e for e in _log(spark, table_dir)}
+    return {s: _entry_text(spark, table_dir, e) for s, e in last.items() if e.kind == REJECT}
+
+
+def last_rejection(spark: SparkSession, table_dir: str) -> dict | None:
+    """The rejection (reason, inputs) that is the last thing that happened to the table, if it is one."""
+    entry = max(_log(spark, table_dir), key=lambda e: e.attempt, default=None)
+    return _entry_text(spark, table_dir, entry) if entry and entry.kind == REJECT else None
 
 
 def batch_metadata(spark: SparkSession, data_path: str) -> dict:
-    """What the marker records: row_count, column_count, columns, column_types, file_path, inputs."""
-    batch, name = data_path.rstrip("/").rsplit("/", 1)
-    return json.loads(_read_text(spark, f"{batch}/{MARKER}{name[len(DATA):]}.json"))
+    """What the log records of a batch: row_count, column_count, columns, column_types, file_path, inputs, statistics."""
+    attempt = data_path.rstrip("/").rsplit("/", 1)[1][len(DATA):]
+    table = table_of(data_path)
+    return _entry_text(spark, table, Entry(stamp_of(data_path), attempt, COMMIT))
 
 
 def prune(spark: SparkSession, table_dir: str) -> int:
-    """Delete files of attempts older than their batch's committed one; returns how many folders went.
+    """Delete attempts older than their batch's committed one, and their log entries; returns how many data folders went.
 
-    For use when no reader can still be on an older attempt. Markers stay.
+    For use when no reader can still be on an older attempt, and the stream has taken up the newer ones.
     """
-    gone = 0
-    for stamp in _stamps(spark, table_dir):
-        batch, kept = _batch_dir(table_dir, stamp), _attempt(spark, table_dir, stamp)
-        for name in _names(spark, batch):
-            if kept and name.startswith(DATA) and f"{batch}/{name}" < kept:
-                fs, jpath = _fs(spark, f"{batch}/{name}")
+    kept, gone = _committed(spark, table_dir), 0
+    for stamp, entry in kept.items():
+        for name in _names(spark, _batch_dir(table_dir, stamp)):
+            if name.startswith(DATA) and name[len(DATA):] < entry.attempt:
+                fs, jpath = _fs(spark, f"{_batch_dir(table_dir, stamp)}/{name}")
                 gone += bool(fs.delete(jpath, True))
+    for e in _log(spark, table_dir):
+        if e.stamp in kept and e.attempt < kept[e.stamp].attempt:
+            fs, jpath = _fs(spark, e.file(table_dir))
+            fs.delete(jpath, False)
     return gone
 
 
@@ -269,7 +301,7 @@ def read_latest(spark: SparkSession, table_dir: str, schema=None, with_batch: bo
                 allow_empty: bool = True) -> DataFrame:
     """The newest committed batch of a table (optionally with its ``batch`` column).
 
-    With ``allow_empty=False`` a batch without rows raises; the count is the marker's, no job runs.
+    With ``allow_empty=False`` a batch without rows raises; the count is the log's, no job runs.
     """
     path = latest_or_raise(spark, table_dir)
     if not allow_empty and batch_metadata(spark, path)["row_count"] == 0:
@@ -280,7 +312,7 @@ def read_latest(spark: SparkSession, table_dir: str, schema=None, with_batch: bo
 
 def read_all(spark: SparkSession, table_dir: str) -> DataFrame:
     """Every committed batch of a table, with its ``batch`` column."""
-    paths = [_attempt(spark, table_dir, s) for s in committed_batches(spark, table_dir)]
+    paths = [e.data(table_dir) for e in _committed(spark, table_dir).values()]
     if not paths:
         raise FileNotFoundError(f"no committed batch under {table_dir}")
     return spark.read.option("basePath", table_dir).option("mergeSchema", True).parquet(*paths)
@@ -352,19 +384,47 @@ def load(spark: SparkSession, config: LakeConfig, layer: str, table: str, schema
          allow_empty: bool = False) -> DataFrame:
     """Latest batch from the primary root; if that cannot be read, from the fallback root.
 
-    An empty batch raises ValueError (its marker tells), unless it is allowed.
+    An empty batch raises ValueError (its log entry tells), unless it is allowed.
     """
     return read_input(spark, load_path(spark, config, layer, table), schema, allow_empty)
 
 
 def load_path(spark: SparkSession, config: LakeConfig, layer: str, table: str) -> str:
-    """Data folder of the batch that ``load`` reads."""
-    try:
-        return latest_or_raise(spark, table_path(config.root, layer, table))
-    except Exception:
-        if not config.fallback_root:
-            raise
-        return latest_or_raise(spark, table_path(config.fallback_root, layer, table))
+    """Data folder of the batch that ``load`` reads: the first that can be opened.
+
+    In turn: the primary root's newest batch, the fallback root's newest, then the older ones of both. Opened means that
+    its log entry was read and a footer of its files, so a batch that is listed but cannot be read is noticed here.
+    Whatever keeps one from being opened is logged; if none can be, the first such error is raised.
+    """
+    errors: list[Exception] = []
+
+    def listed(root: str) -> list[str]:
+        where = table_path(root, layer, table)
+        try:
+            return [e.data(where) for e in reversed(_committed(spark, where).values())]
+        except Exception as exc:  # storage unreachable
+            errors.append(RuntimeError(f"cannot list {where}: {exc}"))
+            return []
+
+    def opened(paths: list[str]) -> str | None:
+        for path in paths:
+            try:
+                batch_metadata(spark, path)
+                read_attempt(spark, path)  # reads a footer for the schema
+                return path
+            except Exception as exc:
+                errors.append(exc)
+                log.warning("%s cannot be read: %s", path, _brief(exc))
+        return None
+
+    own = listed(config.root)
+    found = opened(own[:1])
+    if found is None:
+        other = listed(config.fallback_root) if config.fallback_root else []
+        found = opened(other[:1]) or opened(own[1:]) or opened(other[1:])
+    if found is None:
+        raise errors[0] if errors else FileNotFoundError(f"no committed batch under {table_path(config.root, layer, table)}")
+    return found
 
 
 def read_input(spark: SparkSession, data_path: str, schema=None, allow_empty: bool = False) -> DataFrame:

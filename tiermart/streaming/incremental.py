@@ -1,8 +1,8 @@
 """New bronze batch -> cleaned silver batch -> joins and marts, losing nothing.
 
-``clean_new_batches`` is a file stream over a bronze table's *commit markers*
+``clean_new_batches`` is a file stream over a bronze table's *commit log*
 with ``availableNow``: each run takes up the commits since the checkpoint and
-stops. Data without a marker is never seen, whenever its files appeared. For
+stops. It lists that one folder and no data. Data without a commit is never seen, whenever its files appeared. For
 each commit the *whole* bronze batch is read and ``clean(bronze batch)``
 is written as a new attempt at the silver batch of the same stamp, so a replay
 after a crash is idempotent and "latest silver" is ``clean(latest bronze)``.
@@ -12,24 +12,23 @@ value does not cast) is recorded as rejected, with the reason, and the stream
 goes on; storage failures end the run and are replayed by the next one.
 
 ``propagate`` then decides from stored state which joins and marts are out of
-date: every batch's marker names the attempts that it was made from. A run that
-failed half way is thus made good by the next, whatever the stream has left to do.
+date: every batch's log entry names the attempts that it was made from. They are made by their dependencies
+(``tiermart.plans.pipeline``): one that cannot be made blocks those that read it and no other, and a run that
+failed half way is made good by the next, whatever the stream has left to do.
 """
 
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException, ArithmeticException, DateTimeException, NumberFormatException
 from pyspark.sql import DataFrame, SparkSession
 
-from tiermart.plans import silver
+from tiermart.plans import pipeline, silver
+from tiermart.plans.pipeline import content_fault
 from tiermart.sources import lake
 from tiermart.sources.lake import LakeConfig
 
-# What a batch's own content can cause, and a replay would meet again.
-BAD_BATCH = (ValueError, AnalysisException, ArithmeticException, DateTimeException, NumberFormatException)
-
 
 def clean_new_batches(spark: SparkSession, table: str, bronze_dir: str, silver_dir: str, checkpoint: str,
                       as_of: str) -> list[str]:
@@ -38,20 +37,22 @@ def clean_new_batches(spark: SparkSession, table: str, bronze_dir: str, silver_d
 
     def process(micro: DataFrame, epoch_id: int) -> None:
         # One row for each new commit. Of several commits of a batch in one go the last one counts.
-        markers = sorted(json.loads(r[0])["file_path"] for r in micro.select("value").collect())
-        for path in {lake.stamp_of(p): p for p in markers}.values():
+        commits = sorted(json.loads(r[0])["file_path"] for r in micro.select("value").collect())
+        for path in {lake.stamp_of(p): p for p in commits}.values():
             stamp = lake.stamp_of(path)
             try:
                 lake.write_batch(silver.clean(table, lake.read_attempt(spark, path), as_of), silver_dir, stamp,
                                  inputs={table: path})
-            except BAD_BATCH as exc:
+            except Exception as exc:
+                if not content_fault(exc):
+                    raise
                 lake.reject_batch(spark, silver_dir, stamp, f"{type(exc).__name__}: {exc}"[:2000], {table: path})
             else:
                 written.append(stamp)
 
     query = (
         spark.readStream.schema("value string").option("wholetext", True)
-        .option("pathGlobFilter", f"{lake.MARKER}*.json").text(f"{bronze_dir.rstrip('/')}/{lake.BATCH_PREFIX}*")
+        .option("pathGlobFilter", f"*.{lake.COMMIT}.json").text(lake.log_dir(bronze_dir))
         .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -63,45 +64,45 @@ def clean_new_batches(spark: SparkSession, table: str, bronze_dir: str, silver_d
     return written
 
 
-def outdated(spark: SparkSession, config: LakeConfig, step) -> bool:
-    """Is the step's latest batch made from other attempts than its inputs' latest ones? (None yet: yes.)
-
-    A step with an input that has no batch cannot be made and is not outdated.
-    """
-    try:
-        current = step.current(spark, config)
-    except FileNotFoundError:
-        return False
-    made = lake.latest(spark, lake.table_path(config.root, step.layer, step.name))
-    return made is None or lake.batch_metadata(spark, made)["inputs"] != current
-
-
 def propagate(spark: SparkSession, config: LakeConfig, as_of: str, stamp: str | None = None) -> dict:
     """Eager propagation: new bronze batches -> cleaned silver -> joined silver -> gold.
 
-    Returns the stamps cleaned, the batches rejected, and the joins and marts rebuilt
-    (only those whose inputs have moved on; keys are left out where there is nothing).
+    Returns the stamps cleaned, the batches rejected, the joins and marts rebuilt
+    (only those whose inputs have moved on), and those ``not_made`` with status and reason: rejected because the data
+    does not allow it, or blocked by another one. Keys are left out where there is nothing. Storage failures
+    are raised when everything else is done.
     """
-    from tiermart.plans.pipeline import JOINS, MARTS, TABLES, run_steps
-
     result: dict = {"cleaned": {}}
     rejected = {}
-    for t in TABLES:
-        bronze_dir, silver_dir = (lake.table_path(config.root, layer, name)
-                                  for layer, name in (("bronze", t), ("silver", f"clean_{t}")))
-        if lake.latest(spark, bronze_dir) is None:
-            continue
-        written = clean_new_batches(spark, t, bronze_dir, silver_dir,
-                                    f"{config.root.rstrip('/')}/_checkpoints/clean_{t}", as_of)
-        if written:
+    tables = {t: (lake.table_path(config.root, "bronze", t), lake.table_path(config.root, "silver", f"clean_{t}"))
+              for t in pipeline.TABLES}
+    tables = {t: dirs for t, dirs in tables.items() if lake.latest(spark, dirs[0]) is not None}
+
+    def stream(t: str) -> list[str]:
+        return clean_new_batches(spark, t, *tables[t], f"{config.root.rstrip('/')}/_checkpoints/clean_{t}", as_of)
+
+    with ThreadPoolExecutor(max_workers=pipeline.AT_ONCE) as pool:  # one stream a table, side by side
+        streams = {t: pool.submit(stream, t) for t in tables}
+    errors = [s.exception() for s in streams.values() if s.exception()]
+    for t, (_, silver_dir) in tables.items():
+        if not streams[t].exception() and (written := streams[t].result()):
             result["cleaned"][t] = written
         if bad := lake.rejected_batches(spark, silver_dir):
             rejected[t] = {s: r["reason"] for s, r in bad.items()}
     if rejected:
         result["rejected"] = rejected
     stamp = stamp or lake.new_stamp()
-    for name, steps in (("silver", JOINS), ("gold", MARTS)):
-        due = [s for s in steps if outdated(spark, config, s)]
-        if due:
-            result[name] = run_steps(spark, config, due, as_of, stamp)
+    steps = (*pipeline.JOINS, *pipeline.MARTS)
+    outcomes = pipeline.run_steps(spark, config, steps, as_of, stamp, again=False)
+    for layer in ("silver", "gold"):
+        made = {s.name: outcomes[s.name].path for s in steps if s.layer == layer and outcomes[s.name].status == pipeline.MADE}
+        if made:
+            result[layer] = made
+    not_made = {n: {"status": o.status, "reason": o.reason} for n, o in outcomes.items() if o.status in pipeline.BROKEN}
+    if not_made:
+        result["not_made"] = not_made
+    if errors:
+        raise errors[0]
+    if any(o.status == pipeline.FAILED for o in outcomes.values()):
+        raise pipeline.IncompleteRun(outcomes)
     return result
