@@ -13,8 +13,11 @@ Null/zero rules kept from the reference semantics:
 * a mean over no values is null;
 * x / 0 is NaN when x == 0, otherwise +/-infinity (IEEE division);
 * ``n_unique`` counts null as one distinct value;
-* NaN is a value, not a gap: DECIMAL has none, so an aggregate carries a flag
-  (``has_nan``) beside the exact sum and ends as NaN where it is set (``or_nan``).
+* NaN and infinities are values, not gaps. DECIMAL has none, so beside the exact sum of the finite values an aggregate
+  carries which others it met (``special``: bits for NaN, +inf, -inf). Both merge: partial sums add, bits are or-ed,
+  in any order and however often, so a pre-aggregate holds all that its rows would say. At the end
+  (``with_special``) the result is IEEE's: inf with finite values is inf, inf with -inf is NaN, and ratios of
+  such totals divide as doubles do.
 """
 
 from __future__ import annotations
@@ -33,9 +36,56 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+NAN, PLUS_INF, MINUS_INF = 1, 2, 4  # bits of ``special``
+_NAN, _INF = float("nan"), float("inf")
+
+
+def special_of(c) -> Column:
+    """Row-level bit of a value that DECIMAL has no form for; 0 for finite values and null."""
+    col = _c(c).cast("double")
+    return (F.when(F.isnan(col), F.lit(NAN)).when(col == _INF, F.lit(PLUS_INF)).when(col == -_INF, F.lit(MINUS_INF))
+            .otherwise(F.lit(0)))
+
+
+def special(c) -> Column:
+    """Aggregate: which values without a DECIMAL form the group holds (0: none, also over an empty group)."""
+    return merge_special(special_of(c))
+
+
+def merge_special(c) -> Column:
+    """Aggregate of bits that were aggregated before; missing ones count as none."""
+    return F.coalesce(F.bit_or(_c(c)), F.lit(0))
+
+
+def _bits(c) -> Column:
+    return F.coalesce(_c(c), F.lit(0))
+
+
+def with_special(bits, value) -> Column:
+    """``value`` (the exact sum of the finite values) as double, or what the special values make of it."""
+    b = _bits(bits)
+    return (F.when((b.bitwiseAND(NAN) != 0) | (b.bitwiseAND(PLUS_INF | MINUS_INF) == PLUS_INF | MINUS_INF), F.lit(_NAN))
+            .when(b.bitwiseAND(PLUS_INF) != 0, F.lit(_INF)).when(b.bitwiseAND(MINUS_INF) != 0, F.lit(-_INF))
+            .otherwise(_c(value).cast("double")))
+
+
+def ieee_div(n, d) -> Column:
+    """n / d of doubles as IEEE has it, but that zero has no sign (under ANSI, ``/`` raises at 0)."""
+    n, d = _c(n).cast("double"), _c(d).cast("double")
+    by_zero = F.when(F.isnan(n) | (n == 0), F.lit(_NAN)).when(n > 0, F.lit(_INF)).otherwise(F.lit(-_INF))
+    return F.when(d == 0, by_zero).otherwise(n / d + F.lit(0.0))
+
+
+def pct_special(part_bits, part, whole_bits, whole, digits: int = 2) -> Column:
+    """round(part / whole * 100, digits): exactly where both totals are finite, else as doubles divide."""
+    ratio = ieee_div(with_special(part_bits, part), with_special(whole_bits, whole)) * 100
+    return F.when(_bits(part_bits).bitwiseOR(_bits(whole_bits)) == 0, pct_half_up(part, whole, digits)).otherwise(
+        F.round(ratio, digits))
+
+
 def money(c) -> Column:
-    """Exact form of a money column; NaN has none and becomes null (see ``has_nan``)."""
-    return _c(c).cast(MONEY)
+    """Exact form of a money column; NaN and infinities have none and become null (see ``special``)."""
+    return F.when(special_of(c) == 0, _c(c).cast(MONEY))
 
 
 def round_half_up(c, digits: int) -> Column:
@@ -53,24 +103,9 @@ def sum_money(c) -> Column:
     return F.coalesce(F.sum(money(c)), F.lit(0).cast(MONEY))
 
 
-def has_nan(c) -> Column:
-    """Aggregate: does the group hold a NaN? (false over an empty group)"""
-    return F.coalesce(F.max(F.isnan(_c(c))), F.lit(False))
-
-
-def any_flag(c) -> Column:
-    """Aggregate of flags that were aggregated before; a missing flag is false."""
-    return F.coalesce(F.max(_c(c)), F.lit(False))
-
-
-def or_nan(flag, value) -> Column:
-    """``value`` as double, or NaN where ``flag`` is set."""
-    return F.when(F.coalesce(_c(flag), F.lit(False)), F.lit(float("nan"))).otherwise(_c(value).cast("double"))
-
-
 def total_or_nan(c, digits: int = 2) -> Column:
-    """Rounded exact sum of a money column as double: NaN if the group holds one, 0 if it is empty."""
-    return or_nan(has_nan(c), F.round(sum_money(c), digits))
+    """Rounded sum of a money column as double: exact over finite values, IEEE's beyond; 0 if it is empty."""
+    return with_special(special(c), F.round(sum_money(c), digits))
 
 
 def sum_exact(c) -> Column:
@@ -102,11 +137,11 @@ def pct_half_up(part, whole, digits: int = 2) -> Column:
 
 
 def mean_half_up(c, digits: int) -> Column:
-    """round(mean(c), digits) exactly over non-null values; null when none, NaN when one is NaN."""
+    """round(mean(c), digits) exactly over non-null values; null when none; NaN and infinities go by ``with_special``."""
     col = _c(c)
     count = F.count(col)
     return F.when(count == 0, F.lit(None).cast("double")).otherwise(
-        or_nan(has_nan(col), div_half_up(F.sum(money(col)), count, digits)))
+        with_special(special(col), div_half_up(sum_money(col), count, digits)))
 
 
 def n_unique(c) -> Column:

@@ -28,17 +28,19 @@ from pyspark.sql import functions as F
 from tiermart.functions.numeric import (
     EXACT,
     MONEY,
-    any_flag,
     div_half_up,
-    has_nan,
     mean_half_up,
+    merge_special,
     money,
     n_unique,
-    or_nan,
     pct_half_up,
+    pct_special,
+    special,
+    special_of,
     sum0,
     sum_exact,
     sum_money,
+    with_special,
 )
 from tiermart.operators.frames import fill_numeric, stamp
 from tiermart.operators.quality import validate
@@ -51,18 +53,17 @@ def claims_summary(claims: DataFrame, as_of: str) -> DataFrame:
         F.count(F.lit(1)).alias("total_claims"),
         F.round(sum_money("claimed_amount"), 2).alias("_claimed"),
         F.round(sum_money("approved_amount"), 2).alias("_approved"),
-        has_nan("claimed_amount").alias("_claimed_nan"),
-        has_nan("approved_amount").alias("_approved_nan"),
+        special("claimed_amount").alias("_claimed_bits"),
+        special("approved_amount").alias("_approved_bits"),
         mean_half_up("claimed_amount", 2).alias("avg_claimed"),
         mean_half_up("approved_amount", 2).alias("avg_approved"),
     )
     out = agg.select(
         "claim_type", "status", "total_claims",
-        or_nan("_claimed_nan", "_claimed").alias("total_claimed"),
-        or_nan("_approved_nan", "_approved").alias("total_approved"),
+        with_special("_claimed_bits", "_claimed").alias("total_claimed"),
+        with_special("_approved_bits", "_approved").alias("total_approved"),
         "avg_claimed", "avg_approved",
-        or_nan(F.col("_claimed_nan") | F.col("_approved_nan"), pct_half_up("_approved", "_claimed"))
-        .alias("approval_rate_pct"),
+        pct_special("_approved_bits", "_approved", "_claimed_bits", "_claimed").alias("approval_rate_pct"),
     ).orderBy(F.col("claim_type").asc_nulls_first(), F.col("status").asc_nulls_first())
     return stamp(out, "aggregated_at", as_of)
 
@@ -82,32 +83,31 @@ def premium_revenue(policies: DataFrame, payments: DataFrame, as_of: str) -> Dat
         .agg(F.count(F.lit(1)).alias("_rows"),
              F.count("amount").alias("_amounts"),
              sum_money("amount").alias("_collected"),
-             has_nan("amount").alias("_collected_nan"))
+             special("amount").alias("_collected_bits"))
     )
     rows = F.col("_rows")
     joined = policies.select("policy_id", "policy_type", "premium").join(per_policy, "policy_id", "inner")
     agg = joined.groupBy("policy_type").agg(
         n_unique("policy_id").alias("total_policies"),
         F.round(sum_exact(money("premium") * rows), 2).alias("_premium"),
-        F.sum(money("premium") * rows).alias("_premium_exact"),
+        sum_exact(money("premium") * rows).alias("_premium_exact"),
         F.sum(F.when(F.col("premium").isNotNull(), rows)).alias("_premium_n"),
         F.round(F.sum("_collected"), 2).alias("_collected"),
         F.sum("_collected").alias("_collected_exact"),
         F.sum("_amounts").alias("_amount_n"),
-        has_nan("premium").alias("_premium_nan"),
-        any_flag("_collected_nan").alias("_collected_nan"),
+        special("premium").alias("_premium_bits"),
+        merge_special("_collected_bits").alias("_collected_bits"),
     )
     out = agg.select(
         "policy_type",
         F.col("total_policies").cast("long").alias("total_policies"),
-        or_nan("_premium_nan", "_premium").alias("total_premium"),
-        F.when(F.col("_premium_n") > 0, or_nan("_premium_nan", div_half_up("_premium_exact", "_premium_n", 2)))
+        with_special("_premium_bits", "_premium").alias("total_premium"),
+        F.when(F.col("_premium_n") > 0, with_special("_premium_bits", div_half_up("_premium_exact", "_premium_n", 2)))
         .alias("avg_premium"),
-        or_nan("_collected_nan", "_collected").alias("total_collected"),
-        F.when(F.col("_amount_n") > 0, or_nan("_collected_nan", div_half_up("_collected_exact", "_amount_n", 2)))
+        with_special("_collected_bits", "_collected").alias("total_collected"),
+        F.when(F.col("_amount_n") > 0, with_special("_collected_bits", div_half_up("_collected_exact", "_amount_n", 2)))
         .alias("avg_collection"),
-        or_nan(F.col("_premium_nan") | F.col("_collected_nan"), pct_half_up("_collected", "_premium"))
-        .alias("collection_rate_pct"),
+        pct_special("_collected_bits", "_collected", "_premium_bits", "_premium").alias("collection_rate_pct"),
     ).orderBy(F.col("total_premium").desc_nulls_first(), F.col("policy_type").asc_nulls_first())
     return stamp(out, "aggregated_at", as_of)
 
@@ -126,7 +126,7 @@ def agent_performance(agents: DataFrame, policies: DataFrame, claims: DataFrame,
         F.count(F.lit(1)).alias("_rows"),
         F.count("claim_id").alias("_with_claim"),
         F.sum(money("approved_amount")).alias("_approved"),
-        has_nan("approved_amount").alias("_approved_nan"),
+        special("approved_amount").alias("_approved_bits"),
     )
     fan = F.greatest(F.coalesce(F.col("_rows"), F.lit(0)), F.lit(1))
     joined = policies.select("policy_id", "agent_id", "premium").join(per_policy, "policy_id", "left")
@@ -135,21 +135,23 @@ def agent_performance(agents: DataFrame, policies: DataFrame, claims: DataFrame,
         sum0("_with_claim").alias("policies_with_claims"),
         F.round(sum_exact(money("premium") * fan), 2).alias("_premium"),
         F.round(F.coalesce(F.sum("_approved"), F.lit(0).cast(MONEY)), 2).alias("_claims_amount"),
-        has_nan("premium").alias("_premium_nan"),
-        any_flag("_approved_nan").alias("_claims_nan"),
+        special("premium").alias("_premium_bits"),
+        merge_special("_approved_bits").alias("_claims_bits"),
     )
     result = fill_numeric(agents.join(metrics, "agent_id", "left").select(*agents.columns, *metrics.columns[1:]))
-    commission = F.round(
-        F.col("_premium").cast("decimal(20,2)") * F.col("commission_rate").cast("decimal(17,8)"), 2
-    )
+    premium, rate = with_special("_premium_bits", "_premium"), F.col("commission_rate")
+    # Exact where both factors are finite, else as doubles multiply.
+    commission = F.when(
+        F.col("_premium_bits").bitwiseOR(special_of(rate)) == 0,
+        F.round(F.col("_premium").cast("decimal(20,2)") * F.when(special_of(rate) == 0, rate.cast("decimal(17,8)")), 2)
+        .cast("double")).otherwise(premium * rate)
     out = result.select(
         *agents.columns,
         F.col("total_policies").cast("long").alias("total_policies"),
         F.col("policies_with_claims").cast("long").alias("policies_with_claims"),
-        or_nan("_premium_nan", "_premium").alias("total_premium"),
-        or_nan("_claims_nan", "_claims_amount").alias("total_claims_amount"),
-        or_nan(F.coalesce(F.col("_premium_nan"), F.lit(False)) | F.isnan("commission_rate"), commission)
-        .alias("commission_earned"),
+        premium.alias("total_premium"),
+        with_special("_claims_bits", "_claims_amount").alias("total_claims_amount"),
+        commission.alias("commission_earned"),
         pct_half_up("policies_with_claims", "total_policies").alias("claim_rate_pct"),
     ).orderBy(F.col("total_premium").desc_nulls_first(), F.col("agent_id").asc_nulls_first())
     return stamp(out, "aggregated_at", as_of)
@@ -168,7 +170,7 @@ def customer_risk(customer_policies: DataFrame, policy_claims: DataFrame, as_of:
     per_policy = policy_claims.groupBy("policy_id").agg(
         F.count_if(F.col("has_claim")).alias("claim_count"),
         sum_money("claimed_amount").alias("total_claimed"),
-        has_nan("claimed_amount").alias("_claimed_nan"),
+        special("claimed_amount").alias("_claimed_bits"),
     )
     return _risk(customer_policies, per_policy, as_of)
 
@@ -189,14 +191,14 @@ def customer_risk_from_clean(customers: DataFrame, policies: DataFrame, claims:
     validate(claims, ["claim_id", "policy_id", "claimed_amount"])
     per_claimed_policy = claims.groupBy("policy_id").agg(
         F.count("claim_id").alias("_claims"), F.sum(money("claimed_amount")).alias("_claimed"),
-        has_nan("claimed_amount").alias("_claimed_nan"))
+        special("claimed_amount").alias("_claimed_bits"))
     multiplicity = policies.where(F.col("policy_id").isNotNull()).groupBy("policy_id").agg(
         F.count(F.lit(1)).alias("_m"))
     per_policy = per_claimed_policy.join(multiplicity, "policy_id", "inner").select(
         "policy_id",
         (F.col("_claims") * F.col("_m")).alias("claim_count"),
         F.coalesce(F.col("_claimed") * F.col("_m"), F.lit(0).cast(MONEY)).alias("total_claimed"),
-        "_claimed_nan",
+        "_claimed_bits",
     )
     cp = join_customer_policies(customers, policies, as_of, sort=False)
     return _risk(cp, per_policy, as_of)
@@ -213,17 +215,17 @@ def _risk(customer_policies: DataFrame, per_policy: DataFrame, as_of: str) -> Da
         mean_half_up("credit_score", 0).alias("avg_credit_score"),
         sum0("claim_count").alias("total_claims"),
         F.round(F.sum(F.col("total_claimed").cast(EXACT)), 2).alias("_claimed"),
-        has_nan("premium").alias("_premium_nan"),
-        any_flag("_claimed_nan").alias("_claimed_nan"),
+        special("premium").alias("_premium_bits"),
+        merge_special("_claimed_bits").alias("_claimed_bits"),
     )
-    loss = or_nan(F.col("_premium_nan") | F.col("_claimed_nan"), pct_half_up("_claimed", "_premium"))
+    loss = pct_special("_claimed_bits", "_claimed", "_premium_bits", "_premium")
     out = agg.select(
         "customer_id",
         F.col("total_policies").cast("long").alias("total_policies"),
-        or_nan("_premium_nan", "_premium").alias("total_premium"),
+        with_special("_premium_bits", "_premium").alias("total_premium"),
         "avg_credit_score",
         F.col("total_claims").cast("long").alias("total_claims"),
-        or_nan("_claimed_nan", "_claimed").alias("total_claimed_amount"),
+        with_special("_claimed_bits", "_claimed").alias("total_claimed_amount"),
         pct_half_up("total_claims", "total_policies").alias("claim_frequency_pct"),
         loss.alias("loss_ratio_pct"),
     )
@@ -257,7 +259,7 @@ def monthly_signups(users: DataFrame) -> DataFrame:
 
 def daily_totals(df: DataFrame, key: str = "date", value: str = "amount") -> DataFrame:
     """Documented simple mart: per day, the total of a money column (exact sum,
-    0 over nulls only, NaN if one is, same column name), sorted by day."""
+    0 over nulls only, NaN and infinities as IEEE sums them, same column name), sorted by day."""
     validate(df, [key, value])
-    return (df.groupBy(key).agg(or_nan(has_nan(value), sum_money(value)).alias(value))
+    return (df.groupBy(key).agg(with_special(special(value), sum_money(value)).alias(value))
             .orderBy(F.col(key).asc_nulls_first()))

@@ -497,5 +497,22 @@ FROM silver_claims""",
 SELECT day, CASE WHEN bool_or(broken) THEN CAST('NaN' AS DOUBLE) ELSE CAST(round({dsum('amount')}, 2) AS DOUBLE) END AS total,
        CASE WHEN bool_or(broken) THEN CAST('NaN' AS DOUBLE) ELSE {mean('amount', 2)} END AS mean
 FROM x GROUP BY day""",
+    "sum_nonfinite_group": _with("bronze_claims") + f"""
+, x AS (SELECT CAST(incident_date AS DATE) AS day, claim_id % 1999 AS odd, claimed_amount, approved_amount FROM bronze_claims)
+, y AS (SELECT day, CASE WHEN odd > 6 THEN claimed_amount END AS amount, odd < 7 AS gone,
+               CASE WHEN odd NOT IN (1, 7) THEN approved_amount END AS approved, odd IN (1, 7) AS up,
+               odd < 3 AS plus, odd BETWEEN 3 AND 5 AS minus, odd = 6 AS nan FROM x)
+, g AS (SELECT day, round({dsum('amount')}, 2) AS exact, round({dsum('approved')}, 2) AS approved, bool_or(up) AS up,
+               {mean('amount', 2)} AS exact_mean, count(amount) + count(*) FILTER (WHERE gone) AS n,
+               bool_or(nan) OR (bool_or(plus) AND bool_or(minus)) AS is_nan, bool_or(plus) AS plus, bool_or(minus) AS minus
+        FROM y GROUP BY day)
+, v AS (SELECT *, CASE WHEN is_nan THEN 'NaN'::DOUBLE WHEN plus THEN 'Infinity'::DOUBLE WHEN minus THEN '-Infinity'::DOUBLE END AS odd_value
+        FROM g)
+SELECT day, coalesce(odd_value, CAST(exact AS DOUBLE)) AS total, coalesce(odd_value, exact_mean) AS mean,
+       CASE WHEN odd_value IS NULL AND NOT up THEN {pct('approved', 'exact')}
+            WHEN is_nan OR (up AND odd_value IS NOT NULL) THEN 'NaN'::DOUBLE
+            WHEN up THEN 'Infinity'::DOUBLE
+            ELSE CAST(0 AS DOUBLE) END AS approved_pct
+FROM v""",
     "incremental_propagate": GOLD_CUSTOMER_RISK,
 })

@@ -12,7 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.functions.numeric import mean_half_up, total_or_nan
+from tiermart.functions.numeric import mean_half_up, pct_special, special, sum_money, total_or_nan
 from tiermart.operators import frames
 from tiermart.operators.joins import suffix_join
 from tiermart.operators.quality import profile
@@ -131,6 +131,21 @@ def sum_nan_group(spark, sf_dir):
         total_or_nan("amount").alias("total"), mean_half_up("amount", 2).alias("mean"))
 
 
+def sum_nonfinite_group(spark, sf_dir):
+    """A4/A5: totals, means and ratios per day where some amounts are infinite, one way or both, or NaN: as IEEE sums
+    and divides them; days without such a value are exact."""
+    bronze = proxies.claims(spark, sf_dir)
+    odd = F.pmod("claim_id", F.lit(1999))
+    amount = (F.when(odd < 3, F.lit(float("inf"))).when(odd < 6, F.lit(float("-inf"))).when(odd == 6, F.lit(float("nan")))
+              .otherwise(F.col("claimed_amount")))
+    approved = F.when(odd.isin(1, 7), F.lit(float("inf"))).otherwise(F.col("approved_amount"))
+    sums = bronze.select(F.to_date("incident_date").alias("day"), amount.alias("amount"), approved.alias("approved")).groupBy("day").agg(
+        total_or_nan("amount").alias("total"), mean_half_up("amount", 2).alias("mean"),
+        special("amount").alias("bits"), F.round(sum_money("amount"), 2).alias("exact"),
+        special("approved").alias("approved_bits"), F.round(sum_money("approved"), 2).alias("approved_exact"))
+    return sums.select("day", "total", "mean", pct_special("approved_bits", "approved_exact", "bits", "exact").alias("approved_pct"))
+
+
 def zero_ratio(spark, sf_dir):
     """X11 with zero guard: per agent, claim rate where 0/0 is NaN."""
     return gold_agent_performance(spark, sf_dir).select("agent_id", "total_policies", "claim_rate_pct")
@@ -178,6 +193,7 @@ QUERIES: dict[str, Query] = {
     "fill_numeric": fill_numeric,
     "sum_empty_group": sum_empty_group,
     "sum_nan_group": sum_nan_group,
+    "sum_nonfinite_group": sum_nonfinite_group,
     "zero_ratio": zero_ratio,
     "sort_desc_nulls_first": sort_desc_nulls_first,
     "distinct_rows": distinct_rows,
