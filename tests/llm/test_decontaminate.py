@@ -147,3 +147,85 @@ def test_part_of_a_long_item_and_every_fourth_word_replaced(spark, docs):
     got = {x.doc_id: x.score for x in D.find(docs(rows), benchmark).collect()}
     assert got == pytest.approx({1: 33 / 60, 2: (2 * 45 - 14) / 120, 3: 25 / 60})
     assert {x.doc_id for x in D.clean(docs(rows), benchmark).collect()} == {4, 5}
+
+
+def edited(r, words, others, share, kind):
+    """About ``share`` of the words replaced, put in, left out, or each of these."""
+    out = []
+    for w in words:
+        k = kind if kind != "all" else r.choice(("replace", "insert", "delete"))
+        if r.random() >= share:
+            out.append(w)
+        elif k != "delete":
+            out += [r.choice(others)] if k == "replace" else [w, r.choice(others)]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["replace", "insert", "delete", "all"])
+def test_recall_of_edited_copies_against_brute_force(kind):
+    """Common words are drawn as in prose, so chance matches are many; every copy that brute force finds must be found."""
+    r = random.Random(kind)
+    words = vocabulary(r, 3000)
+    weights = [1 / (k + 1) for k in range(len(words))]
+    items = [(i, " ".join(r.choices(words, weights, k=r.choice((6, 9, 12, 20, 30, 41, 42, 60, 90, 150))))) for i in range(120)]
+    block = D.make_block(items)
+    found = wanted = 0
+    for i, text in items:
+        own = D.words_of(text)
+        for share in (0.1, 0.2, 0.3, 0.5, 0.8):
+            doc = r.choices(words, weights, k=60) + edited(r, own, words, share, kind) + r.choices(words, weights, k=60)
+            number = {x: n for n, x in enumerate(dict.fromkeys(own), 1)}
+            score, _ = D.align(np.array([number[w] for w in own]), np.array([number.get(w, 0) for w in doc]))
+            if score >= D.least_share(len(own), D.LEAST_SCORE, 10 ** 9):
+                wanted += 1
+                got = D.contamination(" ".join(doc), block).get(i)
+                found += got is not None and got[0] == pytest.approx(score)
+    assert wanted > 150 and found == wanted
+
+
+def test_a_word_put_in_after_every_second_one(spark, docs):
+    for m in (12, 30):
+        item = [f"item{k}" for k in range(m)]
+        doc = [x for k, w in enumerate(item) for x in ([w, f"new{k}"] if k % 2 else [w])]
+        found = D.contamination("a b c " + " ".join(doc) + " d e f", D.make_block([(7, " ".join(item))]))
+        assert found[0][0] > 0.75
+
+
+def test_parts_of_long_items_against_brute_force():
+    r = random.Random(3)
+    words = vocabulary(r, 2000)
+    items = [(i, " ".join(r.choices(words, k=r.randint(60, 200)))) for i in range(40)]
+    block = D.make_block(items)
+    for i, text in items:
+        own = D.words_of(text)
+        at = r.randint(0, len(own) - 40)
+        part = edited(r, own[at:at + 40], words, 0.1, "all")
+        doc = r.choices(words, k=50) + part + r.choices(words, k=50)
+        number = {x: n for n, x in enumerate(dict.fromkeys(own), 1)}
+        score, _ = D.align(np.array([number[w] for w in own]), np.array([number.get(w, 0) for w in doc]))
+        got = D.contamination(" ".join(doc), block).get(i)
+        assert (got is not None) == (score >= D.LEAST_WORDS / len(own)), (i, score, got)
+
+
+def test_scripts_without_spaces_are_compared_by_characters():
+    item = "中国的首都是哪一座城市请回答"
+    block = D.make_block([(1, item), (2, "กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย")])
+    assert D.words_of("ab中文c d") == ["ab", "中", "文", "c", "d"]
+    assert D.contamination(f"前面有一些文字{item}后面也有文字", block)[0][0] == 1.0
+    assert D.contamination("xx กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย yy", block)[1][0] == 1.0
+    assert 0.6 <= D.contamination("中国的新首都是哪一座大城市请你回答", block)[0][0] < 1
+    assert not D.contamination("今天天气很好我们去公园散步吧", block)
+
+
+def test_short_items_need_nearly_all_of_their_words():
+    block = D.make_block([(0, "a b"), (1, "red green blue"), (2, "one two three four five six")])
+    assert not D.contamination("a b red green x y one two three x four", block)
+    assert {i for i in D.contamination("x red green blue one two three four x five six", block)} == {1, 2}
+
+
+def test_every_block_is_one_pass_and_a_large_benchmark_is_one_block(spark, docs):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(50))) for i in range(6000)]  # 300,000 words
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = D.find(docs([(1, items[17][1]), (2, "nothing of that")]), benchmark)
+    assert found._jdf.queryExecution().toString().count("MapInArrow") <= 4  # the same one in each of the plans
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, 17)]

@@ -1,20 +1,25 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-Texts are words (runs of letters, digits and underscore, lower-cased). Seeds are the
-benchmark items' ``SEED``-word n-grams, common ones too: how often a seed occurs says
-nothing of whether it stands in a copy, as an edited copy may itself be repeated any
-number of times. One pass over the corpus joins documents to items where a seed occurs.
-A place is aligned with the item only if its surroundings hold so many of the item's words
-that the score can be reached at all, which spares the alignments that common
-seeds alone would cost and loses nothing: match 2, mismatch -1, gap -1, local. The score
+"""Benchmark decontamination: rare seeds join passages to items, then Smith-Waterman alignment scores them.
+
+Texts are words (runs of letters, digits and underscore, lower-cased); of scripts that are written without spaces
+between words every character is a unit. The alignment is local: match 2, mismatch -1, gap -1. The score
 is the best alignment's share of the item's best possible one; a copy with one
 word in five replaced has 0.7, an exact copy 1. Part of a long item is also a copy: an alignment
-worth ``LEAST_WORDS`` matched words counts whatever its share. Where words are only replaced, every
-copy of an item of more than 10 words that has the score of 0.6 holds a seed.
-
-The items go to the executors in blocks of about ``BLOCK_WORDS`` words, which bounds
-what is broadcast at once whatever the benchmark's size; the corpus is never
-shuffled.
+worth ``LEAST_WORDS`` matched words counts whatever its share. Of short items (under 8 words) nearly all must be there.
+
+Seeds are gapped n-grams of an item's rare words, and they lose no copy, whatever was replaced, put in or left out. An alignment that
+reaches the score matches at least K of an item's m words, half its points. So of the m - K + t
+rarest ones it matches at least t, in t places of the text that lie no further apart than the alignment is
+long, which is m and the edits that the score allows. A document is joined to an item where t of its rare words stand so close; rare is
+what few items hold. How often a word occurs in the corpus does not matter: no seed is dropped as too
+common, as an edited copy may itself be repeated any number of times. Items of more than ``PIECE`` words
+are seeded by overlapping pieces, of one of which a copy must match ``PIECE_WORDS`` words: evenly edited copies of score 0.6
+match 24 of some piece, and 25 adjacent words lie whole in one. Only a copy of a long item whose matches lie thinner than
+that everywhere can be missed (recall is measured in the tests).
+
+A place is aligned only if it holds so many of the item's words, in any order, that the score can be reached.
+
+One pass over the corpus finds all copies of ``BLOCK_WORDS`` words of benchmark; the items go out as one broadcast
+of so many words at most, and the corpus is never shuffled. A larger benchmark takes a pass for each block.
 """
 
 from __future__ import annotations
@@ -25,80 +30,110 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermart.llm.common import arrow_map, strings
 
-SEED = 3
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 4_000_000
 LEAST_SCORE = 0.6
 LEAST_WORDS = 25
+LEAST_ITEM = 3  # words; shorter items match nothing
+SHORT_ITEM = 5  # matched words that any copy has, but for one edit
+SEEDS = 5  # t: rare words that must meet
+PIECE, STEP, PIECE_WORDS = 40, 10, 20  # pieces of long items, and the words that a copy matches of one
 MATCH, MISMATCH, GAP = 2, -1, -1
 _WORD = re.compile(r"\w+")
+# Scripts without spaces between words: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
+_UNSPACED = ("\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+             "\uf900-\ufaff\U00020000-\U0003ffff")
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_UNIT = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """Words, lower-cased; characters where the script has no spaces."""
+    if not text:
+        return []
+    return (_UNIT if not text.isascii() and _ANY_UNSPACED.search(text) else _WORD).findall(text.lower())
 
 
 @dataclass
 class Block:
-    """A block of items, ready to be looked up: word numbers from 1, seed keys in ascending order."""
+    """A block of items, ready to be looked up. Words are numbers from 1; a text's unknown words are 0."""
 
     items: list[int]
     words: list[np.ndarray]
     vocabulary: dict[str, int]
-    mixed: np.ndarray
-    keys: np.ndarray
-    places: list[list[tuple[int, int]]]
     bags: list[tuple[np.ndarray, np.ndarray]]  # an item's distinct words in ascending order, and how often it has each
+    least: np.ndarray  # score that counts, by item
+    meet: np.ndarray  # how many seeds must meet, by item
+    reach: np.ndarray  # how many words of text they may span
+    first: np.ndarray  # of a word's entries in ``holder``, by word number
+    holder: np.ndarray  # items that have the word as a seed
+
+
+def least_share(m: int, least_score: float, least_words: float) -> float:
+    """The score from which an item of m words counts as copied."""
+    return max(min(least_score, least_words / m), (MATCH * min(m, SHORT_ITEM) - 1) / (MATCH * m))
 
 
-def _keys(numbers: np.ndarray, mixed: np.ndarray) -> np.ndarray:
-    """Key of every SEED-word n-gram of word numbers."""
-    h = mixed[numbers]
-    n = len(h) - SEED + 1
-    key = np.zeros(max(n, 0), dtype=np.uint64)
-    for k in range(SEED):
-        key = key * np.uint64(0x9E3779B97F4A7C15) + h[k:k + n]
-    return key
+def _seeds(words: np.ndarray, rank: np.ndarray, points: float) -> tuple[np.ndarray, int, int]:
+    """(seed words, how many of them a copy worth ``points`` has at least, the words of text that these span at most)."""
+    m = len(words)
+    matched = min(m, int(np.ceil(points / MATCH)))
+    meet = max(1, min(SEEDS, matched))
+    rarest = np.argsort(rank[words], kind="stable")[:m - matched + meet]
+    return words[rarest], meet, m + int(np.ceil(MATCH * m - points))
 
 
-def make_block(items: list[tuple[int, str]]) -> Block:
-    """Index of the items' n-grams."""
+def make_block(items: list[tuple[int, str]], least_score: float = LEAST_SCORE, least_words: float = LEAST_WORDS) -> Block:
+    """Index of the items' seeds."""
     vocabulary: dict[str, int] = {}
     words = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(t)], dtype=np.int64)
              for _, t in items]
-    mixed = np.array([0] + [xxhash.xxh64_intdigest(w, 1) for w in vocabulary], dtype=np.uint64)
-    at: dict[int, list[tuple[int, int]]] = {}
+    bags = [np.unique(w, return_counts=True) for w in words]
+    held = np.bincount(np.concatenate([b for b, _ in bags] + [np.zeros(0, np.int64)]), minlength=len(vocabulary) + 1)
+    # In few items first, of those the longer words.
+    size = np.array([0] + [len(w) for w in vocabulary])
+    rank = np.empty(len(size), np.int64)
+    rank[np.lexsort((-size, held))] = np.arange(len(size))
+    pairs, least, meet, reach = [], np.ones(len(items)), np.ones(len(items), np.int64), np.zeros(len(items), np.int64)
     for i, w in enumerate(words):
-        for p, key in enumerate(_keys(w, mixed).tolist() if len(w) >= SEED else []):
-            at.setdefault(key, []).append((i, p))
-    keys = sorted(at)
-    return Block([i for i, _ in items], words, vocabulary, mixed, np.array(keys, dtype=np.uint64), [at[k] for k in keys],
-                 [np.unique(w, return_counts=True) for w in words])
-
-
-def seeds_in(numbers: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """(position, seed number) of every seed in a text's word numbers."""
-    if len(numbers) < SEED or not len(block.keys):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    known = numbers > 0
-    full = known[:len(numbers) - SEED + 1].copy()
-    for k in range(1, SEED):
-        full &= known[k:len(numbers) - SEED + 1 + k]
-    at = np.flatnonzero(full)
-    if not len(at):
-        return at, at
-    h = block.mixed
-    key = np.zeros(len(at), dtype=np.uint64)
-    for k in range(SEED):
-        key = key * np.uint64(0x9E3779B97F4A7C15) + h[numbers[at + k]]
-    n = np.minimum(np.searchsorted(block.keys, key), len(block.keys) - 1)
-    hit = block.keys[n] == key
-    return at[hit], n[hit]
+        m = len(w)
+        if m < LEAST_ITEM:
+            continue
+        least[i] = least_share(m, least_score, least_words)
+        points = least[i] * MATCH * m
+        if m <= PIECE:
+            chosen, meet[i], reach[i] = _seeds(w, rank, points)
+        else:
+            # A piece's share of a whole copy's score, or of a part that lies in it.
+            parts = [_seeds(w[a:a + PIECE], rank, MATCH * min(PIECE_WORDS, np.ceil(points / MATCH)))
+                     for a in [*range(0, m - PIECE, STEP), m - PIECE]]
+            chosen, meet[i], reach[i] = np.concatenate([p[0] for p in parts]), parts[0][1], parts[0][2]
+        pairs.append(np.stack([np.unique(chosen), np.full(len(np.unique(chosen)), i)]))
+    number, holder = np.concatenate([np.zeros((2, 0), np.int64), *pairs], axis=1)
+    order = np.argsort(number, kind="stable")
+    first = np.searchsorted(number[order], np.arange(len(vocabulary) + 2))
+    return Block([i for i, _ in items], words, vocabulary, bags, least, meet, reach, first, holder[order])
+
+
+def meetings(numbers: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, first, last): where enough of an item's seeds stand close enough in a text's word numbers."""
+    count = block.first[numbers + 1] - block.first[numbers]
+    count[numbers == 0] = 0
+    at = np.flatnonzero(count)
+    count = count[at]
+    skip = np.repeat(block.first[numbers[at]] - np.cumsum(count) + count, count)
+    item = block.holder[skip + np.arange(len(skip))]
+    order = np.argsort(item, kind="stable")  # by item, then by place
+    item, place = item[order], np.repeat(at, count)[order]
+    last = np.arange(len(item)) + block.meet[item] - 1
+    begin = np.flatnonzero(last < len(item))
+    last = last[begin]
+    near = (item[last] == item[begin]) & (place[last] - place[begin] < block.reach[item[begin]])
+    return item[begin][near], place[begin][near], place[last][near]
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
@@ -126,66 +161,59 @@ def shared_words(bag: tuple[np.ndarray, np.ndarray], text: np.ndarray) -> int:
     return int(np.minimum(np.bincount(n[words[n] == text], minlength=len(words)), counts).sum())
 
 
-def contamination(text: str | None, block: Block, least_score: float = LEAST_SCORE,
-                  least_words: float = LEAST_WORDS) -> dict[int, tuple[float, int]]:
-    """Best (score, end word) by item number, over all places of the text where a seed of the item occurs.
+def contamination(text: str | None, block: Block) -> dict[int, tuple[float, int]]:
+    """Best (score, end word) by item number, over all places of the text where seeds of the item meet.
 
-    Only of items whose best alignment has ``least_score``, or is worth ``least_words`` matched words.
+    Only of items whose best alignment reaches the item's least score.
     """
     get = block.vocabulary.get
     numbers = np.array([get(w, 0) for w in words_of(text)], dtype=np.int64)
-    at, seeds = seeds_in(numbers, block)
-    starts: dict[int, list[int]] = {}
-    for p, s in zip(at.tolist(), seeds.tolist()):
-        for i, q in block.places[s]:
-            starts.setdefault(i, []).append(p - q)
-    found = {}
-    for i, begins in starts.items():
-        item = block.words[i]
-        slack = len(item) // 2 + SEED
-        least = min(least_score, least_words / len(item))
-        begins.sort()
-        lo = 0
-        for hi in range(1, len(begins) + 1):
-            # one place: item starts that lie no further apart than the item is long
-            if hi == len(begins) or begins[hi] - begins[hi - 1] > len(item):
-                a = max(0, begins[lo] - slack)
-                place = numbers[a:begins[hi - 1] + len(item) + slack]
-                lo = hi
-                if shared_words(block.bags[i], place) / len(item) < least:
-                    continue
-                score, end = align(item, place)
-                if score >= least and score > found.get(i, (0.0, 0))[0]:
-                    found[i] = (score, a + end)
+    found: dict[int, tuple[float, int]] = {}
+    places: list[list[int]] = []  # item, begin, end; those of an item that overlap are one
+    for i, begin, last in zip(*(x.tolist() for x in meetings(numbers, block))):
+        reach = int(block.reach[i]) + len(block.words[i])
+        a, b = max(0, begin - reach), last + 1 + reach
+        if places and places[-1][0] == i and a <= places[-1][2]:
+            places[-1][2] = max(b, places[-1][2])
+        else:
+            places.append([i, a, b])
+    for i, a, b in places:
+        place, least = numbers[a:b], block.least[i]
+        if shared_words(block.bags[i], place) / len(block.words[i]) < least:
+            continue
+        score, end = align(block.words[i], place)
+        if score >= least - 1e-9 and score > found.get(i, (0.0, 0))[0]:
+            found[i] = (score, a + end)
     return found
 
 
 def blocks(benchmark: DataFrame, docs: DataFrame, item: str = "item_id", item_text: str = "text", text: str = "text",
-           block_words: int = BLOCK_WORDS) -> Iterator[Block]:
+           block_words: int = BLOCK_WORDS, *, least_score: float = LEAST_SCORE,
+           least_words: float = LEAST_WORDS) -> Iterator[Block]:
     """The benchmark's items in blocks."""
     items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("text")).where(
         "item is not null and text is not null").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-chars // (5 * block_words)))
     for b in range(n):
-        part = sorted((r["item"], r["text"]) for r in
-                      items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).collect())
-        if part:
-            yield make_block(part)
+        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).toArrow()
+        rows = sorted(zip(part.column("item").to_pylist(), strings(part.column("text").combine_chunks())))
+        if rows:
+            yield make_block(rows, least_score, least_words)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
          item_text: str = "text", least_score: float = LEAST_SCORE, least_words: float = LEAST_WORDS) -> DataFrame:
     """(key, item, score, end_word): every document and item whose best alignment has ``least_score`` or ``least_words``.
 
-    Null and empty texts, and items shorter than a seed, match nothing. Items that repeat
+    Null and empty texts, and items of fewer than ``LEAST_ITEM`` words, match nothing. Items that repeat
     an id are items of their own, the best counts. Repeated rows each get their rows;
     an empty table on either side gives none.
     """
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, `{item}` {benchmark.schema[item].dataType.simpleString()}, score double, end_word long"
     parts = []
-    for block in blocks(benchmark, docs, item, item_text, text):
+    for block in blocks(benchmark, docs, item, item_text, text, least_score=least_score, least_words=least_words):
         shared = docs.sparkSession.sparkContext.broadcast(vars(block))
 
         def rows(batch: pa.RecordBatch, shared=shared) -> dict:
@@ -193,7 +221,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
             out: dict = {key: [], item: [], "score": [], "end_word": []}
             for d, t in zip(ids, strings(batch.column(1))):
                 best: dict = {}
-                for i, (score, end) in contamination(t, block, least_score, least_words).items():
+                for i, (score, end) in contamination(t, block).items():
                     if score > best.get(block.items[i], (0.0, 0))[0]:
                         best[block.items[i]] = (score, end)
                 for i, (score, end) in sorted(best.items()):
@@ -215,12 +243,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
     """``docs`` without the rows that hold a copy of an item; the rest is as it was. Nothing is shuffled."""
     kept, names = docs, docs.columns
     at = names.index(text)
-    for block in blocks(benchmark, docs, item, item_text, text):
+    for block in blocks(benchmark, docs, item, item_text, text, least_score=least_score, least_words=least_words):
         shared = docs.sparkSession.sparkContext.broadcast(vars(block))
 
         def rows(batch: pa.RecordBatch, shared=shared) -> dict:
             block = Block(**shared.value)
-            mask = [not contamination(t, block, least_score, least_words) for t in strings(batch.column(at))]
+            mask = [not contamination(t, block) for t in strings(batch.column(at))]
             left = batch.filter(pa.array(mask, pa.bool_()))
             return dict(zip(names, left.columns))
 
