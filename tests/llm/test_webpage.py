@@ -104,3 +104,70 @@ def test_an_article_mark_is_no_switch():
     advert = f"{link}<div>Buy</div><div>{junk}</div>{link}"  # no class gives it away
     page = f"<main><h1>T</h1><p>{GOOD}</p><p>s</p>{advert}<p>{GOOD}</p><p>{junk.strip()}</p></main>"
     assert H.main_text(f"{page}<div>{GOOD}</div>") == f"T\n{GOOD}\ns\n{GOOD}\n{junk.strip()}"
+
+
+LONG = ("This is a paragraph of the article that is long enough to be read as such, with the words that stand in any text, and it "
+        "goes on for a while so that nobody can take it for a menu or for the note at the end of the page.")
+MORE = "Another one follows it, and it is about the same thing as the first, though it says so in other words and at some length, too."
+BODY = f"<h1>Title here</h1><p>{LONG}</p><p>{MORE}</p>"
+WANT = f"Title here\n{LONG}\n{MORE}"
+SIDE = '<div class="sidebar"><ul><li>Side one</li><li>Side two</li></ul></div>'
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="layout has-sidebar"><article>{BODY}</article>{SIDE}</div>',
+    f'<div id="main" class="no-sidebar">{BODY}</div>',
+    f'<div class="page header-fixed">{BODY}</div>',
+    f'<form id="aspnetForm" action="x">{BODY}<input name=q></form>',
+    f'<div class="sidebar-layout"><div class="content">{BODY}</div>{SIDE}</div>',
+    f'<div role="search"><main>{BODY}</main></div>',
+    f'<body><div class="with-comments"><form><div class="nav-page">{BODY}</div></form></div></body>',
+    f'<div class="menu-open"><p>{LONG}</p><p>{MORE}</p></div>',
+])
+def test_a_class_word_on_a_wrapper_does_not_empty_the_page(page):
+    assert H.main_text(page) in (WANT, f"{LONG}\n{MORE}")
+
+
+def test_class_words_inside_the_article_that_name_its_matter():
+    page = f'<article><h1>Title here</h1><p class="market-share">{LONG}</p><div id="related-work"><p>{MORE}</p></div></article>'
+    assert H.main_text(page) == WANT
+
+
+@pytest.mark.parametrize("part", [
+    f'<div class="related-posts"><p>{MORE}</p></div>', f'<div class="share-buttons">{MORE}</div>', f'<div id="comments"><p>{MORE}</p></div>',
+    f'<div class="comments-area">{"<p>" + MORE + "</p>"}</div>' * 9, f'<section class="post-tags">{MORE}</section>', f'<form><p>{MORE}</p></form>',
+    f'<div class="sidebar wide"><p>{MORE}</p></div>', f'<p class="promo">{MORE}</p>', f'<div class="has-ads ad"><p>{MORE}</p></div>',
+    f'<div class="footer-wrapper"><p>{MORE}</p></div>', f'<div class="related"><article><h1>T</h1><p>{MORE}</p></article></div>',
+])
+def test_parts_are_still_dropped(part):
+    page = f"<html><body><div><h1>Title here</h1><p>{LONG}</p><p>{LONG}</p></div>{part}</body></html>"
+    assert H.main_text(page) == f"Title here\n{LONG}\n{LONG}"
+
+
+def test_what_is_dropped_inside_a_line_leaves_no_gap():
+    page = (f"<p>{LONG} see <svg><title>x</title><path d=\"M0\"/></svg> the icon and <span hidden>this not</span> go on"
+            f"<script>var a = '<p>';</script>, <span class=\"share\">share it</span>end.</p>")
+    assert H.main_text(page) == f"{LONG} see the icon and go on, end."
+
+
+@pytest.mark.parametrize("tag", ["<a href=/x title=don't>", "<a href=/x title=it's data-x=\"a > b\">", "<a title='x \"y' href=/x>", "<a x=\">\" y>",
+                                 "<a href = \"/x\" it's>", "<a title=\"was hidden away\">"])
+def test_quotes_count_where_a_value_begins(tag):
+    assert H.main_text(f"<article><p>{LONG} {tag}link</a> on.</p><p>{MORE}</p></article>") == f"{LONG} link on.\n{MORE}"
+
+
+def test_a_quote_that_is_never_closed_ends_with_its_tag():
+    assert H.main_text(f"<article><p>{LONG} <b title=\"x>bold</b> on.</p><p>{MORE}</p></article>") == f"{LONG} bold on.\n{MORE}"
+
+
+def test_hidden_elements_and_dropped_words_in_other_attributes():
+    page = f'<div data-note="sidebar" title="hidden menu"><p>{LONG}</p></div><div hidden><p>{MORE}</p></div><p style="display:none">{MORE}</p>'
+    assert H.main_text(page) == LONG
+
+
+def test_long_broken_markup_is_read_in_good_time():
+    import time
+    began = time.monotonic()
+    for page in ("<a " + "x='" * 50_000, "<div class=" * 20_000, "<p " + "a=\"b\" " * 50_000, "=" * 200_000 + "<b " + "=" * 100_000):
+        H.main_text(page)
+    assert time.monotonic() - began < 20

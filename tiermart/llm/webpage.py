@@ -1,8 +1,11 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. What stands inside elements that never
-hold an article's text (scripts, menus, footers, forms and the like, by tag, role, or
-a class or id word such as ``sidebar``) is no candidate. Where the page marks what is its
+A page is cut into blocks at block-level tags, and only there: what is dropped inside a paragraph leaves no gap. What
+stands inside elements that never hold an article's text (scripts, menus, footers, forms and the like, by tag, role, or
+a class or id word such as ``sidebar``) is no candidate. A class, a role or a form is only a hint, as pages
+name their layout so (``has-sidebar``, ``header-fixed``, one form around everything): an element that holds most of the page's
+text, and its heading or article mark if there is one, is a wrapper and not a part. Headers are dropped, also
+an article's own, with the title in it. Where the page marks what is its
 article, only marked blocks are returned, unless these hold less good text than the others:
 then the mark (of teaser cards, say) is no guide, and all blocks are judged without it.
 
@@ -53,6 +56,17 @@ DROPPED_WORDS = frozenset(
     "related replies respond responses search share sharing sidebar sidebars signup skip social sponsor sponsored "
     "subscribe subscription tags toolbar topbar widget widgets".split())
 ARTICLE_TAGS = frozenset({"article", "main"})
+# Of these, words that are also part of other names (market-share, related-work): they count if the rest of the name is
+# of words that name parts of pages.
+WEAK_WORDS = frozenset("share sharing related search notice notices tags promo promotion promoted discussion responses respond "
+                       "replies skip disclaimer copyright subscription notification social banner".split())
+COMPANIONS = frozenset(
+    "area article articles bar block blocks body bottom box btn button buttons card cards column container content cta desktop "
+    "entry fixed float form global grid group heading icon icons inline inner item items js layout left line link links list "
+    "main mobile more news outer page panel post posts primary reading right row secondary section site slot sticky stories "
+    "story text title to top topics unit wrap wrapper".split())
+# A name that begins so says what a layout has or has not.
+LAYOUT_WORDS = frozenset("has no with without is not hide show".split())
 # Such words on an article element itself name one that is not the page's own.
 DROPPED_ARTICLES = frozenset("ad advert advertisement comment comments promo promoted related replies reply sponsored "
                              "teaser".split())
@@ -90,12 +104,16 @@ SHORT = 60
 LONG = 180
 STOP_LOW = 0.08
 STOP_HIGH = 0.22
+SOFT, HARD = 1, 2  # how an element is dropped: unless it is a wrapper, or in any case
+WRAPPER = 0.5  # share of the page's text in an element with its heading or article mark
+WRAPPER_UNMARKED = 0.8  # and where the page has neither
 GOOD, BAD, SHORT_BLOCK, NEAR_GOOD = "good", "bad", "short", "near"
 
+# As browsers read tags: a quote opens a value only after "=", elsewhere it is a character as any. One that is never closed is too.
 _TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
-    re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
+    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|"
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*)|[^>=])*)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.S)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")  # also the parts of camelCase
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -109,48 +127,66 @@ class Block:
     label: str = field(default="")
 
 
-def _dropped(tag: str, attributes: str) -> bool:
-    if tag in DROPPED_TAGS:
+def _names_part(name: str) -> bool:
+    """Does a class or id name a part of the page that is not the article?"""
+    words = [w.lower() for w in _NAME.findall(name)]
+    if not words or words[0] in LAYOUT_WORDS and len(words) > 1:
+        return False
+    if any(w.startswith(DROPPED_PREFIXES) or w in DROPPED_WORDS and w not in WEAK_WORDS for w in words):
         return True
+    return not WEAK_WORDS.isdisjoint(words) and all(len(w) < 3 or w in COMPANIONS or w in DROPPED_WORDS for w in words)
+
+
+def _dropped(tag: str, attributes: str) -> int:
+    """0: a candidate; SOFT: dropped, if it is no wrapper; HARD: dropped."""
+    if tag in DROPPED_TAGS:
+        return SOFT if tag == "form" else HARD
     if not attributes or tag in ("html", "body"):
-        return False
+        return 0
+    found = 0
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), unescape("".join(values))
+        if name == "hidden":
+            return HARD
+        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
+            return HARD
         if name == "role" and value.strip().lower() in DROPPED_ROLES:
-            return True
+            found = SOFT
         if name in ("class", "id"):
-            words = [w.lower() for w in _NAME.findall(value)]
             if tag in ARTICLE_TAGS:
-                if not DROPPED_ARTICLES.isdisjoint(words):
-                    return True
-            elif not DROPPED_WORDS.isdisjoint(words) or any(w.startswith(DROPPED_PREFIXES) for w in words):
-                return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes, re.I))
+                if not DROPPED_ARTICLES.isdisjoint(w.lower() for w in _NAME.findall(value)):
+                    return HARD
+            elif any(map(_names_part, value.split())):
+                found = SOFT
+    return HARD if re.search(r"(?:^|[\s/])hidden(?:[\s/]|$)", _ATTRIBUTE.sub(" ", attributes), re.I) else found
 
 
 def blocks(html: str) -> list[Block]:
     """Candidate blocks of a page in page order; unclosed and badly nested tags are repaired as browsers do."""
-    out: list[Block] = []
-    parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool]] = []  # open elements; True: dropped
-    dropped = linked = article = 0
+    out: list[tuple[Block, tuple[int, ...]]] = []  # with the softly dropped elements that it stands in
+    parts: list[tuple[str, bool, tuple[int, ...]]] = []
+    stack: list[tuple[str, int]] = []  # open elements, and whether they are dropped
+    marks: list[tuple[int, ...]] = []  # of each heading of first order and article mark: where it stands
+    inside: tuple[int, ...] = ()
+    hard = linked = article = elements = 0
     heading = False
 
     def flush() -> None:
         if parts:
-            text = " ".join(unescape("".join(t for t, _ in parts)).split())
+            base = min((s for _, _, s in parts), key=len)  # what is dropped inside a block's line is not its text
+            text = " ".join(unescape("".join(t for t, _, s in parts if s == base)).split())
             if text:
-                inside = " ".join(unescape("".join(t for t, a in parts if a)).split())
-                out.append(Block(text, len(inside), article > 0, heading))
+                links = " ".join(unescape("".join(t for t, a, s in parts if a and s == base)).split())
+                out.append((Block(text, len(links), article > 0, heading), base))
             parts.clear()
 
     def close(to: int) -> None:
-        nonlocal dropped, linked, article
+        nonlocal hard, linked, article, inside
         while len(stack) > to:
             name, drop = stack.pop()
-            dropped -= drop
+            hard -= drop == HARD
+            if drop == SOFT:
+                inside = inside[:-1]
             linked -= name == "a"
             article -= name in ARTICLE_TAGS
 
@@ -168,8 +204,8 @@ def blocks(html: str) -> list[Block]:
     while at < size:
         m = _TOKEN.search(html, at)
         begin = m.start() if m else size
-        if begin > at and not dropped:
-            parts.append((html[at:begin], linked > 0))
+        if begin > at and not hard:
+            parts.append((html[at:begin], linked > 0, inside))
         if not m:
             break
         at = m.end()
@@ -178,14 +214,14 @@ def blocks(html: str) -> list[Block]:
             continue
         if m.group(1):
             i = depth_of({tag}, frozenset())
-            if tag in BLOCK_TAGS and not dropped:
+            if tag in BLOCK_TAGS and not hard:
                 flush()
                 heading = False
             if i >= 0:
                 close(i)
             continue
         if tag in BLOCK_TAGS:
-            if not dropped:
+            if not hard:
                 flush()
                 heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
             if tag in ENDS_P:
@@ -196,25 +232,47 @@ def blocks(html: str) -> list[Block]:
                 i = depth_of(IMPLIED[tag], frozenset({"ul", "ol", "dl", "table", "select"}))
                 if i >= 0:
                     close(i)
-        elif tag == "br" and not dropped:
-            parts.append((" ", linked > 0))
+        elif tag == "br" and not hard:
+            parts.append((" ", linked > 0, inside))
         drop = _dropped(tag, m.group(3))
         if tag in RAW_TAGS:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(html, at)
-            if tag not in DROPPED_TAGS and not dropped and not drop and tag != "title":
-                parts.append((html[at:end.start()], linked > 0))
+            if tag not in DROPPED_TAGS and not hard and not drop and tag != "title":
+                parts.append((html[at:end.start()], linked > 0, inside))
             at = end.end()
             continue
         if tag in VOID_TAGS:
             continue
-        if drop and not dropped:
-            flush()
+        if not hard and drop != HARD and (tag == "h1" or tag in ARTICLE_TAGS):
+            marks.append(inside)
         stack.append((tag, drop))
-        dropped += drop
+        hard += drop == HARD
+        if drop == SOFT:
+            inside = (*inside, elements)
+            elements += 1
         linked += tag == "a"
         article += tag in ARTICLE_TAGS
     flush()
-    return out
+    if not elements:
+        return [b for b, _ in out]
+    wrappers = _wrappers(out, marks)
+    return [b for b, where in out if wrappers.issuperset(where)]
+
+
+def _wrappers(found: list[tuple[Block, tuple[int, ...]]], marks: list[tuple[int, ...]]) -> set[int]:
+    """Softly dropped elements that hold most of the page's text, and all of its headings of first order and article marks."""
+    total, held = 0, dict.fromkeys((e for _, where in found for e in where), 0)
+    for b, where in found:
+        total += len(b.text) - b.linked
+        for e in where:
+            held[e] += len(b.text) - b.linked
+    wrappers: set[int] = set()
+    for e in sorted(held):  # outer elements first: a mark inside another dropped part is none
+        open_marks = [m for m in marks if wrappers.issuperset(x for x in m if e not in m or x < e)]
+        need = WRAPPER if open_marks else WRAPPER_UNMARKED
+        if total and held[e] >= need * total and all(e in m for m in open_marks):
+            wrappers.add(e)
+    return wrappers
 
 
 def _stop_share(text: str, stop_words: frozenset[str]) -> float:
