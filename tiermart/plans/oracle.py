@@ -516,3 +516,15 @@ SELECT day, coalesce(odd_value, CAST(exact AS DOUBLE)) AS total, coalesce(odd_va
 FROM v""",
     "incremental_propagate": GOLD_CUSTOMER_RISK,
 })
+
+ORACLE.update({
+    "incremental_changed_groups": GOLD_CLAIMS_SUMMARY,
+    "incremental_changed_customers": GOLD_CUSTOMER_RISK,
+    # By claim id, which several lines of an order may share; every one of its rows changes, or none.
+    "snapshot_changes": _with("bronze_claims", "silver_claims") + """
+, c AS (SELECT claim_id, claim_id % 211 AS part FROM bronze_claims)
+SELECT 'new' AS change, count(DISTINCT claim_id) AS claims FROM c WHERE part = 1
+UNION ALL SELECT 'changed', count(DISTINCT claim_id) FROM c WHERE part IN (2, 3)
+UNION ALL SELECT 'gone', count(DISTINCT claim_id) FROM c WHERE part = 5
+UNION ALL SELECT 'cleaned', count(*) FROM silver_claims WHERE claim_id % 211 IN (1, 2, 3)""",
+})

@@ -533,7 +533,62 @@ def sorted_output_check(spark, sf_dir):
     return parts[0].union(parts[1])
 
 
+def _earlier_claims(claims):
+    """An earlier snapshot of the claims: some not there yet, some with other amounts or states, some gone since."""
+    at = F.pmod("claim_id", F.lit(211))
+    gone = claims.where(at == 5).withColumn("claim_id", -F.col("claim_id"))
+    return claims.where(at != 1).withColumns({
+        "claimed_amount": F.when(at == 2, F.col("claimed_amount") + 10).otherwise(F.col("claimed_amount")),
+        "status": F.when(at == 3, F.lit("Open")).otherwise(F.col("status")),
+        "fetched_at": F.lit("2023-12-31T00:00:00+00:00")}).unionByName(gone)
+
+
+def _refreshed(spark, sf_dir):
+    """Cleaned tables and both marts of the earlier snapshot, written; then what the next one changes."""
+    from tiermart.sources import lake
+    from tiermart.streaming import changes
+
+    root = _scratch(spark, "changes")
+
+    def stored(df, name, day):
+        return lake.read_attempt(spark, lake.write_batch(df, f"{root}/{name}", f"2024010{day}T000000Z"))
+    bronze = {t: proxies.BUILDERS[t](spark, sf_dir, AS_OF) for t in ("customers", "policies", "claims")}
+    before = stored(_earlier_claims(bronze["claims"]), "bronze/claims", 1)
+    after = stored(bronze["claims"], "bronze/claims", 2)
+    old = {t: stored(silver.clean(t, before if t == "claims" else b, AS_OF), f"silver/clean_{t}", 1) for t, b in bronze.items()}
+    found = stored(changes.changed_keys(before, after, ["claim_id"]), "changes/claims", 2)
+    claims, cleaned = changes.refresh_clean("claims", old["claims"], after, found, ["claim_id"], AS_OF)
+    new = old | {"claims": stored(claims, "silver/clean_claims", 2)}
+    return changes, stored, old, new, found, cleaned
+
+
+def incremental_changed_groups(spark, sf_dir):
+    """Claims summary after a second snapshot, from the first one's mart and the changed claims alone."""
+    changes, stored, old, new, found, _ = _refreshed(spark, sf_dir)
+    mart = stored(gold.claims_summary(old["claims"], AS_OF), "gold/claims_summary", 1)
+    return changes.refresh_claims_summary(mart, old["claims"], new["claims"], found, AS_OF)[0]
+
+
+def incremental_changed_customers(spark, sf_dir):
+    """Customer risk after a second snapshot of the claims; customers whose claims changed are rebuilt."""
+    changes, stored, old, new, found, _ = _refreshed(spark, sf_dir)
+    mart = stored(gold.customer_risk_from_clean(old["customers"], old["policies"], old["claims"], AS_OF), "gold/customer_risk", 1)
+    none = {"customers": "customer_id", "policies": "policy_id"}
+    by_table = {t: found.select(F.lit(0).cast("long").alias(k), "change").limit(0) for t, k in none.items()} | {"claims": found}
+    return changes.refresh_customer_risk(mart, old, new, by_table, AS_OF)[0]
+
+
+def snapshot_changes(spark, sf_dir):
+    """How many claims are new, changed and gone between two snapshots, and how many rows were cleaned for it."""
+    _, _, _, _, found, cleaned = _refreshed(spark, sf_dir)
+    return found.groupBy("change").agg(F.count(F.lit(1)).alias("claims")).union(
+        cleaned.agg(F.lit("cleaned").alias("change"), F.count(F.lit(1)).alias("claims")))
+
+
 QUERIES.update({
+    "incremental_changed_groups": incremental_changed_groups,
+    "incremental_changed_customers": incremental_changed_customers,
+    "snapshot_changes": snapshot_changes,
     "propagate_partial": propagate_partial,
     "sorted_output_check": sorted_output_check,
     "stored_statistics": stored_statistics,
