@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiermart.llm.common import arrow_map, strings
@@ -153,17 +153,26 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], buckets:
 
 def labelled_sample(labelled: DataFrame, text: str = "text", label: str = "lang",
                     per_language: int = PER_LANGUAGE) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[str]]:
-    """Bags of about ``per_language`` rows a label, chosen by hash; one count over all rows sets the share of each."""
+    """Bags of at most ``per_language`` different texts a label, those of least hash among all.
+
+    A text counts once for its label, however often it stands there, so copies neither crowd out others nor stand on both
+    sides of the split into training and calibration, and what comes to the driver is bounded.
+    """
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").alias("label")).where(
-        "text is not null and label is not null")
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # one row a language
+        "text is not null and label is not null").withColumn("h", F.xxhash64("text", F.lit("sample")))
+    keys = rows.select("label", "h").distinct()
+    counts = {r["label"]: r["count"] for r in keys.groupBy("label").count().collect()}  # one row a language
     if not counts:
         return [], []
+    # A share that holds more than enough, then exactly so many: what is ranked is small.
     share = F.lit(0.0)
     for name, n in sorted(counts.items()):
-        share = F.when(F.col("label") == name, F.lit(min(1.0, per_language / n))).otherwise(share)
-    unit = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    chosen = rows.where(unit < share)
+        share = F.when(F.col("label") == name, F.lit(min(1.0, (1.5 * per_language + 50) / n))).otherwise(share)
+    unit = F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(unit, "h"))
+    least = keys.where(unit < share).withColumn("rank", rank).where(F.col("rank") <= per_language).select("label", "h")
+    chosen = rows.join(F.broadcast(least), ["label", "h"]).groupBy("label", "h").agg(F.min("text").alias("text")).select(
+        "text", "label")
 
     def bags(batch: pa.RecordBatch) -> dict:
         ids, counts = [], []
