@@ -13,9 +13,10 @@ its exact budget of words, whole passes first:
 
 The range sort needs no sampling: keys are uniform, so a key's range within
 its source is arithmetic. A source is cut into as many ranges as it has
-``rows_per_range`` rows; running sums are taken inside each range, and the
-ranges' totals (one row for each range) give what comes before. A source with a third of
-all rows is thus spread over proportionally many ranges.
+``rows_per_range`` rows; the running sum of the
+ranges' totals (one row for each range) tells the range in which a source's cut lies, and only that range's
+rows are sorted, each key once, to find the key of the cut. Every row then compares its own key with its source's cut: rows and
+texts are not moved. A source with a third of all rows has proportionally many ranges, and one cut.
 """
 
 from __future__ import annotations
@@ -75,9 +76,8 @@ def mix(docs: DataFrame, keep: tuple[str, ...] | None = None, text: str = "text"
     ``taken`` counts the words that the mix takes of the row, repeats included:
     whole passes times size, plus size, a part of it, or nothing. A null or empty
     text has size 0 and is never taken; null sources are one source, the last.
-    Equal rows share a key and are told apart by their order in the sort, which
-    changes nothing that can be seen. Keys hash ``identity`` and ``salt`` only, so
-    reruns agree. Input columns named like an output are replaced. No rows give none.
+    Equal rows share a key and are treated alike: if the cut falls on them, each gives its share. Keys hash ``identity`` and
+    ``salt`` only, so reruns agree. Input columns named like an output are replaced. No rows give none.
     """
     names = [c for c in (keep or docs.columns) if c.lower() not in ("size", "source_size", "target", "taken")]
     own = [_SOURCE, _NONE, _SIZE, _KEY]
@@ -96,25 +96,37 @@ def mix(docs: DataFrame, keep: tuple[str, ...] | None = None, text: str = "text"
         _SOURCE, _NONE, "source_size", "target", F.ceil(F.col("__rows") / rows_per_range).alias("__ranges")))
     few = plan.count() <= BROADCAST_SOURCES  # one row for each source; beyond the bound both sides are shuffled
 
-    # uniform in [0, 1): the key's range within its source
+    # uniform in [0, 1): the key's range within its source, and its place in the sort
     unit = F.shiftrightunsigned(F.col(_KEY), 11) / F.lit(float(1 << 53))
-
-    def placed(rows: DataFrame) -> DataFrame:
-        planned = rows.join(F.broadcast(plan) if few else plan, [_SOURCE, _NONE])
-        return planned.withColumn("__range", F.floor(unit * F.col("__ranges")))
-
+    rank = [F.shiftrightunsigned(F.col(_KEY), 11), F.col(_KEY)]
     piece = [_SOURCE, _NONE, "__range"]
     earlier = (Window.unboundedPreceding, -1)
-    ranges = placed(narrow.select(*own)).groupBy(*piece).agg(F.sum(_SIZE).alias("__words"))
-    before = ranges.select(*piece, F.coalesce(F.sum("__words").over(
-        Window.partitionBy(_SOURCE, _NONE).orderBy("__range").rowsBetween(*earlier)), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy(*piece).orderBy(
-        F.shiftrightunsigned(F.col(_KEY), 11), _KEY, _SIZE).rowsBetween(*earlier)
-    summed = placed(sized).withColumn("__inside", F.coalesce(F.sum(_SIZE).over(inside), F.lit(0))).join(before, piece)
+
+    def planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(plan) if few else plan, [_SOURCE, _NONE])
+
+    def running(rows: DataFrame, words: str, *order: Column) -> Column:
+        return F.coalesce(F.sum(words).over(Window.partitionBy(_SOURCE, _NONE).orderBy(*order).rowsBetween(*earlier)), F.lit(0))
 
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    left = F.floor(F.col("target")) - passes * F.col("source_size")
-    part = F.greatest(F.lit(0), F.least(F.col(_SIZE), left - F.col("__before") - F.col("__inside")))
-    return summed.select(
+    plan = plan.withColumn("__passes", passes).withColumn(
+        "__left", F.floor(F.col("target")) - F.col("__passes") * F.col("source_size"))
+    placed = planned(narrow.select(*own), plan).withColumn("__range", F.floor(unit * F.col("__ranges")))
+    ranges = placed.groupBy(*piece, "__left").agg(F.sum(_SIZE).alias("__words"))
+    ranges = ranges.withColumn("__before", running(ranges, "__words", F.col("__range")))
+    crossed = ranges.where((F.col("__before") <= F.col("__left")) & (F.col("__left") < F.col("__before") + F.col("__words")))
+    crossed = crossed.select(*piece, "__before")  # one row a source at most
+    keys = placed.join(F.broadcast(crossed) if few else crossed, piece).groupBy(_SOURCE, _NONE, _KEY, "__left", "__before").agg(
+        F.sum(_SIZE).alias("__words"))
+    keys = keys.withColumn("__rest", F.col("__left") - F.col("__before") - running(keys, "__words", *rank))
+    cut = keys.where((F.col("__rest") >= 0) & (F.col("__rest") < F.col("__words"))).select(
+        _SOURCE, _NONE, F.col(_KEY).alias("__cut"), "__rest", "__words")
+    plan = checkpointed(plan.join(F.broadcast(cut) if few else cut, [_SOURCE, _NONE], "left"))
+
+    cut_place = F.shiftrightunsigned(F.col("__cut"), 11)
+    first = (rank[0] < cut_place) | (rank[0] == cut_place) & (F.col(_KEY) < F.col("__cut"))
+    part = F.when(F.col("__cut").isNull(), F.lit(0)).when(F.col(_KEY) == F.col("__cut"), F.floor(
+        F.col(_SIZE) * F.col("__rest").cast("decimal(38,0)") / F.col("__words"))).when(first, F.col(_SIZE)).otherwise(F.lit(0))
+    return planned(sized, plan).select(
         *[F.col(f"`{c}`") for c in names], F.col(_SIZE).alias("size"), "source_size", "target",
-        (passes * F.col(_SIZE) + part).cast("long").alias("taken"))
+        (F.col("__passes") * F.col(_SIZE) + part).cast("long").alias("taken"))
