@@ -21,7 +21,7 @@ from tiermart.llm.common import checkpointed
 SHINGLE = 5
 SCALE = 8  # one hash in SCALE is retained
 ROWS_PER_RANGE = 2000
-BROADCAST_ROWS = 200_000
+MOST_RANGES = 50_000  # beyond, ranges grow instead; what is known of them is at most a few rows for each
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -68,11 +68,6 @@ def with_sketch(docs: DataFrame, text: str = "text", name: str = "sketch", shing
         sketch(F.col("__hashes"), scale), F.array().cast("array<long>"))).drop("__hashes")
 
 
-def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` marked for broadcast if its counted rows (a few numbers each) allow it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def with_next(docs: DataFrame, key: str, columns: list[str], prepare: Callable[[DataFrame], DataFrame] | None = None,
               name: str = "next", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``docs`` and a struct of the next row's ``columns``, by ascending integer key; the last row's next is the first.
@@ -80,12 +75,14 @@ def with_next(docs: DataFrame, key: str, columns: list[str], prepare: Callable[[
     Null keys come last, by a hash of the row, which also orders equal keys. ``prepare``
     adds columns to each row before rows move; ``columns`` may name them.
 
-    Rows are dealt into key ranges of about ``rows_per_range`` rows: even cells first, then
-    each cell with more rows by its own least and greatest key. Each range also gets
-    the first row of the one after it, so that every row meets its next in one shuffle.
+    Rows are dealt into key ranges of about ``rows_per_range`` rows, or of so many that there are about ``MOST_RANGES``: even cells
+    first, then each cell with more rows by its own least and greatest key. So what is broadcast of the ranges, and ordered in one
+    task, is a few numbers for at most some times ``MOST_RANGES`` of them, whatever the table's size. Each range also gets
+    the first row of the one after it, so that every row meets its next in one shuffle. Rows of one key are one range.
     """
     k = F.col(f"`{key}`")
     lo, hi, total, keys = docs.agg(F.min(k).cast("double"), F.max(k).cast("double"), F.count(F.lit(1)), F.count(k)).first()
+    rows_per_range = max(rows_per_range, -(-total // MOST_RANGES))
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     at = k.cast("long") if keys == total else F.when(k.isNull(), tie).otherwise(k.cast("long"))
     keyed = docs.withColumns({"__null": k.isNull(), "__at": at})
@@ -111,13 +108,13 @@ def with_next(docs: DataFrame, key: str, columns: list[str], prepare: Callable[[
     def ranged(df: DataFrame) -> DataFrame:
         if not fulls:
             return df.withColumns({"__cell": celled, "__cut": F.lit(0).cast("long")})
-        dealt = df.withColumn("__cell", celled).join(bounded(full, fulls), ["__null", "__cell"], "left")
+        dealt = df.withColumn("__cell", celled).join(F.broadcast(full), ["__null", "__cell"], "left")
         return dealt.withColumn("__cut", cut.cast("long")).drop("lo", "cuts", "w")
 
     firsts = checkpointed(ranged(narrow).groupBy(*place).agg(F.min("__at").alias("__at")))  # one row for each range
     last = F.max(F.struct(*place)).over(Window.partitionBy())
     back = F.coalesce(F.lag(F.struct(*place)).over(Window.orderBy(*place)), last)
-    firsts = bounded(firsts.select("__null", "__at", back.alias("__to")), firsts.count())
+    firsts = F.broadcast(firsts.select("__null", "__at", back.alias("__to")))
     sentinels = keyed.join(firsts, ["__null", "__at"]).select(
         *docs.columns, "__at", *[F.col(f"__to.{c}").alias(c) for c in place], F.lit(1).alias("__next"))
     rows = ranged(keyed).withColumn("__next", F.lit(0)).unionByName(sentinels)
