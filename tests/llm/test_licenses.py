@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from tiermart.llm import licenses as L
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -106,3 +108,35 @@ def test_a_url_swallows_no_later_license(docs):
                    5: ["cc", "mit"], 6: ["bsd"], 7: ["cc"]}
     ends = {r.doc_id: r.spans[0].last for r in L.scan(docs(rows)).collect()}
     assert ends[6] == 5 and ends[7] == 7 and ends[5] == 8
+
+
+@pytest.mark.parametrize("text, want", [
+    ("SPDX-License-Identifier: Apache-2.0 OR MIT", {"apache-2.0", "mit"}),
+    ("// SPDX-License-Identifier: (BSD-3-Clause AND MIT)", {"bsd-3-clause", "mit"}),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath OR MPL-2.0 OR ISC", {"gpl-2.0", "mpl-2.0", "isc"}),
+    ("It is released under the MIT.", {"mit"}),
+    ("License: MIT", {"mit"}), ('license = "MIT"', {"mit"}), ("The license is ISC", {"isc"}),
+    ("dual-licensed under the GPL and MIT", {"gpl", "mit"}),
+    ("distributed under the terms of the GPLv3 or the Apache 2.0", {"gpl-3.0", "apache-2.0"}),
+    ("Der Hund ging mit der Katze, released in mit", set()), ("mit, gpl and bsd are words", set()), ("a licence plate with mit on it", set()),
+])
+def test_operands_and_short_names(spark, docs, text, want):
+    found = L.scan(docs([(1, f"head {text}\nand on")])).selectExpr("transform(spans, s -> s.label) as l").first().l
+    assert set(found) == want, found
+
+
+def test_suppression_by_a_sweep_equals_every_pair(spark):
+    r = random.Random(8)
+    rows = []
+    for k in range(300):
+        spans = []
+        for n in range(r.randint(0, 14)):
+            a = r.randint(0, 12)
+            spans.append((a, a + r.randint(0, 5), r.randint(1, 3), n, f"l{n}", 0.5))
+        rows.append((k, spans))
+    df = spark.createDataFrame(rows, f"k int, spans {L.SPAN_TYPE}")
+    got = {x.k: {s.n for s in x.kept} for x in df.select("k", L._suppressed(df.spans).alias("kept")).collect()}
+    for k, spans in rows:
+        want = {s[3] for s in spans if not any(
+            t[0] <= s[0] and t[1] >= s[1] and t[2] <= s[2] and (t[1] - t[0] > s[1] - s[0] or t[2] < s[2] or t[3] < s[3]) for t in spans)}
+        assert got[k] == want, spans

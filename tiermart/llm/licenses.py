@@ -6,7 +6,8 @@ with a keyword, a label, a tier and a weight. A rule runs only on texts that
 hold its keyword, and only texts with some keyword are looked at at all. Each
 match is a span of words. A span is dropped if another span holds it whole and
 is of the same or a stronger tier (longer span, or the same span and an
-earlier rule); the base phrases' own places are never dropped.
+earlier rule); the base phrases' own places are never dropped. What follows a tag or a grant after "or", "and" or "with"
+and is a license's name or tag is a detection as well (up to ``MOST_OPERANDS`` of one tag or grant).
 
 Everything is built from column functions; a row is scanned where it lies, so
 nothing is shuffled.
@@ -155,17 +156,46 @@ NOTICES = (
     ("warranty", "warrant", r"without warrant(y|ies) of any kind( (either )?express(ed)? or implied)?"),
 )
 
+# label, keyword, regex of short names that are licenses only where the words before say so.
+SHORT = (
+    ("mit", "mit", r"mit"), ("apache-2.0", "apache", r"apache 2( 0)?"), ("apache", "apache", r"apache"),
+    ("gpl-3.0", "gpl", r"(gnu )?gpl ?v?3( 0)?"), ("gpl-2.0", "gpl", r"(gnu )?gpl ?v?2( 0)?"), ("gpl", "gpl", r"(gnu )?gpl"),
+    ("lgpl", "lgpl", r"(gnu )?lgpl"), ("agpl", "agpl", r"(gnu )?agpl"), ("bsd-3-clause", "bsd", r"bsd 3 clause"),
+    ("bsd-2-clause", "bsd", r"bsd 2 clause"), ("bsd", "bsd", r"bsd"), ("isc", "isc", r"isc"), ("zlib", "zlib", r"zlib"),
+    ("mpl-2.0", "mpl", r"mpl 2( 0)?"), ("mpl", "mpl", r"mpl"), ("epl", "epl", r"epl"), ("bsl-1.0", "bsl", r"bsl 1( 0)?"),
+    ("cc0-1.0", "cc0", r"cc0"), ("unlicense", "unlicense", r"unlicense"), ("wtfpl", "wtfpl", r"wtfpl"),
+)
+_GRANTED = r"(licen[sc]ed|released|distributed|available|published|provided) under( the| a)?( terms( and conditions)? of( the)?)?"
+_OPERATORS = ("or", "and", "with")
+MOST_OPERANDS = 16  # of one tag or grant
+
 TIERS = {"tag": (1, 1.0), "grant": (2, 0.95), "notice": (2, 0.9), "name": (3, 0.7)}
 
 
+def _spelled(label: str) -> str:
+    """A label as normalised words."""
+    return label.replace("-", " ").replace(".", " ")
+
+
+def operand_names() -> list[dict]:
+    """Words that stand for a license as a further operand of a tag or grant, longest first."""
+    plain = {label: label for label in {n[0] for n in NAMES}} | {
+        "apache-2": "apache-2.0", "gnu-gpl": "gpl", "gplv2": "gpl-2.0", "gplv3": "gpl-3.0", "gnu-lgpl": "lgpl", "agpl": "agpl-3.0",
+        "zlib-libpng": "zlib", "epl": "epl", "the-unlicense": "unlicense"} | {n[0]: n[0] for n in SHORT}
+    return [{"words": _spelled(name).split(), "label": label}
+            for name, label in sorted(plain.items(), key=lambda x: (-len(_spelled(x[0]).split()), x))]
+
+
 def rules() -> list[dict]:
-    """The ordered rules: each name as an SPDX tag, as a grant and alone, and the notices."""
+    """The ordered rules: each name as an SPDX tag, as a grant and alone, short names where the words before call for a
+    license, and the notices."""
     out = []
     for label, keyword, name in NAMES:
-        out.append((label, "licen", rf"spdx licen[sc]e identifier {label.replace('-', ' ').replace('.', ' ')}( or later| only)?",
-                    "tag"))
+        out.append((label, "licen", rf"spdx licen[sc]e identifier {_spelled(label)}( or later| only)?", "tag"))
         out.append((label, keyword, rf"(dual |re ?)?(licen[sc]ed|released|distributed|available|published|provided) "
                                     rf"(under|by|with)( the| a)?( terms( and conditions)? of( the)?)? {name}", "grant"))
+    for label, keyword, name in SHORT:
+        out.append((label, keyword, rf"(licen[sc]e( is)?|{_GRANTED}) {name}( or later| only)?", "grant"))
     out += [(label, keyword, regex, "notice") for label, keyword, regex in NOTICES]
     out += [(label, keyword, regex, "name") for label, keyword, regex in NAMES]
     seen, ordered = set(), []
@@ -182,7 +212,8 @@ def rules() -> list[dict]:
 GATES = ("licen", "gpl", "apache", "bsd", "attribution", "mpl", "cddl", "eupl", "wtfpl", "cc0", "creative", "cc by", "odbl",
          "odc", "public domain", "rail", "mulan", "cecill", "permission", "restriction", "redistribution", "neither the name",
          "advertising materials", "express", "free software", "source code form", "unencumbered", "gnu", "opensource",
-         "rights reserved", "proprietary", "unauthorized", "warrant")
+         "rights reserved", "proprietary", "unauthorized", "warrant", "released under", "distributed under", "available under",
+         "published under", "provided under")
 
 RULE_TYPE = "array<struct<n int, label string, keyword string, tier int, weight double, regex string>>"
 SPAN_TYPE = "array<struct<first int, last int, tier int, n int, label string, weight double>>"
@@ -208,13 +239,46 @@ def _rule_spans(words: Column, norm: Column, rule: Column) -> Column:
         rule["tier"].alias("tier"), rule["n"].alias("n"), rule["label"].alias("label"), rule["weight"].alias("weight")))
 
 
+def _operands(words: Column, spans: Column, names: Column) -> Column:
+    """Spans of the licenses that follow a tag or grant after "or", "and" or "with": each operand is a span of its own."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN_TYPE).alias("found"))
+
+    def following(s: Column) -> Column:
+        def step(acc: Column, _: Column) -> Column:
+            at = acc["at"] + F.when(F.get(words, acc["at"] + 1) == "the", 2).otherwise(1)
+            name = F.get(F.filter(names, lambda n: F.slice(words, at + 1, F.size(n["words"])) == n["words"]), F.lit(0))
+            last = at + F.size(name["words"]) - 1
+            more = F.struct((last + 1).alias("at"), F.concat(acc["found"], F.array(F.struct(
+                at.alias("first"), last.alias("last"), s["tier"].alias("tier"), s["n"].alias("n"), name["label"].alias("label"),
+                s["weight"].alias("weight")))).cast(SPAN_TYPE).alias("found"))
+            # An exception's name after "with" is no license; the expression may go on after its few words.
+            on = F.array_min(F.filter(F.sequence(acc["at"] + 2, acc["at"] + 5), lambda j: F.get(words, j).isin(*_OPERATORS)))
+            past = F.struct(F.coalesce(F.when(F.get(words, acc["at"]) == "with", on), acc["at"]).alias("at"), acc["found"].alias("found"))
+            return F.when(F.get(words, acc["at"]).isin(*_OPERATORS), F.when(name.isNotNull(), more).otherwise(past)).otherwise(acc)
+        begin = F.struct((s["last"] + 1).alias("at"), start["found"].alias("found"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(MOST_OPERANDS)), begin, step, lambda acc: acc["found"])
+    calling = F.filter(spans, lambda s: (s["tier"] <= TIERS["grant"][0]) & (s["weight"] >= TIERS["grant"][1]))
+    return F.flatten(F.transform(calling, following))
+
+
 def _suppressed(spans: Column) -> Column:
-    """Spans that no other span of the same or a stronger tier holds whole."""
-    def beaten(s: Column, t: Column) -> Column:
-        holds = (t["first"] <= s["first"]) & (t["last"] >= s["last"]) & (t["tier"] <= s["tier"])
-        wider = (t["last"] - t["first"]) > (s["last"] - s["first"])
-        return holds & (wider | (t["tier"] < s["tier"]) | (t["n"] < s["n"]))
-    return F.filter(spans, lambda s: ~F.exists(spans, lambda t: beaten(s, t)))
+    """Spans that no other span of the same or a stronger tier holds whole, in order of first word.
+
+    One sweep: in order of first word, longer spans, stronger tiers and earlier rules first, a span that holds another
+    comes before it, so the furthest end so far among the tiers that count tells.
+    """
+    tiers = sorted({t for t, _ in TIERS.values()})
+    ranked = F.array_sort(F.transform(spans, lambda s: F.struct(
+        s["first"].alias("first"), (-s["last"]).alias("neg"), s["tier"].alias("tier"), s["n"].alias("n"), s.alias("span"))))
+    begin = F.struct(*[F.lit(-1).alias(f"to{t}") for t in tiers], F.array().cast(SPAN_TYPE).alias("kept"))
+
+    def step(acc: Column, r: Column) -> Column:
+        s = r["span"]
+        reached = F.coalesce(*[F.when(s["tier"] == t, acc[f"to{t}"]) for t in tiers])
+        return F.struct(
+            *[F.when(s["tier"] <= t, F.greatest(acc[f"to{t}"], s["last"])).otherwise(acc[f"to{t}"]).alias(f"to{t}") for t in tiers],
+            F.when(reached >= s["last"], acc["kept"]).otherwise(F.concat(acc["kept"], F.array(s))).alias("kept"))
+    return F.aggregate(ranked, begin, step, lambda acc: acc["kept"])
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -239,6 +303,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     hits = F.filter(known, lambda r: F.contains(norm, r["keyword"]))
     read = read.withColumn("__spans", F.when(norm.isNull(), none).otherwise(
         F.flatten(F.transform(hits, lambda r: _rule_spans(F.col("__words"), norm, r))).cast(SPAN_TYPE)))
+    names = F.from_json(F.lit(json.dumps(operand_names())), "array<struct<words array<string>, label string>>")
+    read = read.withColumn("__spans", F.concat("__spans", _operands(F.col("__words"), F.col("__spans"), names)))
     base_type = "array<struct<first:int,label:string>>"
 
     def places(phrase: str, label: str) -> Column:
