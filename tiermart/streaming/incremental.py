@@ -93,7 +93,7 @@ def propagate(spark: SparkSession, config: LakeConfig, as_of: str, stamp: str |
         result["rejected"] = rejected
     stamp = stamp or lake.new_stamp()
     steps = (*pipeline.JOINS, *pipeline.MARTS)
-    outcomes = pipeline.run_steps(spark, config, steps, as_of, stamp, again=False)
+    outcomes = pipeline.run_steps(spark, config, steps, as_of, stamp, False)
     for layer in ("silver", "gold"):
         made = {s.name: outcomes[s.name].path for s in steps if s.layer == layer and outcomes[s.name].status == pipeline.MADE}
         if made:
