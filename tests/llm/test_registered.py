@@ -15,7 +15,7 @@ def folder(spark, tmp_path_factory):
     given = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{given}/documents.parquet")
     odd = spark.sql(f"""select * from values (9000000L, {BAD}), (9000001L, null), (9000002L, ''), (null, 'no id'), (null, null),
-                        (9000003L, {BAD}), (9000003L, {BAD}) as t(doc_id, text)""").select(
+                        (9000003L, {BAD}), (9000003L, {BAD}), (9000004L, repeat('long words of one text ', 20000)) as t(doc_id, text)""").select(
         "doc_id", "text", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"),
         F.length("text").cast("long").alias("n_chars"))
     docs.unionByName(odd).withColumn("SIZE", F.lit("x")).write.parquet(f"{root}/documents.parquet")
