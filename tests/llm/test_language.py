@@ -89,3 +89,16 @@ def test_query_learns_from_its_fold_only(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.98 * len(held)
+
+
+def test_the_sample_holds_so_many_different_texts_a_language_at_most(spark):
+    """One text stands in a third of a language's rows: it counts once, and others are not crowded out."""
+    rows = [("same text that stands in very many rows", "en")] * 900 + [(f"text number {k} of the english ones", "en") for k in range(1800)]
+    rows += [(f"der text nummer {k}", "de") for k in range(30)] + [("same text that stands in very many rows", "de")] * 50
+    labelled = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    bags, labels = G.labelled_sample(labelled, per_language=400)
+    assert labels.count("en") == 400 and labels.count("de") == 31 and len(bags) == 431
+    plain = [(label, tuple(ids), tuple(n)) for label, (ids, n) in zip(labels, bags)]
+    assert len(set(plain)) >= 425  # a few texts of the same subwords aside
+    assert plain == [(label, tuple(ids), tuple(n)) for (ids, n), label in zip(*G.labelled_sample(
+        labelled.repartition(2), per_language=400))]

@@ -80,3 +80,18 @@ def test_no_rows_and_no_words(docs):
 def test_many_sources_are_not_broadcast(docs, monkeypatch):
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     check(ROWS, mixing.mix(docs(ROWS), keep=("doc_id", "source")).collect())
+
+
+def test_no_row_is_moved_by_the_cut(spark, docs):
+    """Neither a window nor an exchange stands above the scan of the texts: rows compare their key with the cut."""
+    rows = [(k, "word " * (k % 7 + 1), None, f"s{k % 3}") for k in range(500)]
+    plan = mixing.mix(docs(rows))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_equal_rows_at_the_cut_share_it(docs):
+    rows = [(1, "a b c d", None, "x")] * 50 + [(k, "w " * 40, None, "y") for k in range(2, 60)]
+    got = mixing.mix(docs(rows), weights=(1.0, 5.0)).collect()
+    taken = {r.taken for r in got if r.source == "x"}
+    target = next(r.target for r in got if r.source == "x")
+    assert len(taken) == 1 and 0 <= target - 50 * taken.pop() < 50

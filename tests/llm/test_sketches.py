@@ -92,3 +92,12 @@ def test_query_columns(spark):
     by_text = {}
     for r in rows:
         assert by_text.setdefault(source[r.doc_id], r.fingerprint) == r.fingerprint
+
+
+def test_ranges_grow_instead_of_their_number(docs, monkeypatch):
+    """What is known of the ranges stays bounded; the result is the same."""
+    rows = [(k * k, f"text number {k} with some words in it") for k in range(400)]
+    want = sorted(map(tuple, sketches.edit_likeness(docs(rows)).collect()), key=str)
+    monkeypatch.setattr(sketches, "MOST_RANGES", 7)
+    monkeypatch.setattr(sketches.with_next, "__defaults__", (None, "next", 1))
+    assert sorted(map(tuple, sketches.edit_likeness(docs(rows)).collect()), key=str) == want
