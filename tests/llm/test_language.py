@@ -93,8 +93,9 @@ def test_query_learns_from_its_fold_only(spark):
 
 def test_the_sample_holds_so_many_different_texts_a_language_at_most(spark):
     """One text stands in a third of a language's rows: it counts once, and others are not crowded out."""
-    rows = [("same text that stands in very many rows", "en")] * 900 + [(f"text number {k} of the english ones", "en") for k in range(1800)]
-    rows += [(f"der text nummer {k}", "de") for k in range(30)] + [("same text that stands in very many rows", "de")] * 50
+    name = ["".join(chr(97 + int(c)) for c in str(k)) for k in range(1800)]
+    rows = [("same text that stands in very many rows", "en")] * 900 + [(f"text {w} of the english ones", "en") for w in name]
+    rows += [(f"der text {w}", "de") for w in name[:30]] + [("same text that stands in very many rows", "de")] * 50
     labelled = spark.createDataFrame(rows, "text string, lang string").repartition(5)
     bags, labels = G.labelled_sample(labelled, per_language=400)
     assert labels.count("en") == 400 and labels.count("de") == 31 and len(bags) == 431
