@@ -2,22 +2,22 @@
 
 A conversation is a sequence of turns; a turn is its role and text, null as empty. Its
 key is the turns' 16-byte digests, in order, so that the bytes' order keeps conversations with a
-common beginning together and a common prefix of bytes is a common prefix of turns. ``key`` and id are
-range-sorted over the cluster, so copies of one conversation, however many, are spread by their ids.
+common beginning together and a common prefix of bytes is a common prefix of turns. Rows are range-sorted over the
+cluster by key and id, so copies of one conversation, however many, are spread by their ids.
 
 Neighbours in that order have an edge as long as their longest common prefix (LCP). In each range the edges are
 taken in descending depth; a union-find joins the neighbours' components, and every join is a branching
 node at that depth (of several at one depth, one). Between a node and the next branching node above it lie
-nodes with the same members. What a node counts is a sum over its rows: the words "new" and "leaf"
-hang on a row's LCP with the one before and after only, and these are known also across
-the ranges' edges (one row a range is compared for that).
+nodes with the same members. What is counted of a node is a sum over its rows, of numbers that depend on a row's
+LCP with the rows before and after it only: the bytes of the nodes that it is the first member of, and whether it
+ends in a leaf. These LCPs are known across the edges of ranges too: the first and last row of each range are compared.
 
-A node is whole in its range unless it is no deeper than the LCP at an edge of the range. Of those
-only the nodes on the paths of a range's first and last row are left: the contracted forest, one partial row for a range, node and depth.
-They are brought together by the prefix's digest and summed in order of the ranges as a stream, as the ids that a digest of
-ends is made of must be; nodes whose parent is such a node look its id up by a join.
+A node is whole in its range unless it is no deeper than the LCP at an edge of the range. The others
+lie on the paths of a range's first and last row and are the contracted forest: one partial row for a range, node and
+depth. Partial rows are brought together by the prefix's digest and summed as a stream in order of the ranges, since the
+ids that the digest of a node's ends is made of must come in order. Nodes whose parent is such a node look its id up by a join.
 
-A range, with 16 bytes and a length for each turn, is what a task holds; its size follows from ``turns_per_range`` turns.
+A range, with 16 bytes and a length for each turn, is what a task holds; its size follows from ``turns_per_range``.
 """
 
 from __future__ import annotations
