@@ -40,11 +40,16 @@ NAN, PLUS_INF, MINUS_INF = 1, 2, 4  # bits of ``special``
 _NAN, _INF = float("nan"), float("inf")
 
 
+def _finite(c) -> Column:
+    """False for NaN (greater than any number) and infinities; null for null."""
+    return F.abs(_c(c).cast("double")) < _INF
+
+
 def special_of(c) -> Column:
     """Row-level bit of a value that DECIMAL has no form for; 0 for finite values and null."""
     col = _c(c).cast("double")
-    return (F.when(F.isnan(col), F.lit(NAN)).when(col == _INF, F.lit(PLUS_INF)).when(col == -_INF, F.lit(MINUS_INF))
-            .otherwise(F.lit(0)))
+    return (F.when(_finite(c), F.lit(0)).when(F.isnan(col), F.lit(NAN)).when(col > 0, F.lit(PLUS_INF))
+            .when(col < 0, F.lit(MINUS_INF)).otherwise(F.lit(0)))
 
 
 def special(c) -> Column:
@@ -85,7 +90,7 @@ def pct_special(part_bits, part, whole_bits, whole, digits: int = 2) -> Column:
 
 def money(c) -> Column:
     """Exact form of a money column; NaN and infinities have none and become null (see ``special``)."""
-    return F.when(special_of(c) == 0, _c(c).cast(MONEY))
+    return F.when(_finite(c), _c(c).cast(MONEY))
 
 
 def round_half_up(c, digits: int) -> Column:
