@@ -18,6 +18,8 @@ Scale notes (each mart is one lazy plan):
   claim-free customers have a loss ratio of 0) would otherwise land in one
   range partition, since a range partitioner cannot split equal keys; the
   tiebreaker lets it spread them, and makes the order deterministic.
+* A sort reads its input twice, first to sample it. The mart with a row for each customer is dealt out before it is sorted, so
+  that the second reading does not aggregate again.
 """
 
 from __future__ import annotations
@@ -232,7 +234,7 @@ def _risk(customer_policies: DataFrame, per_policy: DataFrame, as_of: str) -> Da
     out = out.withColumn(
         "risk_category",
         F.when(F.col("loss_ratio_pct") > 50, "High").when(F.col("loss_ratio_pct") > 20, "Medium").otherwise("Low"),
-    ).orderBy(F.col("loss_ratio_pct").desc_nulls_first(), F.col("customer_id").asc_nulls_first())
+    ).hint("rebalance").orderBy(F.col("loss_ratio_pct").desc_nulls_first(), F.col("customer_id").asc_nulls_first())
     return stamp(out, "aggregated_at", as_of)
 
 
